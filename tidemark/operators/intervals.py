@@ -7,7 +7,7 @@ intervals is spread over axis cells. ``cell_width`` is the length of such a cell
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,33 +97,28 @@ def _ends(ranges: DataFrame, keys: Sequence[str], counter: str) -> DataFrame:
     )
 
 
-def _sweep(a: DataFrame, b: DataFrame, keys: Sequence[str], cell_width: int) -> DataFrame:
-    """Per boundary: how many ranges of ``a`` and of ``b`` are open from there to the next boundary."""
-    both = (
-        _ends(a, keys, "_a")
-        .unionByName(_ends(b, keys, "_b"), allowMissingColumns=True)
-        .groupBy(*keys, "_pos")
-        .agg(F.coalesce(F.sum("_a"), F.lit(0)).alias("_a"), F.coalesce(F.sum("_b"), F.lit(0)).alias("_b"))
-    )
-    return running(
-        both,
-        keys,
-        ["_pos"],
-        _cell("_pos", cell_width),
-        {
-            "_open_a": Run("sum", F.col("_a")),
-            "_open_b": Run("sum", F.col("_b")),
-            "_next": Run("last", F.col("_pos"), exclusive=True, reverse=True),
-        },
-    )
-
+def combine(
+    sets: Mapping[str, DataFrame],
+    keys: Sequence[str],
+    inside: Callable[[Mapping[str, Column]], Column],
+    *,
+    cell_width: int = DEFAULT_CELL,
+) -> DataFrame:
+    """Maximal ranges on which a condition over the sets holds, per key, in one sweep over all their ends.
 
-def _select(a: DataFrame, b: DataFrame, keys: Sequence[str], inside: Column, cell_width: int) -> DataFrame:
-    """Maximal ranges on which ``inside`` (over _open_a, _open_b) holds."""
-    pieces = (
-        _sweep(a, b, keys, cell_width)
-        .filter(inside)
-        .select(*keys, F.col("_pos").alias("from"), (F.col("_next") - 1).alias("to"))
+    ``inside`` gets, per set name, whether the set covers a stretch: ``lambda on: on["a"] & ~on["b"]``.
+    """
+    keys = list(keys)
+    bounds = None
+    for name, ranges in sets.items():
+        ends = _ends(ranges, keys, f"_{name}")
+        bounds = ends if bounds is None else bounds.unionByName(ends, allowMissingColumns=True)
+    steps = [F.coalesce(F.sum(f"_{name}"), F.lit(0)).alias(f"_{name}") for name in sets]
+    runs = {f"_open_{name}": Run("sum", F.col(f"_{name}")) for name in sets}
+    runs["_next"] = Run("last", F.col("_pos"), exclusive=True, reverse=True)
+    swept = running(bounds.groupBy(*keys, "_pos").agg(*steps), keys, ["_pos"], _cell("_pos", cell_width), runs)
+    pieces = swept.filter(inside({name: F.col(f"_open_{name}") > 0 for name in sets})).select(
+        *keys, F.col("_pos").alias("from"), (F.col("_next") - 1).alias("to")
     )
     return merge(pieces, keys, gap=1, cell_width=cell_width)
 
@@ -132,12 +127,12 @@ def exclude(
     base: DataFrame, removed: DataFrame, keys: Sequence[str], *, cell_width: int = DEFAULT_CELL
 ) -> DataFrame:
     """What is left of ``base`` after taking ``removed`` out, merged and disjoint."""
-    return _select(base, removed, keys, (F.col("_open_a") > 0) & (F.col("_open_b") == 0), cell_width)
+    return combine({"base": base, "removed": removed}, keys, lambda on: on["base"] & ~on["removed"], cell_width=cell_width)
 
 
 def intersect(a: DataFrame, b: DataFrame, keys: Sequence[str], *, cell_width: int = DEFAULT_CELL) -> DataFrame:
     """Stretches covered by both sets."""
-    return _select(a, b, keys, (F.col("_open_a") > 0) & (F.col("_open_b") > 0), cell_width)
+    return combine({"a": a, "b": b}, keys, lambda on: on["a"] & on["b"], cell_width=cell_width)
 
 
 def union(a: DataFrame, b: DataFrame, keys: Sequence[str], *, cell_width: int = DEFAULT_CELL) -> DataFrame:
@@ -168,10 +163,11 @@ def overlaps_between(
     a: DataFrame, b: DataFrame, keys: Sequence[str], *, cell_width: int = DEFAULT_CELL
 ) -> DataFrame:
     """Per key of either set: does any range of ``a`` overlap one of ``b``?"""
-    swept = _sweep(a, b, keys, cell_width)
-    return swept.groupBy(*keys).agg(
-        F.max((F.col("_open_a") > 0) & (F.col("_open_b") > 0)).alias("has_overlap")
-    )
+    both = _ends(a, keys, "_a").unionByName(_ends(b, keys, "_b"), allowMissingColumns=True)
+    steps = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_a", "_b")]
+    opened = {"_open_a": Run("sum", F.col("_a")), "_open_b": Run("sum", F.col("_b"))}
+    swept = running(both.groupBy(*keys, "_pos").agg(*steps), keys, ["_pos"], _cell("_pos", cell_width), opened)
+    return swept.groupBy(*keys).agg(F.max((F.col("_open_a") > 0) & (F.col("_open_b") > 0)).alias("has_overlap"))
 
 
 def covering(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -40,9 +40,11 @@ def update_ranges(
     ranges: DataFrame, covered: DataFrame, succeeded: DataFrame, failed: DataFrame, cell_width: int = intervals.DEFAULT_CELL
 ) -> DataFrame:
     """covered := covered + new; retry := (retry - succeeded) + failed, per import key."""
+    sets = {"retry": of_kind(ranges, RETRY), "succeeded": succeeded, "failed": failed}
     now_covered = intervals.union(of_kind(ranges, COVERED), covered, KEY, cell_width=cell_width)
-    left = intervals.exclude(of_kind(ranges, RETRY), succeeded, KEY, cell_width=cell_width)
-    now_retry = intervals.union(left, failed, KEY, cell_width=cell_width)
+    now_retry = intervals.combine(
+        sets, KEY, lambda on: on["failed"] | (on["retry"] & ~on["succeeded"]), cell_width=cell_width
+    )
     return as_ranges(now_covered, now_retry)
 
 
@@ -54,8 +56,8 @@ def fold_results(states: DataFrame, ranges: DataFrame, results: DataFrame, impor
     """
     failed = results.filter(~F.col("success")).select("import_key", "from", "to")
     good = results.filter(F.col("success")).select("import_key", "from", "to")
-    succeeded = intervals.exclude(good, failed, KEY, cell_width=cell_width)
-    new_ranges = update_ranges(ranges, results.select("import_key", "from", "to"), succeeded, failed, cell_width)
+    # failed stretches stay queued whatever else succeeded on them, so ``good`` need not be cut first
+    new_ranges = update_ranges(ranges, results.select("import_key", "from", "to"), good, failed, cell_width)
     seen = results.groupBy("import_key").agg(F.max("latest").alias("_latest"), F.lit(True).alias("_touched"))
     new_states = (
         states.join(seen, "import_key", "left")

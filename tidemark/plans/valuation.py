@@ -13,6 +13,9 @@ from tidemark.functions.timegrid import SAMPLING_MS, interval, time_bucket
 from tidemark.operators import asof, intervals
 from tidemark.operators.gapfill import gapfill, interpolate
 from tidemark.operators.latest import last_by
+from tidemark.operators.scan import Run, running
+from tidemark.operators.upsert import nullify, update_from
+from tidemark.session import cut_lineage
 
 PRICED = ("underlying_to_usd_price", "usd_balance", "usd_diff")
 REWARD_PRICED = (
@@ -108,37 +111,37 @@ def resolve_missing(
     ``unpriced`` has price_feed_id and datetime; ``feeds`` has price_feed_id and first_date; ``coverage`` and
     ``retries`` hold (price_feed_id, from, to) in epoch milliseconds.
     """
-    now = F.lit(as_of)
     matched = asof.same_bucket(unpriced, prices)
-    rows = (
-        matched.join(feeds.select("price_feed_id", "first_date"), "price_feed_id", "left")
-        .join(first_prices(prices), "price_feed_id", "left")
+    columns = unpriced.columns
+    in_bucket = matched.filter(F.col("match_price").isNotNull()).select(
+        *columns, F.lit(1).alias("tier"), F.col("match_price").cast("double").alias("price")
+    )
+    # what is left is looked at several times below, so it is written down once
+    left_over = cut_lineage(
+        matched.filter(F.col("match_price").isNull())
+        .select(*columns)
+        .join(feeds.select("price_feed_id", "first_date"), "price_feed_id", "left")
+        .join(first_prices(prices).drop("first_block_number"), "price_feed_id", "left")
     )
-    spans = required_spans(now)
-    none_at_all = F.col("first_price").isNull()
-    before = F.col("datetime") < F.col("first_datetime")
     tier = (
-        F.when(F.col("match_price").isNotNull(), 1).when(none_at_all, 2).when(before, 3).otherwise(4)
+        F.when(F.col("first_price").isNull(), 2).when(F.col("datetime") < F.col("first_datetime"), 3).otherwise(4)
     )
-    lo = F.when(tier == 2, spans["no_prices"][0]).when(tier == 3, spans["before_first"][0]).otherwise(spans["interpolated"][0])
-    hi = F.when(tier == 2, spans["no_prices"][1]).when(tier == 3, spans["before_first"][1]).otherwise(spans["interpolated"][1])
-    rows = rows.withColumns({"tier": tier, "_need_from": F.unix_millis(lo), "_need_to": F.unix_millis(hi)})
-    rows = asof.interpolated_price(rows, prices)
-
+    spans = required_spans(F.lit(as_of))
+    need = [
+        F.when(tier == 2, spans["no_prices"][end]).when(tier == 3, spans["before_first"][end]).otherwise(spans["interpolated"][end])
+        for end in (0, 1)
+    ]
+    asked = left_over.withColumns({"tier": tier, "_need_from": F.unix_millis(need[0]), "_need_to": F.unix_millis(need[1])})
     green = intervals.exclude(coverage, retries, ["price_feed_id"], cell_width=SAMPLING_MS["1day"])
-    rows = _inside_one_range(rows, green)
-    price = (
-        F.when(F.col("tier") == 1, F.col("match_price").cast("double"))
-        .when(~F.col("_is_green"), F.lit(None))
-        .when(F.col("tier") == 2, F.lit(0.0))
-        .when(F.col("tier") == 3, F.col("first_price").cast("double"))
-        .otherwise(F.col("interpolated_price"))
+    fillable = cut_lineage(_inside_one_range(asked, green).filter("_is_green"))
+    at_edge = fillable.filter(F.col("tier") < 4).select(
+        *columns, "tier", F.when(F.col("tier") == 2, F.lit(0.0)).otherwise(F.col("first_price").cast("double")).alias("price")
     )
-    return (
-        rows.withColumn("price", price)
-        .filter(F.col("price").isNotNull())
-        .select(*unpriced.columns, "tier", "price")
+    between = asof.interpolated_price(fillable.filter(F.col("tier") == 4).select(*columns, "tier"), prices)
+    interpolated = between.filter(F.col("interpolated_price").isNotNull()).select(
+        *columns, "tier", F.col("interpolated_price").alias("price")
     )
+    return in_bucket.unionByName(at_edge).unionByName(interpolated)
 
 
 def _inside_one_range(rows: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -146,8 +149,6 @@ def _inside_one_range(rows: DataFrame, ranges: DataFrame) -> DataFrame:
 
     The only candidate is the last range starting at or before ``_need_from``: an as-of lookup, not a range join.
     """
-    from tidemark.operators.scan import Run, running
-
     starts = ranges.select(
         "price_feed_id", F.col("from").alias("_need_from"), F.col("to").alias("_range_to"), F.lit(0).alias("_is_row")
     )
@@ -166,8 +167,6 @@ def _inside_one_range(rows: DataFrame, ranges: DataFrame) -> DataFrame:
 
 def apply_prices(timeline: DataFrame, resolved: DataFrame) -> DataFrame:
     """Write resolved prices into the timeline rows they belong to."""
-    from tidemark.operators.upsert import update_from
-
     keys = ["investor_id", "product_id", "datetime", "block_number"]
     return update_from(
         timeline,
@@ -187,8 +186,6 @@ def invalidate(timeline: DataFrame, products: DataFrame, refreshed: DataFrame) -
     ``refreshed`` has price_feed_id, from and to (timestamps); the window spans from the earliest ``from`` to the
     latest ``to``.
     """
-    from tidemark.operators.upsert import nullify
-
     feeds = refreshed.select("price_feed_id").distinct()
     touched = (
         products.join(feeds, F.col("price_feed_1_id") == F.col("price_feed_id"), "left_semi").select("product_id")
