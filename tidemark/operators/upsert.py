@@ -134,9 +134,10 @@ def assign_ids(
     from pyspark.sql import Window
 
     rest = [c for c in batch.columns if c != natural_key]
-    single = keep_first(batch, [natural_key], arrival) if arrival else batch.groupBy(natural_key).agg(
-        *[F.first(c).alias(c) for c in rest]
-    )
+    if not rest:
+        single = batch.select(natural_key).distinct()
+    else:
+        single = keep_first(batch, [natural_key], arrival or rest)
     fresh = (
         single.join(stored.select(natural_key), natural_key, "left_anti")
         .withColumn("_digest", F.md5(F.col(natural_key).cast("string")))
