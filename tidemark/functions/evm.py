@@ -29,21 +29,24 @@ def address_topic(address: Column) -> Column:
     return F.concat(F.lit("0x"), F.lit("0" * 24), F.lower(F.substring(address, 3, 40)))
 
 
+def fits_decimal(word: Column) -> Column:
+    """Whether a 32-byte hex word is below 75 * 2^120, just under 10^38; cheap, as it only compares text."""
+    return (F.length(word) == 66) & (F.substring(word, 3, 32) == "0" * 32) & (F.lower(F.substring(word, 35, 2)) < "4b")
+
+
 def uint256(word: Column) -> Column:
-    """32-byte hex word as DECIMAL(38,0); NULL for 75 * 2^120 (just below 10^38) and above.
+    """32-byte hex word as DECIMAL(38,0); NULL where it does not fit.
 
     Hex digits are read in limbs of 15 (60 bits each, exact in a BIGINT) and summed in DECIMAL.
     """
-    digits = F.lpad(F.regexp_replace(word, "^0x", ""), 64, "0")
 
     def limb(start: int, length: int) -> Column:
-        return F.conv(F.substring(digits, start, length), 16, 10).cast("decimal(20,0)")
+        return F.conv(F.substring(word, start, length), 16, 10).cast("decimal(20,0)")
 
     base = F.lit(2**60).cast("decimal(20,0)")
-    high = ((limb(33, 2) * base).cast("decimal(38,0)") * base).cast("decimal(38,0)")
-    low = (limb(35, 15) * base).cast("decimal(38,0)") + limb(50, 15)
-    fits = F.substring(digits, 1, 32).rlike("^0*$") & (limb(33, 2) < 75)
-    return F.when(fits, (high + low).cast("decimal(38,0)"))
+    low = (limb(37, 15) * base).cast("decimal(38,0)") + limb(52, 15)
+    high = ((limb(35, 2) * base).cast("decimal(38,0)") * base).cast("decimal(38,0)")
+    return F.when(fits_decimal(word), (high + low).cast("decimal(38,0)"))
 
 
 def uint256_word(value: Column) -> Column:

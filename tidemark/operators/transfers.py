@@ -13,17 +13,19 @@ from tidemark.operators.intervals import DEFAULT_CELL, points_inside
 
 
 def decode(logs: DataFrame) -> DataFrame:
-    """Add the event name, its one or two indexed addresses and its amount (NULL when over 38 digits)."""
+    """Add the event name, its one or two indexed addresses and its amount, and whether all could be read."""
+    name, word = evm.event_name(F.try_element_at("topics", F.lit(1))), F.substring("data", 1, 66)
     first = evm.topic_address(F.try_element_at("topics", F.lit(2)))
     second = evm.topic_address(F.try_element_at("topics", F.lit(3)))
     return (
         logs.withColumns(
             {
                 "address": F.lower("address"),
-                "event_name": evm.event_name(F.try_element_at("topics", F.lit(1))),
+                "event_name": name,
                 "first_party": first,
                 "second_party": second,
-                "amount": evm.uint256(F.substring("data", 3, 64)),
+                "amount": evm.uint256(word),
+                "is_decoded": name.isNotNull() & F.coalesce(evm.fits_decimal(word), F.lit(False)),
             }
         )
         .drop("topics", "data")
@@ -32,8 +34,7 @@ def decode(logs: DataFrame) -> DataFrame:
 
 def split_decodable(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable events, events of unknown kind or with an amount that does not fit)."""
-    usable = F.col("event_name").isNotNull() & F.col("amount").isNotNull()
-    return decoded.filter(usable), decoded.filter(~usable)
+    return decoded.filter("is_decoded").drop("is_decoded"), decoded.filter(~F.col("is_decoded")).drop("is_decoded")
 
 
 def relevant(decoded: DataFrame, products: DataFrame) -> DataFrame:

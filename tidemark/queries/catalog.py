@@ -229,9 +229,9 @@ def version_content(t):
     f"SELECT month, status, count(*) AS n FROM ({_SQL_VERSIONS}) WHERE NOT ({_sql_chain('p_partkey')} = 'error' AND month = 6) GROUP BY 1, 2",
 )
 def _(t):
-    # one JSON array per chain, month and slice of the parts; one of the files does not parse
-    slice_ = F.pmod(F.xxhash64("definition.id"), F.lit(64))
-    files = version_content(t).groupBy("chain", "month", "version_date", slice_.alias("slice")).agg(F.to_json(F.collect_list("definition")).alias("content"))
+    # one JSON array per chain, month and hundred parts; the files of one chain and month do not parse
+    hundred = F.floor(F.substring_index("definition.id", "-", -1).cast("bigint") / 100)
+    files = version_content(t).groupBy("chain", "month", "version_date", hundred.alias("slice")).agg(F.to_json(F.collect_list("definition")).alias("content"))
     broken = (F.col("chain") == "error") & (F.col("month") == 6)
     files = files.withColumn("content", F.when(broken, F.concat(F.lit("{"), F.col("content"))).otherwise(F.col("content")))
     parsed = readers.parse_versions(files, DEFINITION)

@@ -63,8 +63,15 @@ _LEGS = f"""SELECT chain, token_address, product_id, owner AS owner_address, blo
    UNION ALL SELECT chain, token_address, product_id, other, block_number, transaction_hash, log_index, CAST(cents AS DECIMAL(38,18)) / 100 FROM ({_KEPT}) WHERE event_name = 'Transfer'"""
 
 
+def landed_logs(t):
+    """The event log as a landed table, read back with its fixed schema."""
+    path = scratch_path(t.spark, "logs")
+    event_logs(t).write.parquet(path)
+    return readers.event_log(t.spark, path)
+
+
 def usable_events(t):
-    good, _ = tr.split_decodable(tr.decode(event_logs(t)))
+    good, _ = tr.split_decodable(tr.decode(landed_logs(t)))
     return tr.relevant(good, log_products(t))
 
 
@@ -73,13 +80,13 @@ def usable_events(t):
     f"""SELECT log_index, event_name, owner AS first_party, CASE WHEN event_name = 'Transfer' THEN other END AS second_party, CAST(cents * 1000000000000 AS BIGINT) AS amount FROM ({_LOGS}) WHERE event_name IS NOT NULL""",
 )
 def _(t):
-    good, _ = tr.split_decodable(tr.decode(event_logs(t)))
+    good, _ = tr.split_decodable(tr.decode(landed_logs(t)))
     return good.select("log_index", "event_name", "first_party", "second_party", "amount")
 
 
 @query("undecodable_logs", "D1 ST10", f"SELECT chain, count(*) AS n FROM ({_LOGS}) WHERE event_name IS NULL GROUP BY 1")
 def _(t):
-    _, bad = tr.split_decodable(tr.decode(event_logs(t)))
+    _, bad = tr.split_decodable(tr.decode(landed_logs(t)))
     return bad.groupBy("chain").agg(F.count("*").alias("n"))
 
 
@@ -388,9 +395,7 @@ def _(t):
 
 @query("landed_event_log", "S1", f"SELECT chain, count(*) AS n, min(block_number) AS lo, max(log_index) AS hi FROM ({_LOGS}) GROUP BY 1")
 def _(t):
-    path = scratch_path(t.spark, "logs")
-    event_logs(t).write.parquet(path)
-    return readers.event_log(t.spark, path).groupBy("chain").agg(F.count("*").alias("n"), F.min("block_number").alias("lo"), F.max("log_index").alias("hi"))
+    return landed_logs(t).groupBy("chain").agg(F.count("*").alias("n"), F.min("block_number").alias("lo"), F.max("log_index").alias("hi"))
 
 
 @query("time_bounded_scan", "S4", "SELECT event_id, ts FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25'")
