@@ -36,19 +36,22 @@ def merge(
     *,
     gap: int = 1,
     cell_width: int = DEFAULT_CELL,
+    distinct_starts: bool = False,
 ) -> DataFrame:
     """Union of each key's ranges as disjoint ranges.
 
     Ranges join when the next one starts at most ``gap`` after the previous end: 1 also joins adjacent ones, 0 only
-    overlapping ones, larger values bridge holes (``from <= to + gap``).
+    overlapping ones, larger values bridge holes (``from <= to + gap``). ``distinct_starts`` promises that no two
+    ranges of a key start at the same place.
     """
     keys = list(keys)
     step = F.lit(gap)
+    if not distinct_starts:  # copies collapse before the shuffle, however many there are
+        ranges = ranges.groupBy(*keys, "from").agg(F.max("to").alias("to"))
     by_cell = Window.partitionBy(*keys, "_cell").orderBy("from")
     # 1. merge inside each cell
     local = (
-        ranges.groupBy(*keys, "from")
-        .agg(F.max("to").alias("to"))
+        ranges.select(*keys, "from", "to")
         .withColumn("_cell", _cell("from", cell_width))
         .withColumn("_reach", F.max("to").over(by_cell.rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("_starts", F.col("_reach").isNull() | (F.col("from") > F.col("_reach") + step))
@@ -58,45 +61,47 @@ def merge(
     )
     # 2. what reaches into each cell from the ones before, and the island it belongs to
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    begins = F.col("_reach_in").isNull() | (F.col("_last_start") > F.col("_reach_in") + step)
+    begins = F.col("_cell_reach_in").isNull() | (F.col("_last_start") > F.col("_cell_reach_in") + step)
     carried = (
         local.groupBy(*keys, "_cell")
         .agg(F.max("to").alias("_cell_reach"), F.max("_island").alias("_last_start"))
-        .withColumn("_reach_in", F.max("_cell_reach").over(earlier))
-        .withColumn("_island_in", F.max(F.when(begins, F.col("_last_start"))).over(earlier))
-        .select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_cell").alias("_of_cell"), "_reach_in", "_island_in")
+        .withColumn("_cell_reach_in", F.max("_cell_reach").over(earlier))
+        .withColumn("_cell_island_in", F.max(F.when(begins, F.col("_last_start"))).over(earlier))
+        .select(*keys, "_cell", "_cell_reach_in", "_cell_island_in")
     )
     # 3. join the islands across cells
-    same_cell = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys] + [F.col("_cell") == F.col("_of_cell")]
+    whole_cell = Window.partitionBy(*keys, "_cell")
     own = F.col("_reach_in").isNull() | (F.col("_island") > F.col("_reach_in") + step)
     return (
-        local.join(carried, _all(same_cell), "left")
+        local.unionByName(carried, allowMissingColumns=True)
+        .withColumns({"_reach_in": F.max("_cell_reach_in").over(whole_cell), "_island_in": F.max("_cell_island_in").over(whole_cell)})
+        .filter(F.col("_island").isNotNull())
         .withColumn("from", F.when(own, F.col("_island")).otherwise(F.col("_island_in")))
         .groupBy(*keys, "from")
         .agg(F.max("to").alias("to"))
     )
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result & condition
-    return result
-
-
 def _ends(ranges: DataFrame, keys: Sequence[str], counter: str) -> DataFrame:
     """+1 where a range starts, -1 just after it ends."""
     ends = F.array(
         F.struct(F.col("from").cast("long").alias("_pos"), F.lit(1).alias("_step")),
         F.struct((F.col("to") + F.lit(1)).cast("long").alias("_pos"), F.lit(-1).alias("_step")),
     )
-    return (
-        ranges.select(*keys, F.explode(ends).alias("_end"))
-        .groupBy(*keys, F.col("_end._pos").alias("_pos"))
-        .agg(F.sum("_end._step").alias(counter))
+    return ranges.select(*keys, F.explode(ends).alias("_end")).select(
+        *keys, F.col("_end._pos").alias("_pos"), F.col("_end._step").alias(counter)
     )
 
 
+def _boundaries(sets: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """One row per key and position where any set changes, with each set's change there."""
+    bounds = None
+    for name, ranges in sets.items():
+        ends = _ends(ranges, keys, f"_{name}")
+        bounds = ends if bounds is None else bounds.unionByName(ends, allowMissingColumns=True)
+    return bounds.groupBy(*keys, "_pos").agg(*[F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(f"_{n}") for n in sets])
+
+
 def combine(
     sets: Mapping[str, DataFrame],
     keys: Sequence[str],
@@ -109,18 +114,13 @@ def combine(
     ``inside`` gets, per set name, whether the set covers a stretch: ``lambda on: on["a"] & ~on["b"]``.
     """
     keys = list(keys)
-    bounds = None
-    for name, ranges in sets.items():
-        ends = _ends(ranges, keys, f"_{name}")
-        bounds = ends if bounds is None else bounds.unionByName(ends, allowMissingColumns=True)
-    steps = [F.coalesce(F.sum(f"_{name}"), F.lit(0)).alias(f"_{name}") for name in sets]
     runs = {f"_open_{name}": Run("sum", F.col(f"_{name}")) for name in sets}
     runs["_next"] = Run("last", F.col("_pos"), exclusive=True, reverse=True)
-    swept = running(bounds.groupBy(*keys, "_pos").agg(*steps), keys, ["_pos"], _cell("_pos", cell_width), runs)
+    swept = running(_boundaries(sets, keys), keys, ["_pos"], _cell("_pos", cell_width), runs)
     pieces = swept.filter(inside({name: F.col(f"_open_{name}") > 0 for name in sets})).select(
         *keys, F.col("_pos").alias("from"), (F.col("_next") - 1).alias("to")
     )
-    return merge(pieces, keys, gap=1, cell_width=cell_width)
+    return merge(pieces, keys, gap=1, cell_width=cell_width, distinct_starts=True)
 
 
 def exclude(
@@ -154,7 +154,7 @@ def overlaps_within(
     """Per key: does any range overlap another one of the same set?"""
     keys = list(keys)
     deepest = running(
-        _ends(ranges, keys, "_a"), keys, ["_pos"], _cell("_pos", cell_width), {"_open": Run("sum", F.col("_a"))}
+        _boundaries({"a": ranges}, keys), keys, ["_pos"], _cell("_pos", cell_width), {"_open": Run("sum", F.col("_a"))}
     )
     return deepest.groupBy(*keys).agg((F.max("_open") > 1).alias("has_overlap"))
 
@@ -163,10 +163,8 @@ def overlaps_between(
     a: DataFrame, b: DataFrame, keys: Sequence[str], *, cell_width: int = DEFAULT_CELL
 ) -> DataFrame:
     """Per key of either set: does any range of ``a`` overlap one of ``b``?"""
-    both = _ends(a, keys, "_a").unionByName(_ends(b, keys, "_b"), allowMissingColumns=True)
-    steps = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_a", "_b")]
     opened = {"_open_a": Run("sum", F.col("_a")), "_open_b": Run("sum", F.col("_b"))}
-    swept = running(both.groupBy(*keys, "_pos").agg(*steps), keys, ["_pos"], _cell("_pos", cell_width), opened)
+    swept = running(_boundaries({"a": a, "b": b}, keys), keys, ["_pos"], _cell("_pos", cell_width), opened)
     return swept.groupBy(*keys).agg(F.max((F.col("_open_a") > 0) & (F.col("_open_b") > 0)).alias("has_overlap"))
 
 
@@ -199,11 +197,15 @@ def plan_slices(
     *,
     descending: bool = False,
     cell_width: int = DEFAULT_CELL,
+    disjoint: bool = False,
 ) -> DataFrame:
-    """Merge overlapping ranges, cut them to ``max_length`` and keep the first ``take`` per key, ranked from 1."""
+    """Merge overlapping ranges, cut them to ``max_length`` and keep the first ``take`` per key, ranked from 1.
+
+    ``disjoint`` says the ranges are merged already.
+    """
     if max_length <= 0 or take <= 0:
         return ranges.select(*keys, "from", "to").limit(0).withColumn("rank", F.lit(0))
-    merged = merge(ranges, keys, gap=0, cell_width=cell_width)
+    merged = ranges.select(*keys, "from", "to") if disjoint else merge(ranges, keys, gap=0, cell_width=cell_width)
     pieces = split(merged, max_length, descending=descending, take=take)
     first = F.col("from").desc() if descending else F.col("from").asc()
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(first))

@@ -152,11 +152,12 @@ def plan_import(
     full = windows.filter(F.col("from") <= F.col("to")).select("import_key", "from", "to")
     if not ignore_state:
         full = intervals.exclude(full, ranges.select("import_key", "from", "to"), KEY, cell_width=cell_width)
-    slices = lambda r: intervals.plan_slices(r, KEY, max_length, limit, descending=True, cell_width=cell_width)
-    wanted = (
-        slices(full).withColumn("is_retry", F.lit(False))
-        .unionByName(slices(of_kind(ranges, RETRY)).withColumn("is_retry", F.lit(True)))
-    )
+
+    def newest(r: DataFrame, disjoint: bool, is_retry: bool) -> DataFrame:
+        slices = intervals.plan_slices(r, KEY, max_length, limit, descending=True, cell_width=cell_width, disjoint=disjoint)
+        return slices.withColumn("is_retry", F.lit(is_retry))
+
+    wanted = newest(full, not ignore_state, False).unionByName(newest(of_kind(ranges, RETRY), False, True))
     order = F.row_number().over(Window.partitionBy("import_key").orderBy("is_retry", "rank"))
     return wanted.withColumn("rank", order).filter(F.col("rank") <= limit)
 
