@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.hexbytes import ZERO_ADDRESS, from_hex_text, is_address
+from tidemark.functions.json_fields import contract_address
 from tidemark.operators.latest import keep_first
 from tidemark.operators.upsert import strict
 
@@ -210,6 +211,32 @@ def attach_boosts(boosts: DataFrame, vaults: DataFrame, require: bool = True) ->
     return joined.drop("_vault", "_found")
 
 
+def log_contracts(products: DataFrame) -> DataFrame:
+    """Contract, decimals and event kinds of each product, by its type.
+
+    Boosts and governance vaults are staked into; a governance vault counts in the staked token's decimals.
+    """
+    data = F.col("product_data")
+    kind = F.get_json_object(data, "$.type")
+    boost, governance = kind.endswith("boost"), kind.endswith("gov-vault")
+    decimals = (
+        F.when(boost, F.get_json_object(data, "$.boost.staked_token_decimals"))
+        .when(governance, F.get_json_object(data, "$.vault.want_decimals"))
+        .otherwise(F.get_json_object(data, "$.vault.token_decimals"))
+    )
+    return products.select(
+        "product_id", "chain", contract_address(data).alias("contract_address"),
+        decimals.cast("int").alias("decimals"), (boost | governance).alias("stakes"),
+    )
+
+
+def share_rate_targets(products: DataFrame) -> DataFrame:
+    """Standard vaults to read share rates from: one per share-rate feed (bridged copies share their vault's)."""
+    kind = F.get_json_object("product_data", "$.type")
+    standard = products.filter((kind == "vault") | kind.endswith(":vault")).filter(F.col("price_feed_1_id").isNotNull())
+    return keep_first(standard.select("price_feed_1_id", "product_id", "chain"), ["price_feed_1_id"], ["product_id"])
+
+
 def valid_zaps(zaps: DataFrame, chain: str | None = None) -> DataFrame:
     """Helper-contract addresses, valid ones only, of one chain or of all."""
     kept = zaps.filter(is_address(F.col("address")))

@@ -13,6 +13,7 @@ from tidemark.operators import upsert as up
 from tidemark.operators.latest import keep_first
 from tidemark.plans import dims, portfolio
 from tidemark.queries.registry import query
+from tidemark.session import scratch_path
 from tidemark.sources import readers
 from tidemark.sources.standins import _address, _chain_of, _sql_addr, _sql_chain
 
@@ -138,6 +139,19 @@ def _(t):
     return dims.feed_work_list(portfolio.live_products(t.products), t.feeds).select("price_feed_id", "feed_key")
 
 
+@query(
+    "log_contracts", "D2",
+    """SELECT product_id, chain, contract_address, CAST(CASE WHEN is_boost THEN (product_id - 1) % 4 + 6 WHEN is_gov THEN 6 ELSE 18 END AS INT) AS decimals, is_boost OR is_gov AS stakes FROM products""",
+)
+def _(t):
+    return dims.log_contracts(t.products)
+
+
+@query("share_rate_targets", "D14 O2", "SELECT price_feed_1_id, min(product_id) AS product_id, arg_min(chain, product_id) AS chain FROM products WHERE NOT is_boost AND NOT is_gov AND price_feed_1_id IS NOT NULL GROUP BY 1")
+def _(t):
+    return dims.share_rate_targets(t.products)
+
+
 @query("products_sharing_feed", "Q11 J3", "SELECT price_feed_1_id, product_id, product_key FROM products WHERE price_feed_1_id IN (SELECT price_feed_1_id FROM products GROUP BY 1 HAVING count(*) > 1)")
 def _(t):
     return portfolio.products_sharing_feed(t.products)
@@ -188,7 +202,7 @@ def _(t):
 
 @query("events_of_live_products", "S5 J3", "SELECT l.block_number, l.product_id FROM ledger_diffs l WHERE product_id IN (SELECT product_id FROM products WHERE NOT is_eol AND NOT is_boost)")
 def _(t):
-    live = portfolio.live_products(t.products).filter(F.get_json_object("product_data", "$.type") == "vault").select("product_id")
+    live = portfolio.live_products(t.products).filter(F.get_json_object("product_data", "$.vault").isNotNull()).select("product_id")
     return readers.with_ids(t.ledger_diffs, "product_id", live).select("block_number", "product_id")
 
 
@@ -229,13 +243,16 @@ def version_content(t):
     f"SELECT month, status, count(*) AS n FROM ({_SQL_VERSIONS}) WHERE NOT ({_sql_chain('p_partkey')} = 'error' AND month = 6) GROUP BY 1, 2",
 )
 def _(t):
-    # one JSON array per chain, month and hundred parts; the files of one chain and month do not parse
+    # one JSON array per chain, month and hundred parts; those of one chain and month do not parse
     hundred = F.floor(F.substring_index("definition.id", "-", -1).cast("bigint") / 100)
     files = version_content(t).groupBy("chain", "month", "version_date", hundred.alias("slice")).agg(F.to_json(F.collect_list("definition")).alias("content"))
     broken = (F.col("chain") == "error") & (F.col("month") == 6)
     files = files.withColumn("content", F.when(broken, F.concat(F.lit("{"), F.col("content"))).otherwise(F.col("content")))
-    parsed = readers.parse_versions(files, DEFINITION)
-    return parsed.groupBy("month", "definition.status").agg(F.count("*").alias("n"))
+    path = scratch_path(t.spark, "versions")
+    files.select(F.col("chain").alias("source"), "version_date", "content").write.json(path)
+    parsed = readers.config_versions(t.spark, path, DEFINITION)
+    month = (F.datediff("version_date", F.lit("2023-01-01")) / 30).cast("int").alias("month")
+    return parsed.groupBy(month, "definition.status").agg(F.count("*").alias("n"))
 
 
 _NEWEST = f"""WITH v AS ({_SQL_VERSIONS}), a AS (SELECT p_partkey, max(month) FILTER (WHERE status <> 'eol') AS live, min(month) AS first, max(month) AS last FROM v GROUP BY 1)

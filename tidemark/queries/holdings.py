@@ -46,7 +46,7 @@ _BALANCES = """WITH b AS (
 _BALANCE_FLOATS = "share_to_underlying_price underlying_to_usd_price share_token_balance underlying_balance usd_balance"
 
 
-@query("balances_at_block", "Q1 Q23 J1 J17 P12 T5 T6", _BALANCES.format(grace=" + INTERVAL 1 DAY", how="", where=""), _BALANCE_FLOATS)
+@query("balances_at_block", "Q1 Q23 J1 J17 P12 T3 T5 T6", _BALANCES.format(grace=" + INTERVAL 1 DAY", how="", where=""), _BALANCE_FLOATS)
 def _(t):
     return portfolio.balances_at(t.ledger, t.products, t.investors, t.price_1h, BLOCK, AT, datetime(2024, 1, 2), grace="1day")
 
@@ -121,7 +121,22 @@ _SNAP_SQL = """(SELECT d.datetime, h.product_id, h.investor_id, h.usd_balance FR
            GROUP BY 1, 2 HAVING last(balance ORDER BY datetime, block_number) > 0) h)"""
 
 
-@query("holder_sketch_daily", "A7 A8 T8 ST6")
+# sketches this small hold their members one by one, so at the checked scale their estimates are exact counts
+_SEGMENT_COUNTS = ", ".join(
+    f"count(DISTINCT investor_id) FILTER (WHERE usd_balance >= {low}{f' AND usd_balance < {high}' if high else ''}) AS count_{name}"
+    for name, (low, high) in sketches.SEGMENTS.items()
+)
+_DAILY_COUNTS = f"(SELECT datetime, product_id, count(DISTINCT investor_id) AS n FROM {_SNAP_SQL} GROUP BY 1, 2)"
+_HISTORY = ", ".join(
+    f"max(datetime) FILTER (WHERE datetime < TIMESTAMP '2024-02-01' - INTERVAL {d} DAY) AS hist_{d}d_datetime, "
+    f"arg_max(n, datetime) FILTER (WHERE datetime < TIMESTAMP '2024-02-01' - INTERVAL {d} DAY) AS hist_{d}d_approx_investor_count"
+    for d in (3, 7, 15, 30)
+)
+_HISTORY_SQL = f"""SELECT product_id, {_HISTORY} FROM {_DAILY_COUNTS}
+   WHERE datetime < TIMESTAMP '2024-01-31' AND datetime >= TIMESTAMP '2024-02-01' - INTERVAL 31 DAY GROUP BY 1"""
+
+
+@query("holder_sketch_daily", "A7 A8 T8 ST6", f"SELECT datetime, product_id, {_SEGMENT_COUNTS} FROM {_SNAP_SQL} GROUP BY 1, 2")
 def _(t):
     return sketches.segment_counts(_snapshots(t), ["datetime", "product_id"]).orderBy("datetime", "product_id")
 
@@ -131,27 +146,42 @@ def _(t):
     f"""SELECT datetime, product_id, count(DISTINCT investor_id) AS approx_investor_count FROM {_SNAP_SQL} GROUP BY 1, 2""",
 )
 def _(t):
-    # below a few hundred members a sketch of 2^15 registers is exact
     return sketches.rollup_count(_snapshots(t), ["datetime", "product_id"])
 
 
-@query("holder_sketch_per_chain", "A8 A31")
+@query(
+    "holder_sketch_per_chain", "A8 A31",
+    f"SELECT datetime AS time, p.chain, count(DISTINCT investor_id) AS approx_investor_count FROM {_SNAP_SQL} s JOIN products p USING (product_id) GROUP BY 1, 2",
+)
 def _(t):
     joined = _snapshots(t).join(t.products.select("product_id", "chain"), "product_id")
     return sketches.rebucketed_count(joined, ["chain"], "4hour", "1day")
 
 
-@query("holder_sketch_history", "A9 Q5")
+@query("holder_sketch_history", "A9 Q5 F8 T20", _HISTORY_SQL)
 def _(t):
     return sketches.counts_before(_snapshots(t), F.lit(AS_OF), {"hist_3d": 3, "hist_7d": 7, "hist_15d": 15, "hist_30d": 30})
 
 
-@query("holder_count_growth", "A21 J18")
+@query(
+    "holder_count_growth", "A21 J18",
+    f"""SELECT *, recent_approx_investor_count - compare_to_approx_investor_count AS approx_investor_count_diff,
+        (recent_approx_investor_count - compare_to_approx_investor_count) / compare_to_approx_investor_count AS approx_investor_count_diff_percent FROM (
+        SELECT product_id, max(datetime) FILTER (WHERE datetime < TIMESTAMP '2024-01-10') AS compare_to_datetime, max(datetime) AS recent_datetime,
+          CAST(arg_max(n, datetime) FILTER (WHERE datetime < TIMESTAMP '2024-01-10') AS DOUBLE) AS compare_to_approx_investor_count, CAST(arg_max(n, datetime) AS DOUBLE) AS recent_approx_investor_count
+        FROM {_DAILY_COUNTS} WHERE datetime < TIMESTAMP '2024-01-30' GROUP BY 1)""",
+    "compare_to_approx_investor_count recent_approx_investor_count approx_investor_count_diff approx_investor_count_diff_percent",
+)
 def _(t):
     return sketches.count_growth(_snapshots(t), F.lit(datetime(2024, 1, 10)), F.lit(datetime(2024, 1, 30)))
 
 
-@query("investor_counts_report", "Q5")
+@query(
+    "investor_counts_report", "Q5",
+    f"""SELECT * FROM (SELECT product_id, product_key, display_id AS vault_id, investor_count, {', '.join(f'investor_count_more_than_{10**k}_usd' for k in range(8))}
+        FROM (SELECT product_id, count(*) AS investor_count, {_COUNTS} FROM (SELECT product_id, investor_id, last(usd_balance ORDER BY datetime, block_number) AS usd FROM timeline GROUP BY 1, 2) GROUP BY 1)
+        JOIN products USING (product_id) WHERE NOT is_eol) LEFT JOIN ({_HISTORY_SQL}) USING (product_id)""",
+)
 def _(t):
     return portfolio.investor_counts(t.timeline, _snapshots(t), t.products, AS_OF)
 

@@ -138,7 +138,7 @@ class Tables:
 
     @cached_property
     def products(self) -> DataFrame:
-        """One product per part: one in seven is a boost, one in eleven retired, one in 97 lacks its first feed."""
+        """One product per part: one in seven is a boost, one in 13 of the rest a governance vault, one in eleven retired, one in 97 lacks its first feed."""
         key = F.col("p_partkey")
         ident = F.concat(F.lower(F.col("p_type")), F.lit("-"), key.cast("string"))
         eol = F.pmod(key, F.lit(11)) == 10
@@ -149,11 +149,14 @@ class Tables:
             _address(key + 1000000).alias("want_address"),
             F.col("p_brand").alias("platform_id"),
             (F.pmod(key, F.lit(3)) == 0).alias("earning_eigenlayer_points"),
+            F.lit(18).alias("token_decimals"),
+            F.lit(6).alias("want_decimals"),
+            (F.pmod(key, F.lit(4)) + 6).alias("staked_token_decimals"),
         )
         boost = F.pmod(key, F.lit(7)) == 6
         data = F.to_json(
             F.struct(
-                F.when(boost, F.lit("boost")).otherwise(F.lit("vault")).alias("type"),
+                F.when(boost, "boost").when(F.pmod(key, F.lit(13)) == 12, "gov-vault").otherwise("vault").alias("type"),
                 eol.alias("dashboardEol"),
                 F.when(~boost, fields).alias("vault"),
                 F.when(boost, fields).alias("boost"),
@@ -335,7 +338,7 @@ SQL_TABLES = {
                p_partkey % 7 = 6 AS is_boost, p_partkey % 11 = 10 AS is_eol,
                lower(p_type) || '-' || CAST(p_partkey AS VARCHAR) AS display_id,
                {_sql_addr('p_partkey')} AS contract_address, {_sql_addr('(p_partkey + 1000000)')} AS want_address,
-               p_brand AS platform_id, p_partkey % 3 = 0 AS earns_points
+               p_brand AS platform_id, p_partkey % 3 = 0 AS earns_points, p_partkey % 7 <> 6 AND p_partkey % 13 = 12 AS is_gov
         FROM part""",
     "feeds": f"""
         SELECT CAST(p_partkey + 1 AS INT) AS price_feed_id,
