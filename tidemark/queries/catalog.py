@@ -277,9 +277,7 @@ def _(t):
     """SELECT p_partkey % 17 = 15 AS governance, count(*) AS n FROM part WHERE p_partkey % 50 <> 49 AND p_partkey % 17 <> 16 AND NOT (p_partkey % 17 = 15 AND p_partkey % 3 >= 2) GROUP BY 1""",
 )
 def _(t):
-    newest = version_content(t).filter(F.col("month") == 5).select("definition.*")
-    later = version_content(t).select("definition.*")
-    one_each = keep_first(newest.unionByName(later), ["id"], ["status"])
+    one_each = keep_first(version_content(t).select("definition.*"), ["id"], ["status"])
     usable = dims.without_managed_liquidity(dims.usable_vaults(one_each))
     return usable.groupBy((F.col("type") == "gov").alias("governance")).agg(F.count("*").alias("n"))
 
@@ -380,13 +378,13 @@ def _(t):
 
 @query(
     "surrogate_ids", "S12",
-    """WITH stored AS (SELECT CAST(c_custkey AS INT) AS investor_id, c_name FROM customer WHERE c_nationkey < 20),
+    """WITH stored AS (SELECT CAST(c_custkey AS INT) AS investor_id, c_name FROM customer WHERE c_mktsegment <> 'BUILDING'),
        fresh AS (SELECT DISTINCT c_name FROM customer WHERE c_name NOT IN (SELECT c_name FROM stored))
        SELECT CAST((SELECT max(investor_id) FROM stored) + row_number() OVER (ORDER BY md5(c_name)) AS INT) AS investor_id, c_name FROM fresh""",
 )
 def _(t):
-    customers = t.raw("customer").select(F.col("c_custkey").cast("int").alias("investor_id"), "c_name", "c_nationkey")
-    stored = customers.filter(F.col("c_nationkey") < 20).select("investor_id", "c_name")
+    customers = t.raw("customer").select(F.col("c_custkey").cast("int").alias("investor_id"), "c_name", "c_mktsegment")
+    stored = customers.filter(F.col("c_mktsegment") != "BUILDING").select("investor_id", "c_name")
     return up.assign_ids(stored, customers.select("c_name"), "c_name", "investor_id")
 
 

@@ -285,13 +285,10 @@ def _(t):
     return tracked.select("investor_id", "product_id", "datetime", "order_id", "line", "part", "shares", "inventory")
 
 
-_GREEN = "(SELECT 1 WHERE false)"
-
-
 @query(
     "missing_price_tiers", "D10 D11 W6 J8 A1",
     """WITH r AS (SELECT l.investor_id, l.product_id, l.block_number, l.datetime, CAST(l.block_number % 7 + 1 AS INT) AS f FROM ledger_diffs l),
-       ticks AS (SELECT * FROM price_ts WHERE datetime >= TIMESTAMP '2024-01-08' AND price_feed_id <= 4),
+       ticks AS (SELECT * FROM price_ts WHERE datetime >= TIMESTAMP '2024-01-08'),
        fp AS (SELECT price_feed_id, min(datetime) AS first_datetime, first(price ORDER BY datetime, block_number) AS first_price FROM ticks GROUP BY 1),
        m AS (SELECT price_feed_id, time_bucket(INTERVAL '15 minutes', datetime) AS b, last(price ORDER BY datetime, block_number) AS price FROM ticks GROUP BY 1, 2),
        a AS (SELECT r.block_number, time_bucket(INTERVAL '15 minutes', t.datetime) AS tb, time_bucket(INTERVAL '15 minutes', r.datetime) AS b, avg(CAST(t.price AS DOUBLE)) AS v
@@ -316,8 +313,8 @@ def _(t):
     rows = t.ledger_diffs.select(
         "investor_id", "product_id", "block_number", "datetime", (F.pmod("block_number", F.lit(7)) + 1).cast("int").alias("price_feed_id")
     )
-    ticks = t.price_ts.filter((F.col("datetime") >= F.lit(datetime(2024, 1, 8))) & (F.col("price_feed_id") <= 4))
-    # imports of feeds 1-6 began in December; those of 1-5 failed on one day in January
+    ticks = t.price_ts.filter(F.col("datetime") >= F.lit(datetime(2024, 1, 8)))
+    # imports of feeds 1-6 began in December; those of 1-5 failed on one day in January; feeds 6 and 7 have no tick
     ids = t.products.select((F.pmod("product_id", F.lit(6)) + 1).cast("int").alias("price_feed_id")).distinct()
     feeds = ids.withColumn("first_date", F.lit(datetime(2023, 12, 1)))
     ms = lambda d: F.unix_millis(F.lit(d).cast("timestamp"))
@@ -357,11 +354,11 @@ def _(t):
 @query(
     "preferred_block_time", "D13",
     """SELECT e.event_id, coalesce(b.d, e.ts + INTERVAL 3 SECOND) AS datetime FROM events e
-       LEFT JOIN (SELECT chain, block_number, min(datetime) AS d FROM blocks WHERE block_number % 3 = 0 GROUP BY 1, 2) b ON b.chain = e.event_type AND b.block_number = e.event_id""",
+       LEFT JOIN (SELECT chain, block_number, min(datetime) AS d FROM blocks WHERE datetime < TIMESTAMP '2024-01-15' GROUP BY 1, 2) b ON b.chain = e.event_type AND b.block_number = e.event_id""",
 )
 def _(t):
     rows = t.raw("events").select(
         "event_id", F.col("event_type").alias("chain"), F.col("event_id").alias("block_number"), (F.col("ts") + F.expr("INTERVAL 3 SECOND")).alias("fetched_datetime")
     )
-    stored = t.blocks.filter(F.pmod("block_number", F.lit(3)) == 0)
+    stored = t.blocks.filter(F.col("datetime") < F.lit(datetime(2024, 1, 15)))
     return valuation.preferred_block_time(rows, stored).select("event_id", "datetime")

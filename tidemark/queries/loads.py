@@ -253,12 +253,12 @@ def _(t):
 
 def price_batches(t):
     """Stored prices and a later batch that overlaps them."""
-    stored = t.price_ts.filter(F.pmod("block_number", F.lit(3)) != 0)
-    batch = t.price_ts.filter(F.pmod("block_number", F.lit(2)) == 0).withColumn("price", (F.col("price") + 1).cast("decimal(38,18)"))
+    stored = t.price_ts.filter(F.col("datetime") < F.lit(datetime(2024, 1, 20)))
+    batch = t.price_ts.filter(F.col("datetime") >= F.lit(datetime(2024, 1, 10))).withColumn("price", (F.col("price") + 1).cast("decimal(38,18)"))
     return stored, batch
 
 
-_UPSERT_PRICES = "SELECT price_feed_id, block_number, datetime, CASE WHEN block_number % 2 = 0 THEN price + 1 ELSE price END AS price FROM price_ts WHERE block_number % 2 = 0 OR block_number % 3 <> 0"
+_UPSERT_PRICES = "SELECT price_feed_id, block_number, datetime, CASE WHEN datetime >= TIMESTAMP '2024-01-10' THEN price + 1 ELSE price END AS price FROM price_ts"
 
 
 @query("upsert_prices", "S6 U3", _UPSERT_PRICES, "price")
@@ -281,32 +281,33 @@ def _(t):
 
 @query(
     "upsert_vault_stats", "S7",
-    f"""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 3 THEN l_quantity * 2 ELSE l_quantity END AS staked, CASE WHEN l_linenumber <= 3 THEN NULL ELSE l_tax END AS rate FROM ({_FIRST_LINE})""",
+    f"""SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > 0.05 THEN l_quantity * 2 ELSE l_quantity END AS staked, CASE WHEN l_discount > 0.05 THEN NULL ELSE l_tax END AS rate FROM ({_FIRST_LINE})""",
     "staked rate",
 )
 def _(t):
     stored = first_lines(t).select(*LINE, F.col("l_quantity").alias("staked"), F.col("l_tax").alias("rate"))
-    batch = stored.filter(F.col("l_linenumber") <= 3).select(*LINE, (F.col("staked") * 2).alias("staked"), F.lit(None).cast("double").alias("rate"))
+    discounted = first_lines(t).filter(F.col("l_discount") > 0.05)
+    batch = discounted.select(*LINE, (F.col("l_quantity") * 2).alias("staked"), F.lit(None).cast("double").alias("rate"))
     return up.upsert(stored, batch, LINE)
 
 
-@query("insert_absent_blocks", "S8", "SELECT chain, block_number, datetime FROM blocks WHERE block_number % 4 = 0")
+@query("insert_absent_blocks", "S8", "SELECT chain, block_number, datetime FROM blocks WHERE datetime >= TIMESTAMP '2024-01-12'")
 def _(t):
-    stored = t.blocks.filter(F.pmod("block_number", F.lit(4)) != 0)
+    stored = t.blocks.filter(F.col("datetime") < F.lit(datetime(2024, 1, 12)))
     return up.insert_if_absent(stored, t.blocks, ["chain", "block_number", "datetime"]).select("chain", "block_number", "datetime")
 
 
 @query(
     "upsert_ledger_rewards", "S9",
-    """SELECT product_id, investor_id, block_number, datetime, CASE WHEN block_number % 2 = 0 THEN balance_diff * 2 ELSE balance_diff END AS balance_diff,
-       CASE WHEN block_number % 3 = 0 THEN 7 WHEN block_number % 2 = 0 THEN 9 END AS pending_rewards FROM ledger_diffs""",
+    """SELECT product_id, investor_id, block_number, datetime, CASE WHEN datetime >= TIMESTAMP '2024-01-12' THEN balance_diff * 2 ELSE balance_diff END AS balance_diff,
+       CASE WHEN block_number % 3 = 0 THEN 7 WHEN datetime >= TIMESTAMP '2024-01-12' THEN 9 END AS pending_rewards FROM ledger_diffs""",
     "balance_diff pending_rewards",
 )
 def _(t):
     keys = ["product_id", "investor_id", "block_number", "datetime"]
     rewards = F.when(F.pmod("block_number", F.lit(3)) == 0, F.lit(7)).cast("decimal(38,18)")
     stored = t.ledger_diffs.select(*keys, "balance_diff", rewards.alias("pending_rewards"))
-    batch = stored.filter(F.pmod("block_number", F.lit(2)) == 0).select(
+    batch = stored.filter(F.col("datetime") >= F.lit(datetime(2024, 1, 12))).select(
         *keys, (F.col("balance_diff") * 2).cast("decimal(38,18)").alias("balance_diff"), F.lit(9).cast("decimal(38,18)").alias("pending_rewards")
     )
     return up.upsert(stored, batch, keys, up.POLICIES["investment_balance_ts"])
@@ -314,23 +315,23 @@ def _(t):
 
 @query(
     "upsert_timeline", "S10 T14",
-    """SELECT investor_id, product_id, block_number, balance, CASE WHEN block_number % 2 = 0 THEN NULL ELSE usd_balance END AS usd_balance FROM timeline""",
+    """SELECT investor_id, product_id, block_number, balance, CASE WHEN datetime < TIMESTAMP '2024-01-12' THEN usd_balance END AS usd_balance FROM timeline""",
     "balance usd_balance",
 )
 def _(t):
     keys = ["investor_id", "product_id", "block_number", "datetime"]
     stored = t.timeline.select(*keys, "balance", "usd_balance")
-    batch = stored.filter(F.pmod("block_number", F.lit(2)) == 0).select(*keys, F.lit(None).cast("double").alias("balance"), F.lit(None).cast("double").alias("usd_balance"))
+    batch = stored.filter(F.col("datetime") >= F.lit(datetime(2024, 1, 12))).select(*keys, F.lit(None).cast("double").alias("balance"), F.lit(None).cast("double").alias("usd_balance"))
     return up.upsert(stored, batch, keys, up.POLICIES["investor_timeline_ts"]).drop("datetime")
 
 
 @query(
     "upsert_feeds", "S11 J7",
-    "SELECT price_feed_id, feed_key, CASE WHEN price_feed_id % 2 = 0 THEN 'false' ELSE 'true' END AS active, external_id FROM feeds",
+    "SELECT price_feed_id, feed_key, CASE WHEN to_asset_key = 'fiat:USD' THEN 'false' ELSE 'true' END AS active, external_id FROM feeds",
 )
 def _(t):
     stored = t.feeds
-    batch = stored.filter(F.pmod("price_feed_id", F.lit(2)) == 0).withColumn("price_feed_data", F.lit('{"active":false}'))
+    batch = stored.filter(F.col("to_asset_key") == "fiat:USD").withColumn("price_feed_data", F.lit('{"active":false}'))
     merged = up.upsert(stored, batch, ["price_feed_id"], up.POLICIES["price_feed"])
     data = lambda path: F.get_json_object("price_feed_data", path)
     return merged.select("price_feed_id", "feed_key", data("$.active").alias("active"), data("$.externalId").alias("external_id"))
@@ -346,13 +347,13 @@ def _(t):
 
 @query(
     "update_prices_of_rows", "S14 D10",
-    """SELECT investor_id, product_id, block_number, CASE WHEN block_number % 5 = 0 THEN 2.5 ELSE underlying_to_usd_price END AS underlying_to_usd_price,
-       CASE WHEN block_number % 5 = 0 THEN underlying_balance * 2.5 ELSE usd_balance END AS usd_balance, CASE WHEN block_number % 5 = 0 THEN underlying_diff * 2.5 ELSE usd_diff END AS usd_diff FROM timeline""",
+    """SELECT investor_id, product_id, block_number, CASE WHEN balance_diff < 0 THEN 2.5 ELSE underlying_to_usd_price END AS underlying_to_usd_price,
+       CASE WHEN balance_diff < 0 THEN underlying_balance * 2.5 ELSE usd_balance END AS usd_balance, CASE WHEN balance_diff < 0 THEN underlying_diff * 2.5 ELSE usd_diff END AS usd_diff FROM timeline""",
     "underlying_to_usd_price usd_balance usd_diff",
 )
 def _(t):
     keys = ["investor_id", "product_id", "datetime", "block_number"]
-    resolved = t.ledger_diffs.filter(F.pmod("block_number", F.lit(5)) == 0).select(*keys, F.lit(2.5).alias("price"))
+    resolved = t.ledger_diffs.filter(F.col("balance_diff") < 0).select(*keys, F.lit(2.5).alias("price"))
     updated = valuation.apply_prices(t.timeline, resolved)
     return updated.select("investor_id", "product_id", "block_number", "underlying_to_usd_price", "usd_balance", "usd_diff")
 
@@ -370,10 +371,10 @@ def _(t):
     return valuation.invalidate(t.timeline, t.products, refreshed).select("investor_id", "product_id", "block_number", "usd_balance", "underlying_balance")
 
 
-@query("delete_feed_prices", "S16", "SELECT price_feed_id, count(*) AS n FROM price_ts WHERE price_feed_id NOT IN (SELECT price_feed_1_id FROM products WHERE price_feed_1_id IS NOT NULL AND is_boost AND product_id <= 14) GROUP BY 1")
+@query("delete_feed_prices", "S16", "SELECT price_feed_id, count(*) AS n FROM price_ts WHERE price_feed_id NOT IN (SELECT price_feed_1_id FROM products WHERE price_feed_1_id IS NOT NULL AND chain IN ('view', 'purchase')) GROUP BY 1")
 def _(t):
-    boosts = t.products.filter((F.col("product_id") <= 14) & F.get_json_object("product_data", "$.boost").isNotNull())
-    kept = up.delete_where_in(t.price_ts, boosts.select(F.col("price_feed_1_id").alias("price_feed_id")), ["price_feed_id"])
+    two_chains = t.products.filter(F.col("chain").isin("view", "purchase"))
+    kept = up.delete_where_in(t.price_ts, two_chains.select(F.col("price_feed_1_id").alias("price_feed_id")), ["price_feed_id"])
     return kept.groupBy("price_feed_id").agg(F.count("*").alias("n"))
 
 

@@ -354,9 +354,9 @@ def _(t):
     return portfolio.feed_ticks(t.price_ts, t.feeds).drop("price_txt").orderBy("datetime")
 
 
-@query("rollup_listing_hops", "Q14", "SELECT p.product_id, r.* FROM price_1d r JOIN products p ON p.price_feed_2_id = r.price_feed_id WHERE p.product_id <= 8", OHLC)
+@query("rollup_listing_hops", "Q14", "SELECT p.product_id, r.* FROM price_1d r JOIN products p ON p.price_feed_2_id = r.price_feed_id", OHLC)
 def _(t):
-    products = t.products.filter(F.col("product_id") <= 8).select("product_id", F.col("price_feed_2_id").alias("price_feed_id"))
+    products = t.products.select("product_id", F.col("price_feed_2_id").alias("price_feed_id"))
     return products.join(t.price_1d, "price_feed_id").orderBy("product_id", "datetime")
 
 

@@ -28,14 +28,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can see: the cluster's ``spark.checkpoint.dir``; a local one only when unset."""
+    """Folder all executors can see: the cluster's ``spark.checkpoint.dir``. Only a local session may do without."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext.getCheckpointDir()
         folder = os.path.dirname(current) if current else None
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder

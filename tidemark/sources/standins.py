@@ -293,8 +293,8 @@ class Tables:
 
     @cached_property
     def ignored(self) -> DataFrame:
-        """Every third owner is ignored on every chain."""
-        return self.raw("nation").filter(F.pmod("n_nationkey", F.lit(3)) == 0).select(
+        """Owners numbered as the nations of two regions are ignored on every chain."""
+        return self.raw("nation").filter(F.col("n_regionkey").isin(0, 2)).select(
             F.explode(F.array(*[F.lit(t) for t in EVENT_TYPES])).alias("chain"),
             from_hex_text(_address(F.col("n_nationkey").cast("long"))).alias("address"),
         )
@@ -387,7 +387,7 @@ SQL_TABLES = {
         FROM events""",
     "ignored": f"""
         SELECT unnest(['click','error','purchase','signup','view']) AS chain, {_sql_addr('CAST(n_nationkey AS BIGINT)')} AS address
-        FROM nation WHERE n_nationkey % 3 = 0""",
+        FROM nation WHERE n_regionkey IN (0, 2)""",
     "price_1h": """
         SELECT price_feed_id, time_bucket(INTERVAL '1 hour', datetime) AS datetime, avg(CAST(price AS DOUBLE)) AS price_avg,
                max(price) AS price_high, min(price) AS price_low, first(price ORDER BY datetime, block_number) AS price_open,
