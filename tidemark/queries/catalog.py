@@ -251,7 +251,7 @@ def _(t):
     path = scratch_path(t.spark, "versions")
     files.select(F.col("chain").alias("source"), "version_date", "content").write.json(path)
     parsed = readers.config_versions(t.spark, path, DEFINITION)
-    month = (F.datediff("version_date", F.lit("2023-01-01")) / 30).cast("int").alias("month")
+    month = (F.datediff("version_date", F.lit("2023-01-01")) / 30).cast("bigint").alias("month")
     return parsed.groupBy(month, "definition.status").agg(F.count("*").alias("n"))
 
 

@@ -92,7 +92,7 @@ def _(t):
 
 @query("relevant_events", "D2", f"SELECT log_index, product_id, event_name FROM ({_KEPT})")
 def _(t):
-    return usable_events(t).select("log_index", "product_id", "event_name")
+    return usable_events(t).select("log_index", F.col("product_id").cast("bigint").alias("product_id"), "event_name")
 
 
 @query("signed_legs", "D3 P13", f"SELECT chain, token_address, owner_address, block_number, log_index, amount AS amount_transferred FROM ({_LEGS})", "amount_transferred")

@@ -100,7 +100,7 @@ def _(t):
 )
 def _(t):
     rows = ohlc.compact(t.price_1d)
-    return rows.select("price_feed_id", "datetime", F.size(F.split("row", ",")).alias("cells"), F.left("row", F.lit(27)).alias("head"))
+    return rows.select("price_feed_id", "datetime", F.size(F.split("row", ",")).cast("bigint").alias("cells"), F.left("row", F.lit(27)).alias("head"))
 
 
 @query(

@@ -141,12 +141,12 @@ def _ranked(source: str, direction: str, take: int) -> str:
 
 @query("ranges_sliced_newest", "I10 L6", _ranked(_SLICES_DESC.format(source=merged_sql(COVERED, 0)), "DESC", 7))
 def _(t):
-    return intervals.plan_slices(covered(t), KEY, 10, 7, descending=True, cell_width=CELL)
+    return intervals.plan_slices(covered(t), KEY, 10, 7, descending=True, cell_width=CELL).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query("ranges_sliced_oldest", "I10", _ranked(_SLICES_ASC.format(source=merged_sql(COVERED, 0)), "ASC", 7))
 def _(t):
-    return intervals.plan_slices(covered(t), KEY, 10, 7, cell_width=CELL)
+    return intervals.plan_slices(covered(t), KEY, 10, 7, cell_width=CELL).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query(
@@ -218,7 +218,7 @@ _FULL = 'SELECT import_key, contract_created_at_block AS "from", chain_latest_bl
 )
 def _(t):
     windows = t.states.select("import_key", F.col("contract_created_at_block").alias("from"), F.col("chain_latest_block_number").alias("to"))
-    return cov.plan_import(windows, t.coverage, 30, 50, cell_width=CELL)
+    return cov.plan_import(windows, t.coverage, 30, 50, cell_width=CELL).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query(
@@ -313,7 +313,7 @@ def _(t):
 def _(t):
     points = t.raw("lineitem").select(
         F.concat(F.lit("product:investment:"), (F.col("l_partkey") + 1).cast("string")).alias("import_key"),
-        F.datediff("l_shipdate", F.lit("1970-01-01")).alias("d"),
+        F.datediff("l_shipdate", F.lit("1970-01-01")).cast("bigint").alias("d"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
     )
     return intervals.points_inside(points, covered(t), KEY, "d", cell_width=CELL)
