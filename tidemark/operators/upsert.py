@@ -190,6 +190,9 @@ def merge_into_partitions(
         .partitionBy(partition)
         .parquet(path)
     )
+    # only once the table holds the result; a failed merge leaves its staged rows behind
+    staged_path, fs = _file_system(spark, staged)
+    fs.delete(staged_path, True)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
@@ -197,9 +200,13 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _table_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _file_system(spark, path)
     if not fs.exists(hadoop_path):
         return False
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hadoop_path))

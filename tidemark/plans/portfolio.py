@@ -17,6 +17,10 @@ from tidemark.plans.valuation import value
 
 COUNT_THRESHOLDS = [10**k for k in range(8)]
 
+# fixed values: asset types, and the feed-key patterns of a share token
+SHARE_ASSET, OTHER_ASSET = "mooToken", "token"
+SHARE_KEY_PATTERNS = ("^[a-z0-9:_-]+$", ":moo[^:]+$")
+
 
 class NotReady(RuntimeError):
     """The requested block cannot be answered from what has been imported."""
@@ -334,9 +338,9 @@ def find_feed(feeds: DataFrame, price_type: str, namespace: str, external_id: st
 def classify_feeds(feeds: DataFrame, kinds: Sequence[str] | None = None, text: str = "") -> DataFrame:
     """USD feeds with an asset type read off the key; filtered by type and by a text in the key if given."""
     key = F.col("feed_key")
-    is_share = key.rlike("^[a-z0-9:_-]+$") | key.rlike(":moo[^:]+$")
+    is_share = key.rlike(SHARE_KEY_PATTERNS[0]) | key.rlike(SHARE_KEY_PATTERNS[1])
     typed = feeds.filter(F.col("to_asset_key") == "fiat:USD").withColumn(
-        "asset_type", F.when(is_share, F.lit("mooToken")).otherwise(F.lit("token"))
+        "asset_type", F.when(is_share, F.lit(SHARE_ASSET)).otherwise(F.lit(OTHER_ASSET))
     )
     if kinds is not None:
         typed = typed.filter(F.col("asset_type").isin(list(kinds)))
