@@ -42,9 +42,12 @@ class Rules:
     max_repeat_share: float = 0.5
     #: Guards: the histograms of shorter texts are not judged.
     min_chars_for_classes: int = 200
-    min_words_for_words: int = 100
+    min_words_for_words: int = 50
     max_class_distance: float = 0.30
     max_word_distance: float = 0.55
+    #: Both distances together; short texts stray further from any average, by about 1 / sqrt(words).
+    max_distance_sum: float = 0.42
+    short_text_allowance: float = 0.6
     #: A language gives a reference when it holds this share of the documents, so there are at most 1 / share.
     min_language_share: float = 0.002
     common_words: str = COMMON_WORDS
@@ -206,7 +209,9 @@ def judge(raws: list[bytes | None], refs: References, rules: Rules, hist: Histog
     for i, row in enumerate(rows):
         a, b = float(far_class[i, nearest[i]]), float(far_word[i, nearest[i]])
         odd = classes[i].sum() >= rules.min_chars_for_classes and a > rules.max_class_distance
-        odd |= row[0] >= rules.min_words_for_words and b > rules.max_word_distance
+        if row[0] >= rules.min_words_for_words:
+            odd |= b > rules.max_word_distance
+            odd |= a + b > rules.max_distance_sum + rules.short_text_allowance / row[0] ** 0.5
         out.append((*row, a, b, refs.languages[nearest[i]], not row[5] and not odd))
     return out
 
