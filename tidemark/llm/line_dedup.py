@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.common import SLICE, map_slices, texts, written
 
@@ -88,15 +89,15 @@ def window_rows(docs: DataFrame, runs: Runs) -> DataFrame:
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         at, rows = [], []
-        versions = batch.column(1).to_pylist()
+        doc_keys = batch.column(2).to_pylist()
         for i, raw in enumerate(texts(batch, "text")):
             if not raw:
                 continue
             _, content, words = lines_of(raw)
-            # a posting is told from another by one number: its document's version and its line
+            # a posting is told from another by one number, made of its document and its line
             for fp, anchor, whole, first, size in windows(content, words, runs):
                 at.append(i)
-                rows.append((fp, _signed(xxhash.xxh3_64_intdigest(b"%d %d" % (versions[i], anchor))), whole, first, size))
+                rows.append((fp, _signed(xxhash.xxh3_64_intdigest(b"%d %d" % (doc_keys[i], anchor))), whole, first, size))
         if not rows:
             return None
         fp, anchor, whole, first, size = zip(*rows)
@@ -112,7 +113,7 @@ def repeated_windows(docs: DataFrame, runs: Runs = Runs(), id_col: str = "doc_id
     """``id``, ``version`` (hash of the text), ``first`` and ``size`` (in lines that hold a word) of each window that stands
     earlier somewhere."""
     keyed = docs.select(
-        F.col(id_col).alias("id"), F.xxhash64(text).alias("version"), F.col(text).alias("text")
+        F.col(id_col).alias("id"), F.xxhash64(text).alias("version"), F.xxhash64(id_col, text).alias("key"), F.col(text).alias("text")
     ).where(F.col("text").isNotNull())
     rows = written(window_rows(keyed, runs), "windows")
     postings = rows.groupBy("fp").agg(F.min("anchor").alias("lo"), F.max("anchor").alias("hi"))
@@ -140,7 +141,7 @@ def dedup(docs: DataFrame, runs: Runs = Runs(), id_col: str = "doc_id", text: st
         "left",
     ).select("row.*", F.col("spans.first").alias("__first"), F.col("spans.size").alias("__size"))
     at, names = docs.columns.index(text), docs.columns
-    schema = docs.schema if report is None else docs.schema.add(report, "bigint")
+    schema = StructType([*docs.schema.fields, *([StructField(report, LongType())] if report else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -197,10 +197,8 @@ def signatures(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", tex
             if not len(found):
                 rows.append((None, None, 0, None))
                 continue
-            cls = mixed(found.sum(dtype=np.uint64) + np.uint64(len(found)))
-            check = mixed(mixed(found + np.uint64(1)).sum(dtype=np.uint64))
-            signed = np.array([cls, check], dtype=np.uint64).view(np.int64).tolist()
-            rows.append((*signed, len(found), signature(found, join.hashes).tobytes()))
+            sums = np.array([found.sum(dtype=np.uint64), mixed(found + np.uint64(1)).sum(dtype=np.uint64)])
+            rows.append((*mixed(sums).view(np.int64).tolist(), len(found), signature(found, join.hashes).tobytes()))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         arrays = [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows), types))]
         return pa.RecordBatch.from_arrays(arrays, ["id", "version", "cls", "check", "n", "sig"])
