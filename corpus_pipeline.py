@@ -15,7 +15,7 @@ from tidemark.llm.common import written
 from tidemark.llm.queries import byte_vocabulary
 
 #: A document goes when its language is unknown or less sure than this.
-MIN_LANGUAGE_SCORE = 0.4
+MIN_LANGUAGE_SCORE = 0.55
 #: No stage can be said in SQL as a whole; the tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
