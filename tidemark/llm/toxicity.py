@@ -333,10 +333,11 @@ def fit_model(
     if len(sizes) < 2:
         return Model()
     share = F.when(F.col("y") == 1, fit.toxic_docs / sizes[1]).otherwise(fit.clean_docs / sizes[0])
-    some = sampled(known.where("y IN (0, 1)"), "id", share)
+    bound = 2 * (fit.toxic_docs + fit.clean_docs)
+    some = F.broadcast(sampled(known.where("y IN (0, 1)"), "id", share).limit(bound))  # two numbers a row
     body = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
     short = F.length("text") <= 12 * fit.max_words
-    rows = body.where(short).join(some, "id").select("id", "y", "text").limit(2 * (fit.toxic_docs + fit.clean_docs)).collect()
+    rows = body.where(short).join(some, "id").select("id", "y", "text").limit(bound).collect()
     rows = sorted((r["id"], r["text"].encode(), r["y"]) for r in rows)
     return train([t for _, t, _ in rows], [v for _, _, v in rows], fit, sizes[1] / (sizes[0] + sizes[1]))
 
