@@ -57,12 +57,22 @@ def uint256_word(value: Column) -> Column:
 def scaled(amount: Column, decimals: Column) -> Column:
     """Chain integer to token units: ``amount / 10^decimals``, exact in DECIMAL(38,18) up to 18 decimals.
 
-    The shift is made on the digits, because dividing two decimals would round.
+    The shift is made on the digits, because dividing two decimals would round. Fails on what ``fits_scaled`` rejects.
     """
-    text = F.lpad(amount.cast("string"), 58, "0")
-    whole = text.substr(F.lit(1), F.lit(58) - decimals)
-    fraction = text.substr(F.lit(59) - decimals, decimals)
-    return F.concat(whole, F.lit("."), fraction).try_cast("decimal(38,18)")
+    return _shifted(amount, decimals).cast("decimal(38,18)")
+
+
+def fits_scaled(amount: Column, decimals: Column) -> Column:
+    """Whether ``scaled`` can hold the amount: below 10^20 units either way."""
+    return amount.isNull() | decimals.isNull() | _shifted(amount, decimals).try_cast("decimal(38,18)").isNotNull()
+
+
+def _shifted(amount: Column, decimals: Column) -> Column:
+    digits = F.lpad(F.regexp_replace(amount.cast("string"), "^-", ""), 58, "0")
+    sign = F.when(amount < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(
+        sign, digits.substr(F.lit(1), F.lit(58) - decimals), F.lit("."), digits.substr(F.lit(59) - decimals, decimals)
+    )
 
 
 def share_rate(price_per_full_share: Column, share_decimals: Column, underlying_decimals: Column) -> Column:

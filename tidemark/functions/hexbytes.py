@@ -13,11 +13,7 @@ def to_hex_text(value: Column) -> Column:
 
 
 def from_hex_text(text: Column) -> Column:
-    return F.unhex(F.substring(text, 3, 1 << 20))
-
-
-def normalize_address(text: Column) -> Column:
-    return F.lower(text)
+    return F.unhex(text.substr(F.lit(3), F.length(text)))
 
 
 def is_address(text: Column) -> Column:

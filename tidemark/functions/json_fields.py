@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,23 +55,24 @@ def _render(entries: Column) -> Column:
 
 
 def _append(left: Column, right: Column) -> Column:
-    inner_left = F.substring(left, 2, 1 << 30).substr(F.lit(1), F.length(left) - 2)
-    inner_right = F.when(
-        right.startswith("["), F.substring(right, 2, 1 << 30).substr(F.lit(1), F.length(right) - 2)
-    ).otherwise(right)
+    def inner(text: Column) -> Column:
+        return text.substr(F.lit(2), F.length(text) - 2)
+
+    inner_left, inner_right = inner(left), F.when(right.startswith("["), inner(right)).otherwise(right)
     parts = F.filter(F.array(inner_left, inner_right), lambda x: F.trim(x) != F.lit(""))
     return F.concat(F.lit("["), F.concat_ws(",", parts), F.lit("]"))
 
 
-def merge_json(current: Column, new: Column, depth: int = 3) -> Column:
-    """Deep merge of two JSON texts down to ``depth`` object levels.
+def merge_json(current: Column, new: Column, depth: int = 8) -> Column:
+    """Deep merge of two JSON texts.
 
     A field on one side only is kept; objects merge field by field; arrays are appended to;
-    anything else takes the new value.
+    anything else takes the new value. Two different objects more than ``depth`` levels down fail the job: the plan
+    has no more levels, and taking either would lose the other.
     """
     both_objects = current.startswith("{") & new.startswith("{")
     if depth == 0:
-        merged = new
+        merged = F.raise_error(F.lit("JSON objects differ further down than the merge goes")).cast("string")
     else:
         merged = _render(
             F.map_zip_with(
@@ -92,7 +91,3 @@ def merge_json(current: Column, new: Column, depth: int = 3) -> Column:
         .when(current.startswith("["), _append(current, new))
         .otherwise(new)
     )
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

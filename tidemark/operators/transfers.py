@@ -11,9 +11,13 @@ from tidemark.functions import evm
 from tidemark.functions.hexbytes import to_hex_text
 from tidemark.operators.intervals import DEFAULT_CELL, points_inside
 
+# why an event is in quarantine
+UNKNOWN = "unknown event"
+TOO_LARGE = "amount out of range"
+
 
 def decode(logs: DataFrame) -> DataFrame:
-    """Add the event name, its one or two indexed addresses and its amount, and whether all could be read."""
+    """Add the event name, its one or two indexed addresses and its amount, and the reason if not all could be read."""
     name, word = evm.event_name(F.try_element_at("topics", F.lit(1))), F.substring("data", 1, 66)
     first = evm.topic_address(F.try_element_at("topics", F.lit(2)))
     second = evm.topic_address(F.try_element_at("topics", F.lit(3)))
@@ -25,7 +29,7 @@ def decode(logs: DataFrame) -> DataFrame:
                 "first_party": first,
                 "second_party": second,
                 "amount": evm.uint256(word),
-                "is_decoded": name.isNotNull() & F.coalesce(evm.fits_decimal(word), F.lit(False)),
+                "reason": F.when(name.isNull(), UNKNOWN).when(~F.coalesce(evm.fits_decimal(word), F.lit(False)), TOO_LARGE),
             }
         )
         .drop("topics", "data")
@@ -33,8 +37,14 @@ def decode(logs: DataFrame) -> DataFrame:
 
 
 def split_decodable(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable events, events of unknown kind or with an amount that does not fit)."""
-    return decoded.filter("is_decoded").drop("is_decoded"), decoded.filter(~F.col("is_decoded")).drop("is_decoded")
+    """(usable events, events that go to quarantine, with the ``reason``)."""
+    return decoded.filter("reason IS NULL").drop("reason"), decoded.filter("reason IS NOT NULL")
+
+
+def split_scalable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events whose amount can be held in token units, the others with the ``reason``)."""
+    fits = evm.fits_scaled(F.col("amount"), F.col("decimals"))
+    return events.filter(fits), events.filter(~fits).withColumn("reason", F.lit(TOO_LARGE))
 
 
 def relevant(decoded: DataFrame, products: DataFrame) -> DataFrame:
@@ -51,7 +61,10 @@ def relevant(decoded: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def to_legs(events: DataFrame) -> DataFrame:
-    """Transfer: minus for the sender and plus for the receiver; Staked: plus; Withdrawn: minus."""
+    """Transfer: minus for the sender and plus for the receiver; Staked: plus; Withdrawn: minus.
+
+    An amount that does not fit fails the job; ``split_scalable`` takes such events out first.
+    """
     value = evm.scaled(F.col("amount"), F.col("decimals"))
     leg = lambda owner, amount: F.struct(F.col(owner).alias("owner_address"), amount.alias("amount_transferred"))
     legs = (
@@ -85,7 +98,8 @@ def net(legs: DataFrame, keys: Sequence[str] = ("chain", "token_address", "owner
     The transaction is the last one (by log index) that moved anything.
     """
     moved = F.when(F.col("amount_transferred") != 0, F.col("log_index"))
-    total = F.sum("amount_transferred")
+    # a missing amount makes its sum missing, so a strict reader sees it instead of a wrong net
+    total = F.when(F.count("amount_transferred") == F.count(F.lit(1)), F.sum("amount_transferred"))
     return (
         legs.groupBy(*keys)
         .agg(
@@ -93,7 +107,7 @@ def net(legs: DataFrame, keys: Sequence[str] = ("chain", "token_address", "owner
             F.coalesce(F.max_by("transaction_hash", moved), F.max_by("transaction_hash", "log_index")).alias("transaction_hash"),
             F.max("log_index").alias("log_index"),
         )
-        .filter(F.col("amount_transferred") != 0)
+        .filter(F.col("amount_transferred").isNull() | (F.col("amount_transferred") != 0))
     )
 
 

@@ -146,10 +146,3 @@ def stats_listing(stats: DataFrame, products: DataFrame) -> DataFrame:
         *[F.col(c).cast("string").alias(c) for c in amounts],
         "underlying_capture_percentage",
     )
-
-
-def latest_stats(stats: DataFrame) -> DataFrame:
-    return stats.groupBy("product_id").agg(
-        last_by("staked_underlying", "datetime", "block_number", "staked_underlying").alias("staked_underlying"),
-        F.max("datetime").alias("datetime"),
-    )

@@ -177,6 +177,14 @@ def _(t):
     return t.raw("customer").select("c_custkey", F.substring(back, 3, 32).alias("digest"), (back == text).alias("same"), is_address(address).alias("valid"))
 
 
+@query("long_hex_round_trip", "F1", "SELECT n_nationkey, length(repeat(n_name, 150000)) AS bytes, md5(repeat(n_name, 150000)) AS digest FROM nation")
+def _(t):
+    # texts of 2^20 characters and more, and their hex twice as long
+    long = F.repeat("n_name", F.lit(150_000))
+    back = from_hex_text(F.concat(F.lit("0x"), F.hex(long)))
+    return t.raw("nation").select("n_nationkey", F.octet_length(back).cast("bigint").alias("bytes"), F.md5(back).alias("digest"))
+
+
 @query("chain_product_lists", "J22", "SELECT chain, CAST(list_sort(list(product_id)) AS VARCHAR) AS product_ids FROM products GROUP BY 1")
 def _(t):
     listed = portfolio.chain_products(t.products)
@@ -410,6 +418,25 @@ def _(t):
     )
 
 
+@query(
+    "merged_json_deep", "J7 S11",
+    """SELECT n_nationkey, CAST(n_nationkey AS VARCHAR) AS kept, n_name AS added, CASE WHEN n_nationkey % 3 = 0 THEN 'new' ELSE 'old' END AS changed FROM nation""",
+)
+def _(t):
+    def nested(levels, **fields):
+        inner = F.struct(*[v.alias(k) for k, v in fields.items()])
+        for level in range(levels, 0, -1):
+            inner = F.struct(inner.alias(f"l{level}"))
+        return F.to_json(inner)
+
+    old = nested(6, kept=F.col("n_nationkey").cast("string"), changed=F.lit("old"))
+    third = F.pmod("n_nationkey", F.lit(3)) == 0
+    new = F.when(third, nested(6, added=F.col("n_name"), changed=F.lit("new"))).otherwise(nested(6, added=F.col("n_name")))
+    merged = t.raw("nation").withColumn("m", jf.merge_json(old, new))
+    deep = lambda name: F.get_json_object("m", f"$.l1.l2.l3.l4.l5.l6.{name}").alias(name)
+    return merged.select("n_nationkey", deep("kept"), deep("added"), deep("changed"))
+
+
 @query("sampling_periods", "F11", "SELECT event_id, ts + to_milliseconds(1296000000) AS after_half_month FROM events")
 def _(t):
     half_month = F.lit(SAMPLING_MS["1month"] // 2 * 1000)

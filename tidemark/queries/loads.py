@@ -72,7 +72,15 @@ def landed_logs(t):
 
 def usable_events(t):
     good, _ = tr.split_decodable(tr.decode(landed_logs(t)))
-    return tr.relevant(good, log_products(t))
+    fit, _ = tr.split_scalable(tr.relevant(good, log_products(t)))
+    return fit
+
+
+def oversized_logs(t):
+    """The event log with amounts that are too large: every 17th event for token units, every 19th for any number."""
+    nth = lambda k: F.pmod("log_index", F.lit(k)) == 0
+    huge = F.when(nth(19), F.lit("0x" + "f" * 64)).when(nth(17), F.lit("0x" + f"{10**34:064x}"))
+    return event_logs(t).withColumn("data", F.coalesce(huge, F.col("data")))
 
 
 @query(
@@ -90,6 +98,37 @@ def _(t):
     return bad.groupBy("chain").agg(F.count("*").alias("n"))
 
 
+_SIZE = "CASE WHEN event_name IS NULL THEN 'unknown event' WHEN log_index % 19 = 0 OR log_index % 17 = 0 AND kept THEN 'amount out of range' END"
+_OVERSIZED = f"SELECT *, {_SIZE} AS reason FROM (SELECT *, NOT removed AND CASE WHEN product_id % 2 = 1 THEN event_name IN ('Staked','Withdrawn') ELSE event_name = 'Transfer' END AS kept FROM ({_LOGS}))"
+
+
+def split_oversized(t):
+    good, bad = tr.split_decodable(tr.decode(oversized_logs(t)))
+    fit, unfit = tr.split_scalable(tr.relevant(good, log_products(t)))
+    return fit, bad.select("chain", "reason", "block_number").unionByName(unfit.select("chain", "reason", "block_number"))
+
+
+@query(
+    "quarantined_events", "D1 D3 P13 ST10",
+    f"SELECT chain, reason, count(*) AS n, min(block_number) AS first_block FROM ({_OVERSIZED}) WHERE reason IS NOT NULL GROUP BY 1, 2",
+)
+def _(t):
+    _, bad = split_oversized(t)
+    return bad.groupBy("chain", "reason").agg(F.count("*").alias("n"), F.min("block_number").alias("first_block"))
+
+
+@query(
+    "net_beside_quarantine", "D3 P13 A26",
+    f"""SELECT owner_address, sum(amount) AS amount_transferred FROM (
+       SELECT owner AS owner_address, CAST(CASE event_name WHEN 'Staked' THEN cents ELSE -cents END AS DECIMAL(38,18)) / 100 AS amount FROM ({_OVERSIZED}) WHERE kept AND reason IS NULL
+       UNION ALL SELECT other, CAST(cents AS DECIMAL(38,18)) / 100 FROM ({_OVERSIZED}) WHERE kept AND reason IS NULL AND event_name = 'Transfer') GROUP BY 1 HAVING sum(amount) <> 0""",
+    "amount_transferred",
+)
+def _(t):
+    fit, _ = split_oversized(t)
+    return tr.net(tr.to_legs(fit), ["owner_address"]).select("owner_address", "amount_transferred")
+
+
 @query("relevant_events", "D2", f"SELECT log_index, product_id, event_name FROM ({_KEPT})")
 def _(t):
     return usable_events(t).select("log_index", F.col("product_id").cast("bigint").alias("product_id"), "event_name")
@@ -180,7 +219,8 @@ def readings(t):
     "vault_total_supply share_to_underlying_price staked_underlying underlying_total_supply underlying_capture_percentage",
 )
 def _(t):
-    return valuation.vault_stats(readings(t))
+    good, _ = valuation.split_readings(readings(t))
+    return valuation.vault_stats(good)
 
 
 @query(
