@@ -91,3 +91,74 @@ def test_positions_apply_in_time_order(spark, tmp_path, lateness_hours):
     last = got.groupBy(*keys).agg(*[last_by(c, "datetime", "block_number").alias(c) for c in ("realized_pnl", "remaining_shares", "remaining_cost")])
     got = {(r[0], r[1]): (r["realized_pnl"], r["remaining_shares"], r["remaining_cost"]) for r in last.collect()}
     assert got == {(r[0], r[1]): pytest.approx((r["realized_pnl"], r["remaining_shares"], r["remaining_cost"])) for r in want}
+
+
+def in_files(spark, rows, schema, folder, n=20):
+    """The rows as a folder of files, the newest rows landing first."""
+    ordered = sorted(rows, key=lambda r: r[schema.split(", ").index("datetime TIMESTAMP")], reverse=True)
+    for i in range(n):
+        part = ordered[i * len(ordered) // n : (i + 1) * len(ordered) // n]
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{folder}/f{i:02}")
+
+
+def test_partials_do_not_depend_on_the_order_of_files(spark, tmp_path):
+    rows = ticks(random.Random(3), 600, 0, 400, 0)
+    landing, table, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    in_files(spark, rows, TICKS, landing)
+    rollups.write_partials(stream(spark, TICKS, landing), "1day", table, checkpoint).awaitTermination()
+    columns = ["price_feed_id", "datetime", "price_avg", "price_high", "price_low", "price_open", "price_close"]
+    key = lambda df: sorted(tuple(r) for r in df.select(*columns).withColumn("price_avg", F.round("price_avg", 9)).collect())
+    want = key(rollup(spark.createDataFrame(rows, TICKS), "1day"))
+    assert key(rollups.read_partials(spark, table)) == want
+    # a batch that is delivered again replaces its own parts
+    again = str(tmp_path / "cp2")
+    rollups.write_partials(stream(spark, TICKS, landing), "1day", table, again).awaitTermination()
+    assert key(rollups.read_partials(spark, table)) == want
+
+
+def test_keys_are_kept_once_whatever_the_order_of_files(spark, tmp_path):
+    rows = [(START + timedelta(minutes=rng_minutes), i % 3, i // 4) for i, rng_minutes in enumerate(random.Random(4).sample(range(50_000), 800))]
+    schema = "datetime TIMESTAMP, chain INT, block LONG"
+    landing, table = str(tmp_path / "in"), str(tmp_path / "out")
+    in_files(spark, rows, schema, landing)
+    for checkpoint in ("cp", "cp2"):
+        rollups.write_once(stream(spark, schema, landing), table, str(tmp_path / checkpoint), ["chain", "block"], F.floor(F.col("block") / 50)).awaitTermination()
+        got = sorted((r["chain"], r["block"]) for r in spark.read.parquet(table).collect())
+        assert got == sorted({(c, b) for _, c, b in rows})
+
+
+def test_positions_are_complete_whatever_the_order_of_files(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i % 6, i % 2, START + timedelta(minutes=7 * i, microseconds=i), i, float(rng.choice([3, 2, 1, -1, -2, -5])), float(rng.randint(1, 9))) for i in range(300)]
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    in_files(spark, rows, TRADES, landing)
+    with positions.rocksdb(spark):
+        writer = positions.positions(stream(spark, TRADES, landing), "0 seconds").writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    trades = spark.createDataFrame(rows, TRADES)
+    stored = spark.read.schema(positions.OUTPUT).parquet(out)
+    assert stored.count() < len(rows)  # the late ones are not there
+    keys, columns = ["investor_id", "product_id"], ["balance", "realized_pnl", "remaining_shares", "remaining_cost"]
+    want = fifo.pnl(trades, keys, ["datetime", "block_number"], cell(F.col("datetime"), 5)).join(trades.groupBy(*keys).agg(F.sum("shares").alias("balance")), keys)
+    got = positions.complete(stored, trades, cell(F.col("datetime"), 5))
+    by = lambda df: {(r[0], r[1]): pytest.approx([float(r[c]) for c in columns]) for r in df.collect()}
+    assert {k: list(v.expected) for k, v in by(got).items()} == by(want)
+
+
+def test_registered_streams_read_a_folder_of_files(spark, tmp_path):
+    import shutil
+
+    from tidemark.queries import REGISTRY
+
+    from .conftest import SMALL
+
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    ordered = events.orderBy(F.desc("ts")).coalesce(1)
+    ordered.write.option("maxRecordsPerFile", max(1, events.count() // 20 + 1)).parquet(f"{folder}/events.parquet")
+    for name in ("part", "customer", "nation", "region"):
+        shutil.copy(f"{SMALL}/{name}.parquet", folder / f"{name}.parquet")
+    for name in ("stream_rollup_1h", "stream_rollup_1d", "stream_blocks_once", "stream_load_prices", "stream_positions"):
+        one = sorted(map(str, REGISTRY[name].run(spark, SMALL).collect()))
+        assert sorted(map(str, REGISTRY[name].run(spark, str(folder)).collect())) == one, name

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.json_fields import merge_json
 from tidemark.operators.latest import keep_first
-from tidemark.session import scratch_path
 
 REPLACE = "replace"          # new row's value, even if NULL
 NEW_NON_NULL = "new"         # new value unless NULL
@@ -158,6 +158,10 @@ def assign_ids(
     return numbered.select(id_column, natural_key, *rest)
 
 
+# partition values that a merge lists one by one; a batch that touches more is joined instead
+LISTED_PARTITIONS = 10_000
+
+
 def merge_into_partitions(
     spark: SparkSession,
     path: str,
@@ -167,32 +171,72 @@ def merge_into_partitions(
     policies: Mapping[str, str] | None = None,
     arrival: Sequence[str] = (),
 ) -> None:
-    """MERGE for a plain partitioned parquet table: rewrite only the partitions the batch touches.
+    """MERGE for a plain partitioned parquet table: read and rewrite only the partitions the batch touches.
 
-    ``keys`` must include or determine ``partition``. The result is staged in the shared folder first, because a
-    query cannot overwrite files it is reading.
+    ``keys`` must include or determine ``partition``. The new partitions are written once, under the table's ``_merge``
+    folder, which readers pass over; a manifest then lists them, and they are moved into place. A merge that dies before
+    its manifest has changed nothing; one that dies after it is finished by the next merge (or ``finish_merges``). Two
+    writers at once are refused: a partition whose files have changed since they were read fails the merge.
     """
+    finish_merges(spark, path)
     clean = keep_first(batch, keys, arrival) if arrival else batch
-    staged = scratch_path(spark, "merge")
-    exists = _table_exists(spark, path)
-    if exists:
+    values = [r[0] for r in clean.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+    if not values:
+        return
+    seen: dict[str, list[str]] = {}
+    if table_exists(spark, path):
         stored = spark.read.parquet(path)
-        touched = clean.select(partition).distinct()
-        current = stored.join(touched, partition, "left_semi")
+        if len(values) <= LISTED_PARTITIONS:
+            current = stored.filter(F.col(partition).isin(values))
+        else:
+            current = stored.join(clean.select(partition).distinct(), partition, "left_semi")
+        seen = _partition_files(spark, path, partition)
         result = upsert(current, clean, keys, policies)
     else:
         result = clean
-    result.write.mode("overwrite").parquet(staged)
-    (
-        spark.read.schema(result.schema).parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    # only once the table holds the result; a failed merge leaves its staged rows behind
-    staged_path, fs = _file_system(spark, staged)
-    fs.delete(staged_path, True)
+    staged = f"{path.rstrip('/')}/_merge/{uuid.uuid4().hex}"
+    result.write.partitionBy(partition).parquet(staged)
+    now = _partition_files(spark, path, partition)
+    for name in _partition_files(spark, staged, partition):
+        if now.get(name) != seen.get(name):
+            raise RuntimeError(f"another writer has changed {name} of {path}")
+    manifest, fs = _file_system(spark, f"{staged}/_manifest")
+    fs.create(manifest).close()
+    finish_merges(spark, path)
+
+
+def finish_merges(spark: SparkSession, path: str) -> int:
+    """Move the partitions of complete staged merges into place and clear what incomplete ones left; returns how many
+    merges were finished. Running it again, or after it died half way, comes to the same table."""
+    root, fs = _file_system(spark, f"{path.rstrip('/')}/_merge")
+    if not fs.exists(root):
+        return 0
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    finished = 0
+    for staged in [s.getPath() for s in fs.listStatus(root)]:
+        if fs.exists(hadoop_path(staged, "_manifest")):
+            for status in fs.listStatus(staged):
+                name = status.getPath().getName()
+                if status.isDirectory() and "=" in name:
+                    target = hadoop_path(path, name)
+                    fs.delete(target, True)
+                    if not fs.rename(status.getPath(), target):
+                        raise RuntimeError(f"cannot move {status.getPath().toString()}")
+            finished += 1
+        fs.delete(staged, True)
+    return finished
+
+
+def _partition_files(spark: SparkSession, path: str, partition: str) -> dict[str, list[str]]:
+    """The files of each partition folder; names are never used twice, so equal lists are equal contents."""
+    root, fs = _file_system(spark, path)
+    if not fs.exists(root):
+        return {}
+    return {
+        s.getPath().getName(): sorted(f.getPath().getName() for f in fs.listStatus(s.getPath()))
+        for s in fs.listStatus(root)
+        if s.getPath().getName().startswith(f"{partition}=")
+    }
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
@@ -205,7 +249,7 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path, fs = _file_system(spark, path)
     if not fs.exists(hadoop_path):
         return False

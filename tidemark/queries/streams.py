@@ -6,8 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.timegrid import cell
 from tidemark.operators import sketches
-from tidemark.operators.latest import last_by
 from tidemark.plans import coverage as cov
 from tidemark.queries.registry import query
 from tidemark.schema import AMOUNT
@@ -19,12 +19,8 @@ OHLC = "price_avg price_high price_low price_open price_close"
 
 
 def event_stream(t):
-    return (
-        t.spark.readStream.schema(SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 8)
-        .parquet(t.dir)
-    )
+    # one file or a folder of files; only as a pattern may the path be a file
+    return t.spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 8).parquet(f"{t.dir}/events.parque[t]")
 
 
 def tick_stream(t):
@@ -40,15 +36,15 @@ def finish(stream) -> None:
 @query("stream_rollup_1h", "ST1 ST2", "SELECT * FROM price_1h", OHLC)
 def _(t):
     path = scratch_path(t.spark, "rollup")
-    finish(rollups.write_rollup(rollups.stream_rollup(tick_stream(t), "1hour"), path, scratch_path(t.spark, "rollup-checkpoint")))
-    return t.spark.read.parquet(path).drop("day")
+    finish(rollups.write_partials(tick_stream(t), "1hour", path, scratch_path(t.spark, "rollup-checkpoint")))
+    return rollups.read_partials(t.spark, path)
 
 
 @query("stream_rollup_1d", "ST2", "SELECT * FROM price_1d", OHLC)
 def _(t):
     path = scratch_path(t.spark, "rollup")
-    finish(rollups.write_rollup(rollups.stream_rollup(tick_stream(t), "1day"), path, scratch_path(t.spark, "rollup-checkpoint")))
-    return t.spark.read.parquet(path).drop("day")
+    finish(rollups.write_partials(tick_stream(t), "1day", path, scratch_path(t.spark, "rollup-checkpoint")))
+    return rollups.read_partials(t.spark, path)
 
 
 @query(
@@ -81,13 +77,12 @@ def _(t):
 def _(t):
     path = scratch_path(t.spark, "blocks")
     blocks = event_stream(t).select(F.col("event_type").alias("chain"), F.floor(F.col("event_id") / 4).alias("block_group"), F.col("ts").alias("datetime"))
-    once = rollups.without_redelivery(blocks, ["chain", "block_group"], "10 days")
-    writer = once.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch_path(t.spark, "blocks-checkpoint"))
-    finish(writer.trigger(availableNow=True).start())
+    slot = F.floor(F.col("block_group") / 100_000)
+    finish(rollups.write_once(blocks, path, scratch_path(t.spark, "blocks-checkpoint"), ["chain", "block_group"], slot))
     return t.spark.read.parquet(path).select("chain", "block_group")
 
 
-_LOTS = """WITH d AS (SELECT product_id, investor_id, date_trunc('second', datetime) AS datetime, block_number, CAST(balance_diff AS DOUBLE) AS shares, 1.0 + block_number % 10 / 100.0::DOUBLE AS price FROM ledger_diffs),
+_LOTS = """WITH d AS (SELECT product_id, investor_id, datetime, block_number, CAST(balance_diff AS DOUBLE) AS shares, 1.0 + block_number % 10 / 100.0::DOUBLE AS price FROM ledger_diffs),
    s AS (SELECT *, sum(shares) OVER w AS S, sum(greatest(shares, 0)) OVER w AS B FROM d WINDOW w AS (PARTITION BY investor_id, product_id ORDER BY datetime, block_number ROWS UNBOUNDED PRECEDING)),
    i AS (SELECT *, S - least(0, min(S) OVER w) AS I FROM s WINDOW w AS (PARTITION BY investor_id, product_id ORDER BY datetime, block_number ROWS UNBOUNDED PRECEDING)),
    e AS (SELECT *, B - I AS E, coalesce(lag(B - I) OVER w, 0) AS E0, max(B - I) OVER (PARTITION BY investor_id, product_id) AS EA FROM i WINDOW w AS (PARTITION BY investor_id, product_id ORDER BY datetime, block_number)),
@@ -100,20 +95,18 @@ _LOTS = """WITH d AS (SELECT product_id, investor_id, date_trunc('second', datet
 def _(t):
     path = scratch_path(t.spark, "positions")
     amount = F.when(F.col("event_type").isin("click", "error"), -F.col("value")).otherwise(F.col("value"))
-    trades = event_stream(t).select(
+    trades = lambda events: events.select(
         F.col("user_id").cast("int").alias("investor_id"),
         (F.pmod("event_id", F.lit(PRODUCTS)) + 1).cast("int").alias("product_id"),
-        F.date_trunc("second", "ts").alias("datetime"),
+        F.col("ts").alias("datetime"),
         F.col("event_id").alias("block_number"),
         amount.alias("shares"),
         (F.lit(1.0) + F.pmod("event_id", F.lit(10)) / F.lit(100.0)).alias("price"),
     )
-    writer = positions.positions(trades, "0 seconds").writeStream.format("parquet").option("path", path)
+    stream = positions.positions(trades(event_stream(t)), "0 seconds").writeStream.format("parquet").option("path", path)
     with positions.rocksdb(t.spark):
-        finish(writer.option("checkpointLocation", scratch_path(t.spark, "positions-checkpoint")).trigger(availableNow=True).start())
-    after = t.spark.read.parquet(path)
-    columns = ("balance", "realized_pnl", "remaining_shares", "remaining_cost")
-    return after.groupBy("investor_id", "product_id").agg(*[last_by(c, "datetime", "block_number").alias(c) for c in columns])
+        finish(stream.option("checkpointLocation", scratch_path(t.spark, "positions-checkpoint")).trigger(availableNow=True).start())
+    return positions.complete(t.spark.read.schema(positions.OUTPUT).parquet(path), trades(t.raw("events")), cell(F.col("datetime"), 1))
 
 
 @query(

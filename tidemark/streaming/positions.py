@@ -1,7 +1,11 @@
 """Per-position state over ordered events: running balance and first-in-first-out profit.
 
 Events of a position must be applied in time order, so they wait in state until the watermark has passed them.
-What waits is bounded by the lateness allowed, not by the length of the stream.
+What waits is bounded by the lateness allowed, not by the length of the stream; it is kept by millisecond, and a timer
+reads and removes the one that is due.
+
+Trades that come behind the watermark never reach the state, and the newest ones are still waiting when a run ends.
+``complete`` finds both as landed trades without a result and works their positions out again from all their trades.
 """
 
 from __future__ import annotations
@@ -10,14 +14,18 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.operators import fifo
+from tidemark.operators.latest import last_by
+
 OUTPUT = (
     "investor_id INT, product_id INT, datetime TIMESTAMP, block_number BIGINT, balance DOUBLE, "
     "realized_pnl DOUBLE, remaining_shares DOUBLE, remaining_cost DOUBLE"
 )
-_WAITING = "at BIGINT, block_number BIGINT, shares DOUBLE, price DOUBLE"
+_WAITING = "at ARRAY<BIGINT>, block_number ARRAY<BIGINT>, shares ARRAY<DOUBLE>, price ARRAY<DOUBLE>"
 _LOT = "shares DOUBLE, price DOUBLE"
 # lots are numbered; those from ``head`` up to ``tail`` are open
 _TOTALS = "balance DOUBLE, realized DOUBLE, held DOUBLE, cost DOUBLE, head BIGINT, tail BIGINT"
@@ -28,38 +36,30 @@ class PositionProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _WAITING)
+        self.waiting = handle.getMapState("waiting", "due BIGINT", _WAITING)
         self.lots = handle.getMapState("lots", "n BIGINT", _LOT)
         self.totals = handle.getValueState("totals", _TOTALS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
         for batch in rows:
             at = batch["datetime"].astype("datetime64[us]").astype("int64")
-            arrived = list(zip(at.tolist(), batch["block_number"].tolist(), batch["shares"].tolist(), batch["price"].tolist()))
-            self.waiting.appendList(arrived)
-            earliest = min(a[0] for a in arrived)
-            first = earliest if first is None else min(first, earliest)
-        if first is not None:
-            self._wake_at(first)
+            for due, own in batch.assign(at=at).groupby(-(-at // 1000)):
+                trades = tuple(own[c].tolist() for c in ("at", "block_number", "shares", "price"))
+                if self.waiting.containsKey((int(due),)):
+                    held = self.waiting.getValue((int(due),))
+                    trades = tuple([*a, *b] for a, b in zip(held, trades))
+                else:
+                    self.handle.registerTimer(int(due))
+                self.waiting.updateValue((int(due),), trades)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        reached = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(tuple(w) for w in self.waiting.get())
-        ready = [w for w in waiting if w[0] <= reached]
-        later = waiting[len(ready):]
-        if later:
-            self.waiting.put(later)
-            self._wake_at(later[0][0])
-        else:
-            self.waiting.clear()
-        if ready:
+        due = (expiredTimerInfo.getExpiryTimeInMs(),)
+        if self.waiting.containsKey(due):
+            ready = sorted(zip(*self.waiting.getValue(due)))
+            self.waiting.removeKey(due)
             yield self._apply(key, ready)
 
-    def _wake_at(self, at_micros: int) -> None:
-        self.handle.registerTimer(-(-at_micros // 1000))
-
     def _apply(self, key, ready) -> pd.DataFrame:
         start = self.totals.get() if self.totals.exists() else (0.0, 0.0, 0.0, 0.0, 0, 0)
         balance, realized, held, cost, head, tail = start
@@ -105,6 +105,22 @@ def positions(trades: DataFrame, lateness: str) -> DataFrame:
     )
 
 
+def complete(stored: DataFrame, trades: DataFrame, cell: Column) -> DataFrame:
+    """The last state of every position, whatever the order in which its trades came: from the stream's results where
+    each of its landed trades has one, else worked out again from all of them."""
+    keys = ["investor_id", "product_id"]
+    columns = ["balance", "realized_pnl", "remaining_shares", "remaining_cost"]
+    open_ = trades.join(stored.select(*keys, "datetime", "block_number"), [*keys, "datetime", "block_number"], "left_anti")
+    affected = open_.select(*keys).distinct()
+    settled = stored.join(affected, keys, "left_anti").groupBy(*keys)
+    kept = settled.agg(*[last_by(c, "datetime", "block_number").alias(c) for c in columns])
+    again = trades.join(affected, keys, "left_semi")
+    worked_out = fifo.pnl(again, keys, ["datetime", "block_number"], cell).join(
+        again.groupBy(*keys).agg(F.sum("shares").alias("balance")), keys
+    )
+    return kept.unionByName(worked_out.select(*keys, *columns))
+
+
 @contextmanager
 def rocksdb(spark: SparkSession) -> Iterator[None]:
     """Streams started inside keep their state in RocksDB."""

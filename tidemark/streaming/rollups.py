@@ -1,6 +1,9 @@
 """Incremental rollups and loads on Structured Streaming.
 
-Every sink is a keyed merge, so a micro-batch delivered twice leaves the table as it was.
+Every sink is a keyed merge or keeps what each micro-batch gave under the batch's number, so a micro-batch delivered
+twice leaves the table as it was. ``write_partials`` and ``write_once`` need no watermark: their tables do not depend on
+the number and order of files. ``stream_rollup`` lets go of windows behind its watermark; ticks that come later reach
+its table by ``refresh_range``.
 """
 
 from __future__ import annotations
@@ -8,18 +11,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.timegrid import ORIGIN_MICROS, SAMPLING_MS, interval, micros, time_bucket
 from tidemark.operators.latest import first_by, last_by
 from tidemark.operators.ohlc import rollup
-from tidemark.operators.upsert import merge_into_partitions, overwrite_partitions
+from tidemark.operators.upsert import LISTED_PARTITIONS, merge_into_partitions, overwrite_partitions, table_exists
 
 # how late a tick may be and still reach a rollup by itself; older ones need refresh_range
 LATENESS = {"1hour": "1 day", "1day": "3 days"}
 DAY = "day"
+SLOT = "slot"
+BATCH = "batch"
 
 
 def stream_rollup(ticks: DataFrame, period: str, lateness: str | None = None) -> DataFrame:
@@ -62,11 +67,12 @@ def write_upserts(
     available_now: bool = True,
     every: str = "5 seconds",
 ) -> StreamingQuery:
-    """Load a stream into a keyed table partitioned by day; the first row of a key in a batch wins."""
+    """Load a stream into a keyed table; the first row of a key in a batch wins. Partitions are hours, so a batch of
+    recent rows rewrites an hour at most."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        dated = batch.withColumn(DAY, F.to_date(partition_of))
-        merge_into_partitions(batch.sparkSession, path, dated, [*keys, DAY], DAY, policies, arrival)
+        dated = batch.withColumn(SLOT, F.date_format(partition_of, "yyyy-MM-dd-HH"))
+        merge_into_partitions(batch.sparkSession, path, dated, [*keys, SLOT], SLOT, policies, arrival)
 
     return _start(rows.writeStream.outputMode("append").foreachBatch(merge), checkpoint, available_now, every)
 
@@ -77,6 +83,68 @@ def _start(writer, checkpoint: str, available_now: bool, every: str) -> Streamin
     return writer.start()
 
 
+def write_partials(ticks: DataFrame, period: str, path: str, checkpoint: str, available_now: bool = True, every: str = "1 minute") -> StreamingQuery:
+    """OHLC parts of each micro-batch: sums, counts and extremes that ``read_partials`` puts together. Late ticks are parts
+    like any others. A batch that runs again replaces its own parts; nothing stored before is read or rewritten."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        at = F.struct(F.col("datetime").alias("at"), "block_number", "price")
+        parts = batch.groupBy("price_feed_id", time_bucket(period, F.col("datetime")).alias("bucket")).agg(
+            F.sum(F.col("price").cast("double")).alias("price_sum"),
+            F.count("price").alias("price_count"),
+            F.max("price").alias("price_high"),
+            F.min("price").alias("price_low"),
+            F.min(at).alias("first"),
+            F.max(at).alias("last"),
+        )
+        overwrite_partitions(parts.withColumn(BATCH, F.lit(number)), path, BATCH)
+
+    return _start(ticks.writeStream.outputMode("append").foreachBatch(save), checkpoint, available_now, every)
+
+
+def read_partials(spark: SparkSession, path: str) -> DataFrame:
+    """The rollup that the parts of all micro-batches make."""
+    return (
+        spark.read.parquet(path)
+        .groupBy("price_feed_id", F.col("bucket").alias("datetime"))
+        .agg(
+            (F.sum("price_sum") / F.sum("price_count")).alias("price_avg"),
+            F.max("price_high").alias("price_high"),
+            F.min("price_low").alias("price_low"),
+            F.min("first")["price"].alias("price_open"),
+            F.max("last")["price"].alias("price_close"),
+        )
+    )
+
+
+def write_once(rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], partition: Column, available_now: bool = True, every: str = "1 minute") -> StreamingQuery:
+    """Keep the first row of each key, whenever it comes. ``partition`` must follow from the keys; a batch looks only into
+    the partitions it touches, and leaves out what it has written itself if it runs again."""
+
+    def save(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.withColumn(SLOT, partition.cast("string")).dropDuplicates([*keys, SLOT])
+        if table_exists(spark, path):
+            slots = [r[0] for r in fresh.select(SLOT).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+            known = spark.read.schema(f"{SLOT} string, {BATCH} bigint, {_ddl(fresh, keys)}").parquet(path).filter(F.col(BATCH) != number)
+            if len(slots) <= LISTED_PARTITIONS:
+                known = known.filter(F.col(SLOT).isin(slots))
+            fresh = fresh.join(known.select(*keys, SLOT), [*keys, SLOT], "left_anti")
+        (
+            fresh.withColumn(BATCH, F.lit(number).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH, SLOT)
+            .parquet(path)
+        )
+
+    return _start(rows.writeStream.outputMode("append").foreachBatch(save), checkpoint, available_now, every)
+
+
+def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
 def without_redelivery(rows: DataFrame, keys: Sequence[str], lateness: str = "1 day", ts: str = "datetime") -> DataFrame:
     """Drop rows whose key was already seen within the watermark."""
     return rows.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
