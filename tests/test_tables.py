@@ -3,7 +3,7 @@
 import json
 import random
 from datetime import datetime
-from decimal import Decimal
+from decimal import Context, Decimal, localcontext
 
 import pytest
 from pyspark.errors import PySparkException
@@ -58,8 +58,9 @@ MERGES = [
     ('{"a":[1,2]}', '{"a":[3]}', {"a": [1, 2, 3]}),
     ('{"a":[]}', '{"a":[3]}', {"a": [3]}),
     ('{"a":[1]}', '{"a":{"b":1}}', {"a": [1, {"b": 1}]}),
-    ('{"a":{"b":{"c":{"d":1}}}}', '{"a":{"b":{"c":{"e":2}}}}', {"a": {"b": {"c": {"e": 2}}}}),
+    ('{"a":{"b":{"c":{"d":1}}}}', '{"a":{"b":{"c":{"e":2}}}}', {"a": {"b": {"c": {"d": 1, "e": 2}}}}),
     ('{"a":1}', '{"a":{"b":1}}', {"a": {"b": 1}}),
+    ('{"a":{"b":{"c":{"d":{"x":1}}}}}', '{"a":{"b":{"c":{"d":{"y":2}}}}}', {"a": {"b": {"c": {"d": {"x": 1, "y": 2}}}}}),
     ('{"a":"q\\"u","k\\"y":"x"}', "{}", {"a": 'q"u', 'k"y': "x"}),
     (None, '{"a":1}', {"a": 1}),
     ('{"a":1}', None, {"a": 1}),
@@ -72,6 +73,33 @@ def test_json_merge(spark):
     assert got == {i: w for i, (_, _, w) in enumerate(MERGES)}
 
 
+def test_json_merge_never_drops_what_is_too_deep(spark):
+    deep = lambda field: '{"k":' * 10 + field + "}" * 10
+    df = spark.createDataFrame([(deep('{"x":1}'), deep('{"y":2}'))], "a STRING, b STRING")
+    with pytest.raises(Exception, match="further down"):
+        df.select(json_fields.merge_json(F.col("a"), F.col("b"))).collect()
+    same = df.select(json_fields.merge_json(F.col("a"), F.col("a")).alias("m")).first()
+    assert same["m"] == deep('{"x":1}')
+
+
+def test_amounts_that_do_not_fit(spark):
+    cases = [("-5", 1, True), ("-123456789", 4, True), (str(10**34), 14, False), (str(-(10**34)), 14, False), (str(10**34 - 1), 14, True), (None, 3, True)]
+    df = spark.createDataFrame([(i, a, d) for i, (a, d, _) in enumerate(cases)], "i INT, a STRING, d INT").withColumn("a", F.col("a").cast("decimal(38,0)"))
+    fits = evm.fits_scaled(F.col("a"), F.col("d"))
+    assert {r["i"]: r["f"] for r in df.select("i", fits.alias("f")).collect()} == {i: f for i, (*_, f) in enumerate(cases)}
+    got = {r["i"]: r["v"] for r in df.filter(fits).select("i", evm.scaled(F.col("a"), F.col("d")).alias("v")).collect()}
+    with localcontext(Context(prec=60)):
+        assert got == {i: a and Decimal(a).scaleb(-d) for i, (a, d, f) in enumerate(cases) if f}
+    with pytest.raises(Exception, match="CAST|NUMERIC"):
+        df.filter("i = 2").select(evm.scaled(F.col("a"), F.col("d"))).collect()
+
+
+def test_net_does_not_pass_over_a_missing_amount(spark):
+    rows = [("c", "t", "o", 1, "0x1", 1, None), ("c", "t", "o", 1, "0x2", 2, Decimal(5))]
+    legs = spark.createDataFrame(rows, "chain STRING, token_address STRING, owner_address STRING, block_number LONG, transaction_hash STRING, log_index LONG, amount_transferred DECIMAL(38,18)")
+    assert [r["amount_transferred"] for r in transfers.net(legs).collect()] == [None]
+
+
 def test_uint256(spark):
     values = [0, 1, 255, 10**18, 2**60, 2**60 - 1, 2**64, 2**120, 75 * 2**120 - 1, 75 * 2**120, 10**38, 2**255]
     df = spark.createDataFrame([(i, f"0x{v:064x}") for i, v in enumerate(values)], "i INT, w STRING")
@@ -178,3 +206,69 @@ def test_protocols(spark):
 
 def test_chain_names():
     assert len(CHAINS) == len(set(CHAINS)) == 42
+
+
+PRICES = "k INT, day STRING, v INT"
+
+
+def stored_prices(spark, path):
+    upsert.overwrite_partitions(spark.createDataFrame([(i, f"2024-01-{1 + i % 10:02}", i) for i in range(100)], PRICES), path, "day")
+
+
+def test_merge_reads_and_rewrites_only_its_partitions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    stored_prices(spark, path)
+    before = upsert._partition_files(spark, path, "day")
+    read = []
+    real = upsert.upsert
+    monkeypatch.setattr(upsert, "upsert", lambda stored, *a: read.append(stored) or real(stored, *a))
+    batch = spark.createDataFrame([(1, "2024-01-02", -1), (500, "2024-01-02", 5)], PRICES)
+    upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")
+    plan = read[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024-01-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    after = upsert._partition_files(spark, path, "day")
+    assert [d for d in after if after[d] != before.get(d)] == ["day=2024-01-02"]
+    got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert got == {i: i for i in range(100)} | {1: -1, 500: 5}
+
+
+def test_merge_that_dies_half_way_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    stored_prices(spark, path)
+    batch = spark.createDataFrame([(i, f"2024-01-{1 + i % 10:02}", -i) for i in range(30)], PRICES)
+    real, calls = upsert.finish_merges, []
+
+    def dies(s, p):
+        calls.append(p)
+        if len(calls) == 2:  # everything is staged, nothing is moved
+            raise KeyboardInterrupt
+        return real(s, p)
+
+    monkeypatch.setattr(upsert, "finish_merges", dies)
+    with pytest.raises(KeyboardInterrupt):
+        upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")
+    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == {i: i for i in range(100)}
+    # the old partition is gone, the new one not there yet
+    root, fs = upsert._file_system(spark, f"{path}/day=2024-01-04")
+    fs.delete(root, True)
+    monkeypatch.setattr(upsert, "finish_merges", real)
+    assert upsert.finish_merges(spark, path) == 1 and upsert.finish_merges(spark, path) == 0
+    want = {i: -i if i < 30 else i for i in range(100)}
+    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == want
+    upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")
+    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == want
+
+
+def test_merge_refuses_a_second_writer(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    stored_prices(spark, path)
+    batch = spark.createDataFrame([(1, "2024-01-02", -1)], PRICES)
+    real = upsert.upsert
+
+    def meanwhile(*args):
+        spark.createDataFrame([(7, "2024-01-02", 7)], PRICES).write.mode("append").partitionBy("day").parquet(path)
+        return real(*args)
+
+    monkeypatch.setattr(upsert, "upsert", meanwhile)
+    with pytest.raises(RuntimeError, match="another writer"):
+        upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")

@@ -125,7 +125,7 @@ def interpolated_price(
     key: str = "price_feed_id",
     ts: str = "datetime",
     out: str = "interpolated_price",
-    cell_hours: float = 24.0,
+    cell_hours: float = 1.0,
 ) -> DataFrame:
     """Price of the probe's bucket read off a gap-filled, linearly interpolated bucket-average series.
 
@@ -182,10 +182,17 @@ def _cut_buckets(
     edges = spans.select(key, F.explode(sides).alias("_end")).select(
         key, F.col("_end.side").alias("_side"), F.col("_end.at").alias("_edge"), F.lit(1).alias("_is_edge")
     )
-    rows = ticks.select(key, F.unix_micros(ts).alias("_edge"), F.lit(0).alias("_is_edge"), *[c.alias(f"_{n}") for n, c in number.items()])
+    bucket_of = lambda at: F.unix_micros(time_bucket(bucket, at))
+    edges = edges.withColumn("_bucket", bucket_of(F.timestamp_micros("_edge")))
+    rows = ticks.select(
+        key,
+        F.unix_micros(ts).alias("_edge"),
+        F.lit(0).alias("_is_edge"),
+        *[c.alias(f"_{n}") for n, c in number.items()],
+        bucket_of(F.col(ts)).alias("_bucket"),
+    ).join(edges.select(key, "_bucket").distinct(), [key, "_bucket"], "left_semi")  # only buckets that an edge cuts
     stream = edges.unionByName(rows, allowMissingColumns=True).withColumns(
         {
-            "_bucket": F.unix_micros(time_bucket(bucket, F.timestamp_micros("_edge"))),
             # at equal times a low end comes before the ticks and a high end after them, so both include them
             "_turn": F.when(F.col("_side") == "_low", -1).when(F.col("_side") == "_high", 1).otherwise(0),
         }

@@ -22,7 +22,7 @@ def _cell(position: str, width: int) -> Column:
 
 
 def from_dates(df: DataFrame, lo: str = "from", hi: str = "to") -> DataFrame:
-    """Date ranges on the millisecond axis."""
+    """Date ranges on the millisecond axis; give operators on them a cell width in milliseconds (a day, say)."""
     return df.withColumns({lo: F.unix_millis(lo), hi: F.unix_millis(hi)})
 
 
@@ -115,12 +115,15 @@ def combine(
     """
     keys = list(keys)
     runs = {f"_open_{name}": Run("sum", F.col(f"_{name}")) for name in sets}
-    runs["_next"] = Run("last", F.col("_pos"), exclusive=True, reverse=True)
-    swept = running(_boundaries(sets, keys), keys, ["_pos"], _cell("_pos", cell_width), runs)
-    pieces = swept.filter(inside({name: F.col(f"_open_{name}") > 0 for name in sets})).select(
-        *keys, F.col("_pos").alias("from"), (F.col("_next") - 1).alias("to")
-    )
-    return merge(pieces, keys, gap=1, cell_width=cell_width, distinct_starts=True)
+    cell = _cell("_pos", cell_width)
+    swept = running(_boundaries(sets, keys), keys, ["_pos"], cell, runs)
+    # the counts before a position are those after it less its own changes
+    now = inside({name: F.col(f"_open_{name}") > 0 for name in sets})
+    before = inside({name: F.col(f"_open_{name}") - F.col(f"_{name}") > 0 for name in sets})
+    turns = swept.withColumn("_on", now).filter(F.col("_on") != before).select(*keys, "_pos", "_on")
+    # on and off alternate, so a range that begins at a turn ends at the next one
+    paired = running(turns, keys, ["_pos"], cell, {"_end": Run("last", F.col("_pos"), exclusive=True, reverse=True)})
+    return paired.filter("_on").select(*keys, F.col("_pos").alias("from"), (F.col("_end") - 1).alias("to"))
 
 
 def exclude(

@@ -14,6 +14,7 @@ from tidemark.operators import asof, intervals
 from tidemark.operators.gapfill import gapfill, interpolate
 from tidemark.operators.latest import last_by
 from tidemark.operators.scan import Run, running
+from tidemark.operators.transfers import TOO_LARGE
 from tidemark.operators.upsert import nullify, update_from
 from tidemark.session import cut_lineage
 
@@ -152,16 +153,18 @@ def _inside_one_range(rows: DataFrame, ranges: DataFrame) -> DataFrame:
     starts = ranges.select(
         "price_feed_id", F.col("from").alias("_need_from"), F.col("to").alias("_range_to"), F.lit(0).alias("_is_row")
     )
-    stream = rows.withColumn("_is_row", F.lit(1)).unionByName(starts, allowMissingColumns=True)
+    # a place is looked up once, however many rows ask for it (all rows before a feed's first tick ask for the same)
+    places = rows.select("price_feed_id", "_need_from").distinct()
+    stream = places.withColumn("_is_row", F.lit(1)).unionByName(starts, allowMissingColumns=True)
     day = F.floor(F.col("_need_from") / F.lit(SAMPLING_MS["1day"])).cast("long")
     reached = running(
         stream, ["price_feed_id"], ["_need_from", "_is_row"], day, {"_reach": Run("last", F.col("_range_to"))}
     )
-    green = F.coalesce(F.col("_reach") >= F.col("_need_to"), F.lit(False))
+    reach = reached.filter(F.col("_is_row") == 1).select("price_feed_id", "_need_from", "_reach")
     return (
-        reached.filter(F.col("_is_row") == 1)
-        .withColumn("_is_green", green)
-        .drop("_is_row", "_range_to", "_reach", "_need_from", "_need_to")
+        rows.join(reach, ["price_feed_id", "_need_from"], "left")
+        .withColumn("_is_green", F.coalesce(F.col("_reach") >= F.col("_need_to"), F.lit(False)))
+        .drop("_reach", "_need_from", "_need_to")
     )
 
 
@@ -308,8 +311,21 @@ def share_rate_series(readings: DataFrame) -> DataFrame:
     )
 
 
+def split_readings(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readings whose supplies can be held in token units, the others with the ``reason``)."""
+    fits = (
+        evm.fits_scaled(F.col("raw_staked"), F.col("underlying_decimals"))
+        & evm.fits_scaled(F.col("raw_underlying_supply"), F.col("underlying_decimals"))
+        & evm.fits_scaled(F.col("raw_vault_supply"), F.col("share_decimals"))
+    )
+    return readings.filter(fits), readings.filter(~fits).withColumn("reason", F.lit(TOO_LARGE))
+
+
 def vault_stats(readings: DataFrame) -> DataFrame:
-    """Scaled supplies, share rate and the share of the underlying's supply held by the vault."""
+    """Scaled supplies, share rate and the share of the underlying's supply held by the vault.
+
+    A supply that does not fit fails the job; ``split_readings`` takes such readings out first.
+    """
     staked = evm.scaled(F.col("raw_staked"), F.col("underlying_decimals"))
     total = evm.scaled(F.col("raw_underlying_supply"), F.col("underlying_decimals"))
     return readings.select(

@@ -268,8 +268,8 @@ _FIFO = """WITH s AS (SELECT *, sum(shares) OVER w AS S, sum(CASE WHEN shares >
 
 @query("fifo_profit", "W8", _FIFO, "realized_pnl remaining_shares remaining_cost avg_entry_price unrealized_pnl")
 def _(t):
-    month = cell(F.col("datetime"), 24 * 30)
-    return fifo.unrealized(fifo.pnl(t.trades, t.TRADE_KEYS, t.TRADE_ORDER, month), F.lit(1500.0))
+    day = cell(F.col("datetime"), 24)
+    return fifo.unrealized(fifo.pnl(t.trades, t.TRADE_KEYS, t.TRADE_ORDER, day), F.lit(1500.0))
 
 
 @query(
@@ -280,8 +280,8 @@ def _(t):
     "shares inventory",
 )
 def _(t):
-    month = cell(F.col("datetime"), 24 * 30)
-    tracked = fifo.inventory(t.trades, t.TRADE_KEYS, t.TRADE_ORDER, month)
+    day = cell(F.col("datetime"), 24)
+    tracked = fifo.inventory(t.trades, t.TRADE_KEYS, t.TRADE_ORDER, day)
     return tracked.select("investor_id", "product_id", "datetime", "order_id", "line", "part", "shares", "inventory")
 
 

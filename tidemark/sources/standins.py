@@ -80,7 +80,7 @@ class Tables:
     def ledger(self) -> DataFrame:
         """investment_balance_ts: the diffs with the balance after each."""
         return running_balance(
-            self.ledger_diffs, ["product_id", "investor_id"], ["datetime", "block_number"], "balance_diff", cell(F.col("datetime"), 24)
+            self.ledger_diffs, ["product_id", "investor_id"], ["datetime", "block_number"], "balance_diff", cell(F.col("datetime"), 1)
         )
 
     @cached_property
