@@ -192,7 +192,8 @@ class _Expression:
         if self._peek("not"):
             self.at += 1
             return Apply("not", (self._negation(),))
-        return self._chain(("==", "!=", "<", ">", "<=", ">=", "in"), lambda: self._chain(("+", "-", "~"), self._postfix))
+        joined = lambda: self._chain(("~",), lambda: self._chain(("+", "-"), self._postfix))
+        return self._chain(("==", "!=", "<", ">", "<=", ">=", "in"), joined)
 
     def _postfix(self) -> Any:
         kind, value = self._take()

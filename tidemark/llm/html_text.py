@@ -220,7 +220,7 @@ def _selected(tree: Tree) -> list[bool]:
     for i in range(n):
         ok = not tree.dropped[i] and chars[i] and density[i] >= threshold
         reached[i] = bool(ok) and (i == 0 or reached[tree.parent[i]] or tree.tag[tree.parent[i]] in ("#root", "html"))
-        if reached[i] and not (tree.tag[i] in ("#root", "html") and lead[i] == i):
+        if reached[i]:
             best = lead[i]
             chosen[around[best] if around[best] >= 0 else best] = True
     if not any(chosen):

@@ -7,7 +7,8 @@ scores. The network is trained in numpy on a bounded sample of labelled document
 score highest in their document carry the document's label.
 
 Defined cases: null and empty texts are one window of padding and get a low score; null ids are carried and never
-learned from; repeated rows get equal scores; without labelled rows of both kinds every score is 0; several labels of
+learned from; repeated rows get equal scores (to six digits, in
+32-bit sums); without labelled rows of both kinds every score is 0; several labels of
 one id count as toxic if one of them does. Other columns are not read, whatever their names.
 """
 
@@ -251,7 +252,7 @@ class Model:
     def score(self, raws: list[bytes | None]) -> np.ndarray:
         if self.net is None or not raws:
             return np.zeros(len(raws))
-        return _sigmoid(self.worst(raws) - self.shift)
+        return _sigmoid(self.worst(raws) - self.shift).round(6)
 
 
 def train(raws: list[bytes], labels: list[int], fit: Fit = Fit(), prior: float = 0.5) -> Model:
