@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import evm, json_fields
 from tidemark.operators import transfers, upsert
 from tidemark.plans import dims, monitoring, portfolio, tvl, valuation
-from tidemark.schema import CHAINS
 
 T = [datetime(2024, 1, d) for d in range(1, 32)]
 
@@ -204,10 +203,6 @@ def test_protocols(spark):
     assert [tuple(r) for r in df.collect()] == [("aave", "eth-usdc"), ("tide", "beFTM"), ("tide", "TIDE"), ("unknown", "solo")]
 
 
-def test_chain_names():
-    assert len(CHAINS) == len(set(CHAINS)) == 42
-
-
 PRICES = "k INT, day STRING, v INT"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timegrid import TIME_BUCKETS, interval, time_bucket
@@ -31,6 +31,24 @@ def rollup(ticks: DataFrame, period: str, keys: Sequence[str] = ("price_feed_id"
     )
 
 
+def rollup_between(
+    ticks: DataFrame,
+    period: str,
+    lo: datetime | Column | None = None,
+    hi: datetime | Column | None = None,
+    keys: Sequence[str] = ("price_feed_id",),
+) -> DataFrame:
+    """The buckets from the one that holds ``lo`` to the one that holds ``hi``, whole ones, read off no other ticks: the
+    bounds stand on the tick column itself, so they reach the files."""
+    at = F.col("datetime")
+    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
+    if lo is not None:
+        ticks = ticks.filter(at >= time_bucket(period, as_column(lo)))
+    if hi is not None:
+        ticks = ticks.filter(at < time_bucket(period, as_column(hi)) + interval(period))
+    return rollup(ticks, period, keys)
+
+
 def reroll(rolled: DataFrame, period: str, keys: Sequence[str] = ("price_feed_id",), exact: bool = False) -> DataFrame:
     """Coarser rollup of a rollup. The default averages the averages (approximate, by definition of that report);
     ``exact`` weighs them by their tick counts and needs an ``exact`` rollup below."""
@@ -55,15 +73,14 @@ def reroll(rolled: DataFrame, period: str, keys: Sequence[str] = ("price_feed_id
     )
 
 
-def price_series(
-    hourly: DataFrame, daily: DataFrame, named_bucket: str, as_of: datetime, price_feed_id: int | None = None
-) -> DataFrame:
-    """Rollup rows of a named bucket and range (``4h_3M``, ``1d_all``, ...) up to ``as_of``."""
+def price_series(ticks: DataFrame, named_bucket: str, as_of: datetime, price_feed_id: int | None = None) -> DataFrame:
+    """Rollup rows of a named bucket and range (``4h_3M``, ``1d_all``, ...) up to ``as_of``, from the ticks of the range."""
     size, reach = TIME_BUCKETS[named_bucket]
-    source = daily if size == "1day" else hourly
     if price_feed_id is not None:
-        source = source.filter(F.col("price_feed_id") == price_feed_id)
-    recent = source.filter(F.col("datetime") > F.lit(as_of) - interval(reach))
+        ticks = ticks.filter(F.col("price_feed_id") == price_feed_id)
+    since = F.lit(as_of) - interval(reach)
+    source = rollup_between(ticks, "1day" if size == "1day" else "1hour", since)
+    recent = source.filter(F.col("datetime") > since)
     if size not in ("1hour", "1day"):
         recent = reroll(recent, size)
     return recent.select("price_feed_id", "datetime", *PRICE_COLUMNS)

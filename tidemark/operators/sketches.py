@@ -76,13 +76,15 @@ def daily_snapshots(timeline: DataFrame, days: DataFrame) -> DataFrame:
         .agg(last_by("balance", *at).alias("share_balance"), last_by("usd_balance", *at).alias("usd_balance"))
     )
     w = Window.partitionBy("product_id", "investor_id").orderBy("day")
-    bounds = days.agg(F.max("datetime"))
+    first, last = days.agg(F.min("datetime")), days.agg(F.max("datetime"))
     valid = (
         per_day.withColumn("_until", F.lead("day").over(w))
         .filter(F.col("share_balance") > 0)
-        .withColumn("_last", F.coalesce(F.col("_until") - F.expr("INTERVAL 1 DAY"), bounds.scalar()))
-        .filter(F.col("day") <= F.col("_last"))
-        .withColumn("datetime", F.explode(F.sequence("day", "_last", F.expr("INTERVAL 1 DAY"))))
+        .withColumn("_last", F.coalesce(F.col("_until") - F.expr("INTERVAL 1 DAY"), last.scalar()))
+        .withColumn("_first", F.greatest("day", first.scalar()))
+        .withColumn("_last", F.least("_last", last.scalar()))
+        .filter(F.col("_first") <= F.col("_last"))
+        .withColumn("datetime", F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 DAY"))))
     )
     segments = [
         F.hll_sketch_agg(F.when(_in_segment(F.col("usd_balance"), *SEGMENTS[name]), F.col("investor_id")), LG_K_SEGMENT).alias(c)

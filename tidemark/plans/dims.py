@@ -14,36 +14,36 @@ from tidemark.operators.latest import keep_first
 from tidemark.operators.upsert import strict
 
 # fixed values: contracts that hold shares on behalf of others, by network
-MANUAL_IGNORED = """
-fantom    0x000000000000000000000000000000000000dead
-bsc       0x2c85a6aa1974230d3e91ba32956271e5a11b0392
-bsc       0xb9208616368c362c531afe3b813a5cef181399b7
-fantom    0x00957197874ee40211fe15b205754124834da532
-bsc       0x27caa27b47182873add2acff8212a5a664c1a4a0
-bsc       0x155f5acbda6ad32e74297836139edc13ee391a35
-fantom    0x4f44b32be113e56f279554efa4e70128dc57c7ec
-fantom    0x75d4ab6843593c111eeb02ff07055009c836a1ef
-fantom    0x3609a304c6a41d87e895b9c1fd18c02ba989ba90
-fantom    0xbf0ff8ac03f3e0dd7d8faa9b571eba999a854146
-fantom    0x5563cc1ee23c4b17c861418cff16641d46e12436
-fantom    0xc1c7ef18abc94013f6c58c6cdf9e829a48075b4e
-fantom    0x8e5e4d08485673770ab372c05f95081be0636fa2
-fantom    0x8bf3552f84ff21056d92f5e7bc47ee613786d4fc
-optimism  0xf9ce2522027bd40d3b1aee4abe969831fe3beaf5
-fantom    0x20dd72ed959b6147912c2e529f0a0c651c33c9ce
-fantom    0x3f4f523acf811e713e7c34852b24e927d773a9e5
-polygon   0xbc3df9a5879432135f4a976795b1fc1728279012
-optimism  0x3983c50ff4cd25b43a335d63839b1e36c7930d41
-fantom    0x230691a28c8290a553bfbc911ab2aba0b2df152d
-polygon   0xd126ba764d2fa052fc14ae012aef590bc6ae0c4f
-fuse      0x24aaab9da14308baf9d670e2a37369fe8cb5fe36
-cronos    0xa9e6e271b27b20f65394914f8784b3b860dbd259
-avax      0xca077eec87e2621f5b09afe47c42baf88c6af18c
-optimism  0xc808b28a006c91523de75ea23f48be8b7a9536d1
-moonriver 0xc9a509da14525ad3710e9448a0839ee2e90e48b1
-fantom    0xe2379cb4c4627e5e9df459ce08c2342c696c4c1f
-fantom    0xc2d2a8e5237d17abd9313dc17b5ab2a9b8c8c019
-"""
+MANUAL_IGNORED = [
+    ("0x000000000000000000000000000000000000dead", "fantom"),
+    ("0x2c85a6aa1974230d3e91ba32956271e5a11b0392", "bsc"),
+    ("0xb9208616368c362c531afe3b813a5cef181399b7", "bsc"),
+    ("0x00957197874ee40211fe15b205754124834da532", "fantom"),
+    ("0x27caa27b47182873add2acff8212a5a664c1a4a0", "bsc"),
+    ("0x155f5acbda6ad32e74297836139edc13ee391a35", "bsc"),
+    ("0x4f44b32be113e56f279554efa4e70128dc57c7ec", "fantom"),
+    ("0x75d4ab6843593c111eeb02ff07055009c836a1ef", "fantom"),
+    ("0x3609a304c6a41d87e895b9c1fd18c02ba989ba90", "fantom"),
+    ("0xbf0ff8ac03f3e0dd7d8faa9b571eba999a854146", "fantom"),
+    ("0x5563cc1ee23c4b17c861418cff16641d46e12436", "fantom"),
+    ("0xc1c7ef18abc94013f6c58c6cdf9e829a48075b4e", "fantom"),
+    ("0x8e5e4d08485673770ab372c05f95081be0636fa2", "fantom"),
+    ("0x8bf3552f84ff21056d92f5e7bc47ee613786d4fc", "fantom"),
+    ("0xf9ce2522027bd40d3b1aee4abe969831fe3beaf5", "optimism"),
+    ("0x20dd72ed959b6147912c2e529f0a0c651c33c9ce", "fantom"),
+    ("0x3f4f523acf811e713e7c34852b24e927d773a9e5", "fantom"),
+    ("0xbc3df9a5879432135f4a976795b1fc1728279012", "polygon"),
+    ("0x3983c50ff4cd25b43a335d63839b1e36c7930d41", "optimism"),
+    ("0x230691a28c8290a553bfbc911ab2aba0b2df152d", "fantom"),
+    ("0xd126ba764d2fa052fc14ae012aef590bc6ae0c4f", "polygon"),
+    ("0x24aaab9da14308baf9d670e2a37369fe8cb5fe36", "fuse"),
+    ("0xa9e6e271b27b20f65394914f8784b3b860dbd259", "cronos"),
+    ("0xca077eec87e2621f5b09afe47c42baf88c6af18c", "avax"),
+    ("0xc808b28a006c91523de75ea23f48be8b7a9536d1", "optimism"),
+    ("0xc9a509da14525ad3710e9448a0839ee2e90e48b1", "moonriver"),
+    ("0xe2379cb4c4627e5e9df459ce08c2342c696c4c1f", "fantom"),
+    ("0xc2d2a8e5237d17abd9313dc17b5ab2a9b8c8c019", "fantom"),
+]
 
 
 def newest_definitions(
@@ -96,6 +96,7 @@ def usable_vaults(definitions: DataFrame) -> DataFrame:
 
 def without_managed_liquidity(definitions: DataFrame) -> DataFrame:
     """Leave out concentrated-liquidity vaults and the reward pools on top of them."""
+    # fixed values: the type names and token prefixes of such vaults
     pool = (
         (F.col("type") == "gov")
         & (F.col("version") >= 2)
@@ -248,8 +249,7 @@ def valid_zaps(zaps: DataFrame, chain: str | None = None) -> DataFrame:
 def ignored_addresses(products: DataFrame, zaps: DataFrame, chains: DataFrame) -> DataFrame:
     """Addresses that are never investors: product contracts, the zero address, known holders, helper contracts."""
     spark = products.sparkSession
-    manual = [tuple(line.split()) for line in MANUAL_IGNORED.strip().splitlines()]
-    listed = spark.createDataFrame(manual, "chain STRING, address STRING")
+    listed = spark.createDataFrame(MANUAL_IGNORED, "address STRING, chain STRING").select("chain", "address")
     everywhere = chains.select("chain", F.lit(ZERO_ADDRESS).alias("address"))
     return (
         products.select("chain", F.lower("contract_address").alias("address"))

@@ -12,7 +12,9 @@ from tidemark.functions.hexbytes import from_hex_text, to_hex_text
 from tidemark.functions.json_fields import contract_address, display_id, is_eol, is_true, pretty, variant_field
 from tidemark.functions.timegrid import interval, time_bucket
 from tidemark.operators import sketches
+from tidemark.operators.asof import first_at_or_above
 from tidemark.operators.latest import current_holders, last_by
+from tidemark.operators.ohlc import rollup_between
 from tidemark.plans.valuation import value
 
 COUNT_THRESHOLDS = [10**k for k in range(8)]
@@ -49,6 +51,40 @@ def check_ready(states: DataFrame, ranges: DataFrame, block: int, allow_later_re
         raise NotReady("Some previous block was not indexed")
 
 
+def block_time(blocks: DataFrame, chain: str, block: int) -> datetime:
+    """When a chain's block was made: the time of the earliest stored block that is not below it. One row comes back."""
+    row = first_at_or_above(blocks.filter(F.col("chain") == chain), F.lit(block)).first()
+    if row is None:
+        raise NotReady(f"No block of {chain} at or after {block} is stored")
+    return row["datetime"]
+
+
+def balances_at_block(
+    ledger: DataFrame,
+    products: DataFrame,
+    investors: DataFrame,
+    ticks: DataFrame,
+    blocks: DataFrame,
+    states: DataFrame,
+    ranges: DataFrame,
+    chain: str,
+    block: int,
+    at: datetime | None = None,
+    grace: str | None = None,
+    require_prices: bool = True,
+) -> DataFrame:
+    """``balances_at`` for a chain's products, refused unless their imports are ready for the block. The block's time is
+    looked up unless given; each product's ledger counts from the creation of its contract; prices are rolled up for
+    the one hour that is asked for."""
+    scope = products.filter(F.col("chain") == chain)
+    own = states.join(scope.select("product_id"), "product_id", "left_semi")
+    check_ready(own, ranges, block)
+    at = at or block_time(blocks, chain, block)
+    created = own.groupBy("product_id").agg(F.min("contract_creation_date").alias("_created"))
+    rows = ledger.join(created, "product_id").filter(F.col("datetime") >= F.col("_created")).drop("_created")
+    return balances_at(rows, scope, investors, rollup_between(ticks, "1hour", at, at), block, at, None, grace, require_prices)
+
+
 def balances_at(
     ledger: DataFrame,
     products: DataFrame,
@@ -371,8 +407,8 @@ def product_fields(products: DataFrame) -> DataFrame:
 
 
 def chain_products(products: DataFrame) -> DataFrame:
-    """Product ids listed per chain; the product dimension is one row per product, not per event."""
-    return products.groupBy("chain").agg(F.array_sort(F.collect_list("product_id")).alias("product_ids"))
+    """The products of each chain, one row per product."""
+    return products.select("chain", "product_id")
 
 
 def lookup(requests: DataFrame, dim: DataFrame, on: str, require: bool = False) -> DataFrame:

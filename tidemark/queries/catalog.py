@@ -185,10 +185,9 @@ def _(t):
     return t.raw("nation").select("n_nationkey", F.octet_length(back).cast("bigint").alias("bytes"), F.md5(back).alias("digest"))
 
 
-@query("chain_product_lists", "J22", "SELECT chain, CAST(list_sort(list(product_id)) AS VARCHAR) AS product_ids FROM products GROUP BY 1")
+@query("chain_product_lists", "J22", "SELECT chain, product_id FROM products")
 def _(t):
-    listed = portfolio.chain_products(t.products)
-    return listed.select("chain", F.concat(F.lit("["), F.array_join("product_ids", ", "), F.lit("]")).alias("product_ids"))
+    return portfolio.chain_products(t.products)
 
 
 @query("enriched_requests", "J21", "SELECT event_id, product_key FROM (SELECT event_id, CAST(event_id % 3000 + 1 AS INT) AS product_id FROM events) LEFT JOIN products USING (product_id) ORDER BY event_id")
@@ -373,15 +372,15 @@ def _(t):
     "ignore_list", "D8 D18 S8",
     f"""SELECT chain, address FROM (
         SELECT chain, contract_address AS address FROM products UNION SELECT DISTINCT chain, '0x' || repeat('0', 40) FROM products
-        UNION SELECT {_sql_chain('s_suppkey')}, {_sql_addr('(s_suppkey + 7000000)')} FROM supplier WHERE s_suppkey % 5 <> 4) WHERE chain IN ('click','error','purchase','signup','view')""",
+        UNION SELECT {_sql_chain('s_suppkey')}, {_sql_addr('(s_suppkey + 7000000)')} FROM supplier WHERE s_suppkey % 5 <> 4
+        UNION SELECT chain, address FROM (VALUES {', '.join(f"('{a}', '{c}')" for a, c in dims.MANUAL_IGNORED)}) m(address, chain))""",
 )
 def _(t):
     key = F.col("s_suppkey")
     zaps = t.raw("supplier").select(_chain_of(key).alias("chain"), F.when(F.pmod(key, F.lit(5)) != 4, _address(key + 7000000)).otherwise(F.lit("0xnone")).alias("address"))
     products = t.products.select("chain", jf.contract_address(F.col("product_data")).alias("contract_address"))
     listed = dims.ignored_addresses(products, zaps, t.products.select("chain").distinct())
-    here = listed.filter(F.col("chain").isin("click", "error", "purchase", "signup", "view"))
-    return here.select("chain", to_hex_text(F.col("address")).alias("address"))
+    return listed.select("chain", to_hex_text(F.col("address")).alias("address"))
 
 
 @query(

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions.timegrid import cell
-from tidemark.operators import fifo, sketches
+from tidemark.operators import fifo, ohlc, sketches
 from tidemark.operators.latest import current_holders
 from tidemark.plans import portfolio, valuation
 from tidemark.queries.registry import query
@@ -48,18 +48,18 @@ _BALANCE_FLOATS = "share_to_underlying_price underlying_to_usd_price share_token
 
 @query("balances_at_block", "Q1 Q23 J1 J17 P12 T3 T5 T6", _BALANCES.format(grace=" + INTERVAL 1 DAY", how="", where=""), _BALANCE_FLOATS)
 def _(t):
-    return portfolio.balances_at(t.ledger, t.products, t.investors, t.price_1h, BLOCK, AT, datetime(2024, 1, 2), grace="1day")
+    return portfolio.balances_at(t.ledger, t.products, t.investors, ohlc.rollup_between(t.price_ts, "1hour", AT, AT), BLOCK, AT, datetime(2024, 1, 2), grace="1day")
 
 
 @query("balances_at_block_unpriced", "Q1 T6", _BALANCES.format(grace="", how="LEFT", where=""), _BALANCE_FLOATS)
 def _(t):
-    return portfolio.balances_at(t.ledger, t.products, t.investors, t.price_1h, BLOCK, AT, datetime(2024, 1, 2), require_prices=False)
+    return portfolio.balances_at(t.ledger, t.products, t.investors, ohlc.rollup_between(t.price_ts, "1hour", AT, AT), BLOCK, AT, datetime(2024, 1, 2), require_prices=False)
 
 
 @query("chain_balances_at_block", "Q2 Q23 J3", _BALANCES.format(grace="", how="", where="WHERE p.chain = 'view'"), _BALANCE_FLOATS)
 def _(t):
     scope = t.products.filter(F.col("chain") == "view")
-    return portfolio.balances_at(t.ledger, scope, t.investors, t.price_1h, BLOCK, AT, datetime(2024, 1, 2))
+    return portfolio.balances_at(t.ledger, scope, t.investors, ohlc.rollup_between(t.price_ts, "1hour", AT, AT), BLOCK, AT, datetime(2024, 1, 2))
 
 
 @query(
@@ -68,7 +68,29 @@ def _(t):
     _BALANCE_FLOATS,
 )
 def _(t):
-    return portfolio.balances_at(t.ledger, portfolio.points_products(t.products), t.investors, t.price_1h, BLOCK, AT, datetime(2024, 1, 2))
+    return portfolio.balances_at(t.ledger, portfolio.points_products(t.products), t.investors, ohlc.rollup_between(t.price_ts, "1hour", AT, AT), BLOCK, AT, datetime(2024, 1, 2))
+
+
+# half of the highest block: where the ledger is cut depends on the data
+_BOUND = """WITH x AS (SELECT max(block_number) // 2 AS b FROM blocks), z AS (SELECT min(datetime) AS at FROM blocks, x WHERE chain = 'view' AND block_number >= b),
+  l AS (SELECT l.product_id, l.investor_id, last(l.balance ORDER BY l.datetime, l.block_number) AS balance FROM ledger l JOIN (SELECT product_id, min(TIMESTAMP '2024-01-01' + to_days(CAST(product_id % 7 AS INT))) AS created FROM states GROUP BY 1) s USING (product_id), x, z
+        WHERE l.datetime >= s.created AND l.datetime <= z.at AND l.block_number <= x.b GROUP BY 1, 2 HAVING last(l.balance ORDER BY l.datetime, l.block_number) > 0),
+  h AS (SELECT price_feed_id, price_avg FROM price_1h, z WHERE datetime = time_bucket(INTERVAL '1 hour', z.at))
+  SELECT l.product_id, i.address AS investor_address, h1.price_avg AS share_to_underlying_price, h2.price_avg AS underlying_to_usd_price, l.balance AS share_token_balance,
+         CAST(l.balance AS DOUBLE) * h1.price_avg * h2.price_avg AS usd_balance
+  FROM l JOIN products p ON p.product_id = l.product_id AND p.chain = 'view' LEFT JOIN h h1 ON h1.price_feed_id = p.price_feed_1_id LEFT JOIN h h2 ON h2.price_feed_id = p.price_feed_2_id JOIN investors i USING (investor_id)"""
+
+
+@query("balances_at_bound_block", "Q1 Q2 Q7 Q23 L4", _BOUND, "share_to_underlying_price underlying_to_usd_price share_token_balance usd_balance")
+def _(t):
+    block = t.blocks.agg((F.max("block_number") / 2).cast("bigint")).first()[0]
+    created = F.timestamp_seconds(F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + F.pmod("product_id", F.lit(7)) * 86400)
+    states = t.states.withColumns(
+        {"contract_creation_date": created, "contract_created_at_block": F.lit(0).cast("long"), "chain_latest_block_number": F.lit(block).cast("long")}
+    )
+    retries = t.coverage.withColumn("from", F.col("from") + block)  # nothing before the block waits for a retry
+    held = portfolio.balances_at_block(t.ledger, t.products, t.investors, t.price_ts, t.blocks, states, retries, "view", block, require_prices=False)
+    return held.select("product_id", "investor_address", "share_to_underlying_price", "underlying_to_usd_price", "share_token_balance", "usd_balance")
 
 
 _TIMELINE = "investor_id product_id datetime block_number transaction_hash balance balance_diff share_to_underlying_price underlying_balance underlying_diff underlying_to_usd_price usd_balance usd_diff"
@@ -107,16 +129,17 @@ def _(t):
 
 
 def _days(t):
-    return t.spark.range(1).select(
-        F.explode(F.sequence(F.lit("2024-01-02").cast("timestamp"), F.lit("2024-01-31").cast("timestamp"), F.expr("INTERVAL 1 DAY"))).alias("datetime")
-    )
+    """The midnights after each day of the data."""
+    next_day = lambda ts: F.timestamp_micros(F.unix_micros(F.date_trunc("day", ts)) + F.lit(86_400_000_000))
+    ends = t.raw("events").agg(next_day(F.min("ts")).alias("lo"), next_day(F.max("ts")).alias("hi"))
+    return ends.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("datetime"))
 
 
 def _snapshots(t):
     return sketches.daily_snapshots(t.timeline, _days(t))
 
 
-_SNAP_SQL = """(SELECT d.datetime, h.product_id, h.investor_id, h.usd_balance FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS datetime) d,
+_SNAP_SQL = """(SELECT d.datetime, h.product_id, h.investor_id, h.usd_balance FROM (SELECT unnest(generate_series((SELECT date_trunc('day', min(ts)) + INTERVAL 1 DAY FROM events), (SELECT date_trunc('day', max(ts)) + INTERVAL 1 DAY FROM events), INTERVAL 1 DAY)) AS datetime) d,
   LATERAL (SELECT product_id, investor_id, last(usd_balance ORDER BY datetime, block_number) AS usd_balance FROM timeline x WHERE x.datetime <= d.datetime AND balance_diff <> 0
            GROUP BY 1, 2 HAVING last(balance ORDER BY datetime, block_number) > 0) h)"""
 
@@ -224,13 +247,13 @@ def _(t):
 
 @query(
     "product_holder_list", "A2 P20",
-    """SELECT b.product_id, i.address AS investor_address, balance AS balance_num, last_event, last_event_block_number FROM (
+    """SELECT b.product_id, i.address AS investor_address, balance AS balance_num, CAST(CAST(CAST(balance AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS VARCHAR) AS balance_txt, last_event, last_event_block_number FROM (
        SELECT product_id, investor_id, last(balance ORDER BY datetime, block_number) AS balance, max(datetime) AS last_event, last(block_number ORDER BY datetime, block_number) AS last_event_block_number
        FROM ledger GROUP BY 1, 2) b JOIN investors i USING (investor_id) WHERE balance > 0""",
     "balance_num",
 )
 def _(t):
-    return portfolio.product_holders(t.ledger, t.investors).drop("balance_txt")
+    return portfolio.product_holders(t.ledger, t.investors)
 
 
 @query(

@@ -76,7 +76,7 @@ def _(t):
     OHLC,
 )
 def _(t):
-    return ohlc.price_series(t.price_1h, t.price_1d, "1h_1w", AS_OF)
+    return ohlc.price_series(t.price_ts, "1h_1w", AS_OF)
 
 
 @query(
@@ -85,22 +85,20 @@ def _(t):
     OHLC,
 )
 def _(t):
-    return ohlc.price_series(t.price_1h, t.price_1d, "4h_3M", AS_OF)
+    return ohlc.price_series(t.price_ts, "4h_3M", AS_OF)
 
 
 @query("price_series_1d_year", "Q6 Q14", "SELECT * FROM price_1d WHERE datetime > TIMESTAMP '2024-02-01' - INTERVAL 365 DAY", OHLC)
 def _(t):
-    return ohlc.price_series(t.price_1h, t.price_1d, "1d_1Y", AS_OF)
+    return ohlc.price_series(t.price_ts, "1d_1Y", AS_OF)
 
 
 @query(
     "ohlc_compact_rows", "S17",
-    """SELECT price_feed_id, datetime, len(string_split(s, ',')) AS cells, left(s, 27) AS head FROM (
-       SELECT price_feed_id, datetime, '["' || strftime(datetime, '%Y-%m-%dT%H:%M:%S.%g') || 'Z",' || price_open || ',' || price_high || ',' || price_low || ',' || price_close || ']' AS s FROM price_1d)""",
+    """SELECT price_feed_id, datetime, '["' || strftime(datetime, '%Y-%m-%dT%H:%M:%S.%g') || 'Z",' || CAST(price_open AS DOUBLE) || ',' || CAST(price_high AS DOUBLE) || ',' || CAST(price_low AS DOUBLE) || ',' || CAST(price_close AS DOUBLE) || ']' AS "row" FROM price_1d""",
 )
 def _(t):
-    rows = ohlc.compact(t.price_1d)
-    return rows.select("price_feed_id", "datetime", F.size(F.split("row", ",")).cast("bigint").alias("cells"), F.left("row", F.lit(27)).alias("head"))
+    return ohlc.compact(t.price_1d)
 
 
 @query(
@@ -347,17 +345,46 @@ def _(t):
 
 @query(
     "feed_tick_listing", "Q13 J2 P20",
-    """SELECT p.datetime, f.feed_key, p.block_number, p.price FROM price_ts p LEFT JOIN feeds f USING (price_feed_id) ORDER BY 1""",
+    """SELECT p.datetime, f.feed_key, p.block_number, p.price, CAST(CAST(CAST(p.price AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS VARCHAR) AS price_txt FROM price_ts p LEFT JOIN feeds f USING (price_feed_id) ORDER BY 1""",
     "price",
 )
 def _(t):
-    return portfolio.feed_ticks(t.price_ts, t.feeds).drop("price_txt").orderBy("datetime")
+    return portfolio.feed_ticks(t.price_ts, t.feeds).orderBy("datetime")
 
 
-@query("rollup_listing_hops", "Q14", "SELECT p.product_id, r.* FROM price_1d r JOIN products p ON p.price_feed_2_id = r.price_feed_id", OHLC)
+@query(
+    "share_rate_ticks_newest", "Q13",
+    "SELECT l.datetime, f.feed_key, l.block_number, l.price, CAST(CAST(CAST(l.price AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS VARCHAR) AS price_txt FROM (SELECT datetime, block_number, block_number % 8 % 5 + 1 AS price_feed_id, 1.0 + block_number % 10 / 100.0::DOUBLE AS price FROM ledger_diffs) l LEFT JOIN feeds f USING (price_feed_id)",
+    "price",
+)
+def _(t):
+    return portfolio.feed_ticks(t.share_rates, t.feeds).orderBy(F.col("datetime").desc(), F.col("block_number").desc())
+
+
+ASKED = f"vault:view:0x{4:040x}"  # the listing is of one product, looked up by its key
+
+
+def _hops(period: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {hop} AS hop, p.product_id, r.* FROM price_1{period} r JOIN products p ON p.price_feed_{hop}_id = r.price_feed_id WHERE p.product_key = '{ASKED}'" for hop in (1, 2)
+    )
+
+
+def _listed(t, rolled):
+    """Both feeds of the product."""
+    asked = portfolio.select_products(t.products, key=ASKED)
+    sides = [asked.select(F.lit(hop).alias("hop"), "product_id", F.col(f"price_feed_{hop}_id").alias("price_feed_id")) for hop in (1, 2)]
+    return sides[0].unionByName(sides[1]).join(rolled, "price_feed_id").orderBy("hop", "product_id", "datetime")
+
+
+@query("rollup_listing_hops", "Q14", _hops("d"), OHLC)
+def _(t):
+    return _listed(t, t.price_1d)
+
+
+@query("rollup_listing_hops_1h", "Q14", _hops("h"), OHLC)
 def _(t):
-    products = t.products.select("product_id", F.col("price_feed_2_id").alias("price_feed_id"))
-    return products.join(t.price_1d, "price_feed_id").orderBy("product_id", "datetime")
+    return _listed(t, t.price_1h)
 
 
 @query(

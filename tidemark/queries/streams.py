@@ -29,6 +29,11 @@ def tick_stream(t):
     )
 
 
+def _whole(t):
+    """First and last instant of the ticks."""
+    return tuple(t.price_ts.agg(F.min("datetime"), F.max("datetime")).first())
+
+
 def finish(stream) -> None:
     stream.awaitTermination()
 
@@ -57,7 +62,7 @@ def _(t):
     # a rollup that missed all afternoons, repaired for three days
     path = scratch_path(t.spark, "rollup")
     known = t.price_ts.filter(F.hour("datetime") < 12)
-    rollups.refresh_range(t.spark, known, path, "1day", datetime(2024, 1, 1), datetime(2024, 1, 31))
+    rollups.refresh_range(t.spark, known, path, "1day", *_whole(t))
     rollups.refresh_range(t.spark, t.price_ts, path, "1day", datetime(2024, 1, 10, 5), datetime(2024, 1, 12, 7))
     return t.spark.read.parquet(path).select("price_feed_id", "datetime", "price_avg")
 
@@ -137,6 +142,6 @@ def _(t):
 @query("rollup_partitions_expired", "ST5", "SELECT price_feed_id, datetime FROM price_1d WHERE datetime >= TIMESTAMP '2024-01-11'")
 def _(t):
     path = scratch_path(t.spark, "rollup")
-    rollups.refresh_range(t.spark, t.price_ts, path, "1day", datetime(2024, 1, 1), datetime(2024, 1, 31))
+    rollups.refresh_range(t.spark, t.price_ts, path, "1day", *_whole(t))
     rollups.expire_partitions(t.spark, path, "2024-01-11")
     return t.spark.read.parquet(path).select("price_feed_id", "datetime")

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import ohlc
 from tidemark.plans import monitoring as mon
 from tidemark.plans import portfolio, tvl
 from tidemark.queries.registry import query
@@ -29,7 +30,15 @@ def _(t):
     "tvl",
 )
 def _(t):
-    return tvl.daily_tvl(t.vault_stats, t.products, t.price_1d, F.lit(datetime(2024, 1, 10)), F.lit(datetime(2024, 1, 16, 23, 59, 59)))
+    lo, hi = datetime(2024, 1, 10), datetime(2024, 1, 16, 23, 59, 59)
+    return tvl.daily_tvl(t.vault_stats, t.products, ohlc.rollup_between(t.price_ts, "1day", lo, hi), F.lit(lo), F.lit(hi))
+
+
+@query("tvl_of_one_product", "Q10", "SELECT datetime, tvl FROM tvl WHERE product_id = 1 AND datetime BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-16'", "tvl")
+def _(t):
+    # the report of one vault over a week at most
+    lo, hi = datetime(2024, 1, 10), datetime(2024, 1, 16, 23, 59, 59)
+    return tvl.tvl_of_product(t.vault_stats, t.products, ohlc.rollup_between(t.price_ts, "1day", lo, hi), 1, lo, hi)
 
 
 _GROWTH = """SELECT product_id, product_key, chain, vault_id, min(datetime) AS compare_to_datetime, max(datetime) AS recent_datetime, arg_min(tvl, datetime) AS compare_to_tvl, arg_max(tvl, datetime) AS recent_tvl,
@@ -100,12 +109,13 @@ def _(t):
 
 @query(
     "vault_stats_listing", "Q18 P20",
-    """SELECT s.product_id, p.display_id AS vault_id, s.datetime, s.block_number, CAST(CAST(s.staked_underlying AS DECIMAL(38,18)) AS VARCHAR) AS staked_underlying, s.underlying_capture_percentage FROM vault_stats s JOIN products p USING (product_id)""",
+    """SELECT s.product_id, p.display_id AS vault_id, s.datetime, s.block_number, CAST(CAST(CAST(s.staked_underlying AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS VARCHAR) AS staked_underlying,
+       CAST(CAST(CAST(s.share_to_underlying_price AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS VARCHAR) AS share_to_underlying_price, CAST(CAST(CAST(s.underlying_total_supply AS DECIMAL(20,4)) AS DECIMAL(38,18)) AS VARCHAR) AS underlying_total_supply, s.underlying_capture_percentage FROM vault_stats s JOIN products p USING (product_id)""",
     "underlying_capture_percentage",
 )
 def _(t):
     listed = tvl.stats_listing(t.vault_stats, t.products).orderBy("datetime")
-    return listed.select("product_id", "vault_id", "datetime", "block_number", "staked_underlying", "underlying_capture_percentage")
+    return listed.drop("vault_total_supply")  # a quotient of doubles: its last digits are each engine's own
 
 
 @query("transfer_counts_per_chain", "A17 J1", "SELECT time_bucket(INTERVAL '4 hours', l.datetime) AS time, p.chain, count(*) AS transfers FROM ledger_diffs l JOIN products p USING (product_id) WHERE balance_diff <> 0 GROUP BY 1, 2")

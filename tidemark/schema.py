@@ -6,50 +6,7 @@ Spark would shrink the scale of a DECIMAL(38,18) product to 6 digits.
 
 AMOUNT = "decimal(38,18)"
 
-PRICE_FEED = "price_feed_id INT, feed_key STRING, from_asset_key STRING, to_asset_key STRING, price_feed_data STRING"
-PRODUCT = (
-    "product_id INT, product_key STRING, chain STRING, price_feed_1_id INT, price_feed_2_id INT, "
-    "pending_rewards_price_feed_id INT, product_data STRING"
-)
-INVESTOR = "investor_id INT, address BINARY, investor_data STRING"
-IGNORE_ADDRESS = "chain STRING, address BINARY"
-LEDGER = (
-    "datetime TIMESTAMP, block_number BIGINT, product_id INT, investor_id INT, transaction_hash BINARY, "
-    f"balance {AMOUNT}, balance_diff {AMOUNT}, pending_rewards {AMOUNT}, pending_rewards_diff {AMOUNT}"
-)
-PRICE_TS = f"datetime TIMESTAMP, price_feed_id INT, block_number BIGINT, price {AMOUNT}"
-ROLLUP = (
-    "price_feed_id INT, datetime TIMESTAMP, price_avg DOUBLE, "
-    f"price_high {AMOUNT}, price_low {AMOUNT}, price_open {AMOUNT}, price_close {AMOUNT}"
-)
-BLOCK_TS = "datetime TIMESTAMP, chain STRING, block_number BIGINT"
-TIMELINE = (
-    "investor_id INT, product_id INT, datetime TIMESTAMP, block_number BIGINT, transaction_hash BINARY, "
-    "balance DOUBLE, balance_diff DOUBLE, share_to_underlying_price DOUBLE, underlying_balance DOUBLE, "
-    "underlying_diff DOUBLE, underlying_to_usd_price DOUBLE, usd_balance DOUBLE, usd_diff DOUBLE, "
-    "pending_rewards DOUBLE, pending_rewards_diff DOUBLE, pending_rewards_to_usd_price DOUBLE, "
-    "pending_rewards_usd_balance DOUBLE, pending_rewards_usd_diff DOUBLE"
-)
-VAULT_STATS = (
-    f"product_id INT, datetime TIMESTAMP, block_number BIGINT, vault_total_supply {AMOUNT}, "
-    f"share_to_underlying_price {AMOUNT}, staked_underlying {AMOUNT}, underlying_total_supply {AMOUNT}, "
-    "underlying_capture_percentage DOUBLE"
-)
-ERROR_LOG = "chain STRING, datetime TIMESTAMP, rpc_url STRING, request STRING, response STRING"
-COVERAGE_METRICS = (
-    "datetime TIMESTAMP, chain STRING, import_type STRING, eol BOOLEAN, errors_count BIGINT, "
-    "success_count BIGINT, not_covered_yet BIGINT"
-)
-# one row per range instead of a JSON array per key, so a key with very many ranges still spreads over tasks
-COVERAGE_RANGES = "import_key STRING, kind STRING, from BIGINT, to BIGINT"
 EVENT_LOG = (
     "chain STRING, address STRING, block_number BIGINT, removed BOOLEAN, transaction_hash STRING, "
     "log_index BIGINT, topics ARRAY<STRING>, data STRING"
 )
-
-# fixed values: the networks a chain column may hold
-CHAINS = """
-arbitrum aurora avax base berachain bsc canto celo cronos emerald ethereum fantom fraxtal fuse gnosis harmony
-heco hyperevm kava linea lisk mantle metis megaeth manta mode monad moonbeam moonriver optimism plasma polygon
-real rollux rootstock saga scroll sei sonic unichain zkevm zksync
-""".split()
