@@ -58,3 +58,19 @@ def test_filters_and_columns_reach_the_files(spark):
     plan = REGISTRY["time_bounded_scan"].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
     assert "event_type" not in plan
+
+
+@pytest.mark.parametrize("name", ["balances_at_block", "price_series_1h_week", "tvl_one_week"])
+def test_time_bounds_reach_the_ticks(spark, name):
+    plan = REGISTRY[name].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert any("GreaterThanOrEqual(ts" in part.split("]")[0] for part in plan.split("PushedFilters: [")[1:])
+
+
+# exchanges of the initial plan; adaptive execution runs 17 and 9 of them
+EXCHANGES = {"import_plan": 22, "ranges_excluded": 13}
+
+
+@pytest.mark.parametrize("name", EXCHANGES)
+def test_interval_sweeps_shuffle_little(spark, name):
+    plan = REGISTRY[name].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= EXCHANGES[name]

@@ -11,6 +11,7 @@ from tidemark.functions.hexbytes import to_hex_text
 from tidemark.operators import transfers as tr
 from tidemark.operators import upsert as up
 from tidemark.operators.latest import keep_first
+from tidemark.plans import coverage as cov
 from tidemark.plans import valuation
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path
@@ -117,6 +118,23 @@ def _(t):
     return bad.groupBy("chain", "reason").agg(F.count("*").alias("n"), F.min("block_number").alias("first_block"))
 
 
+@query(
+    "quarantine_to_retries", "ST10 I12 I13",
+    f"""WITH p AS (SELECT DISTINCT chain AS import_key, block_number AS d FROM ({_OVERSIZED}) WHERE reason IS NOT NULL)
+        SELECT import_key, 'covered' AS kind, 0 AS "from", max(event_id // 8) AS "to" FROM (SELECT event_type AS import_key, event_id FROM events) GROUP BY 1
+        UNION ALL SELECT import_key, 'retry', min(d), max(d) FROM (SELECT *, d - row_number() OVER (PARTITION BY import_key ORDER BY d) AS g FROM p) GROUP BY import_key, g""",
+)
+def _(t):
+    # a chain's log is imported up to its last block; blocks with an event in quarantine count as failed and wait for a retry
+    _, bad = split_oversized(t)
+    latest = event_logs(t).groupBy(F.col("chain").alias("import_key")).agg(F.max("block_number").alias("to"))
+    good = latest.select("import_key", F.lit(0).cast("long").alias("from"), "to", F.lit(True).alias("success"), F.col("to").alias("latest"))
+    block = F.col("block_number")
+    failed = bad.select(F.col("chain").alias("import_key"), block.alias("from"), block.alias("to"), F.lit(False).alias("success"), block.alias("latest"))
+    _, ranges = cov.fold_results(t.states.limit(0), t.coverage.limit(0), good.unionByName(failed.distinct()), AS_OF, 1024)
+    return ranges
+
+
 @query(
     "net_beside_quarantine", "D3 P13 A26",
     f"""SELECT owner_address, sum(amount) AS amount_transferred FROM (
@@ -411,6 +429,32 @@ def _(t):
     return valuation.invalidate(t.timeline, t.products, refreshed).select("investor_id", "product_id", "block_number", "usd_balance", "underlying_balance")
 
 
+@query(
+    "reprice_after_refresh", "ST4 D10 S14 S15",
+    """SELECT investor_id, product_id, block_number, CASE WHEN hit THEN underlying_to_usd_price + 1 ELSE underlying_to_usd_price END AS underlying_to_usd_price,
+       CASE WHEN hit THEN underlying_balance * (underlying_to_usd_price + 1) ELSE usd_balance END AS usd_balance FROM (
+       SELECT *, product_id IN (SELECT product_id FROM products WHERE price_feed_1_id IN (2, 3) OR price_feed_2_id IN (2, 3))
+         AND datetime BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-19 23:59:59' AS hit FROM timeline)""",
+    "underlying_to_usd_price usd_balance",
+)
+def _(t):
+    # feeds 2 and 3 are imported anew over ten days, with other prices: what was valued by them is cleared, resolved and written back
+    at = F.col("datetime")
+    lo, hi = F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-19 23:59:59").cast("timestamp")
+    raised = F.when(at.between(lo, F.lit("2024-01-19 23:59:59.999999").cast("timestamp")), F.col("price") + 1).otherwise(F.col("price"))
+    ticks = t.price_ts.withColumn("price", raised.cast("decimal(38,18)"))
+    refreshed = t.price_ts.select("price_feed_id").distinct().filter("price_feed_id IN (2, 3)").withColumns({"from": lo, "to": hi})
+    cleared = valuation.invalidate(t.timeline, t.products, refreshed)
+    feeds = t.products.select("product_id", F.col("price_feed_2_id").alias("price_feed_id"))
+    keys = ["investor_id", "product_id", "datetime", "block_number"]
+    missing = cleared.filter(F.col("underlying_to_usd_price").isNull()).select(*keys).join(feeds, "product_id")
+    none = missing.select("price_feed_id", F.lit(0).cast("long").alias("from"), F.lit(0).cast("long").alias("to")).limit(0)
+    created = missing.select("price_feed_id").distinct().withColumn("first_date", lo)
+    resolved = valuation.resolve_missing(missing, ticks, none, none, created, AS_OF)
+    written = valuation.apply_prices(cleared, resolved)
+    return written.select("investor_id", "product_id", "block_number", "underlying_to_usd_price", "usd_balance")
+
+
 @query("delete_feed_prices", "S16", "SELECT price_feed_id, count(*) AS n FROM price_ts WHERE price_feed_id NOT IN (SELECT price_feed_1_id FROM products WHERE price_feed_1_id IS NOT NULL AND chain IN ('view', 'purchase')) GROUP BY 1")
 def _(t):
     two_chains = t.products.filter(F.col("chain").isin("view", "purchase"))

@@ -11,6 +11,7 @@ from tidemark.operators import intervals
 from tidemark.plans import coverage as cov
 from tidemark.plans import valuation
 from tidemark.queries.registry import query
+from tidemark.session import scratch_path
 
 AS_OF = datetime(2024, 2, 1)
 KEY = ["import_key"]
@@ -221,6 +222,23 @@ def _(t):
     return cov.plan_import(windows, t.coverage, 30, 50, cell_width=CELL).withColumn("rank", F.col("rank").cast("bigint"))
 
 
+_WHOLE_PLAN = f"""SELECT import_key, "from", "to" FROM ({_ranked(_SLICES_DESC.format(source=excluded_sql(_FULL, ALL)).replace('10', '30').replace('- 9)', '- 29)'), 'DESC', 10**6)})
+         UNION ALL SELECT import_key, "from", "to" FROM ({_ranked(_SLICES_DESC.format(source=merged_sql(RETRY, 0)).replace('10', '30').replace('- 9)', '- 29)'), 'DESC', 10**6)})"""
+
+
+@query("import_rounds", "ST7 I13 I14", f"SELECT (SELECT count(*) FROM ({_WHOLE_PLAN})) AS planned, CAST(0 AS BIGINT) AS planned_again")
+def _(t):
+    # plan, load what was planned, note the results, plan again: nothing is left
+    windows = t.states.select("import_key", F.col("contract_created_at_block").alias("from"), F.col("chain_latest_block_number").alias("to"))
+    path = scratch_path(t.spark, "plan")
+    cov.plan_import(windows, t.coverage, 30, 10**6, cell_width=CELL).write.parquet(path)
+    planned = t.spark.read.parquet(path)
+    loaded = planned.select("import_key", "from", "to", F.lit(True).alias("success"), F.col("to").alias("latest"))
+    _, known = cov.fold_results(t.states, t.coverage, loaded, AS_OF, CELL)
+    again = cov.plan_import(windows, known, 30, 10**6, cell_width=CELL)
+    return planned.agg(F.count("*").alias("planned")).select("planned", again.agg(F.count("*")).scalar().alias("planned_again"))
+
+
 @query(
     "recent_windows", "I15 ST7 ST11",
     """SELECT import_key, greatest(5, chain_latest_block_number - least(1000, 86400000 // 120000)) - 5 AS "from", chain_latest_block_number - 5 AS "to" FROM states""",
