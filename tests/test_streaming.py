@@ -162,3 +162,15 @@ def test_registered_streams_read_a_folder_of_files(spark, tmp_path):
     for name in ("stream_rollup_1h", "stream_rollup_1d", "stream_blocks_once", "stream_load_prices", "stream_positions"):
         one = sorted(map(str, REGISTRY[name].run(spark, SMALL).collect()))
         assert sorted(map(str, REGISTRY[name].run(spark, str(folder)).collect())) == one, name
+
+
+def test_scratch_folders_are_cleared(spark, tmp_path):
+    import os
+
+    from tidemark import session
+
+    session.clear_scratch(spark)
+    path = session.scratch_path(spark, "any")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert session.clear_scratch(spark) == 1 and not os.path.exists(path.removeprefix("file:"))

@@ -42,9 +42,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; ``clear_scratch`` removes what was written there."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders of this session, once nothing reads frames made before any more; returns how many."""
+    removed = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += int(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
