@@ -14,6 +14,7 @@ from tidemark.llm import (
     language_id,
     line_dedup,
     ngram_join,
+    oracles,
     packing,
     quality_rules,
     sentence_pieces,
@@ -22,7 +23,13 @@ from tidemark.llm import (
 from tidemark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+#: Only what SQL can express as a whole; the tests hold the others against brute-force versions.
+SQL: dict[str, str] = {
+    "op1_line_dedup": oracles.LINE_DEDUP,
+    "op2_ngram_join": oracles.NGRAM_JOIN,
+    "op6_chat_format": oracles.CHAT_FORMAT,
+    "op8_embedding_dedup": oracles.EMBEDDING_DEDUP,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
