@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hexbytes import from_hex_text, to_hex_text
 from tidemark.functions.json_fields import contract_address, display_id, is_eol, is_true, pretty, variant_field
-from tidemark.functions.timegrid import interval, time_bucket
+from tidemark.functions.timegrid import interval, micros, time_bucket
 from tidemark.operators import sketches
 from tidemark.operators.asof import first_at_or_above
 from tidemark.operators.latest import current_holders, last_by
 from tidemark.operators.ohlc import rollup_between
+from tidemark.operators.scan import Run, running
 from tidemark.plans.valuation import value
 
 COUNT_THRESHOLDS = [10**k for k in range(8)]
@@ -279,16 +280,13 @@ def exact_holders(ledger: DataFrame, period: str, lo: Column, hi: Column) -> Dat
         .groupBy("bucket")
         .agg(F.sum("_change").alias("_change"))
     )
-    axis = Window.partitionBy().orderBy("datetime").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    grid = changes.agg(F.min("bucket").alias("lo")).select(
-        F.explode(F.sequence("lo", time_bucket(period, hi), interval(period))).alias("datetime")
-    )
-    # one row per bucket from here on
-    return (
-        grid.join(changes.withColumnRenamed("bucket", "datetime"), "datetime", "left")
-        .select("datetime", F.sum(F.coalesce("_change", F.lit(0))).over(axis).alias("investor_count"))
-        .filter(F.col("investor_count") > 0)
+    grid = ledger.sparkSession.range(1).select(
+        F.explode(F.sequence(time_bucket(period, lo), time_bucket(period, hi), interval(period))).alias("datetime")
     )
+    steps = grid.join(changes.withColumnRenamed("bucket", "datetime"), "datetime", "left")
+    stretch = F.floor(F.unix_micros("datetime") / F.lit(4096 * micros(period))).cast("long")
+    counted = running(steps, [], ["datetime"], stretch, {"investor_count": Run("sum", F.coalesce("_change", F.lit(0)))})
+    return counted.select("datetime", "investor_count").filter(F.col("investor_count") > 0)
 
 
 def transactions(rows: DataFrame, products: DataFrame, rates: DataFrame | None = None, valued: bool = False) -> DataFrame:
