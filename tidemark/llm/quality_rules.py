@@ -48,7 +48,8 @@ class Rules:
     #: Both distances together; short texts stray further from any average, by about 1 / sqrt(words).
     max_distance_sum: float = 0.42
     short_text_allowance: float = 0.6
-    #: A language gives a reference when it holds this share of the documents, so there are at most 1 / share.
+    #: The most frequent languages give references, each that holds this share of their documents.
+    max_languages: int = 200
     min_language_share: float = 0.002
     common_words: str = COMMON_WORDS
 
@@ -172,9 +173,9 @@ def references(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang
     parts = map_slices(known, step, "lang string, sums array<bigint>")
     width = 1 + CLASSES + hist.size
     totals = parts.groupBy("lang").agg(*(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)))
-    whole = totals.agg(F.sum("s0").alias("all_docs"))
-    kept = totals.join(whole, totals.s0 >= whole.all_docs * rules.min_language_share).drop("all_docs")
-    rows = sorted(kept.collect(), key=lambda r: r.lang)  # at most 1 / min_language_share rows
+    frequent = totals.orderBy(F.desc("s0"), "lang").limit(rules.max_languages).collect()
+    least = rules.min_language_share * sum(r.s0 for r in frequent)
+    rows = sorted((r for r in frequent if r.s0 >= least), key=lambda r: r.lang)
     sums = np.array([[r[f"s{i}"] for i in range(1, width)] for r in rows], dtype=float).reshape(len(rows), width - 1)
     return References([r.lang for r in rows], _shares(sums[:, :CLASSES]), _shares(sums[:, CLASSES:]))
 
