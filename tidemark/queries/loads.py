@@ -84,10 +84,10 @@ def oversized_logs(t):
     return event_logs(t).withColumn("data", F.coalesce(huge, F.col("data")))
 
 
-@query(
-    "decoded_logs", "D1 S1",
-    f"""SELECT log_index, event_name, owner AS first_party, CASE WHEN event_name = 'Transfer' THEN other END AS second_party, CAST(cents * 1000000000000 AS BIGINT) AS amount FROM ({_LOGS}) WHERE event_name IS NOT NULL""",
-)
+DECODED_LOGS = f"""SELECT log_index, event_name, owner AS first_party, CASE WHEN event_name = 'Transfer' THEN other END AS second_party, CAST(cents * 1000000000000 AS BIGINT) AS amount FROM ({_LOGS}) WHERE event_name IS NOT NULL"""
+
+
+@query("decoded_logs", "D1 S1", DECODED_LOGS)
 def _(t):
     good, _ = tr.split_decodable(tr.decode(landed_logs(t)))
     return good.select("log_index", "event_name", "first_party", "second_party", "amount")

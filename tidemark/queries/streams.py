@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timegrid import cell
 from tidemark.operators import sketches
+from tidemark.operators import transfers as tr
 from tidemark.plans import coverage as cov
+from tidemark.queries.loads import DECODED_LOGS, event_logs
 from tidemark.queries.registry import query
 from tidemark.schema import AMOUNT
 from tidemark.session import scratch_path
+from tidemark.sources import readers
 from tidemark.sources.standins import PRODUCTS, SCHEMAS, _type_index
 from tidemark.streaming import positions, rollups
 
@@ -87,6 +90,23 @@ def _(t):
     return t.spark.read.parquet(path).select("chain", "block_group")
 
 
+@query("stream_decoded_logs", "S1 D1 ST8", DECODED_LOGS)
+def _(t):
+    # the landed log as a stream of files: decoded on the way, what cannot be read goes beside it with the reason
+    landing, good, bad = (scratch_path(t.spark, name) for name in ("logs", "decoded", "quarantine"))
+    event_logs(t).write.parquet(landing)
+    columns = ["log_index", "event_name", "first_party", "second_party", "amount"]
+
+    def save(batch, number):
+        usable, unusable = tr.split_decodable(batch)
+        rollups.overwrite_partitions(usable.select(*columns, F.lit(number).alias("batch")), good, "batch")
+        rollups.overwrite_partitions(unusable.select("chain", "block_number", "log_index", "reason", F.lit(number).alias("batch")), bad, "batch")
+
+    stream = tr.decode(readers.event_log(t.spark, landing, streaming=True)).writeStream.foreachBatch(save)
+    finish(stream.option("checkpointLocation", scratch_path(t.spark, "logs-checkpoint")).trigger(availableNow=True).start())
+    return t.spark.read.parquet(good).select(*columns)
+
+
 _LOTS = """WITH d AS (SELECT product_id, investor_id, datetime, block_number, CAST(balance_diff AS DOUBLE) AS shares, 1.0 + block_number % 10 / 100.0::DOUBLE AS price FROM ledger_diffs),
    s AS (SELECT *, sum(shares) OVER w AS S, sum(greatest(shares, 0)) OVER w AS B FROM d WINDOW w AS (PARTITION BY investor_id, product_id ORDER BY datetime, block_number ROWS UNBOUNDED PRECEDING)),
    i AS (SELECT *, S - least(0, min(S) OVER w) AS I FROM s WINDOW w AS (PARTITION BY investor_id, product_id ORDER BY datetime, block_number ROWS UNBOUNDED PRECEDING)),
