@@ -100,7 +100,7 @@ def test_chunks_cut_anywhere(v):
                 cut = [(t[a : b + v.longest - 1], b - a) for a, b in zip(bounds, bounds[1:])]
                 made = [S._ends(v, x, n, k == 0) for k, (x, n) in enumerate(cut)]
                 states = S.boundary_states(made) if len(cut) > 1 else [0, 0]
-                parts = [S._traced(encoder, x, n, a, b) for (x, n), a, b in zip(cut, states, states[1:])]
+                parts = S.traced(encoder, [x for x, _ in cut], [n for _, n in cut], states[:-1], states[1:])
                 assert abs(path_sum(v, t, ids(b"".join(parts))) - want) < 1e-6
 
 

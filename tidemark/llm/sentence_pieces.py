@@ -36,6 +36,8 @@ from tidemark.llm.common import SLICE, written
 BLANK = "▁"
 #: Characters of a chunk. A text with more is cut.
 CHUNK = 16_384
+#: Characters that are encoded together: the more, the more words they share; the parts of this many are held at once.
+TOGETHER = 2_000_000
 #: Parts up to this length are worked out in common; longer ones (no blank for so long) one by one.
 LONGEST_SHARED = 48
 _PART = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -68,7 +70,7 @@ class Vocabulary:
         """Two tables of span hash -> id; a seed is sought with which every piece finds a free place in one of them."""
         texts = list(self.ids)
         ids = np.fromiter(self.ids.values(), dtype=np.int32)
-        keys = np.concatenate([self._spans(self._codes([t]), len(t))[:, 0] for t in texts])
+        keys = np.array([list(self._spans(self._codes([t]), len(t)))[-1][0, 0] for t in texts])
         self.shift = np.uint64(64 - bits)
         for seed in range(1, 200):
             a, b = (np.uint64((0x9E3779B97F4A7C15 * (2 * seed + k) | 1) & (2**64 - 1)) for k in (0, 1))
@@ -93,14 +95,14 @@ class Vocabulary:
         return np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).reshape(len(texts), -1)
 
     @staticmethod
-    def _spans(codes: np.ndarray, size: int) -> np.ndarray:
-        """Hash of each span of ``size`` characters of each row."""
-        n = codes.shape[1] - size + 1
-        out = np.full((len(codes), n), size, dtype=np.uint64)
-        for k in range(size):
-            out = (out ^ codes[:, k : k + n]) * np.uint64(0x100000001B3)
-            out ^= out >> np.uint64(29)
-        return out
+    def _spans(codes: np.ndarray, sizes: int) -> Iterator[np.ndarray]:
+        """Per span size from 1: the hash of each span of each row, made from that of the span one shorter."""
+        codes = codes.astype(np.uint64)
+        out = np.full(codes.shape, 0x9E3779B97F4A7C15, dtype=np.uint64)
+        for size in range(1, sizes + 1):
+            out = (out[:, : codes.shape[1] - size + 1] ^ codes[:, size - 1 :]) * np.uint64(0xD6E8FEB86659FD93)
+            out ^= out >> np.uint64(32)
+            yield out
 
     def lookup(self, keys: np.ndarray) -> np.ndarray:
         """Ids of spans by their hashes, -1 where there is no such piece."""
@@ -111,10 +113,7 @@ class Vocabulary:
 
     def span_ids(self, codes: np.ndarray) -> list[np.ndarray]:
         """Per span size from 1: the id of the span that begins at each place of each row."""
-        out, n = [], codes.shape[1]
-        for size in range(1, min(self.longest, n) + 1):
-            out.append(self.lookup(self._spans(codes, size)))
-        return out
+        return [self.lookup(keys) for keys in self._spans(codes, min(self.longest, codes.shape[1]))]
 
     def ids_of(self, text: str, start: int, end: int, found: int) -> list[int]:
         """The ids of one step of a path: a piece, or what stands for a character outside the vocabulary."""
@@ -130,6 +129,12 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(vocabulary(path))
+
+
 def normalised(text: str) -> str:
     """Blanks made visible, and one at the front."""
     return BLANK + text.replace(" ", BLANK) if text else ""
@@ -157,36 +162,50 @@ def encode_parts(v: Vocabulary, parts: list[str]) -> list[bytes]:
             top = np.where(better, gain, top)
             size[better] = k
         best[:, e], back[:, e] = top, size
-    out: list[list[int]] = [[] for _ in range(rows)]
-    at = np.full(rows, n)
-    left = np.arange(rows)
+    # back from the end, all rows a step at a time; ids fill their row from the right
+    found, free = np.empty((rows, n), dtype="<u4"), np.full(rows, n)
+    at, left = np.full(rows, n), np.arange(rows)
+    outside = np.zeros(rows, dtype=bool)
     while len(left):
         size = back[left, at[left]]
         for k in np.unique(size):
             own = left[size == k]
             ids = spans[k - 1][own, at[own] - k]
-            for r, i in zip(own.tolist(), ids.tolist()):
-                if i >= 0:
-                    out[r].append(i)
-                else:
-                    e = int(at[r])
-                    out[r].extend(reversed(v.ids_of(parts[r], e - 1, e, -1)))
+            free[own] -= 1
+            found[own, free[own]] = ids.astype(np.uint32)
+            outside[own[ids < 0]] = True
         at[left] -= size
         left = left[at[left] > 0]
-    return [np.array(x[::-1], dtype="<u4").tobytes() for x in out]
+    raw = found.tobytes()
+    out = [raw[4 * (r * n + f) : 4 * (r + 1) * n] for r, f in enumerate(free.tolist())]
+    for r in np.flatnonzero(outside):
+        out[r] = _with_fallback(v, parts[r], back[r], out[r])
+    return out
+
+
+def _with_fallback(v: Vocabulary, text: str, back: np.ndarray, ids: bytes) -> bytes:
+    """Ids of a part that holds characters outside the vocabulary."""
+    ends, e = [], len(text)
+    while e:
+        ends.append(e)
+        e -= int(back[e])
+    out: list[int] = []
+    for e, i in zip(reversed(ends), np.frombuffer(ids, dtype="<u4").view(np.int32)):
+        out += v.ids_of(text, e - int(back[e]), e, int(i))
+    return np.array(out, dtype="<u4").tobytes()
 
 
 class Encoder:
     """Encodes texts; keeps the ids of parts it has seen, up to a bound."""
 
-    def __init__(self, v: Vocabulary, remember: int = 250_000):
+    def __init__(self, v: Vocabulary, remember: int = 300_000):
         self.v, self.remember, self.known = v, remember, {}
 
     def parts(self, text: str) -> list[str]:
         return _PART.findall(text) if self.v.falls_apart else [text] if text else []
 
     def learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.known]
+        new = parts.difference(self.known)
         if len(self.known) + len(new) > self.remember:
             self.known = {p: self.known[p] for p in parts if p in self.known}
         by_size: dict[int, list[str]] = {}
@@ -202,9 +221,17 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of normalised texts."""
-        cut = [self.parts(t) for t in texts]
-        self.learn({p for parts in cut for p in parts})
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+        out: list[bytes] = []
+        while len(out) < len(texts):
+            cut, size = [], 0
+            for t in texts[len(out) :]:
+                size += len(t)
+                if cut and size > TOGETHER:
+                    break
+                cut.append(self.parts(t))
+            self.learn({p for parts in cut for p in parts})
+            out += [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+        return out
 
 
 # --- chunks ------------------------------------------------------------------------------------------------------
@@ -345,10 +372,10 @@ def _whole(docs: DataFrame, path: str, kind: str) -> DataFrame:
     """Documents of one chunk, encoded at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(path))
+        encoder = encoder_of(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
                 found = encoder.encode([normalised(t or "") for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], ["doc_id", "ids"])
 
@@ -416,13 +443,15 @@ def _giant(docs: DataFrame, path: str, kind: str, chunk: int) -> DataFrame:
     ).select("doc_id", "version", "chunk", "size", "body", "s_enter", "s_leave")
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(path))
+        encoder = encoder_of(path)
         for batch in batches:
-            size, body, enter, leave = (batch.column(c).to_pylist() for c in (3, 4, 5, 6))
-            made = [_traced(encoder, t, n, a, b) for t, n, a, b in zip(body, size, enter, leave)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(made, pa.binary())], ["doc_id", "version", "chunk", "ids"]
-            )
+            for lo in range(0, batch.num_rows, TOGETHER // chunk + 1):
+                part = batch.slice(lo, TOGETHER // chunk + 1)
+                size, body, enter, leave = (part.column(c).to_pylist() for c in (3, 4, 5, 6))
+                made = traced(encoder, body, size, enter, leave)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array(made, pa.binary())], ["doc_id", "version", "chunk", "ids"]
+                )
 
     return placed.mapInArrow(back, f"doc_id {kind}, version bigint, chunk bigint, ids binary")
 
@@ -455,17 +484,19 @@ def _ends(v: Vocabulary, text: str, size: int, first: bool) -> np.ndarray:
     return np.maximum(head + tail, _LOW)
 
 
-def _traced(encoder: Encoder, text: str, size: int, enter: int, leave: int) -> bytes:
-    """Ids of the pieces that begin in a chunk; parts that lie inside it come from the encoder."""
+def traced(encoder: Encoder, texts: list[str], sizes: list[int], enter: list[int], leave: list[int]) -> list[bytes]:
+    """Ids of the pieces that begin in each chunk; parts that lie inside the chunks come from the encoder."""
     v = encoder.v
-    cuts = _cuts(v, text, size)
-    if cuts is None:
-        return trace(v, text, size, enter, leave)
-    a, b = cuts
-    head = trace(v, text[:a], a, enter, 0)
-    body = encoder.encode([text[a:b]])[0] if b > a else b""
-    tail = trace(v, text[b:], size - b, 0, leave) if b < size else b""
-    return head + body + tail
+    cuts = [_cuts(v, t, n) for t, n in zip(texts, sizes)]
+    bodies = iter(encoder.encode([t[c[0] : c[1]] for t, c in zip(texts, cuts) if c]))
+    out = []
+    for t, n, c, a, b in zip(texts, sizes, cuts, enter, leave):
+        if c is None:
+            out.append(trace(v, t, n, a, b))
+            continue
+        tail = trace(v, t[c[1] :], n - c[1], 0, b) if c[1] < n else b""
+        out.append(trace(v, t[: c[0]], c[0], a, 0) + next(bodies) + tail)
+    return out
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
