@@ -37,7 +37,7 @@ BLANK = "▁"
 #: Characters of a chunk. A text with more is cut.
 CHUNK = 16_384
 #: Characters that are encoded together: the more, the more words they share; the parts of this many are held at once.
-TOGETHER = 2_000_000
+TOGETHER = 1_000_000
 #: Parts up to this length are worked out in common; longer ones (no blank for so long) one by one.
 LONGEST_SHARED = 48
 _PART = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -198,7 +198,7 @@ def _with_fallback(v: Vocabulary, text: str, back: np.ndarray, ids: bytes) -> by
 class Encoder:
     """Encodes texts; keeps the ids of parts it has seen, up to a bound."""
 
-    def __init__(self, v: Vocabulary, remember: int = 300_000):
+    def __init__(self, v: Vocabulary, remember: int = 150_000):
         self.v, self.remember, self.known = v, remember, {}
 
     def parts(self, text: str) -> list[str]:
