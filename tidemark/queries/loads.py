@@ -186,12 +186,16 @@ def _(t):
 
 @query(
     "transfers_in_requested_blocks", "I21",
-    """SELECT l.log_index, l.owner_address FROM legs l JOIN (SELECT unnest(['click','error','purchase','signup','view']) AS chain, unnest([0, 100, 200, 300, 400]) AS "from") r USING (chain) WHERE l.block_number BETWEEN r."from" AND r."from" + 500""",
+    """WITH r AS (SELECT event_type AS chain, min(event_id // 8) AS lo, max(event_id // 8) AS hi, list_position(['click','error','purchase','signup','view'], event_type) AS n FROM events GROUP BY event_type)
+       SELECT l.log_index, l.owner_address FROM legs l JOIN r USING (chain) WHERE l.block_number BETWEEN r.lo + (r.hi - r.lo) * (n - 1) // 10 AND r.lo + (r.hi - r.lo) * (n + 4) // 10""",
 )
 def _(t):
-    lo = (F.array_position(F.array(*[F.lit(x) for x in ("click", "error", "purchase", "signup", "view")]), F.col("chain")) - 1) * 100
-    asked = t.blocks.select("chain").distinct().select("chain", lo.alias("from"), (lo + 500).alias("to"))
-    return tr.inside_requested(t.legs, asked, ["chain"], cell_width=128).select("log_index", "owner_address")
+    # each chain asks for another half of its blocks; one scan serves them all
+    n = F.array_position(F.array(*[F.lit(x) for x in ("click", "error", "purchase", "signup", "view")]), F.col("chain"))
+    ends = t.legs.groupBy("chain").agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi"))
+    part = lambda tenths: F.col("lo") + F.floor((F.col("hi") - F.col("lo")) * tenths / 10)
+    asked = ends.select("chain", part(n - 1).alias("from"), part(n + 4).alias("to"))
+    return tr.inside_requested(t.legs, asked, ["chain"], cell_width=16).select("log_index", "owner_address")
 
 
 @query(
