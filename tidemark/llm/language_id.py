@@ -85,7 +85,7 @@ def _squared_hinge(x: np.ndarray, y: np.ndarray, fit: Fit) -> np.ndarray:
     out), by accelerated gradient descent."""
     n = np.maximum((y != 0).sum(axis=0), 1)
     share = np.where(y > 0, 1 / np.maximum((y > 0).sum(axis=0), 1), 1 / np.maximum((y < 0).sum(axis=0), 1)) * n / 2
-    weight = np.where(y == 0, 0, share) / n
+    weight = (np.where(y == 0, 0, share) / n).astype(np.float32)
     step = 1 / (4 * np.maximum(weight.sum(axis=0), 1e-9) + fit.ridge)  # rows have a squared length of at most 2
     w = z = np.zeros((x.shape[1], y.shape[1]), dtype=np.float32)
     for t in range(fit.steps):
