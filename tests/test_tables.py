@@ -227,6 +227,15 @@ def test_merge_reads_and_rewrites_only_its_partitions(spark, tmp_path, monkeypat
     assert got == {i: i for i in range(100)} | {1: -1, 500: 5}
 
 
+def test_merge_of_a_partition_without_a_value(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, None, 1), (2, None, 2), (3, "2024-01-01", 3)], PRICES).write.partitionBy("day").parquet(path)
+    batch = spark.createDataFrame([(9, None, 9), (3, "2024-01-01", 30)], PRICES)
+    upsert.merge_into_partitions(spark, path, batch, ["k"], "day")
+    got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert got == {1: 1, 2: 2, 3: 30, 9: 9}
+
+
 def test_merge_that_dies_half_way_is_finished_by_the_next(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     stored_prices(spark, path)
@@ -267,3 +276,33 @@ def test_merge_refuses_a_second_writer(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(upsert, "upsert", meanwhile)
     with pytest.raises(RuntimeError, match="another writer"):
         upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")
+
+
+def test_rows_before_the_first_tick_ask_for_one_place(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, i, 10, 500 + i) for i in range(300)] + [(2, 0, 5, 7)], "price_feed_id INT, n INT, _need_from LONG, _need_to LONG")
+    ranges = spark.createDataFrame([(1, 0, 600), (2, 6, 9)], "price_feed_id INT, `from` LONG, `to` LONG")
+    seen, real = [], valuation.running
+    monkeypatch.setattr(valuation, "running", lambda df, *a: seen.append(df.count()) or real(df, *a))
+    got = valuation._inside_one_range(rows, ranges).groupBy("price_feed_id", "_is_green").count().collect()
+    assert seen == [4]  # two places and two ranges, however many rows ask
+    assert sorted(map(tuple, got)) == [(1, False, 199), (1, True, 101), (2, False, 1)]
+
+
+def test_a_hot_feed_is_cut_into_cells(spark, monkeypatch):
+    from tidemark.operators import asof
+
+    rng, start = random.Random(8), datetime(2024, 1, 1)
+    at = lambda: start.replace(day=rng.randint(1, 10), hour=rng.randrange(24), minute=rng.randrange(60), second=rng.randrange(60))
+    feed = lambda i: 1 if i % 3 == 0 else rng.randint(2, 40)
+    probes = spark.createDataFrame([(i, feed(i), at()) for i in range(3000)], "n INT, price_feed_id INT, datetime TIMESTAMP")
+    ticks = spark.createDataFrame([(feed(i), at(), i, Decimal(i)) for i in range(3000)], "price_feed_id INT, datetime TIMESTAMP, block_number LONG, price DECIMAL(38,18)")
+    largest, real = [], asof.running
+
+    def spy(df, keys, order, cell, outputs):
+        sizes = df.withColumn("_c", cell).groupBy(*keys, "_c").count()
+        largest.append(sizes.agg(F.max("count")).first()[0])
+        return real(df, keys, order, cell, outputs)
+
+    monkeypatch.setattr(asof, "running", spy)
+    assert asof.interpolated_price(probes, ticks).count() == 3000
+    assert len(largest) == 2 and max(largest) < 40  # a third of the rows, 1000 probes and as many ticks, over 240 hours

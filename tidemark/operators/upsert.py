@@ -187,9 +187,10 @@ def merge_into_partitions(
     if table_exists(spark, path):
         stored = spark.read.parquet(path)
         if len(values) <= LISTED_PARTITIONS:
-            current = stored.filter(F.col(partition).isin(values))
+            current = stored.filter(one_of(F.col(partition), values))
         else:
-            current = stored.join(clean.select(partition).distinct(), partition, "left_semi")
+            touched = clean.select(F.col(partition).alias("_touched")).distinct()
+            current = stored.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
         seen = _partition_files(spark, path, partition)
         result = upsert(current, clean, keys, policies)
     else:
@@ -205,6 +206,13 @@ def merge_into_partitions(
     finish_merges(spark, path)
 
 
+def one_of(column: Column, values: Sequence) -> Column:
+    """Whether a column is one of some values; None stands for NULL."""
+    known = [v for v in values if v is not None]
+    found = column.isin(known) if known else F.lit(False)
+    return found | column.isNull() if len(known) < len(values) else found
+
+
 def finish_merges(spark: SparkSession, path: str) -> int:
     """Move the partitions of complete staged merges into place and clear what incomplete ones left; returns how many
     merges were finished. Running it again, or after it died half way, comes to the same table."""

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.timegrid import ORIGIN_MICROS, SAMPLING_MS, interval, micros, time_bucket
 from tidemark.operators.latest import first_by, last_by
 from tidemark.operators.ohlc import rollup
-from tidemark.operators.upsert import LISTED_PARTITIONS, merge_into_partitions, overwrite_partitions, table_exists
+from tidemark.operators.upsert import LISTED_PARTITIONS, merge_into_partitions, one_of, overwrite_partitions, table_exists
 
 # how late a tick may be and still reach a rollup by itself; older ones need refresh_range
 LATENESS = {"1hour": "1 day", "1day": "3 days"}
@@ -128,7 +128,7 @@ def write_once(rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str],
             slots = [r[0] for r in fresh.select(SLOT).distinct().limit(LISTED_PARTITIONS + 1).collect()]
             known = spark.read.schema(f"{SLOT} string, {BATCH} bigint, {_ddl(fresh, keys)}").parquet(path).filter(F.col(BATCH) != number)
             if len(slots) <= LISTED_PARTITIONS:
-                known = known.filter(F.col(SLOT).isin(slots))
+                known = known.filter(one_of(F.col(SLOT), slots))
             fresh = fresh.join(known.select(*keys, SLOT), [*keys, SLOT], "left_anti")
         (
             fresh.withColumn(BATCH, F.lit(number).cast("long"))
