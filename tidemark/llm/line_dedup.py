@@ -117,11 +117,12 @@ def repeated_windows(docs: DataFrame, runs: Runs = Runs(), id_col: str = "doc_id
     ).where(F.col("text").isNotNull())
     rows = written(window_rows(keyed, runs), "windows")
     postings = rows.groupBy("fp").agg(F.min("anchor").alias("lo"), F.max("anchor").alias("hi"))
-    shared = postings.where("lo != hi").select("fp")
+    # both lists are written, so that each join stands between two plain shuffles and a hot key can be split
+    shared = written(postings.where("lo != hi").select("fp"), "fingerprints")
     joined = rows.join(shared, "fp", "left_semi").drop("fp", "anchor")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "version", "first")
     sources = joined.groupBy("window").agg(F.min(place).alias("source"), F.max(place).alias("latest"))
-    sources = sources.where("source != latest").select("window", "source")
+    sources = written(sources.where("source != latest").select("window", "source"), "sources")
     return joined.join(sources, "window").where(place > F.col("source")).select("id", "version", "first", "size").distinct()
 
 
