@@ -241,7 +241,8 @@ def _units(groups: DataFrame, join: Join) -> DataFrame:
     blocks = F.greatest(
         F.ceil(F.col("members") / join.block_members), F.ceil(F.col("shingles") / join.block_shingles)
     ).cast("int")
-    buckets = buckets.select("key", blocks.alias("blocks"))
+    # written, so that the join stands between two plain shuffles and a hot bucket can be split
+    buckets = written(buckets.select("key", blocks.alias("blocks")), "buckets")
     found = bands.select("key", "cls").join(buckets, "key")
     found = found.join(groups.select("cls", "sig", "copies", "rep"), "cls")
     block = F.pmod(F.xxhash64(F.lit(3), "cls"), F.col("blocks")).cast("int")
@@ -346,7 +347,7 @@ def grouped(groups: DataFrame, found: DataFrame) -> DataFrame:
         .join(parts.withColumnRenamed("node", "cls"), "cls", "left")
         .withColumn("component", F.coalesce("component", "cls"))
     )
-    heads = placed.groupBy("component").agg(F.min("rep").alias("head"))
+    heads = written(placed.groupBy("component").agg(F.min("rep").alias("head")), "heads")  # as above, for hot components
     return placed.join(heads, "component").select(
         "cls", "check", "head", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
