@@ -38,14 +38,15 @@ def _mark(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked with its smallest neighbour (or itself)."""
     around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # written, so that the join stands between two plain shuffles and a node with very many neighbours can be split
+    least = written(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     larger = edges.select(F.col("b").alias("a"), F.col("a").alias("v"))
     return larger.join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked with the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     smaller = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select("a", F.col("m").alias("b"))
     return smaller.unionByName(own).where("a != b").distinct()
