@@ -61,6 +61,39 @@ def test_recall_against_brute_force(spark, dims):
             assert got == want
 
 
+def hot(n, dims, seed=3):
+    """A third of the rows is one group of near copies whose differences lie in few dimensions."""
+    rng = np.random.default_rng(seed)
+    base, rows = rng.normal(size=dims), []
+    for i in range(n):
+        v = rng.normal(size=dims)
+        if i % 3 == 0:
+            v, k = base.copy(), int(rng.choice([1, 2, 4, 8]))
+            v[:k] += rng.normal(size=k) * np.linalg.norm(base) / np.sqrt(k) * rng.choice([0.1, 0.2, 0.27])
+        rows.append((i, [float(np.float32(x)) for x in v], 1))
+    return rows
+
+
+def test_hot_group_that_differs_in_few_dimensions(spark):
+    rows = hot(900, 64)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    want = brute(rows)
+    assert sum(n for n, _ in want.values()) > 10_000
+    for search in (E.Search(), E.Search(block=64)):
+        assert {r.id: (r.n_links, r.component_id) for r in E.near_duplicates(frame, search).collect()} == want
+
+
+def test_one_of_two_neighbours_visits_the_other():
+    x = np.array([v for _, v, _ in hot(3000, 64)])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    index = E.Index(x, 64, E.Search())
+    home, _, _ = index.encode(unit)
+    visits = index.probes(unit, home)
+    i, j = np.nonzero(np.triu(unit @ unit.T >= 0.93, 1))
+    assert (home[i] != home[j]).sum() > 10_000
+    assert (visits[i, home[j]] | visits[j, home[i]]).all()
+
+
 def test_generated_vectors(spark):
     vectors = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     want = brute([(r.vec_id, r.embedding, r.label) for r in vectors.collect()])

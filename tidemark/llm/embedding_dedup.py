@@ -4,12 +4,12 @@ Vectors of one label are linked when their cosine is at least the threshold. Equ
 is fitted on a bounded sample: centroids of coarse lists, and a codebook for each subspace of the residuals. Every class is
 indexed: it goes to the list of its nearest centroid with its codes and with the exact length of what the codes lose.
 
-As a query a class visits its own list and each list that a neighbour at the threshold can be in. For a difference of
-length r, a neighbour lies beyond the plane between two centroids only if the query is within r of it; of a difference
-without a preferred direction the part across the plane is r / sqrt(dimensions) on average, and ``sigmas`` times that
-is allowed for (2: recall above 0.99 for pairs at the threshold itself, 1 for closer ones; the square root of the
-dimensions makes it exact). In a list, table lookups give the distance to each code; a vector can only be a neighbour if that
-distance less its own loss is within r, so the codes lose none. What is left is decided by the exact cosine in double precision.
+As a query a class visits its own list and each list to whose plane (half-way between the two centroids) it has at most half
+the length r of a difference at the threshold. Neighbours in two lists stand on either side of the plane and r apart at
+most, so the one closer to it visits the other's list: no pair is lost, whatever the direction of its difference, and
+that one alone counts the pair. In a list, table lookups give the distance to each code; a vector can only be a neighbour if
+that distance less its own loss is within r, so the codes lose none. What is left is decided by the exact cosine in
+double precision.
 
 Lists that many vectors share are cut into blocks, each pair of a block of queries and a block of entries is a unit of work,
 and units give counts and spanning edges, not pairs.
@@ -44,7 +44,6 @@ class Search:
     max_lists: int = 1024
     subspaces: int = 8
     codes: int = 256
-    sigmas: float = 2.0
     block: int = 2048
     rounds: int = 8
 
@@ -104,16 +103,19 @@ class Index:
         told = np.concatenate([b[codes[:, m]] for m, b in enumerate(self.books)], axis=1)
         return home, codes, np.linalg.norm(rest - told, axis=1)
 
-    def probes(self, unit: np.ndarray) -> np.ndarray:
+    def probes(self, unit: np.ndarray, home: np.ndarray) -> np.ndarray:
         """Which lists (columns) each unit vector visits."""
         near = unit @ self.centres.T
-        home = near.argmax(axis=1)
-        reach = self.search.radius * min(1.0, self.search.sigmas / np.sqrt(self.dims))
         gap = near[np.arange(len(unit)), home][:, None] - near
-        out = gap <= reach * self.apart[home] + 1e-12
+        out = gap <= self.search.radius / 2 * self.apart[home] + 1e-9
         out[np.arange(len(unit)), home] = True
         return out
 
+    def across(self, unit: np.ndarray, home: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """How far each vector of list ``home`` is from the plane to list ``other``, times the distance of the centroids;
+        summed row by row, so that it is the same number wherever it is worked out."""
+        return (unit * (self.centres[home] - self.centres[other])).sum(axis=1)
+
     def distances(self, queries: np.ndarray, list_: int, codes: np.ndarray) -> np.ndarray:
         """Distances of unit vectors from coded ones of a list, by table lookups."""
         rest = self._padded(queries - self.centres[list_])
@@ -171,10 +173,11 @@ def _placed(groups: DataFrame, index: Index, search: Search) -> DataFrame:
         vectors = batch.column(3).to_pylist()
         of = np.array([len(v) == index.dims for v in vectors])
         blobs = [np.asarray(v, dtype=kind).tobytes() for v in vectors]
-        at, lists, query, codes, loss = [], [], [], [], []
+        at, homes, lists, query, codes, loss = [], [], [], [], [], []
 
-        def add(rows: np.ndarray, to: np.ndarray, is_query: bool, code: list, lost: np.ndarray) -> None:
+        def add(rows: np.ndarray, own: np.ndarray, to: np.ndarray, is_query: bool, code: list, lost: np.ndarray) -> None:
             at.append(rows)
+            homes.append(own)
             lists.append(to)
             query.append(np.full(len(rows), is_query))
             codes.extend(code)
@@ -185,22 +188,22 @@ def _placed(groups: DataFrame, index: Index, search: Search) -> DataFrame:
             x = _scaled(np.array([vectors[i] for i in usual], dtype=float))
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             home, code, lost = index.encode(unit)
-            add(usual, home, False, [c.tobytes() for c in code], lost)
-            r, c = np.nonzero(index.probes(unit))
-            add(usual[r], c, True, [None] * len(r), np.zeros(len(r)))
+            add(usual, home, home, False, [c.tobytes() for c in code], lost)
+            r, c = np.nonzero(index.probes(unit, home))
+            add(usual[r], home[r], c, True, [None] * len(r), np.zeros(len(r)))
         other = np.flatnonzero(~of)
         if len(other):
             own = np.array([-len(vectors[i]) for i in other])
             for is_query in (False, True):
-                add(other, own, is_query, [None] * len(other), np.zeros(len(other)))
+                add(other, own, own, is_query, [None] * len(other), np.zeros(len(other)))
         take = pa.array(np.concatenate(at))
-        names = ["cls", "area", "copies", "list", "query", "vector", "code", "loss"]
+        names = ["cls", "area", "copies", "home", "list", "query", "vector", "code", "loss"]
         arrays = [batch.column(i).take(take) for i in range(3)]
-        arrays += [pa.array(np.concatenate(lists), pa.int32()), pa.array(np.concatenate(query))]
+        arrays += [pa.array(np.concatenate(c), pa.int32()) for c in (homes, lists)] + [pa.array(np.concatenate(query))]
         arrays += [pa.array(blobs, pa.binary()).take(take), pa.array(codes, pa.binary()), pa.array(np.concatenate(loss))]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = "cls bigint, area bigint, copies bigint, list int, query boolean, vector binary, code binary, loss double"
+    schema = "cls bigint, area bigint, copies bigint, home int, list int, query boolean, vector binary, code binary, loss double"
     return map_slices(chosen, step, schema, rows=2048)
 
 
@@ -227,6 +230,7 @@ def _units(placed: DataFrame, search: Search) -> DataFrame:
         F.when(F.col("query"), F.col("other")).otherwise(F.col("own")).alias("entry_block"),
         "cls",
         "copies",
+        "home",
         "query",
         "vector",
         "code",
@@ -236,12 +240,13 @@ def _units(placed: DataFrame, search: Search) -> DataFrame:
 
 
 def _in_unit(unit: pa.Table, index: Index, search: Search, kind: str, chunk: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Linked rows (query, entry) of a unit; a pair is looked for from its larger class only."""
+    """Linked rows (query, entry) of a unit: of a pair in one list the larger class looks for the other, of a pair in two lists
+    the one closer to the plane between them."""
     query = unit.column("query").to_numpy()
     q, e = np.flatnonzero(query), np.flatnonzero(~query)
     if not len(q) or not len(e):
         return q[:0], e[:0]
-    cls = unit.column("cls").to_numpy()
+    cls, home = unit.column("cls").to_numpy(), unit.column("home").to_numpy()
     x = _scaled(np.frombuffer(b"".join(unit.column("vector").to_pylist()), dtype=kind).reshape(unit.num_rows, -1).astype(float))
     lengths = np.linalg.norm(x, axis=1)
     list_ = int(unit.column("list")[0].as_py())
@@ -249,18 +254,38 @@ def _in_unit(unit: pa.Table, index: Index, search: Search, kind: str, chunk: int
     if coded:
         codes = np.frombuffer(b"".join(unit.column("code").take(pa.array(e)).to_pylist()), dtype=np.uint8).reshape(len(e), -1)
         loss = unit.column("loss").to_numpy()[e]
+        units = x / lengths[:, None]
+        # from the plane, times the distance of the centroids: each entry for each home of a query, and each query
+        lists, at_home = np.unique(home[q], return_inverse=True)
+        entries = (units[e] @ (index.centres[list_] - index.centres[lists]).T).T
+        gaps = index.across(units[q], home[q], np.full(len(q), list_))
+        order = np.lexsort((gaps, at_home))
+        q, at_home, gaps = q[order], at_home[order], gaps[order]
+        limits = search.radius * index.apart[lists, list_] + 1e-9
     found = []
     for lo in range(0, len(q), chunk):
         part = q[lo : lo + chunk]
-        can = cls[part][:, None] > cls[e][None, :]
         if coded:
-            far = index.distances(x[part] / lengths[part, None], list_, codes)
-            can &= far - loss[None, :] <= search.radius + 1e-4
-        a, b = np.nonzero(can)
+            own, gap = at_home[lo : lo + chunk], gaps[lo : lo + chunk, None]
+            beyond = entries[own]
+            can = (beyond >= gap - 1e-9) & (beyond <= limits[own, None] - gap)
+            same = home[part] == list_
+            can[same] = cls[part[same]][:, None] > cls[e][None, :]
+            some = np.flatnonzero(can.any(axis=0))
+            far = index.distances(units[part], list_, codes[some])
+            a, b = np.nonzero(can[:, some] & (far - loss[some] <= search.radius + 1e-4))
+            b = some[b]
+        else:
+            a, b = np.nonzero(cls[part][:, None] > cls[e][None, :])
         for at in range(0, len(a), 100_000):
             i, j = part[a[at : at + 100_000]], e[b[at : at + 100_000]]
             near = np.einsum("nd,nd->n", x[i], x[j]) / (lengths[i] * lengths[j])
-            found.append((i[near >= search.threshold], j[near >= search.threshold]))
+            i, j = i[near >= search.threshold], j[near >= search.threshold]
+            if coded:
+                mine, other = index.across(units[i], home[i], home[j]), index.across(units[j], home[j], home[i])
+                turn = (mine < other) | (mine == other) & (cls[i] > cls[j])
+                i, j = i[turn], j[turn]
+            found.append((i, j))
     if not found:
         return q[:0], e[:0]
     return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
