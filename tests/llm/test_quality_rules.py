@@ -65,3 +65,39 @@ def test_junk_is_told_from_prose(spark):
     got = Q.score(docs, Q.references(docs)).join(labels, "doc_id").where("not base_failed").toPandas()
     assert got[got.quality == 1].kept.mean() > 0.99
     assert got[got.quality == 0].kept.mean() < 0.3
+
+
+RUSSIAN = "в этом городе она жила много лет и каждый день ходила через старый мост на работу где было тихо".split()
+FINNISH = "kaupunki oli hiljainen ja vanha silta johti yli joen missä hän käveli joka päivä töihin ennen kuin talvi tuli".split()
+
+
+def test_rare_languages_are_not_judged_by_others(spark):
+    rng = np.random.default_rng(1)
+
+    def rows(words, n, lang, start):
+        return [(start + i, " ".join(rng.choice(words, 150)), lang, "s", 1) for i in range(n)]
+
+    english = "the cat of the house and the dog in the garden were not at all tired of it this time he said to them".split()
+    many = rows(english, 4000, "en", 0)
+    junk = "#$%& <<>> 0x1f || 99;; {} ~~ ^^ 77== @@ -- ++ 42% ##".split()
+    rare = rows(RUSSIAN, 7, "ru", 5000) + rows(FINNISH, 7, "fi", 6000) + rows(RUSSIAN, 3, None, 7000) + rows(RUSSIAN, 5, "en", 7100)
+    some = rows(RUSSIAN, 25, "uk", 8000)  # under 0.2% of a large table: enough for a reference of its own
+    for more in ([], some):
+        docs = frame(spark, many + rare + more + rows(junk, 10, "en", 9000) + rows(junk, 5, None, 9100) + rows(junk, 5, "uk", 9200))
+        refs = Q.references(docs)
+        assert list(zip(refs.languages, refs.scripts)) == [("en", "Latin")] + [("uk", "Cyrillic")] * bool(more)
+        kept = {r.doc_id for r in Q.score(docs, refs).collect() if r.kept}
+        assert {r[0] for r in rare + more} <= kept and not kept & {*range(9000, 9105)}
+        assert {r.doc_id for r in Q.keep(docs, refs).collect()} == kept
+
+
+def test_more_languages_than_texts_at_a_time(spark):
+    words = [f"x{i}" for i in range(300)]
+    rows = [(20 * k + i, " ".join(words[k : k + 5] * 3 + words[(k + i) % 240 : (k + i) % 240 + 60]), f"l{k:03}", "s", 1) for k in range(210) for i in range(20)]
+    docs = frame(spark, rows)
+    assert len(Q.references(docs).languages) == 210
+
+
+def test_scripts():
+    for text, name in (("é à the", "Latin"), ("12 % …", "Latin"), ("где the было", "Cyrillic"), ("日本のこと", "Han"), ("ไทย a", "Thai"), ("한국", "Hangul")):
+        assert Q.script(text.encode()) == name

@@ -1,8 +1,9 @@
 """Quality rules by distribution divergence.
 
 A document's histogram of character classes and its histogram of common words are compared, by Jensen-Shannon distance
-(base 2, 0 to 1), with the average histograms of each language of the corpus. A document far from every language is
-rejected. Texts too short for a histogram to mean anything are not judged by it (the guards in ``Rules``); rules on
+(base 2, 0 to 1), with the average histograms of each language of the corpus, one for each script that it is written in. A document far from
+every one is rejected. Only a document whose own language and script have an average is judged so (without a language:
+whose script has one); of the others nothing is known, and the base rules decide alone. Texts too short for a histogram to mean anything are not judged by it (the guards in ``Rules``); rules on
 length and on repetition come first.
 
 Defined cases: a null text counts as empty and fails the length rule; a null id is carried through; repeated rows get
@@ -19,7 +20,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SLICE, map_slices, texts
@@ -33,6 +34,7 @@ COMMON_WORDS = (
 )
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
+PAIRS = 1 << 16  # texts and languages whose distances are worked out at once
 UNIT = 1 << 20  # shares are summed as whole numbers, so that sums do not depend on their order
 
 
@@ -48,15 +50,15 @@ class Rules:
     #: Both distances together; short texts stray further from any average, by about 1 / sqrt(words).
     max_distance_sum: float = 0.42
     short_text_allowance: float = 0.6
-    #: The most frequent languages give references, each that holds this share of their documents.
-    max_languages: int = 200
-    min_language_share: float = 0.002
+    #: Every language (in one script) with so many judged documents gives a reference.
+    min_language_docs: int = 10
     common_words: str = COMMON_WORDS
 
 
 @dataclass
 class References:
     languages: list[str]
+    scripts: list[str]
     classes: np.ndarray
     words: np.ndarray
 
@@ -90,6 +92,46 @@ def _class_table() -> np.ndarray:
 CLASS_OF = _class_table()
 CLASSES = 11
 
+#: Where the letters of a script begin, "" where letters of none do; what is not told apart counts by blocks of 256.
+SCRIPT_STARTS = (
+    (0x0, ""), (0x40, "Latin"), (0x80, ""), (0xC0, "Latin"), (0x2B0, ""), (0x370, "Greek"), (0x400, "Cyrillic"), (0x530, "Armenian"),
+    (0x590, "Hebrew"), (0x600, "Arabic"), (0x700, "Syriac"), (0x750, "Arabic"), (0x780, "Thaana"), (0x7C0, "Nko"), (0x800, "Hebrew"),
+    (0x860, "Syriac"), (0x8A0, "Arabic"), (0x900, "Devanagari"), (0x980, "Bengali"), (0xA00, "Gurmukhi"), (0xA80, "Gujarati"),
+    (0xB00, "Oriya"), (0xB80, "Tamil"), (0xC00, "Telugu"), (0xC80, "Kannada"), (0xD00, "Malayalam"), (0xD80, "Sinhala"),
+    (0xE00, "Thai"), (0xE80, "Lao"), (0xF00, "Tibetan"), (0x1000, "Myanmar"), (0x10A0, "Georgian"), (0x1100, "Hangul"),
+    (0x1200, "Ethiopic"), (0x13A0, "Cherokee"), (0x1400, "Syllabics"), (0x1680, "*"), (0x1780, "Khmer"), (0x1800, "Mongolian"),
+    (0x18B0, "Syllabics"), (0x1900, "*"), (0x1C80, "Cyrillic"), (0x1C90, "Georgian"), (0x1CC0, "*"), (0x1D00, "Latin"),
+    (0x1F00, "Greek"), (0x2000, ""), (0x2C00, "*"), (0x2C60, "Latin"), (0x2C80, "*"), (0x2DE0, "Cyrillic"), (0x2E00, ""), (0x3040, "Han"),
+    (0x3130, "Hangul"), (0x3190, "Han"), (0xA000, "*"), (0xA640, "Cyrillic"), (0xA6A0, "*"), (0xA720, "Latin"), (0xA800, "*"),
+    (0xA8E0, "Devanagari"), (0xA900, "*"), (0xAB00, "Ethiopic"), (0xAB30, "Latin"), (0xAB70, "Cherokee"), (0xABC0, "*"),
+    (0xAC00, "Hangul"), (0xD800, ""), (0xF900, "Han"), (0xFB00, ""), (0xFB50, "Arabic"), (0xFE00, ""), (0xFE70, "Arabic"), (0xFF00, ""),
+    (0x10000, "*"), (0x1D000, ""), (0x1E000, "*"), (0x1F000, ""), (0x20000, "Han"), (0x32000, ""),
+)
+
+
+def _script_table() -> tuple[list[str], np.ndarray]:
+    """Names of scripts, and the script of each 16 code points."""
+    starts = [at for at, _ in SCRIPT_STARTS]
+    of = np.searchsorted(starts, np.arange(0, 0x110000, 16), side="right") - 1
+    named = [SCRIPT_STARTS[k][1] if SCRIPT_STARTS[k][1] != "*" else f"U+{at >> 4:02X}00" for at, k in enumerate(of)]
+    names = ["", "Latin", *sorted(set(named) - {"", "Latin"})]
+    number = {name: k for k, name in enumerate(names)}
+    return names, np.array([number[x] for x in named], dtype=np.int64)
+
+
+SCRIPTS, SCRIPT_OF = _script_table()
+#: First bytes of all characters that letters of other scripts than Latin can have.
+OTHER_SCRIPTS = bytes([*range(0xCD, 0xE2), *range(0xE3, 0xF5)])
+
+
+def script(raw: bytes) -> str:
+    """The script of most letters; Latin if no other has more."""
+    if len(raw.translate(None, OTHER_SCRIPTS)) == len(raw):
+        return "Latin"
+    points = np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), dtype="<u4")
+    n = np.bincount(SCRIPT_OF[points >> 4], minlength=len(SCRIPTS))
+    return SCRIPTS[1 + int(n[1:].argmax())]
+
 
 def repeat_words(words: list[bytes]) -> int:
     """Words inside three-word windows that occur at least twice in the text, first occurrences included."""
@@ -148,11 +190,11 @@ def _base_failed(rules: Rules, n_words: int, n_repeat: int) -> bool:
 
 
 def references(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> References:
-    """Average histograms of each language over all its documents that are long enough to be judged."""
+    """Average histograms of each language and script over all its documents that are long enough to be judged."""
     hist = Histograms(rules)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[tuple[str, str], np.ndarray] = {}
         for raw, name in zip(texts(batch, "text"), batch.column(1).to_pylist()):
             if not raw or len(raw) < rules.min_chars_for_classes:
                 continue
@@ -160,32 +202,32 @@ def references(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang
             if by_word.sum() < max(rules.min_words, rules.min_words_for_words):
                 continue
             row = np.concatenate([[1], _shares(hist.classes(raw)) * UNIT, _shares(by_word) * UNIT]).round()
-            sums[name] = sums.get(name, 0) + row.astype(np.int64)
+            key = name, script(raw)
+            sums[key] = sums.get(key, 0) + row.astype(np.int64)
         if not sums:
             return None
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(sums)), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))], ["lang", "sums"]
-        )
+        arrays = [*(pa.array(x) for x in zip(*sums)), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, ["lang", "script", "sums"])
 
     known = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    parts = map_slices(known, step, "lang string, sums array<bigint>")
+    parts = map_slices(known, step, "lang string, script string, sums array<bigint>")
     width = 1 + CLASSES + hist.size
-    totals = parts.groupBy("lang").agg(*(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)))
-    frequent = totals.orderBy(F.desc("s0"), "lang").limit(rules.max_languages).collect()
-    least = rules.min_language_share * sum(r.s0 for r in frequent)
-    rows = sorted((r for r in frequent if r.s0 >= least), key=lambda r: r.lang)
+    totals = parts.groupBy("lang", "script").agg(*(F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)))
+    rows = sorted(totals.where(F.col("s0") >= rules.min_language_docs).collect(), key=lambda r: (r.lang, r.script))
     sums = np.array([[r[f"s{i}"] for i in range(1, width)] for r in rows], dtype=float).reshape(len(rows), width - 1)
-    return References([r.lang for r in rows], _shares(sums[:, :CLASSES]), _shares(sums[:, CLASSES:]))
+    return References([r.lang for r in rows], [r.script for r in rows], _shares(sums[:, :CLASSES]), _shares(sums[:, CLASSES:]))
 
 
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 SCORES = f"{MEASURES}, base_failed boolean, class_distance double, word_distance double, nearest_lang string, kept boolean"
 
 
-def judge(raws: list[bytes | None], refs: References, rules: Rules, hist: Histograms) -> list[tuple]:
-    """The values of ``SCORES`` for each text."""
+def judge(
+    raws: list[bytes | None], refs: References, rules: Rules, hist: Histograms, langs: list[str | None] | None = None
+) -> list[tuple]:
+    """The values of ``SCORES`` for each text; ``langs`` are the languages that the texts are said to be in."""
     rows, by_class, by_word = [], [], []
     for raw in raws:
         raw = raw or b""
@@ -203,47 +245,63 @@ def judge(raws: list[bytes | None], refs: References, rules: Rules, hist: Histog
     if not rows or not refs.languages:
         return [(*row, None, None, None, not row[5]) for row in rows]
     classes, words = np.array(by_class), np.array(by_word)
-    far_class = jensen_shannon(_shares(classes), refs.classes)
-    far_word = jensen_shannon(_shares(words), refs.words)
-    nearest = (far_class + far_word).argmin(axis=1)
+    distances = []
+    part = max(1, PAIRS // len(refs.languages))  # texts at a time, however many languages there are
+    for lo in range(0, len(rows), part):
+        far_class = jensen_shannon(_shares(classes[lo : lo + part]), refs.classes)
+        far_word = jensen_shannon(_shares(words[lo : lo + part]), refs.words)
+        nearest = (far_class + far_word).argmin(axis=1)
+        at = np.arange(len(nearest))
+        distances += zip(far_class[at, nearest].tolist(), far_word[at, nearest].tolist(), nearest.tolist())
+    known = {*zip(refs.languages, refs.scripts), *((None, x) for x in refs.scripts)}
     out = []
-    for i, row in enumerate(rows):
-        a, b = float(far_class[i, nearest[i]]), float(far_word[i, nearest[i]])
+    for i, (row, (a, b, nearest)) in enumerate(zip(rows, distances)):
         odd = classes[i].sum() >= rules.min_chars_for_classes and a > rules.max_class_distance
         if row[0] >= rules.min_words_for_words:
             odd |= b > rules.max_word_distance
             odd |= a + b > rules.max_distance_sum + rules.short_text_allowance / row[0] ** 0.5
-        out.append((*row, a, b, refs.languages[nearest[i]], not row[5] and not odd))
+        if odd and not row[5]:  # base rules only, where nothing is known of the language or the script
+            odd = (langs[i] if langs else None, script(raws[i])) in known
+        out.append((*row, a, b, refs.languages[nearest], not row[5] and not odd))
     return out
 
 
-def score(docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def _language(docs: DataFrame, lang: str) -> Column:
+    """The language column as text; null if there is none."""
+    return (F.col(lang) if lang in docs.columns else F.lit(None)).cast("string")
+
+
+def score(
+    docs: DataFrame, refs: References, rules: Rules = Rules(), id_col: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> DataFrame:
     """One row per document: its id and the columns of ``SCORES``."""
     hist = Histograms(rules)
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), _language(docs, lang).alias("lang"))
     key = chosen.schema["doc_id"].dataType.simpleString()
     names = [x.split()[0] for x in SCORES.split(", ")]
     kinds = {"bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "string": pa.string()}
     types = [kinds[x.split()[1]] for x in SCORES.split(", ")]
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = list(zip(*judge(texts(batch, "text"), refs, rules, hist)))
+        columns = list(zip(*judge(texts(batch, "text"), refs, rules, hist, batch.column(2).to_pylist())))
         arrays = [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types))]
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", *names])
 
     return map_slices(chosen, step, f"doc_id {key}, {SCORES}")
 
 
-def keep(docs: DataFrame, refs: References, rules: Rules = Rules(), text: str = "text") -> DataFrame:
+def keep(docs: DataFrame, refs: References, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows whose text is kept, with all their columns."""
-    hist, at = Histograms(rules), docs.columns.index(text)
+    hist, at, width = Histograms(rules), docs.columns.index(text), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
                 raws = part.column(at).cast(pa.binary()).to_pylist()
-                mask = pa.array([x[-1] for x in judge(raws, refs, rules, hist)], pa.bool_())
-                yield part.filter(mask)
+                langs = part.column(width).to_pylist()
+                mask = pa.array([x[-1] for x in judge(raws, refs, rules, hist, langs)], pa.bool_())
+                yield part.select(range(width)).filter(mask)
 
-    return docs.mapInArrow(run, docs.schema)
+    both = docs.select(*(F.col(f"`{c}`") for c in docs.columns), _language(docs, lang).alias("__lang"))
+    return both.mapInArrow(run, docs.schema)
