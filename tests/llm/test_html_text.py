@@ -35,6 +35,22 @@ def test_boilerplate_around_the_text():
     assert main_text(page) == "\n".join(want)
 
 
+def test_names_inside_other_names_and_around_the_page():
+    text = "A long enough paragraph of real prose, with commas and more than a few words in it. " * 4
+    more = '<div class="main-nav"><a href=x>one</a></div><div id="ad-300x250">Buy now</div><div class="footer">(c) us</div>'
+    for name in ("content has-sidebar", "no-comments", "page-with-sidebar", "share-enabled", "sidebar", "content widget", "comments"):
+        for tag in ("div", "section", "article"):
+            page = f'<html><body><{tag} class="{name}"><p>{text}</p><p>{text}</p>{more}</{tag}></body></html>'
+            assert main_text(page) == f"{text.strip()}\n{text.strip()}"
+            assert main_text(f"<main>{page}</main>") == main_text(page)
+    head = f'<div class="content"><div class="post-header"><h1>The title</h1></div><p>{text}</p></div>'
+    assert main_text(head) == f"The title\n{text.strip()}"
+    assert main_text(f'<div class="ad">{text}</div><main><article><p>Short.</p></article></main>') == "Short."
+    # readers may write more than the author
+    page = f'<div class="content"><p>{text}</p></div><div id="comments">{"<p>I agree with all of this, and more.</p>" * 30}</div>'
+    assert main_text(page) == text.strip()
+
+
 def test_broken_and_empty_pages():
     assert main_text(None) == main_text("") == main_text("<html><body></body></html>") == ""
     assert main_text("just text &lt;b&gt;") == "just text <b>"

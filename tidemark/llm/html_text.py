@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. Elements that hold no article by what they are (menus, page headers and footers,
-sidebars, notices, adverts, forms, scripts, reader comments) are cut off first. For each node of the rest the density is
+sidebars, notices, adverts, forms, scripts, reader comments) are cut off first, those told by a class or id only where
+they do not hold most of the page's text, or an article is marked apart from them: else the densities decide. For each node of the rest the density is
 its characters per tag, lowered where the characters stand in links; the sum of its children's densities says how much
 of an article it holds together. The node with the greatest sum leads: the lowest density on its way up to the body is
 the threshold, and below each node that reaches it the subtree with the greatest sum is taken. A subtree inside an
@@ -48,6 +49,12 @@ DROP_NAMES = frozenset(
     "overlay newsletter subscribe signup login search share sharing social related recommended pagination pager comment "
     "comments respond disqus widget toolbar".split()
 )
+COMMENT_NAMES = frozenset("comment comments respond disqus".split())
+ARTICLE_DROP_NAMES = frozenset("comment comments ad advert sponsored promo".split())
+#: Words that may stand beside such a name in a class ("main-nav"); beside any other ("has-sidebar") it names something else.
+BESIDE = frozenset("site main global top bottom left right primary secondary bar list area body container wrapper links".split())
+#: An element told by its name is kept if it holds more than this share of the page's text; readers' comments often do.
+MOST, MOST_COMMENTS = 0.5, 0.9
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 KEEP = frozenset("html body main".split())
 
@@ -57,6 +64,13 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
+PARTS = re.compile(r"[^\W_]+")
+
+
+def _named(token: str, names: frozenset[str]) -> bool:
+    """Whether a class or id is one of the names as a whole, beside numbers and words of place at most."""
+    parts = [p.strip("0123456789") for p in PARTS.findall(token) if not p[0].isdigit()]
+    return any(p in names for p in parts) and all(p in names or p in BESIDE for p in parts)
 
 
 class Tree:
@@ -64,15 +78,22 @@ class Tree:
 
     def __init__(self, page: str):
         self.tag, self.parent, self.dropped = ["#root"], [-1], [False]
+        self._by_name: dict[int, float] = {}  # elements told by a class or id: the share of the text from which they stay
         self.events: list[tuple[int, str | None]] = []
         self._open, self._count = [0], {}
         self._read(page)
+        if self._by_name:
+            self._drop_by_name()
 
     def _push(self, name: str, attributes: str) -> int:
         node, up = len(self.tag), self._open[-1]
         self.tag.append(name)
         self.parent.append(up)
         self.dropped.append(self.dropped[up] or self._unwanted(name, attributes))
+        if attributes and not self.dropped[node] and name not in KEEP:
+            most = self._most(name, attributes)
+            if most:
+                self._by_name[node] = most
         self._open.append(node)
         self._count[name] = self._count.get(name, 0) + 1
         return node
@@ -89,17 +110,44 @@ class Tree:
             return True
         if name in KEEP or not attributes:
             return False
-        for kind, a, b, c in ATTRIBUTE.findall(attributes):
-            names = set(WORD.findall((a or b or c).lower()))
-            if kind.lower() == "role":
-                if names & DROP_ROLES:
-                    return True
-            elif name == "article":
-                if names & {"comment", "comments", "ad", "advert", "sponsored", "promo"}:
-                    return True
-            elif names & DROP_NAMES and not (inside and names & DROP_NAMES <= {"header"}):
-                return True
-        return False
+        return any(
+            kind.lower() == "role" and not DROP_ROLES.isdisjoint(WORD.findall((a or b or c).lower()))
+            for kind, a, b, c in ATTRIBUTE.findall(attributes)
+        )
+
+    def _most(self, name: str, attributes: str) -> float:
+        """For an element that its class or id tells to be unwanted, the share of the text above which it stays; else 0."""
+        inside = self._count.get("article", 0) or self._count.get("main", 0)
+        names = ARTICLE_DROP_NAMES if name == "article" else DROP_NAMES - {"header"} if inside else DROP_NAMES
+        tokens = [
+            t for kind, a, b, c in ATTRIBUTE.findall(attributes) if kind.lower() != "role" for t in (a or b or c).lower().split()
+        ]
+        if not any(_named(t, names) for t in tokens):
+            return 0.0
+        return MOST_COMMENTS if any(_named(t, COMMENT_NAMES) for t in tokens) else MOST
+
+    def _drop_by_name(self) -> None:
+        """Unless they hold most of the text, and the page has no article (or else main) element apart from them."""
+        n = len(self.tag)
+        chars = [0] * n
+        for node, text in self.events:
+            if text and not self.dropped[node]:
+                chars[node] += len(text) - text.count(" ") - text.count("\n")
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        kind = next((t for t in ("article", "main") if any(c and x == t for c, x in zip(chars, self.tag))), None)
+        within = [False] * n
+        for i in range(1, n):
+            within[i] = within[self.parent[i]] or self.tag[i] == kind
+        told = [0] * n  # characters in elements of that kind
+        for i in range(n - 1, 0, -1):
+            told[i] = chars[i] if within[i] else told[i]
+            if not (within[i] and within[self.parent[i]]):
+                told[self.parent[i]] += told[i]
+        for i in range(1, n):
+            up, most = self.parent[i], self._by_name.get(i)
+            apart = not within[up] and told[0] > told[i]
+            self.dropped[i] |= self.dropped[up] or most is not None and (apart or chars[i] <= most * chars[0])
 
     def _up_to(self, names: tuple[str, ...] | frozenset, barrier) -> None:
         """End the innermost open element of these names, unless a barrier is further in."""
