@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.chat_format import CONTROL
+from tidemark.llm.decontamination import Windows
 from tidemark.llm.line_dedup import Runs
 from tidemark.llm.ngram_join import Join
 
@@ -69,3 +70,20 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum({len('<|im_start|>') + len('<|im_end|>') + 2} + length(role) + {_breaks('role')} + length(role) - length(replace(role, chr(10), '')) + length(text) + {_breaks('text')}) AS BIGINT) AS formatted_chars
 FROM t GROUP BY 1"""
+
+
+_ITEM_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: All windows of all documents against all windows of all items, by their words.
+DECONTAMINATION = f"""WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+  b AS (SELECT item_id, w, least(len(w), {Windows().words}) AS k FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+  bi AS (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM b),
+  g AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS gram FROM bi),
+  di AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT k FROM g) WHERE len(w) >= k),
+  x AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS gram FROM di),
+  h AS (SELECT * FROM x SEMI JOIN g USING (k, gram)),
+  n AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS place FROM h) GROUP BY 1),
+  t AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h JOIN g USING (k, gram) WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(n.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)"""

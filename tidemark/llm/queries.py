@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat_format,
+    decontamination,
     embedding_dedup,
     html_text,
     language_id,
@@ -29,6 +30,7 @@ SQL: dict[str, str] = {
     "op2_ngram_join": oracles.NGRAM_JOIN,
     "op6_chat_format": oracles.CHAT_FORMAT,
     "op8_embedding_dedup": oracles.EMBEDDING_DEDUP,
+    "op13_decontamination": oracles.DECONTAMINATION,
 }
 
 
@@ -139,3 +141,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit_model(docs, learn=crc_mod("doc_id", 4) != 2)
     return language_id.identify(docs, model).select("doc_id", held_out(4, 2), "lang_pred", "score")
+
+
+@query
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of every document that stand in windows of benchmark items, and those items."""
+    found, members = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    rows = decontamination.report(found, members)
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
