@@ -19,6 +19,7 @@ from tidemark.llm import (
     packing,
     quality_rules,
     sentence_pieces,
+    token_alignment,
     toxicity,
 )
 from tidemark.llm.common import crc_mod, table
@@ -143,6 +144,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups and links of two tokenizers over every document, and how many documents hold the linked pairs."""
+    rows, _ = token_alignment.align(table(spark, sf_dir, "documents"), byte_vocabulary(), piece_model())
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        *("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"),
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
 @query
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of every document that stand in windows of benchmark items, and those items."""
