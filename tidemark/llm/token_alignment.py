@@ -29,6 +29,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +48,9 @@ _CUT = re.compile(r" (?<=\S )(?=\S)")
 @dataclass(frozen=True)
 class Alignment:
     lane_tokens: int = 512
-    segment_tokens: int = 1_000_000
+    segment_tokens: int = 400_000
     block_docs: int = 8192
-    block_links: int = 6_000_000
+    block_links: int = 4_000_000
     remembered: int = 200_000
     plain_group: int = 4096
 
@@ -123,21 +124,36 @@ class Encoders:
         return np.fromiter(map(self._known.__getitem__, stretches), dtype=np.int64, count=len(stretches))
 
     def _learn(self, new: list[str]) -> None:
-        a = [self._a.encode_ordinary(" " + s) for s in new]
-        b = self._b.encode(new, num_threads=1)  # adds the blank itself
-        raw = [b" " + s.encode() for s in new]
-        spelled = [(b"".join([x[i] for i in ids]) for ids, x in zip(own, (self.a_bytes, self.b_bytes))) for own in zip(a, b)]
-        right = np.array([all(s == r for s in both) for both, r in zip(spelled, raw)])
-        edge = np.array([not s or s[0].isspace() or s[-1].isspace() for s in new])
+        # those that may follow one another behind single blanks are encoded as one text
+        follows = [bool(s) and not s[0].isspace() and not s[-1].isspace() for s in new]
+        plain = [s for s, f in zip(new, follows) if f]
+        if plain:
+            self._encode(plain, False)
+        for s in (s for s, f in zip(new, follows) if not f):
+            self._encode([s], True)
+
+    def _encode(self, new: list[str], edge: bool) -> None:
+        text = " " + " ".join(new)
+        sizes = np.fromiter((len(s.encode()) + 1 for s in new), dtype=np.int64, count=len(new))
+        a = np.array(self._a.encode_ordinary(text), dtype=np.int64)
+        lists = self._b.encode(new, num_threads=1)  # adds each blank itself
+        b = np.array(list(chain.from_iterable(lists)), dtype=np.int64)
+        right = all(b"".join([spelled[i] for i in x.tolist()]) == text.encode() for x, spelled in ((a, self.a_bytes), (b, self.b_bytes)))
+        stops = np.searchsorted(np.cumsum(self.a_size[a]), np.cumsum(sizes)) + 1
+        found = [(a, np.diff(stops, prepend=0)), (b, np.fromiter(map(len, lists), dtype=np.int64, count=len(new)))]
+        if not right and len(new) > 1:  # look for those that the tokens do not spell
+            half = len(new) // 2
+            self._encode(new[:half], edge)
+            self._encode(new[half:], edge)
+            return
         first = len(self._known)
         self._known.update(zip(new, range(first, first + len(new))))
-        for ids, name in ((a, "a"), (b, "b")):
-            n = np.array([len(x) for x in ids], dtype=np.int64)
+        for (ids, n), name in zip(found, "ab"):
             at = np.cumsum(n) - n + len(getattr(self, f"{name}_ids"))
-            flat = np.fromiter((i for x in ids for i in x), dtype=np.int64, count=int(n.sum()))
-            for field, value in (("ids", flat), ("n", n), ("at", at)):
+            for field, value in (("ids", ids), ("n", n), ("at", at)):
                 setattr(self, f"{name}_{field}", np.concatenate([getattr(self, f"{name}_{field}"), value]))
-        self.right, self.edge = np.concatenate([self.right, right]), np.concatenate([self.edge, edge])
+        self.right = np.append(self.right, np.full(len(new), right))
+        self.edge = np.append(self.edge, np.full(len(new), edge))
 
 
 def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -382,30 +398,34 @@ def align(
     with ``with_groups``, else its sha256), ``n_best`` and ``count_sum``; and of every id pair ``a``, ``b``, ``held`` and
     ``best``."""
     rows = written(blocks(docs, ranks_path, model_path, settings, id_col, text, with_groups), "alignments")
-    pairs = rows.where("at IS NULL").select("block", "a", "b", "holders", "docs", "many")
+    pairs = rows.where("at IS NULL").select("block", "a", "b", "holders")
     counts = pairs.groupBy("a", "b").agg(F.sum("holders").alias("held"))
     top = F.max("held").over(Window.partitionBy("a"))  # at most as many rows as B has ids
-    # written, so that the join stands between two plain shuffles
+    # written, so that the join stands between two plain shuffles; merged at every size
     counts = written(counts.withColumn("best", F.col("held") == top), "pairs")
-    held = pairs.join(counts, ["a", "b"]).select("block", "held", "best", "docs", "many")
-    own = rows.where("at IS NOT NULL").select("id", "block", "at", "n_a", "n_b", "n_groups", "n_links", "groups")
-    both = own.unionByName(held, allowMissingColumns=True).repartition("block").sortWithinPartitions("block")
+    held = pairs.drop("holders").join(counts.hint("merge"), ["a", "b"])
+    # the documents of a block and of its pairs, and what is known of the pairs, meet again
+    both = rows.drop("holders").unionByName(held, allowMissingColumns=True).repartition("block").sortWithinPartitions("block")
     kept = ["id", "n_a", "n_b", "n_groups", "n_links", "groups"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts, sizes in whole_units(batches, ["block"]):
             for start, size in zip(starts, sizes):
                 unit = table.slice(start, size)
-                is_doc = unit.column("at").is_valid()
-                documents, links = unit.filter(is_doc), unit.filter(pc.invert(is_doc))
+                is_doc, is_count = unit.column("at").is_valid(), unit.column("held").is_valid()
+                documents, known = unit.filter(is_doc).combine_chunks(), unit.filter(is_count)
                 place = documents.column("at").to_numpy()
                 sums = np.zeros((2, int(place.max()) + 1), dtype=np.int64)
+                links = unit.filter(pc.invert(pc.or_(is_doc, is_count)))
                 if links.num_rows:
-                    doc, many = _joined(links.column("docs"), "<u2"), _joined(links.column("many"), "<i8")
+                    asked, told = _pair(links), _pair(known)
+                    order = np.argsort(told)
+                    at = order[np.searchsorted(told[order], asked)]
                     n = pc.binary_length(links.column("docs")).to_numpy() // 2
-                    best = np.repeat(links.column("best").to_numpy(), n)
+                    best = np.repeat(known.column("best").to_numpy()[at], n)
+                    doc, many = _joined(links.column("docs"), "<u2"), _joined(links.column("many"), "<i8")
                     np.add.at(sums[0], doc[best], many[best])
-                    np.add.at(sums[1], doc, many * np.repeat(links.column("held").to_numpy(), n))
+                    np.add.at(sums[1], doc, many * np.repeat(known.column("held").to_numpy()[at], n))
                 out = documents.select(kept)
                 for name, values in zip(("n_best", "count_sum"), sums):
                     out = out.append_column(name, pa.array(values[place]))
@@ -416,5 +436,9 @@ def align(
     return both.mapInArrow(run, schema), counts
 
 
+def _pair(rows: pa.Table) -> np.ndarray:
+    return rows.column("a").to_numpy().astype(np.int64) << 32 | rows.column("b").to_numpy()
+
+
 def _joined(blobs: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(blobs.to_pylist()), dtype=kind).astype(np.int64)
