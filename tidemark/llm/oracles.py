@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.chat_format import CONTROL
 from tidemark.llm.decontamination import Windows
+from tidemark.llm.hard_negatives import Mining
 from tidemark.llm.line_dedup import Runs
 from tidemark.llm.ngram_join import Join
 
@@ -87,3 +88,18 @@ DECONTAMINATION = f"""WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM document
         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h JOIN g USING (k, gram) WHERE item_id IS NOT NULL) GROUP BY 1)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(n.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+_MINING = Mining()
+
+#: The scores of all anchors with all rows.
+HARD_NEGATIVES = f"""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor({_MINING.scale} * CAST(x AS DOUBLE)) AS DOUBLE)) AS q FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL
+    AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+  p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {_MINING.positives}),
+  n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+        FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND {_MINING.low} * positive_score <= 100 * s.score AND 100 * s.score <= {_MINING.high} * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {_MINING.negatives}"""

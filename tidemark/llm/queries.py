@@ -11,6 +11,7 @@ from tidemark.llm import (
     chat_format,
     decontamination,
     embedding_dedup,
+    hard_negatives,
     html_text,
     language_id,
     line_dedup,
@@ -31,6 +32,7 @@ SQL: dict[str, str] = {
     "op2_ngram_join": oracles.NGRAM_JOIN,
     "op6_chat_format": oracles.CHAT_FORMAT,
     "op8_embedding_dedup": oracles.EMBEDDING_DEDUP,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
     "op13_decontamination": oracles.DECONTAMINATION,
 }
 
@@ -144,6 +146,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, a seventh of the labels moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
 @query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The groups and links of two tokenizers over every document, and how many documents hold the linked pairs."""
