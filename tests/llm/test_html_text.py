@@ -1,5 +1,8 @@
 import html
 import re
+import time
+
+import pytest
 
 from tests.conftest import SMALL
 from tidemark.llm.html_text import extract, main_text
@@ -68,3 +71,50 @@ def test_odd_rows(spark):
     got = extract(pages).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 0), (1, 1), (1, 1), (2, 0), (3, 1_999_999)]
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "bit",
+    ["<a ", '<a x="', "<a x='", "</a ", '<div class="a b c" ', "<a\"'", "<", "<!", "<!--", "<![CDATA[", "&", "&#", "<a'\">", "<i><b></u>", "<a x='\"", "</p><p"],
+)
+def test_hostile_pages_of_2_mb(bit):
+    for tail in ("", '"', "'", ">", "'>", '">', "</p>", "<"):
+        page = f"<body><p>hello</p>{bit * (2_000_000 // len(bit))}{tail}"
+        start = time.process_time()
+        assert main_text(page).startswith("hello") or bit in ("&", "&#", "<")
+        assert time.process_time() - start < 10
+
+
+def test_deep_stacks_take_one_sweep():
+    n = 100_000
+    for page in (
+        "<b><div>" + "<i>" * n + "</b>" * n,
+        "<p><table>" + "<i><div>" * n,
+        "<ul><li>" + "<i>" * n + "<li>" * n,
+        '<div class="ad">' * n + "text",
+        '<div class="ad">text</div>' * n,
+        "<table><tr>" + "<td><b>" * n,
+    ):
+        start = time.process_time()
+        main_text(page)
+        assert time.process_time() - start < 10
+
+
+def test_tags_end_where_the_quotes_do():
+    assert main_text("<p title='a > b' class=\"x > y\">q</p>") == "q"
+    assert main_text('<p>1</p><p a="b>2</p><p>3</p>') == '1\n<p a="b>2\n3'
+    assert main_text("<p>x <a 'b\">c</p>d") == "x <a 'b\">c\nd"
+    assert main_text("<p>1<!-- a --!> 2 <!-- > -- b --> 3<![CDATA[ <4> ]]></p>") == "1 2 3 <4>"
+    assert main_text("<p>1<!doctype x>2<?php 3 ?>4</p>") == "124"
+
+
+def test_the_densities_choose_among_named_parts():
+    """No share of the text is a limit: the part that holds more of an article stays, whatever it is called."""
+    line = "A sentence of real prose, with commas and more than a few words in it. " * 2
+    for own, beside in ((3, 2), (9, 1), (6, 5)):
+        for name in ("sidebar", "widget", "promo"):
+            part = lambda n: f"<p>{line}</p>" * n
+            page = f'<div class="{name}">{part(own)}</div><div class="content">{part(beside)}</div>'
+            assert main_text(page).count("A sentence") // 2 == own + beside  # the rest has no such name
+            page = f'<div class="{name}">{part(beside)}</div><div class="content">{part(own)}</div>'
+            assert main_text(page).count("A sentence") // 2 == own

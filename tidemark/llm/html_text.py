@@ -1,12 +1,18 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. Elements that hold no article by what they are (menus, page headers and footers,
-sidebars, notices, adverts, forms, scripts, reader comments) are cut off first, those told by a class or id only where
-they do not hold most of the page's text, or an article is marked apart from them: else the densities decide. For each node of the rest the density is
-its characters per tag, lowered where the characters stand in links; the sum of its children's densities says how much
-of an article it holds together. The node with the greatest sum leads: the lowest density on its way up to the body is
-the threshold, and below each node that reaches it the subtree with the greatest sum is taken. A subtree inside an
-article or main element is widened to that element.
+sidebars, notices, adverts, forms, scripts, reader comments) are cut off first. For each node of the rest the density is its
+characters per tag, lowered where the characters stand in links; the sum of its children's densities says how much of an
+article it holds together. The node with the greatest sum leads: the lowest density on its way up to the body is the
+threshold, and below each node that reaches it the subtree with the greatest sum is taken. A subtree inside an article
+or main element is widened to that element.
+
+Elements that only a class or id tells to be unwanted may hold the article all the same. The densities decide: with each
+such element taken by itself, the one that holds the greatest sum of all, if any, stays with those around it, and all
+others go. Readers' comments lead only where nothing else has text, and what lies apart from an article (or main) element
+goes.
+
+Pages are read in one sweep that looks ahead no character twice, however broken the markup is.
 
 Defined cases: a null, empty or textless page gives an empty text; broken and unclosed markup is closed the way
 browsers do for the usual cases; nesting may be of any depth; repeated rows are extracted each. Other columns are not
@@ -53,15 +59,10 @@ COMMENT_NAMES = frozenset("comment comments respond disqus".split())
 ARTICLE_DROP_NAMES = frozenset("comment comments ad advert sponsored promo".split())
 #: Words that may stand beside such a name in a class ("main-nav"); beside any other ("has-sidebar") it names something else.
 BESIDE = frozenset("site main global top bottom left right primary secondary bar list area body container wrapper links".split())
-#: An element told by its name is kept if it holds more than this share of the page's text; readers' comments often do.
-MOST, MOST_COMMENTS = 0.5, 0.9
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
 KEEP = frozenset("html body main".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
-    re.S,
-)
+NAME_END, SPECIAL = re.compile(r"[\s/>]"), re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 PARTS = re.compile(r"[^\W_]+")
@@ -78,9 +79,10 @@ class Tree:
 
     def __init__(self, page: str):
         self.tag, self.parent, self.dropped = ["#root"], [-1], [False]
-        self._by_name: dict[int, float] = {}  # elements told by a class or id: the share of the text from which they stay
+        self._by_name: dict[int, bool] = {}  # elements told by a class or id: whether they hold readers' comments
         self.events: list[tuple[int, str | None]] = []
-        self._open, self._count = [0], {}
+        #: Open elements; of each name, and of all blocks, the places among them.
+        self._open, self._places, self._blocks = [0], {}, [0]
         self._read(page)
         if self._by_name:
             self._drop_by_name()
@@ -91,21 +93,28 @@ class Tree:
         self.parent.append(up)
         self.dropped.append(self.dropped[up] or self._unwanted(name, attributes))
         if attributes and not self.dropped[node] and name not in KEEP:
-            most = self._most(name, attributes)
-            if most:
-                self._by_name[node] = most
+            comments = self._named(name, attributes)
+            if comments is not None:
+                self._by_name[node] = comments
+        self._places.setdefault(name, []).append(len(self._open))
+        if name in BLOCK:
+            self._blocks.append(len(self._open))
         self._open.append(node)
-        self._count[name] = self._count.get(name, 0) + 1
         return node
 
     def _pop(self) -> None:
         node = self._open.pop()
-        self._count[self.tag[node]] -= 1
+        self._places[self.tag[node]].pop()
         if self.tag[node] in BLOCK:
+            self._blocks.pop()
             self.events.append((node, None))
 
+    def _last(self, names: tuple[str, ...] | frozenset) -> int:
+        """The place of the innermost open element of these names; 0 if there is none."""
+        return max((self._places[x][-1] for x in names if self._places.get(x)), default=0)
+
     def _unwanted(self, name: str, attributes: str) -> bool:
-        inside = self._count.get("article", 0) or self._count.get("main", 0)
+        inside = self._places.get("article") or self._places.get("main")
         if name in DROP or name == "header" and not inside:
             return True
         if name in KEEP or not attributes:
@@ -115,19 +124,19 @@ class Tree:
             for kind, a, b, c in ATTRIBUTE.findall(attributes)
         )
 
-    def _most(self, name: str, attributes: str) -> float:
-        """For an element that its class or id tells to be unwanted, the share of the text above which it stays; else 0."""
-        inside = self._count.get("article", 0) or self._count.get("main", 0)
+    def _named(self, name: str, attributes: str) -> bool | None:
+        """Whether an element that its class or id tells to be unwanted holds readers' comments; else None."""
+        inside = self._places.get("article") or self._places.get("main")
         names = ARTICLE_DROP_NAMES if name == "article" else DROP_NAMES - {"header"} if inside else DROP_NAMES
         tokens = [
             t for kind, a, b, c in ATTRIBUTE.findall(attributes) if kind.lower() != "role" for t in (a or b or c).lower().split()
         ]
         if not any(_named(t, names) for t in tokens):
-            return 0.0
-        return MOST_COMMENTS if any(_named(t, COMMENT_NAMES) for t in tokens) else MOST
+            return None
+        return any(_named(t, COMMENT_NAMES) for t in tokens)
 
     def _drop_by_name(self) -> None:
-        """Unless they hold most of the text, and the page has no article (or else main) element apart from them."""
+        """Keep the element told by its name that the densities choose, if any, and those around it; drop the others."""
         n = len(self.tag)
         chars = [0] * n
         for node, text in self.events:
@@ -145,32 +154,40 @@ class Tree:
             if not (within[i] and within[self.parent[i]]):
                 told[self.parent[i]] += told[i]
         for i in range(1, n):
-            up, most = self.parent[i], self._by_name.get(i)
-            apart = not within[up] and told[0] > told[i]
-            self.dropped[i] |= self.dropped[up] or most is not None and (apart or chars[i] <= most * chars[0])
+            up = self.parent[i]
+            self.dropped[i] |= self.dropped[up] or i in self._by_name and not within[up] and told[0] > told[i]
 
-    def _up_to(self, names: tuple[str, ...] | frozenset, barrier) -> None:
+        left = {i: comments for i, comments in self._by_name.items() if not self.dropped[i]}
+        _, total, own = _measured(self, left)
+        part, comments = [0] * n, [False] * n  # the innermost such element around each node; whether comments are around it
+        best: dict[int, tuple[bool, float, int]] = {}
+        for i in range(n):
+            up = self.parent[i]
+            part[i] = i if i in left else part[up] if i else 0
+            comments[i] = i > 0 and comments[up] or left.get(i, False)
+            if not self.dropped[i] and own[i]:
+                size = (not comments[i], total[i], own[i])
+                best[part[i]] = max(best.get(part[i], size), size)
+        leads = max(best, key=best.__getitem__, default=0)
+        stay = set()
+        while leads:
+            stay.add(leads)
+            leads = part[self.parent[leads]]
+        for i in range(1, n):
+            self.dropped[i] |= self.dropped[self.parent[i]] or i in left and i not in stay
+
+    def _up_to(self, names: tuple[str, ...] | frozenset, barrier: tuple[str, ...] | frozenset) -> None:
         """End the innermost open element of these names, unless a barrier is further in."""
-        if not any(self._count.get(x) for x in names):
-            return
-        for i in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[i]]
-            if tag in names:
-                while len(self._open) > i:
-                    self._pop()
-                return
-            if tag in barrier:
-                return
+        place = self._last(names)
+        if place > self._last(barrier):
+            while len(self._open) > place:
+                self._pop()
 
     def _end(self, name: str) -> None:
-        if not self._count.get(name):
-            return
-        i = len(self._open) - 1
-        while self.tag[self._open[i]] != name:
-            if name not in BLOCK and self.tag[self._open[i]] in BLOCK:
-                return  # an inline end tag does not end blocks
-            i -= 1
-        while len(self._open) > i:
+        place = self._last((name,))
+        if not place or name not in BLOCK and self._blocks[-1] > place:
+            return  # an inline end tag does not end blocks
+        while len(self._open) > place:
             self._pop()
 
     def _text(self, raw: str) -> None:
@@ -178,22 +195,21 @@ class Tree:
             self.events.append((self._open[-1], html.unescape(raw) if "&" in raw else raw))
 
     def _read(self, page: str) -> None:
-        at, find = 0, TOKEN.search
-        while m := find(page, at):
-            self._text(page[at : m.start()])
-            at, name = m.end(), m[2]
+        at, tags = 0, _Tags(page)
+        for start, stop, name, attributes, is_end in tags:
+            self._text(page[at:start])
+            at = stop
             if name is None:
-                if m[0].startswith("<![CDATA["):
-                    self._text(m[0][9:].removesuffix("]]>"))
+                if page.startswith("<![CDATA[", start):
+                    self._text(page[start + 9 : stop].removesuffix("]]>"))
                 continue
-            name = name.lower()
-            if m[1]:
+            if is_end:
                 if name == "br":
                     self._text(" ")
                 elif name != "body" and name != "html":
                     self._end(name)
                 continue
-            if name in CLOSE_P and self._count.get("p"):
+            if name in CLOSE_P and self._places.get("p"):
                 self._up_to(("p",), P_BARRIER)
             if name in ENDS:
                 self._up_to(ENDS[name], BARRIER[name])
@@ -203,22 +219,88 @@ class Tree:
                 elif name == "br":
                     self._text(" ")
                 continue
-            node = self._push(name, m[3])
+            node = self._push(name, attributes)
             if name in BLOCK:
                 self.events.append((node, None))
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}[^>]*>?", re.I).search(page, at)
                 if name == "textarea" or name == "title":
                     self._text(page[at : end.start() if end else len(page)])
-                at = end.end() if end else len(page)
+                at = tags.at = end.end() if end else len(page)
                 self._pop()
         self._text(page[at:])
         while len(self._open) > 1:
             self._pop()
 
 
-def _selected(tree: Tree) -> list[bool]:
-    """Which nodes belong to the main text."""
+class _Tags:
+    """The tags, comments and declarations of a page: (start, stop, name or None, attributes, whether it ends an element).
+
+    A tag ends at the first ``>`` outside quotes; a ``<`` without one is text. What was found ahead is remembered: the next
+    character that may end a name, the next that matters in attributes, and for each quote where its tag ends.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.at = page, 0
+        self._next = {NAME_END: -1, SPECIAL: -1}
+        self._last = {c: page.rfind(c) for c in "\"'>"}
+        self._stops: dict[int, int] = {}
+
+    def __iter__(self):
+        page = self.page
+        while (start := page.find("<", self.at)) >= 0:
+            self.at = start + 1
+            is_end = page.startswith("/", start + 1)
+            first = page[start + 1 + is_end : start + 2 + is_end]
+            if first.isascii() and first.isalpha():
+                stop = self._ahead(NAME_END, start + 1 + is_end)
+                end = self._stop(stop)
+                if end >= 0:
+                    self.at = end + 1
+                    yield start, end + 1, page[start + 1 + is_end : stop].lower(), page[stop:end], is_end
+            elif first and first in "!?" and not is_end:
+                self.at = self._declared(start)
+                yield start, self.at, None, "", False
+
+    def _ahead(self, what: re.Pattern, at: int) -> int:
+        """Where such a character comes next; callers only move on."""
+        if self._next[what] < at:
+            found = what.search(self.page, at)
+            self._next[what] = found.start() if found else len(self.page)
+        return self._next[what]
+
+    def _stop(self, at: int) -> int:
+        """The ``>`` that ends a tag whose attributes begin here; -1 if none does."""
+        if at > self._last[">"]:
+            return -1
+        at, passed = self._ahead(SPECIAL, at), []
+        while at < len(self.page) and self.page[at] != ">":
+            if at in self._stops:
+                at = self._stops[at]
+                break
+            passed.append(at)
+            if at >= self._last[self.page[at]]:  # a quote that nothing closes
+                at = -1
+                break
+            found = SPECIAL.search(self.page, self.page.find(self.page[at], at + 1) + 1)
+            at = found.start() if found else len(self.page)
+        stop = -1 if at >= len(self.page) else at
+        self._stops.update(dict.fromkeys(passed, stop))
+        return stop
+
+    def _declared(self, start: int) -> int:
+        page = self.page
+        for opens, closes in (("<!--", ("-->", "--!>")), ("<![CDATA[", ("]]>",))):
+            if page.startswith(opens, start):
+                ends = [(e, c) for c in closes if (e := page.find(c, start + len(opens))) >= 0]
+                return min(ends)[0] + len(min(ends)[1]) if ends else len(page)
+        end = page.find(">", start)
+        return end + 1 if end >= 0 else len(page)
+
+
+def _measured(tree: Tree, apart: dict[int, bool] | frozenset = frozenset()) -> tuple[list[float], list[float], list[int]]:
+    """Density, sum of the children's densities, and characters of every node; elements ``apart`` count for none around
+    them."""
     n = len(tree.tag)
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -229,27 +311,36 @@ def _selected(tree: Tree) -> list[bool]:
             size = len(text) - text.count(" ") - text.count("\n")
             chars[node] += size
             links[node] += size * in_link[node]
+    all_chars, all_links = sum(chars), sum(links)
     for i in range(n - 1, 0, -1):
-        if not tree.dropped[i]:
+        if not tree.dropped[i] and i not in apart:
             up = tree.parent[i]
             chars[up] += chars[i]
             links[up] += links[i]
             tags[up] += tags[i] + 1
             link_tags[up] += link_tags[i] + (tree.tag[i] == "a")
-    if not chars[0]:
-        return [False] * n
-    share = links[0] / chars[0]
     density, total = [0.0] * n, [0.0] * n
+    share = all_links / max(all_chars, 1)
     for i in range(n):
         c, lc, t, lt = chars[i], links[i], max(tags[i], 1), max(link_tags[i], 1)
         if c and not tree.dropped[i]:
             base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
             adjusted = math.log(max(c / max(lc, 1) * t / lt, 1.0)) / math.log(max(base, 1.0 + 1e-9)) if base > 1 else 0.0
             # a body without links leaves the plain characters per tag
-            density[i] = c / t * (adjusted if links[0] else 1.0)
-    lead = list(range(n))  # of each subtree, the node with the greatest sum
+            density[i] = c / t * (adjusted if all_links else 1.0)
     for i in range(1, n):
-        total[tree.parent[i]] += density[i]
+        if i not in apart:
+            total[tree.parent[i]] += density[i]
+    return density, total, chars
+
+
+def _selected(tree: Tree) -> list[bool]:
+    """Which nodes belong to the main text."""
+    n = len(tree.tag)
+    density, total, chars = _measured(tree)
+    if not chars[0]:
+        return [False] * n
+    lead = list(range(n))  # of each subtree, the node with the greatest sum
     for i in range(n - 1, 0, -1):
         up = tree.parent[i]
         if not tree.dropped[i] and chars[i] and total[lead[i]] > total[lead[up]]:
