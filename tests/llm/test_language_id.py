@@ -59,3 +59,30 @@ def test_held_out_rows_and_columns_are_not_learned(spark):
     a = L.identify(docs, L.fit_model(docs, learn=learn)).collect()
     b = L.identify(docs, L.fit_model(spoiled, learn=learn)).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_every_language_is_learned(spark):
+    """400 languages, one of them with a third of the rows and most of those alike; each is told from all others."""
+    import random
+
+    rng = random.Random(4)
+    syllables = [[rng.choice("bcdfghjklmnprstvz") + rng.choice("aeiouy") for _ in range(3)] for _ in range(400)]
+    text = lambda v: " ".join("".join(rng.choice(syllables[v]) for _ in range(4)) for _ in range(30))
+    rows = [(10_000 * v + i, text(v), f"l{v:03}", "s", 1) for v in range(400) for i in range(5)]
+    rows += [(5_000_000, rows[0][1], "l000", "s", 1)] * 800 + [(6_000_000 + i, text(0), "l000", "s", 1) for i in range(400)]
+    docs = frame(spark, rows)
+    model = L.fit_model(docs)
+    assert sum(map(len, model.members)) == 400
+    langs, _ = L.predict(model, [text(v).encode() for v in range(400)])
+    assert sum(lang == f"l{v:03}" for v, lang in enumerate(langs)) > 380
+
+
+def test_against_plain_prediction_of_every_document(spark):
+    """The query's predictions are those of one model, text by text, without Spark."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = L.fit_model(docs, learn=crc_mod("doc_id", 4) != 2)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in QUERIES["op10_language_id"](spark, SMALL).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        raw = None if r.text is None else r.text.encode()
+        lang, score = L.predict(model, [raw])
+        assert got[r.doc_id][0] == lang[0] and abs(got[r.doc_id][1] - score[0]) < 1e-5

@@ -2,7 +2,8 @@
 
 The first level picks a language family by linear scores, one against the rest; the second tells the languages of that
 family apart by linear support vector machines, one for each pair, which vote. Inputs are hashed letter trigrams
-of the whole text. The models are fitted in numpy on a bounded sample of labelled rows.
+of the whole text, however long it is. The models are fitted in numpy on a bounded sample of the rows of each language;
+every language that has a row with a letter is learned.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a null id is carried and never learned
 from; repeated rows get equal predictions; with no labelled rows every text is ``und``; with one language every text
@@ -16,10 +17,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICE, map_slices, sampled, texts
+from tidemark.llm.common import SLICE, map_slices, texts, written
 
 UNKNOWN = "und"
 #: Families of language codes; a code that is not listed is a family of its own.
@@ -33,11 +34,12 @@ BITS = 12
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the training sample and the strength of the regularisation."""
+    """Bounds of the training sample and the strength of the regularisation. Every language is learned: of each there are
+    about ``max_rows`` / languages rows, ``per_language`` at most and ``least`` at least."""
 
     max_rows: int = 4000
     per_language: int = 700
-    max_languages: int = 150
+    least: int = 12
     steps: int = 150
     ridge: float = 1e-4
 
@@ -166,30 +168,38 @@ def fit_model(
     text: str = "text",
     lang: str = "lang",
 ) -> Model:
-    """Fit on at most ``fit.max_rows`` rows among those that ``learn`` allows, about equally many of each language. The
-    rows are chosen by their hashed id; languages beyond the ``max_languages`` most frequent are not learned."""
+    """Fit on a bounded number of rows of each language among those that ``learn`` allows. They are those with the smallest
+    hashes of id and text, so the same ones on every run; repeated rows count once."""
     rows = docs if learn is None else docs.where(learn)
     rows = rows.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(fit.max_languages).collect()
-    if not sizes:
+    # written, so that the join below stands between plain shuffles
+    sizes = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    languages = sizes.count()
+    if not languages:
         return Model()
-    want = min(fit.per_language, fit.max_rows // len(sizes))
-    share = F.create_map(*(F.lit(v) for r in sizes for v in (r["lang"], min(1.0, want / r["count"]))))[F.col("lang")]
+    want = min(fit.per_language, max(fit.max_rows // languages, fit.least))
+    key = F.xxhash64(F.lit(7), "id", "text")
+    # half as many again are drawn, as some have no letter
+    share = F.pmod(key, F.lit(1 << 30)) / float(1 << 30) < F.col("half_more") / F.col("n")
+    drawn = rows.join(sizes.withColumn("half_more", F.lit(1.5 * want + 10)), "lang").where(share)
+    drawn = drawn.groupBy("lang", key.alias("key")).agg(F.first("text").alias("text"))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        kept = [
-            (v, features(raw)) for raw, v in zip(texts(batch, "text"), batch.column(2).to_pylist()) if has_letter(raw)
-        ]
-        if not kept:
+        raws = texts(batch, "text")
+        some = pa.array([has_letter(raw) for raw in raws])
+        blobs = [features(raw).astype("<f2").tobytes() for raw in raws if has_letter(raw)]
+        if not blobs:
             return None
-        blobs = [x.astype("<f2").tobytes() for _, x in kept]
-        return pa.RecordBatch.from_arrays([pa.array([v for v, _ in kept]), pa.array(blobs, pa.binary())], ["lang", "x"])
-
-    some = map_slices(sampled(rows, "id", share), step, "lang string, x binary").limit(fit.max_rows + fit.max_rows // 4)
-    got = sorted((r["lang"], bytes(r["x"])) for r in some.collect())
-    x = np.array([np.frombuffer(b, dtype="<f2") for _, b in got], dtype=np.float32)
-    return train(x, [v for v, _ in got], fit, families)
+        arrays = [batch.column(i).filter(some) for i in range(2)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(blobs, pa.binary())], ["lang", "key", "x"])
+
+    ranked = map_slices(drawn, step, "lang string, key bigint, x binary")
+    order = Window.partitionBy("lang").orderBy("key")
+    some = ranked.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= want)
+    got = sorted((r["lang"], r["key"], bytes(r["x"])) for r in some.select("lang", "key", "x").collect())
+    x = np.array([np.frombuffer(b, dtype="<f2") for *_, b in got], dtype=np.float32)
+    return train(x, [v for v, *_ in got], fit, families)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
