@@ -1,6 +1,7 @@
 """Upserts, decoding, definitions, monitoring."""
 
 import json
+import os
 import random
 from datetime import datetime
 from decimal import Context, Decimal, localcontext
@@ -9,8 +10,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.functions import evm, json_fields
-from tidemark.operators import transfers, upsert
+from tidemark.functions import evm
+from tidemark.operators import json_merge, transfers, upsert
 from tidemark.plans import dims, monitoring, portfolio, tvl, valuation
 
 T = [datetime(2024, 1, d) for d in range(1, 32)]
@@ -38,8 +39,6 @@ def test_surrogate_ids_are_stable_and_dense(spark):
 
 
 def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
-    import os
-
     path = str(tmp_path / "t")
     rows = [(1, "d1", 1.0), (2, "d2", 2.0)]
     upsert.merge_into_partitions(spark, path, spark.createDataFrame(rows, "k INT, day STRING, v DOUBLE"), ["k", "day"], "day")
@@ -66,19 +65,75 @@ MERGES = [
 ]
 
 
-def test_json_merge(spark):
-    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(MERGES)], "i INT, a STRING, b STRING")
-    got = {r["i"]: json.loads(r["m"]) for r in df.select("i", json_fields.merge_json(F.col("a"), F.col("b")).alias("m")).collect()}
-    assert got == {i: w for i, (_, _, w) in enumerate(MERGES)}
+def merged(spark, pairs):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i INT, a STRING, b STRING")
+    return {r["i"]: r["m"] for r in json_merge.merge_column(df, ["i"], "a", "b", "m").collect()}
 
 
-def test_json_merge_never_drops_what_is_too_deep(spark):
-    deep = lambda field: '{"k":' * 10 + field + "}" * 10
-    df = spark.createDataFrame([(deep('{"x":1}'), deep('{"y":2}'))], "a STRING, b STRING")
-    with pytest.raises(Exception, match="further down"):
-        df.select(json_fields.merge_json(F.col("a"), F.col("b"))).collect()
-    same = df.select(json_fields.merge_json(F.col("a"), F.col("a")).alias("m")).first()
-    assert same["m"] == deep('{"x":1}')
+def merge_by_hand(a, b):
+    if isinstance(a, dict) and isinstance(b, dict):
+        return {k: merge_by_hand(a[k], b[k]) if k in a and k in b else a.get(k, b.get(k)) for k in a | b}
+    if a == b and type(a) is type(b):
+        return a
+    return a + (b if isinstance(b, list) else [b]) if isinstance(a, list) else b
+
+
+def test_json_merge(spark):
+    got = merged(spark, [m[:2] for m in MERGES])
+    assert {i: json.loads(m) for i, m in got.items()} == {i: w for i, (_, _, w) in enumerate(MERGES)}
+
+
+def test_json_merge_of_texts_that_are_no_objects(spark):
+    pairs = [("[1]", "[2]"), ("[1]", '{"a":1}'), ("1", '{"a":1}'), ('{"a":1}', "1"), ("{}", "{}"), ("{ }", '{"a":{}}'), (None, None), ("null", "2"), ("2", "null")]
+    assert merged(spark, pairs) == dict(enumerate(["[1,2]", '[1,{"a":1}]', '{"a":1}', "1", "{}", '{"a":{}}', None, "2", "null"]))
+
+
+def random_json(rng, depth):
+    kind = rng.choice(["object", "object", "object", "list", "leaf"]) if depth else "leaf"
+    if kind == "object":
+        return {rng.choice(['a', 'b', 'c"d', "e\\f", "ü", "{", ""]): random_json(rng, depth - 1) for _ in range(rng.randint(0, 4))}
+    if kind == "list":
+        return [random_json(rng, depth - 1) for _ in range(rng.randint(0, 3))]
+    return rng.choice([None, True, 1, -2, "x", 'q"', "}{", "a,b"])
+
+
+def test_json_merge_at_any_depth(spark):
+    rng = random.Random(7)
+    pairs = [(random_json(rng, d), random_json(rng, d)) for d in [1, 2, 4, 9, 15] * 30]
+    for levels in (1, 7, 40, 60):
+        deep = [{"x": 1, "same": [1]}, {"y": 2, "same": [1]}]
+        for i in range(levels):
+            deep = [{f"l{i}": deep[0], "a": [i]}, {f"l{i}": deep[1], "a": [i + 1]}]
+        pairs.append(tuple(deep))
+    got = merged(spark, [(json.dumps(a), json.dumps(b)) for a, b in pairs])
+    for i, (a, b) in enumerate(pairs):
+        assert json.loads(got[i]) == merge_by_hand(a, b), (a, b)
+
+
+def test_rounds_follow_the_data(spark, monkeypatch):
+    made = []
+    real = json_merge.scratch_path
+    monkeypatch.setattr(json_merge, "scratch_path", lambda *a: made.append(a) or real(*a))
+    deep = lambda field, n: '{"k":' * n + field + "}" * n
+    merged(spark, [(deep('{"x":1}', 40), deep('{"x":1}', 40)), ('{"a":1}', '{"a":2}')])
+    assert len(made) == 1  # nothing differs further down
+    merged(spark, [(deep('{"x":1}', 40), deep('{"y":1}', 40))])
+    assert len(made) == 1 + -(-41 // json_merge.LEVELS)
+
+
+def test_any_number_of_batches_fold_into_one_grouping(spark):
+    schema = "k INT, r STRING, n STRING, e STRING, j STRING"
+    stored = spark.createDataFrame([(1, "a", "a", None, '{"a":[1]}'), (2, "b", None, "b", None)], schema)
+    first = spark.createDataFrame([(1, None, "x", "x", '{"a":[2],"b":1}'), (3, "y", None, None, "[1]")], schema)
+    second = spark.createDataFrame([(1, "z", '{"a":3,"b":2}'), (2, "q", '{"c":1}')], "k INT, n STRING, j STRING")
+    policies = {"n": upsert.NEW_NON_NULL, "e": upsert.EXISTING_NON_NULL, "j": upsert.MERGE_JSON}
+    got = upsert.fold([stored, first, second], ["k"], policies)
+    rows = {r["k"]: tuple(r)[1:] for r in got.collect()}
+    assert rows == {1: (None, "z", "x", '{"a":[1,2,3],"b":2}'), 2: ("b", "q", "b", '{"c":1}'), 3: ("y", None, None, "[1]")}
+    one_by_one = upsert.upsert(upsert.upsert(stored, first, ["k"], policies), second, ["k"], policies)
+    assert {r["k"]: tuple(r)[1:] for r in one_by_one.collect()} == rows
+    plan = upsert.fold([stored, first, second], ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
 def test_amounts_that_do_not_fit(spark):
@@ -213,7 +268,8 @@ def stored_prices(spark, path):
 def test_merge_reads_and_rewrites_only_its_partitions(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     stored_prices(spark, path)
-    before = upsert._partition_files(spark, path, "day")
+    files = lambda: {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("day=")}
+    before = files()
     read = []
     real = upsert.upsert
     monkeypatch.setattr(upsert, "upsert", lambda stored, *a: read.append(stored) or real(stored, *a))
@@ -221,7 +277,7 @@ def test_merge_reads_and_rewrites_only_its_partitions(spark, tmp_path, monkeypat
     upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")
     plan = read[0]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "2024-01-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    after = upsert._partition_files(spark, path, "day")
+    after = files()
     assert [d for d in after if after[d] != before.get(d)] == ["day=2024-01-02"]
     got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
     assert got == {i: i for i in range(100)} | {1: -1, 500: 5}
@@ -236,46 +292,45 @@ def test_merge_of_a_partition_without_a_value(spark, tmp_path):
     assert got == {1: 1, 2: 2, 3: 30, 9: 9}
 
 
-def test_merge_that_dies_half_way_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("at", ["before", "within", "after"])
+def test_a_killed_overwrite_repeats_to_the_same_table(spark, tmp_path, monkeypatch, at):
     path = str(tmp_path / "t")
     stored_prices(spark, path)
     batch = spark.createDataFrame([(i, f"2024-01-{1 + i % 10:02}", -i) for i in range(30)], PRICES)
-    real, calls = upsert.finish_merges, []
-
-    def dies(s, p):
-        calls.append(p)
-        if len(calls) == 2:  # everything is staged, nothing is moved
-            raise KeyboardInterrupt
-        return real(s, p)
-
-    monkeypatch.setattr(upsert, "finish_merges", dies)
+    real = upsert.overwrite_partitions
+
+    def dies(df, *where):
+        if at == "within":  # one partition is new, one is gone, the others are old
+            real(df.filter("day = '2024-01-02'"), *where)
+            root, fs = upsert._file_system(spark, f"{path}/day=2024-01-04")
+            fs.delete(root, True)
+        if at == "after":
+            real(df, *where)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(upsert, "overwrite_partitions", dies)
     with pytest.raises(KeyboardInterrupt):
         upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")
-    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == {i: i for i in range(100)}
-    # the old partition is gone, the new one not there yet
-    root, fs = upsert._file_system(spark, f"{path}/day=2024-01-04")
-    fs.delete(root, True)
-    monkeypatch.setattr(upsert, "finish_merges", real)
-    assert upsert.finish_merges(spark, path) == 1 and upsert.finish_merges(spark, path) == 0
+    monkeypatch.setattr(upsert, "overwrite_partitions", real)
     want = {i: -i if i < 30 else i for i in range(100)}
-    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == want
-    upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")
-    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == want
+    read = lambda: {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
+    if at == "before":
+        assert read() == {i: i for i in range(100)}
+    for _ in range(2):
+        upsert.finish_merge(spark, path, "day")
+        assert read() == want
+    upsert.merge_into_partitions(spark, path, batch.withColumn("v", F.col("v") - 1), ["k", "day"], "day")
+    assert read() == {i: -i - 1 if i < 30 else i for i in range(100)}
 
 
-def test_merge_refuses_a_second_writer(spark, tmp_path, monkeypatch):
+def test_a_merge_that_dies_before_its_copy_is_whole_has_changed_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     stored_prices(spark, path)
-    batch = spark.createDataFrame([(1, "2024-01-02", -1)], PRICES)
-    real = upsert.upsert
-
-    def meanwhile(*args):
-        spark.createDataFrame([(7, "2024-01-02", 7)], PRICES).write.mode("append").partitionBy("day").parquet(path)
-        return real(*args)
-
-    monkeypatch.setattr(upsert, "upsert", meanwhile)
-    with pytest.raises(RuntimeError, match="another writer"):
+    batch = spark.createDataFrame([(1, "2024-01-02", 1)], PRICES).withColumn("v", F.when(F.col("k") == 1, F.raise_error(F.lit("lost"))).cast("int"))
+    with pytest.raises(Exception, match="lost"):
         upsert.merge_into_partitions(spark, path, batch, ["k", "day"], "day")
+    upsert.finish_merge(spark, path, "day")
+    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == {i: i for i in range(100)}
 
 
 def test_rows_before_the_first_tick_ask_for_one_place(spark, monkeypatch):

@@ -39,55 +39,17 @@ def drop_id_fields(data: Column) -> Column:
     return F.to_json(F.map_filter(fields, lambda k, _: ~k.endswith("Id")))
 
 
-def _entries(text: Column) -> Column:
+def fields_as_text(text: Column) -> Column:
+    """The fields of a JSON object, each value as JSON text."""
     parsed = F.from_json(text, "map<string,variant>")
     return F.transform_values(parsed, lambda _, v: F.coalesce(F.to_json(v), F.lit("null")))
 
 
-def _render(entries: Column) -> Column:
-    pairs = F.transform(
-        F.map_entries(entries),
-        lambda e: F.concat(
-            F.lit('"'), F.regexp_replace(e["key"], r'(["\\])', r"\\$1"), F.lit('":'), e["value"]
-        ),
-    )
-    return F.concat(F.lit("{"), F.concat_ws(",", pairs), F.lit("}"))
-
-
-def _append(left: Column, right: Column) -> Column:
+def append_json(left: Column, right: Column) -> Column:
+    """A JSON array with the elements of another, or with anything else as one more element."""
     def inner(text: Column) -> Column:
         return text.substr(F.lit(2), F.length(text) - 2)
 
     inner_left, inner_right = inner(left), F.when(right.startswith("["), inner(right)).otherwise(right)
     parts = F.filter(F.array(inner_left, inner_right), lambda x: F.trim(x) != F.lit(""))
     return F.concat(F.lit("["), F.concat_ws(",", parts), F.lit("]"))
-
-
-def merge_json(current: Column, new: Column, depth: int = 8) -> Column:
-    """Deep merge of two JSON texts.
-
-    A field on one side only is kept; objects merge field by field; arrays are appended to;
-    anything else takes the new value. Two different objects more than ``depth`` levels down fail the job: the plan
-    has no more levels, and taking either would lose the other.
-    """
-    both_objects = current.startswith("{") & new.startswith("{")
-    if depth == 0:
-        merged = F.raise_error(F.lit("JSON objects differ further down than the merge goes")).cast("string")
-    else:
-        merged = _render(
-            F.map_zip_with(
-                _entries(F.when(both_objects, current).otherwise(F.lit("{}"))),
-                _entries(F.when(both_objects, new).otherwise(F.lit("{}"))),
-                lambda _, a, b: F.when(b.isNull(), a)
-                .when(a.isNull(), b)
-                .when(a == b, a)
-                .otherwise(merge_json(a, b, depth - 1)),
-            )
-        )
-    return (
-        F.when(new.isNull(), current)
-        .when(current.isNull(), new)
-        .when(both_objects, merged)
-        .when(current.startswith("["), _append(current, new))
-        .otherwise(new)
-    )

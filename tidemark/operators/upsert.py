@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.json_fields import merge_json
+from tidemark.operators.json_merge import merge_column
 from tidemark.operators.latest import keep_first
 
 REPLACE = "replace"          # new row's value, even if NULL
@@ -35,39 +34,72 @@ POLICIES = {
 }
 
 
-def _resolve(policy: str, old: Column, new: Column, in_old: Column, in_new: Column) -> Column:
-    both = {
-        REPLACE: new,
-        NEW_NON_NULL: F.coalesce(new, old),
-        EXISTING_NON_NULL: F.coalesce(old, new),
-        MERGE_JSON: merge_json(old, new),
-        KEEP: old,
-    }[policy]
-    return F.when(in_old & in_new, both).when(in_new, new).otherwise(old)
+def _kept(policy: str, values: Sequence[str]) -> dict[str, Column]:
+    """Aggregates over the rows of a key, each with its ``_turn``, that give what the policy keeps of some columns. They do
+    not depend on the order in which rows are seen."""
+    turn = F.col("_turn")
+    if policy in (REPLACE, KEEP):
+        pick = F.max_by if policy == REPLACE else F.min_by
+        whole = pick(F.struct(*values), turn)
+        return {v: whole[v] for v in values}
+    if policy in (NEW_NON_NULL, EXISTING_NON_NULL):
+        pick = F.max_by if policy == NEW_NON_NULL else F.min_by
+        return {v: pick(v, F.when(F.col(v).isNotNull(), turn)) for v in values}
+    raise ValueError(f"unknown policy: {policy}")
+
+
+def fold(
+    parts: Sequence[DataFrame], keys: Sequence[str], policies: Mapping[str, str] | None = None, default: str = REPLACE
+) -> DataFrame:
+    """Stored rows and any number of batches, in the order in which they came, as one grouping by key.
+
+    Each part must hold a key once. Every row carries the turn of its part, and a policy is an aggregate over the rows of a
+    key: the latest row, the latest or first value that is not NULL. A column that a part lacks is left alone by it. A
+    NULL in a key is a value like any other. Deep merges of JSON are made by path, part by part.
+    """
+    policies, columns = dict(policies or {}), parts[0].columns
+    values = [c for c in columns if c not in keys]
+    policy = {c: policies.get(c, default) for c in values}
+    # a column that some batch lacks: what a batch without it says must not replace it
+    lacking = {c for c in values if any(c not in p.columns for p in parts[1:])}
+    given = {c: f"_given_{c}" for c in sorted(lacking)}
+    types = {f.name: f.dataType for f in parts[0].schema}
+    rows = None
+    for turn, part in enumerate(parts):
+        own = [F.col(f"`{c}`").cast(types[c]).alias(c) if c in part.columns else F.lit(None).cast(types[c]).alias(c) for c in columns]
+        flags = [F.lit(c in part.columns).alias(f) for c, f in given.items()]
+        part = part.select(*own, *flags, F.lit(turn).alias("_turn"))
+        rows = part if rows is None else rows.unionByName(part)
+
+    kept: dict[str, Column] = {}
+    for kind in dict.fromkeys(policy.values()):
+        own = [c for c in values if policy[c] == kind]
+        if kind == MERGE_JSON:
+            for c in own:
+                kept |= {f"_{n}_{c}": F.max(F.when(F.col("_turn") == n, F.col(c))) for n in range(len(parts))}
+            continue
+        if whole := [c for c in own if c not in lacking]:
+            kept |= _kept(kind, whole)
+        for c in (c for c in own if c in lacking):
+            there = F.when(F.col(given[c]), F.col("_turn"))
+            if kind in (REPLACE, KEEP):
+                kept[c] = (F.max_by if kind == REPLACE else F.min_by)(F.struct(c), there)[c]
+            else:
+                kept |= _kept(kind, [c])
+    # one exchange: rows meet by key and are sorted once for all aggregates
+    merged = rows.repartition(*keys).groupBy(*keys).agg(*(x.alias(c) for c, x in kept.items()))
+    for c in (c for c in values if policy[c] == MERGE_JSON):
+        merged = merged.withColumnRenamed(f"_0_{c}", c)
+        for n in range(1, len(parts)):
+            merged = merge_column(merged, keys, c, f"_{n}_{c}", c)
+    return merged.select(*columns)
 
 
 def upsert(
     stored: DataFrame, batch: DataFrame, keys: Sequence[str], policies: Mapping[str, str] | None = None, default: str = REPLACE
 ) -> DataFrame:
     """Stored rows with the batch applied; the batch must hold each key once (see ``keep_first``)."""
-    policies = dict(policies or {})
-    values = [c for c in stored.columns if c not in keys]
-    left = stored.withColumn("_in_old", F.lit(True)).withColumnsRenamed({c: f"_old_{c}" for c in values})
-    present = [c for c in values if c in batch.columns]
-    right = (
-        batch.select(*keys, *present).withColumn("_in_new", F.lit(True)).withColumnsRenamed({c: f"_new_{c}" for c in present})
-    )
-    joined = left.join(right, list(keys), "full_outer")
-    in_old, in_new = F.col("_in_old").isNotNull(), F.col("_in_new").isNotNull()
-    resolved = [
-        (
-            _resolve(policies.get(c, default), F.col(f"_old_{c}"), F.col(f"_new_{c}"), in_old, in_new)
-            if c in present
-            else F.col(f"_old_{c}")
-        ).alias(c)
-        for c in values
-    ]
-    return joined.select(*keys, *resolved).select(*stored.columns)
+    return fold([stored, batch], keys, policies, default)
 
 
 def insert_if_absent(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -173,37 +205,49 @@ def merge_into_partitions(
 ) -> None:
     """MERGE for a plain partitioned parquet table: read and rewrite only the partitions the batch touches.
 
-    ``keys`` must include or determine ``partition``. The new partitions are written once, under the table's ``_merge``
-    folder, which readers pass over; a manifest then lists them, and they are moved into place. A merge that dies before
-    its manifest has changed nothing; one that dies after it is finished by the next merge (or ``finish_merges``). Two
-    writers at once are refused: a partition whose files have changed since they were read fails the merge.
+    ``keys`` must include or determine ``partition``. The merged partitions are written out first, under the table's
+    ``_pending`` folder, which readers pass over; one dynamic partition overwrite then puts them into the table. A merge
+    that dies before the copy is whole has changed nothing; one that dies later is repeated from the copy by the next
+    merge (or ``finish_merge``) and comes to the same table. One writer at a time.
     """
-    finish_merges(spark, path)
     clean = keep_first(batch, keys, arrival) if arrival else batch
-    values = [r[0] for r in clean.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+    rewrite_partitions(spark, path, clean, partition, lambda stored: upsert(stored, clean, keys, policies))
+
+
+def rewrite_partitions(
+    spark: SparkSession, path: str, batch: DataFrame, partition: str, change: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Replace the partitions that ``batch`` touches by ``change`` of their stored rows; the first batch makes the table."""
+    finish_merge(spark, path, partition)
+    values = [r[0] for r in batch.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
     if not values:
         return
-    seen: dict[str, list[str]] = {}
+    new = batch
     if table_exists(spark, path):
         stored = spark.read.parquet(path)
         if len(values) <= LISTED_PARTITIONS:
             current = stored.filter(one_of(F.col(partition), values))
         else:
-            touched = clean.select(F.col(partition).alias("_touched")).distinct()
+            touched = batch.select(F.col(partition).alias("_touched")).distinct()
             current = stored.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
-        seen = _partition_files(spark, path, partition)
-        result = upsert(current, clean, keys, policies)
-    else:
-        result = clean
-    staged = f"{path.rstrip('/')}/_merge/{uuid.uuid4().hex}"
-    result.write.partitionBy(partition).parquet(staged)
-    now = _partition_files(spark, path, partition)
-    for name in _partition_files(spark, staged, partition):
-        if now.get(name) != seen.get(name):
-            raise RuntimeError(f"another writer has changed {name} of {path}")
-    manifest, fs = _file_system(spark, f"{staged}/_manifest")
-    fs.create(manifest).close()
-    finish_merges(spark, path)
+        new = change(current)
+    new.write.mode("overwrite").parquet(_pending(path))
+    finish_merge(spark, path, partition)
+
+
+def finish_merge(spark: SparkSession, path: str, partition: str) -> None:
+    """Put a merge that was written out whole into the table; doing so again gives the same table."""
+    success, fs = _file_system(spark, f"{_pending(path)}/_SUCCESS")
+    if not fs.exists(success):
+        return
+    merged = spark.read.parquet(_pending(path))
+    if not merged.isEmpty():
+        overwrite_partitions(merged, path, partition)
+        spark.createDataFrame([], merged.schema).write.mode("overwrite").parquet(_pending(path))
+
+
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}/_pending"
 
 
 def one_of(column: Column, values: Sequence) -> Column:
@@ -213,40 +257,6 @@ def one_of(column: Column, values: Sequence) -> Column:
     return found | column.isNull() if len(known) < len(values) else found
 
 
-def finish_merges(spark: SparkSession, path: str) -> int:
-    """Move the partitions of complete staged merges into place and clear what incomplete ones left; returns how many
-    merges were finished. Running it again, or after it died half way, comes to the same table."""
-    root, fs = _file_system(spark, f"{path.rstrip('/')}/_merge")
-    if not fs.exists(root):
-        return 0
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    finished = 0
-    for staged in [s.getPath() for s in fs.listStatus(root)]:
-        if fs.exists(hadoop_path(staged, "_manifest")):
-            for status in fs.listStatus(staged):
-                name = status.getPath().getName()
-                if status.isDirectory() and "=" in name:
-                    target = hadoop_path(path, name)
-                    fs.delete(target, True)
-                    if not fs.rename(status.getPath(), target):
-                        raise RuntimeError(f"cannot move {status.getPath().toString()}")
-            finished += 1
-        fs.delete(staged, True)
-    return finished
-
-
-def _partition_files(spark: SparkSession, path: str, partition: str) -> dict[str, list[str]]:
-    """The files of each partition folder; names are never used twice, so equal lists are equal contents."""
-    root, fs = _file_system(spark, path)
-    if not fs.exists(root):
-        return {}
-    return {
-        s.getPath().getName(): sorted(f.getPath().getName() for f in fs.listStatus(s.getPath()))
-        for s in fs.listStatus(root)
-        if s.getPath().getName().startswith(f"{partition}=")
-    }
-
-
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
     """Replace exactly the partitions present in ``df``; running it again gives the same table."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)

@@ -10,6 +10,7 @@ from tidemark.functions import json_fields as jf
 from tidemark.functions.hexbytes import from_hex_text, is_address, to_hex_text
 from tidemark.functions.timegrid import SAMPLING_MS
 from tidemark.operators import upsert as up
+from tidemark.operators.json_merge import leaves, merge_column
 from tidemark.operators.latest import keep_first
 from tidemark.plans import dims, portfolio
 from tidemark.queries.registry import query
@@ -177,12 +178,15 @@ def _(t):
     return t.raw("customer").select("c_custkey", F.substring(back, 3, 32).alias("digest"), (back == text).alias("same"), is_address(address).alias("valid"))
 
 
-@query("long_hex_round_trip", "F1", "SELECT n_nationkey, length(repeat(n_name, 150000)) AS bytes, md5(repeat(n_name, 150000)) AS digest FROM nation")
+_TIMES = "CASE WHEN c_custkey % 100 = 0 THEN 60000 ELSE c_custkey % 1000 END"
+
+
+@query("long_hex_round_trip", "F1", f"SELECT c_custkey, length(repeat(c_name, {_TIMES})) AS bytes, md5(repeat(c_name, {_TIMES})) AS digest FROM customer")
 def _(t):
-    # texts of 2^20 characters and more, and their hex twice as long
-    long = F.repeat("n_name", F.lit(150_000))
+    # long texts, one in a hundred of 2^20 characters and more, and their hex twice as long
+    long = F.repeat("c_name", F.expr(f"CAST({_TIMES} AS INT)"))
     back = from_hex_text(F.concat(F.lit("0x"), F.hex(long)))
-    return t.raw("nation").select("n_nationkey", F.octet_length(back).cast("bigint").alias("bytes"), F.md5(back).alias("digest"))
+    return t.raw("customer").select("c_custkey", F.octet_length(back).cast("bigint").alias("bytes"), F.md5(back).alias("digest"))
 
 
 @query("chain_product_lists", "J22", "SELECT chain, product_id FROM products")
@@ -409,7 +413,7 @@ def _(t):
         F.pmod("c_custkey", F.lit(2)) == 0,
         F.to_json(F.struct(F.col("c_mktsegment").alias("segment"), F.struct(F.lit("new").alias("value")).alias("nested"), F.array(F.lit(3)).alias("list"))),
     ).otherwise(F.to_json(F.struct(F.col("c_mktsegment").alias("segment"))))
-    merged = t.raw("customer").withColumn("m", jf.merge_json(old, new))
+    merged = merge_column(t.raw("customer").select("c_custkey", old.alias("old"), new.alias("new")), ["c_custkey"], "old", "new", "m")
     get = lambda path: F.get_json_object("m", path)
     return merged.select(
         "c_custkey", get("$.segment").alias("segment"), get("$.kept").alias("kept"), get("$.nested.value").alias("nested_value"),
@@ -417,23 +421,45 @@ def _(t):
     )
 
 
+def deep_json(levels, fields, item):
+    """JSON text of an object, so many levels down, and a list of one item beside the way at every tenth level."""
+    down = F.transform(F.sequence(F.lit(1), levels), lambda i: F.concat(F.when(i % 10 == 0, F.lit(f'"list":[{item}],')).otherwise(""), F.lit('"in":{')))
+    return F.concat(F.lit("{"), F.array_join(down, ""), fields, F.repeat(F.lit("}"), levels + 1))
+
+
 @query(
     "merged_json_deep", "J7 S11",
-    """SELECT n_nationkey, CAST(n_nationkey AS VARCHAR) AS kept, n_name AS added, CASE WHEN n_nationkey % 3 = 0 THEN 'new' ELSE 'old' END AS changed FROM nation""",
+    """SELECT event_id, 20 + event_id % 21 AS levels, CAST(event_id AS VARCHAR) AS kept, event_type AS added, CASE WHEN event_id % 3 = 0 THEN 'new' ELSE 'old' END AS changed, '[1,2]' AS list FROM events""",
+)
+def _(t):
+    # one JSON text per event, 20 to 40 levels deep, and what a batch brings for it
+    levels = F.col("levels")
+    field = lambda name, value: F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
+    old = F.concat_ws(",", field("kept", F.col("event_id").cast("string")), field("changed", F.lit("old")))
+    added = field("added", F.col("event_type"))
+    new = F.when(F.pmod("event_id", F.lit(3)) == 0, F.concat_ws(",", added, field("changed", F.lit("new")))).otherwise(added)
+    events = t.raw("events").select("event_id", "event_type", (F.pmod("event_id", F.lit(21)) + 20).alias("levels"))
+    rows = events.select("event_id", "levels", deep_json(levels, old, 1).alias("old"), deep_json(levels, new, 2).alias("new"))
+    merged = merge_column(rows, ["event_id"], "old", "new", "m")
+    # the innermost object stands between the last opening and the first closing brace
+    inner = F.from_json(F.concat(F.lit("{"), F.regexp_extract("m", r"\{([^{}]*)\}", 1), F.lit("}")), "kept string, added string, changed string")
+    lists = F.get_json_object("m", "$" + ".in" * 9 + ".list")
+    return merged.select("event_id", "levels", inner["kept"].alias("kept"), inner["added"].alias("added"), inner["changed"].alias("changed"), lists.alias("list"))
+
+
+@query(
+    "merged_json_leaves", "J7 S11",
+    """SELECT event_id, n AS depth, CASE WHEN n = 20 + event_id % 21 + 1 THEN 3 ELSE 1 END AS leaves FROM events, (SELECT unnest(range(1, 42)) AS n)
+       WHERE n = 20 + event_id % 21 + 1 OR n % 10 = 0 AND n <= 20 + event_id % 21""",
 )
 def _(t):
-    def nested(levels, **fields):
-        inner = F.struct(*[v.alias(k) for k, v in fields.items()])
-        for level in range(levels, 0, -1):
-            inner = F.struct(inner.alias(f"l{level}"))
-        return F.to_json(inner)
-
-    old = nested(6, kept=F.col("n_nationkey").cast("string"), changed=F.lit("old"))
-    third = F.pmod("n_nationkey", F.lit(3)) == 0
-    new = F.when(third, nested(6, added=F.col("n_name"), changed=F.lit("new"))).otherwise(nested(6, added=F.col("n_name")))
-    merged = t.raw("nation").withColumn("m", jf.merge_json(old, new))
-    deep = lambda name: F.get_json_object("m", f"$.l1.l2.l3.l4.l5.l6.{name}").alias(name)
-    return merged.select("n_nationkey", deep("kept"), deep("added"), deep("changed"))
+    # the path table itself: where the leaves of the merge stand
+    levels = F.col("levels")
+    events = t.raw("events").select("event_id", (F.pmod("event_id", F.lit(21)) + 20).alias("levels"))
+    old, new = deep_json(levels, F.lit('"a":1,"b":{"x":2}'), 1), deep_json(levels, F.lit('"b":{"x":2},"c":null'), 2)
+    rows = events.select("event_id", old.alias("old"), new.alias("new"))
+    found = leaves(rows, ["event_id"], "old", "new")
+    return found.groupBy("event_id", F.size("_path").cast("bigint").alias("depth")).agg(F.count("*").alias("leaves"))
 
 
 @query("sampling_periods", "F11", "SELECT event_id, ts + to_milliseconds(1296000000) AS after_half_month FROM events")
