@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timegrid import SAMPLING_MS, interval
-from tidemark.operators import intervals
+from tidemark.operators import dyadic, intervals
 
 COVERED, RETRY = "covered", "retry"
 KEY = ["import_key"]
@@ -243,7 +243,7 @@ def block_status(states: DataFrame, ranges: DataFrame, block: int, as_of: dateti
     )
 
 
-def import_results_over_time(blocks: DataFrame, products: DataFrame, states: DataFrame, ranges: DataFrame, latest: DataFrame, cell_width: int = intervals.DEFAULT_CELL) -> DataFrame:
+def import_results_over_time(blocks: DataFrame, products: DataFrame, states: DataFrame, ranges: DataFrame, latest: DataFrame) -> DataFrame:
     """Worst status of each product at each sampled block: 2 failed, 1 imported, 0 expected but missing.
 
     ``blocks``: chain, datetime, block_number (one per time step); ``latest``: chain, max_block.
@@ -258,10 +258,9 @@ def import_results_over_time(blocks: DataFrame, products: DataFrame, states: Dat
         "import_key", F.when(F.col("kind") == RETRY, 2).otherwise(1).alias("status"), "from", "to"
     )
     valid = expected.unionByName(known).filter(F.col("from") <= F.col("to"))
-    points = scope.select("import_key", "product_id", "chain").join(blocks, "chain")
-    tagged = intervals.tag_points(points, valid, KEY, "block_number", [0, 1, 2], tag="status", cell_width=cell_width)
-    worst = F.when(F.col("open_2") > 0, 2).when(F.col("open_1") > 0, 1).when(F.col("open_0") > 0, 0)
-    return tagged.select("product_id", "datetime", worst.alias("range_result")).filter(F.col("range_result").isNotNull())
+    points = scope.join(blocks, "chain").select("import_key", "product_id", "datetime", "block_number").distinct()
+    found = dyadic.largest_at(points, valid, KEY, "block_number", F.col("status"), "range_result")
+    return found.select("product_id", "datetime", "range_result")
 
 
 def creation_info(products: DataFrame, states: DataFrame, by: str = "product_id") -> DataFrame:

@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions import range_columns as rc
-from tidemark.operators import intervals
+from tidemark.operators import dyadic, intervals
 from tidemark.plans import coverage as cov
+from tidemark.plans import live_coverage as live
 from tidemark.plans import valuation
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path
@@ -181,13 +182,45 @@ _FOLDED_RETRY = islands_sql(
 )
 
 
+_AFTER_RESULTS = f"""SELECT import_key, 'covered' AS kind, "from", "to" FROM ({merged_sql(COVERED + f' UNION ALL SELECT import_key, "from", "to" FROM ({_RESULTS})')})
+        UNION ALL SELECT import_key, 'retry', "from", "to" FROM ({_FOLDED_RETRY})"""
+
+
+@query("coverage_after_results", "I12 I13", _AFTER_RESULTS)
+def _(t):
+    return cov.fold_results(t.states, t.coverage, results(t), AS_OF, CELL)[1]
+
+
+def live_table(t, width):
+    """The coverage, and the results as a stream of files, each delivered once more by a second stream."""
+    path, landed = scratch_path(t.spark, "coverage"), scratch_path(t.spark, "results")
+    live.add(t.spark, path, t.coverage, width)
+    rows = results(t).select("import_key", "from", "to", "success")
+    rows.repartition(3).write.parquet(landed)
+    for _ in range(2):
+        stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(landed)
+        live.write_results(stream, path, scratch_path(t.spark, "results-checkpoint"), width).awaitTermination()
+    return path
+
+
+@query("live_coverage", "I12 I13 ST1 ST7 ST8 ST10", _AFTER_RESULTS)
+def _(t):
+    return live.ranges_of(live.parts_of(t.spark, live_table(t, 256), 256))
+
+
 @query(
-    "coverage_after_results", "I12 I13",
-    f"""SELECT import_key, 'covered' AS kind, "from", "to" FROM ({merged_sql(COVERED + f' UNION ALL SELECT import_key, "from", "to" FROM ({_RESULTS})')})
-        UNION ALL SELECT import_key, 'retry', "from", "to" FROM ({_FOLDED_RETRY})""",
+    "live_coverage_settled", "I12 I13 ST7",
+    f"""SELECT import_key, 'covered' AS kind, "from", "to" FROM ({merged_sql(COVERED + f' UNION ALL {RETRY} UNION ALL SELECT import_key, "from", "to" FROM ({_RESULTS})')})""",
 )
 def _(t):
-    return cov.fold_results(t.states, t.coverage, results(t), AS_OF, CELL)[1]
+    # a second run loads everything that was to be retried: it is covered, and nothing is left in the queue
+    path, settled = live_table(t, 512), scratch_path(t.spark, "settled")
+    live.settle(t.spark, path, settled, 512)
+    queued = live.ranges_of(live.parts_of(t.spark, settled, 512)).filter(F.col("kind") == cov.RETRY)
+    done = scratch_path(t.spark, "queued")
+    queued.write.parquet(done)
+    live.add(t.spark, settled, live.kinds_of(t.spark.read.parquet(done).withColumn("success", F.lit(True))), 512)
+    return live.ranges_of(live.parts_of(t.spark, settled, 512))
 
 
 @query(
@@ -337,6 +370,21 @@ def _(t):
     return intervals.points_inside(points, covered(t), KEY, "d", cell_width=1)  # days
 
 
+@query(
+    "points_in_indexed_ranges", "I21 J13 I4",
+    """SELECT p.import_key, p.d, p.id FROM (SELECT 'product:investment:' || CAST(l_partkey + 1 AS VARCHAR) AS import_key, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS d, l_orderkey * 8 + l_linenumber AS id FROM lineitem) p
+       WHERE EXISTS (SELECT 1 FROM coverage c WHERE c.import_key = p.import_key AND p.d BETWEEN c."from" AND c."to")""",
+)
+def _(t):
+    # the same question as an equality join, over covered and queued ranges
+    points = t.raw("lineitem").select(
+        F.concat(F.lit("product:investment:"), (F.col("l_partkey") + 1).cast("string")).alias("import_key"),
+        F.datediff("l_shipdate", F.lit("1970-01-01")).cast("bigint").alias("d"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+    )
+    return dyadic.points_inside(points, t.coverage, KEY, "d")
+
+
 @query(
     "date_ranges_merged", "I2 F4",
     f"""SELECT import_key, make_timestamp("from" * 1000) AS "from", make_timestamp("to" * 1000) AS "to", "to" - "from" + 1 AS size_ms FROM ({merged_sql('SELECT import_key, "from" * 86400000 AS "from", "to" * 86400000 + 86399999 AS "to" FROM coverage')})""",
@@ -366,14 +414,14 @@ def _(t):
     )
 
 
-@query(
-    "coverage_metrics", "A13 J20 ST6",
-    """WITH m AS (SELECT chain, max(chain_latest_block_number) AS latest FROM states GROUP BY 1),
+COVERAGE_METRICS = """WITH m AS (SELECT chain, max(chain_latest_block_number) AS latest FROM states GROUP BY 1),
        r AS (SELECT import_key, coalesce(sum("to" - "from" + 1) FILTER (WHERE kind = 'covered'), 0) AS covered, coalesce(sum("to" - "from" + 1) FILTER (WHERE kind = 'retry'), 0) AS retry FROM coverage GROUP BY 1)
        SELECT p.chain, s.type AS import_type, p.is_eol AS eol, CAST(sum(coalesce(retry, 0)) AS BIGINT) AS errors_count, CAST(sum(coalesce(covered, 0)) - sum(coalesce(retry, 0)) AS BIGINT) AS success_count,
          CAST(sum(m.latest - s.contract_created_at_block + 1) - sum(coalesce(covered, 0)) AS BIGINT) AS not_covered_yet, TIMESTAMP '2024-02-01' AS datetime
-       FROM products p JOIN states s USING (product_id) LEFT JOIN m ON m.chain = p.chain LEFT JOIN r ON r.import_key = s.import_key GROUP BY 1, 2, 3""",
-)
+       FROM products p JOIN states s USING (product_id) LEFT JOIN m ON m.chain = p.chain LEFT JOIN r ON r.import_key = s.import_key GROUP BY 1, 2, 3"""
+
+
+@query("coverage_metrics", "A13 J20 ST6", COVERAGE_METRICS)
 def _(t):
     return cov.metrics(t.products, t.states, t.coverage, AS_OF)
 
@@ -414,7 +462,7 @@ def _(t):
     steps = chains.withColumn("block_number", F.explode(F.sequence(F.lit(9100), F.lit(11500), F.lit(100)))).withColumn(
         "datetime", F.timestamp_seconds(F.unix_seconds(F.lit("2024-01-01").cast("timestamp")) + (F.col("block_number") - 9100) * 36)
     )
-    return cov.import_results_over_time(steps, t.products, t.states, t.coverage, chains.withColumn("max_block", F.lit(11600)), CELL)
+    return cov.import_results_over_time(steps, t.products, t.states, t.coverage, chains.withColumn("max_block", F.lit(11600)))
 
 
 @query(
