@@ -5,17 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hexbytes import from_hex_text, to_hex_text
 from tidemark.functions.json_fields import contract_address, display_id, is_eol, is_true, pretty, variant_field
-from tidemark.functions.timegrid import interval, micros, time_bucket
-from tidemark.operators import sketches
+from tidemark.functions.timegrid import interval, time_bucket
+from tidemark.operators import bitmaps, sketches
 from tidemark.operators.asof import first_at_or_above
 from tidemark.operators.latest import current_holders, last_by
 from tidemark.operators.ohlc import rollup_between
-from tidemark.operators.scan import Run, running
 from tidemark.plans.valuation import value
 
 COUNT_THRESHOLDS = [10**k for k in range(8)]
@@ -255,38 +254,14 @@ def holder_histogram(totals: DataFrame, buckets: int, low: float, high: float) -
 
 
 def exact_holders(ledger: DataFrame, period: str, lo: Column, hi: Column) -> DataFrame:
-    """Distinct investors with a positive carried-forward balance, per bucket; buckets with none are left out.
+    """Distinct investors with a positive carried-forward balance, per bucket; buckets with none are left out."""
+    return bitmaps.counts(bitmaps.holders(ledger, [], period, lo, hi), ["datetime"])
 
-    Counted from the moments an investor becomes or stops being a holder. The dense investor x bucket grid this
-    stands for is never made.
-    """
-    last = (
-        ledger.filter(F.col("datetime").between(lo, hi))
-        .groupBy("investor_id", time_bucket(period, F.col("datetime")).alias("bucket"))
-        .agg(last_by("balance", "datetime", "block_number").alias("balance"))
-    )
-    by_investor = Window.partitionBy("investor_id").orderBy("bucket")
-    holds = F.coalesce(F.col("balance") > 0, F.lit(False)).cast("int")
-    # a NULL last balance keeps the previous state, as carrying forward does
-    state = F.coalesce(
-        F.last(F.when(F.col("balance").isNotNull(), holds), ignorenulls=True).over(
-            by_investor.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
-        F.lit(0),
-    )
-    changes = (
-        last.withColumn("_state", state)
-        .withColumn("_change", F.col("_state") - F.coalesce(F.lag("_state").over(by_investor), F.lit(0)))
-        .groupBy("bucket")
-        .agg(F.sum("_change").alias("_change"))
-    )
-    grid = ledger.sparkSession.range(1).select(
-        F.explode(F.sequence(time_bucket(period, lo), time_bucket(period, hi), interval(period))).alias("datetime")
-    )
-    steps = grid.join(changes.withColumnRenamed("bucket", "datetime"), "datetime", "left")
-    stretch = F.floor(F.unix_micros("datetime") / F.lit(4096 * micros(period))).cast("long")
-    counted = running(steps, [], ["datetime"], stretch, {"investor_count": Run("sum", F.coalesce("_change", F.lit(0)))})
-    return counted.select("datetime", "investor_count").filter(F.col("investor_count") > 0)
+
+def holders_by(holdings: DataFrame, products: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Distinct holders per day and product attribute, from the stored bitmaps of each product and day."""
+    named = holdings.join(products.select("product_id", *by), "product_id")
+    return bitmaps.counts(named, ["datetime", *by])
 
 
 def transactions(rows: DataFrame, products: DataFrame, rates: DataFrame | None = None, valued: bool = False) -> DataFrame:
