@@ -11,6 +11,7 @@ from tidemark.operators import asof, gapfill, ohlc
 from tidemark.operators.latest import first_by, keep_first, last_by, top_per_key
 from tidemark.plans import monitoring, portfolio, valuation
 from tidemark.queries.registry import query
+from tidemark.sources import bucketed
 
 AS_OF = datetime(2024, 2, 1)
 MID = datetime(2024, 1, 16, 12)
@@ -440,11 +441,30 @@ def _(t):
     return t.raw("events").select("event_id", epoch_seconds_between(F.col("ts"), iso_to_timestamp(F.lit("2024-01-16T14:00:00.000+02:00"))).alias("diff_sec"))
 
 
-@query(
-    "exact_tick_join", "J14 Q8",
-    """SELECT p.chain, l.investor_id, l.datetime, l.block_number, l.balance, l.balance_diff, 1.0 + l.block_number % 10 / 100.0::DOUBLE AS ppfs, l.transaction_hash AS trx_hash, p.product_key, p.display_id AS product_name
-       FROM ledger l JOIN products p USING (product_id)""",
-    "balance balance_diff ppfs",
-)
+_TICK_JOIN = """SELECT p.chain, l.investor_id, l.datetime, l.block_number, l.balance, l.balance_diff, 1.0 + l.block_number % 10 / 100.0::DOUBLE AS ppfs, l.transaction_hash AS trx_hash, p.product_key, p.display_id AS product_name
+       FROM ledger l JOIN products p USING (product_id)"""
+
+
+@query("exact_tick_join", "J14 Q8", _TICK_JOIN, "balance balance_diff ppfs")
 def _(t):
     return portfolio.transactions(t.ledger, t.products, t.share_rates).orderBy(F.col("datetime").desc())
+
+
+TICK = ["price_feed_1_id", "datetime", "block_number"]
+
+
+def bucketed_rows_and_ticks(t, buckets=8):
+    """The ledger with its feed, and the feed's ticks, laid out by the keys on which they meet."""
+    rows = t.ledger.join(t.products.select("product_id", "price_feed_1_id"), "product_id")
+    ticks = t.share_rates.select(F.col("price_feed_id").alias("price_feed_1_id"), "datetime", "block_number", F.col("price").alias("ppfs"))
+    return bucketed.write(rows, "ledger", TICK, buckets), bucketed.write(ticks, "ticks", TICK, buckets)
+
+
+def bucketed_tick_join(t):
+    rows, ticks = bucketed_rows_and_ticks(t)
+    return rows.join(ticks.hint("merge"), TICK, "left")
+
+
+@query("exact_tick_join_bucketed", "J14 J8", "SELECT investor_id, product_id, datetime, block_number, balance, 1.0 + block_number % 10 / 100.0::DOUBLE AS ppfs FROM ledger JOIN products USING (product_id)", "balance ppfs")
+def _(t):
+    return bucketed_tick_join(t).select("investor_id", "product_id", "datetime", "block_number", "balance", "ppfs")

@@ -10,13 +10,14 @@ from tidemark.functions.timegrid import cell
 from tidemark.operators import sketches
 from tidemark.operators import transfers as tr
 from tidemark.plans import coverage as cov
-from tidemark.queries.loads import DECODED_LOGS, event_logs
+from tidemark.queries.loads import _LOGS, DECODED_LOGS, event_logs
+from tidemark.queries.ranges import COVERAGE_METRICS
 from tidemark.queries.registry import query
 from tidemark.schema import AMOUNT
 from tidemark.session import scratch_path
 from tidemark.sources import readers
 from tidemark.sources.standins import PRODUCTS, SCHEMAS, _type_index
-from tidemark.streaming import positions, rollups
+from tidemark.streaming import positions, rollups, sealed
 
 OHLC = "price_avg price_high price_low price_open price_close"
 
@@ -55,19 +56,45 @@ def _(t):
     return rollups.read_partials(t.spark, path)
 
 
+def sealed_rollup(t):
+    """Ticks landing five days at a time; one in 37 comes last of all, whenever it was made."""
+    landing, path = scratch_path(t.spark, "ticks"), scratch_path(t.spark, "sealed")
+    ticks = t.price_ts.withColumn("late", F.pmod("block_number", F.lit(37)) == 0)
+    for first in range(1, 32, 5):
+        on_time = ~F.col("late") & F.dayofmonth("datetime").between(first, first + 4)
+        ticks.filter(on_time | F.col("late") if first == 31 else on_time).drop("late").coalesce(1).write.mode("append").parquet(landing)
+    stream = t.spark.readStream.schema(t.price_ts.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    finish(sealed.write(stream, path, scratch_path(t.spark, "sealed-checkpoint"), "1hour", "1day", every=2))
+    return path
+
+
+@query("sealed_rollup_1h", "ST2 ST3 A3", "SELECT * FROM price_1h", OHLC)
+def _(t):
+    return sealed.read(t.spark, sealed_rollup(t), with_late=True)
+
+
 @query(
-    "rollup_after_range_refresh", "ST3",
-    """SELECT price_feed_id, time_bucket(INTERVAL '1 day', datetime) AS datetime, avg(CAST(price AS DOUBLE)) AS price_avg FROM price_ts
-       WHERE datetime >= TIMESTAMP '2024-01-10' AND datetime < TIMESTAMP '2024-01-13' OR hour(datetime) < 12 GROUP BY 1, 2""",
-    "price_avg",
+    "late_ticks_of_sealed_rollup", "ST2 ST3",
+    """WITH x AS (SELECT time_bucket(INTERVAL '1 hour', max(datetime) - INTERVAL 1 DAY) AS mark FROM price_ts WHERE block_number % 37 <> 0 AND day(datetime) <= 30)
+       SELECT price_feed_id, count(*) AS late_ticks FROM price_ts, x WHERE block_number % 37 = 0 AND time_bucket(INTERVAL '1 hour', datetime) < mark GROUP BY 1""",
 )
+def _(t):
+    return sealed.late_counts(t.spark, sealed_rollup(t))
+
+
+_REFRESHED = """SELECT price_feed_id, time_bucket(INTERVAL '1 day', datetime) AS datetime, avg(CAST(price AS DOUBLE)) AS price_avg, max(price) AS price_high, min(price) AS price_low,
+       first(price ORDER BY datetime, block_number) AS price_open, last(price ORDER BY datetime, block_number) AS price_close FROM price_ts
+       WHERE datetime >= TIMESTAMP '2024-01-10' AND datetime < TIMESTAMP '2024-01-13' OR hour(datetime) < 12 GROUP BY 1, 2"""
+
+
+@query("rollup_after_range_refresh", "ST3", _REFRESHED, OHLC)
 def _(t):
     # a rollup that missed all afternoons, repaired for three days
     path = scratch_path(t.spark, "rollup")
     known = t.price_ts.filter(F.hour("datetime") < 12)
     rollups.refresh_range(t.spark, known, path, "1day", *_whole(t))
     rollups.refresh_range(t.spark, t.price_ts, path, "1day", datetime(2024, 1, 10, 5), datetime(2024, 1, 12, 7))
-    return t.spark.read.parquet(path).select("price_feed_id", "datetime", "price_avg")
+    return t.spark.read.parquet(path).drop("day")
 
 
 @query("stream_load_prices", "ST1 ST8 S6 U1", "SELECT price_feed_id, block_number, datetime, price FROM price_ts", "price")
@@ -90,21 +117,32 @@ def _(t):
     return t.spark.read.parquet(path).select("chain", "block_group")
 
 
-@query("stream_decoded_logs", "S1 D1 ST8", DECODED_LOGS)
-def _(t):
-    # the landed log as a stream of files: decoded on the way, what cannot be read goes beside it with the reason
+def decoded_stream(t):
+    """The landed log as a stream of files: decoded on the way, what cannot be read goes beside it with the reason."""
     landing, good, bad = (scratch_path(t.spark, name) for name in ("logs", "decoded", "quarantine"))
     event_logs(t).write.parquet(landing)
-    columns = ["log_index", "event_name", "first_party", "second_party", "amount"]
 
     def save(batch, number):
         usable, unusable = tr.split_decodable(batch)
-        rollups.overwrite_partitions(usable.select(*columns, F.lit(number).alias("batch")), good, "batch")
+        rollups.overwrite_partitions(usable.select(*DECODED, F.lit(number).alias("batch")), good, "batch")
         rollups.overwrite_partitions(unusable.select("chain", "block_number", "log_index", "reason", F.lit(number).alias("batch")), bad, "batch")
 
     stream = tr.decode(readers.event_log(t.spark, landing, streaming=True)).writeStream.foreachBatch(save)
     finish(stream.option("checkpointLocation", scratch_path(t.spark, "logs-checkpoint")).trigger(availableNow=True).start())
-    return t.spark.read.parquet(good).select(*columns)
+    return good, bad
+
+
+DECODED = ["log_index", "event_name", "first_party", "second_party", "amount"]
+
+
+@query("stream_decoded_logs", "S1 D1 ST8", DECODED_LOGS)
+def _(t):
+    return t.spark.read.parquet(decoded_stream(t)[0]).select(*DECODED)
+
+
+@query("stream_quarantine", "S1 D1 ST8 ST10", f"SELECT chain, block_number, log_index, 'unknown event' AS reason FROM ({_LOGS}) WHERE event_name IS NULL")
+def _(t):
+    return t.spark.read.parquet(decoded_stream(t)[1]).select("chain", "block_number", "log_index", "reason")
 
 
 _LOTS = """WITH d AS (SELECT product_id, investor_id, datetime, block_number, CAST(balance_diff AS DOUBLE) AS shares, 1.0 + block_number % 10 / 100.0::DOUBLE AS price FROM ledger_diffs),
@@ -134,16 +172,13 @@ def _(t):
     return positions.complete(t.spark.read.schema(positions.OUTPUT).parquet(path), trades(t.raw("events")), cell(F.col("datetime"), 1))
 
 
-@query(
-    "snapshot_rerun", "ST6 A13",
-    "SELECT DISTINCT TIMESTAMP '2024-02-01' AS datetime, p.chain, s.type AS import_type, p.is_eol AS eol FROM products p JOIN states s USING (product_id)",
-)
+@query("snapshot_rerun", "ST6 A13", COVERAGE_METRICS)
 def _(t):
     path = scratch_path(t.spark, "metrics")
     snapshot = cov.metrics(t.products, t.states, t.coverage, datetime(2024, 2, 1))
     for _ in range(2):
         rollups.append_snapshot(snapshot, path)
-    return t.spark.read.parquet(path).select(F.col("datetime").cast("timestamp").alias("datetime"), "chain", "import_type", "eol")
+    return t.spark.read.parquet(path).withColumn("datetime", F.col("datetime").cast("timestamp"))
 
 
 @query(

@@ -6,10 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.timegrid import time_bucket
 from tidemark.operators import ohlc
 from tidemark.plans import monitoring as mon
 from tidemark.plans import portfolio, tvl
 from tidemark.queries.registry import query
+from tidemark.sources import bucketed
 
 AS_OF = datetime(2024, 2, 1)
 
@@ -19,6 +21,27 @@ def _(t):
     return t.tvl
 
 
+def bucketed_tvl(t, buckets=8):
+    """Daily value locked from two tables laid out by feed and day."""
+    keys = ["price_feed_2_id", "datetime"]
+    staked = t.vault_stats.groupBy("product_id", time_bucket("1day", F.col("datetime")).alias("datetime")).agg(F.max("staked_underlying").alias("max_staked"))
+    staked = staked.join(t.products.select("product_id", "price_feed_2_id", "chain"), "product_id")
+    prices = t.price_1d.select(F.col("price_feed_id").alias("price_feed_2_id"), "datetime", "price_avg")
+    left, right = bucketed.write(staked, "staked", keys, buckets), bucketed.write(prices, "daily_prices", keys, buckets)
+    joined = left.join(right.hint("merge"), keys)
+    return joined.select(*keys, "product_id", "chain", (F.col("max_staked").cast("double") * F.col("price_avg")).alias("tvl"))
+
+
+@query("tvl_daily_bucketed", "A18 J15", "SELECT datetime, product_id, chain, tvl FROM tvl", "tvl")
+def _(t):
+    return bucketed_tvl(t).select("datetime", "product_id", "chain", "tvl")
+
+
+@query("tvl_per_feed_bucketed", "A18 J15", "SELECT p.price_feed_2_id, datetime, sum(tvl) AS tvl FROM tvl JOIN products p USING (product_id) GROUP BY 1, 2", "tvl")
+def _(t):
+    return bucketed_tvl(t).groupBy("price_feed_2_id", "datetime").agg(F.sum("tvl").alias("tvl"))
+
+
 @query("tvl_per_chain", "A18", "SELECT datetime, chain, sum(tvl) AS tvl FROM tvl GROUP BY 1, 2", "tvl")
 def _(t):
     return tvl.chain_tvl(t.tvl)
