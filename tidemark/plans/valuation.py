@@ -183,22 +183,29 @@ def apply_prices(timeline: DataFrame, resolved: DataFrame) -> DataFrame:
     )
 
 
+def affected_products(products: DataFrame, refreshed: DataFrame) -> DataFrame:
+    """Products that use a refreshed feed as either of their two."""
+    feeds = refreshed.select("price_feed_id").distinct()
+    return (
+        products.join(feeds, F.col("price_feed_1_id") == F.col("price_feed_id"), "left_semi").select("product_id")
+        .unionByName(products.join(feeds, F.col("price_feed_2_id") == F.col("price_feed_id"), "left_semi").select("product_id"))
+        .distinct()
+    )
+
+
+def in_refreshed_window(refreshed: DataFrame) -> Column:
+    """Whether ``datetime`` lies between the earliest ``from`` and the latest ``to``."""
+    return F.col("datetime").between(refreshed.agg(F.min("from")).scalar(), refreshed.agg(F.max("to")).scalar())
+
+
 def invalidate(timeline: DataFrame, products: DataFrame, refreshed: DataFrame) -> DataFrame:
     """Null the USD columns of rows whose product uses a refreshed feed, inside the refreshed window.
 
     ``refreshed`` has price_feed_id, from and to (timestamps); the window spans from the earliest ``from`` to the
     latest ``to``.
     """
-    feeds = refreshed.select("price_feed_id").distinct()
-    touched = (
-        products.join(feeds, F.col("price_feed_1_id") == F.col("price_feed_id"), "left_semi").select("product_id")
-        .unionByName(products.join(feeds, F.col("price_feed_2_id") == F.col("price_feed_id"), "left_semi").select("product_id"))
-        .distinct()
-        .withColumn("_touched", F.lit(True))
-    )
-    lo, hi = refreshed.agg(F.min("from")).scalar(), refreshed.agg(F.max("to")).scalar()
-    marked = timeline.join(touched, "product_id", "left")
-    hit = F.col("_touched") & F.col("datetime").between(lo, hi)
+    marked = timeline.join(affected_products(products, refreshed).withColumn("_touched", F.lit(True)), "product_id", "left")
+    hit = F.col("_touched") & in_refreshed_window(refreshed)
     columns = [c for c in (*PRICED, *REWARD_PRICED) if c in timeline.columns]
     return nullify(marked, hit, columns).select(*timeline.columns)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.timegrid import cell, time_bucket
 from tidemark.operators import bitmaps, fifo, ohlc, sketches
 from tidemark.operators.latest import current_holders
-from tidemark.plans import portfolio, valuation
+from tidemark.plans import portfolio, repricing, valuation
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path
 from tidemark.streaming import folds
@@ -368,10 +368,10 @@ def _(t):
     return tracked.select("investor_id", "product_id", "datetime", "order_id", "line", "part", "shares", "inventory")
 
 
-@query(
-    "missing_price_tiers", "D10 D11 W6 J8 A1",
-    """WITH r AS (SELECT l.investor_id, l.product_id, l.block_number, l.datetime, CAST(l.block_number % 7 + 1 AS INT) AS f FROM ledger_diffs l),
-       ticks AS (SELECT * FROM price_ts WHERE datetime >= TIMESTAMP '2024-01-08'),
+def _tiers_sql(rows: str, ticks: str, green: str) -> str:
+    """SQL for prices by tiers: rows without a price, ticks, and the stretches that were imported well."""
+    return f"""WITH r AS ({rows}),
+       ticks AS ({ticks}),
        fp AS (SELECT price_feed_id, min(datetime) AS first_datetime, first(price ORDER BY datetime, block_number) AS first_price FROM ticks GROUP BY 1),
        m AS (SELECT price_feed_id, time_bucket(INTERVAL '15 minutes', datetime) AS b, last(price ORDER BY datetime, block_number) AS price FROM ticks GROUP BY 1, 2),
        a AS (SELECT r.block_number, time_bucket(INTERVAL '15 minutes', t.datetime) AS tb, time_bucket(INTERVAL '15 minutes', r.datetime) AS b, avg(CAST(t.price AS DOUBLE)) AS v
@@ -383,13 +383,22 @@ def _(t):
        y AS (SELECT *, CASE WHEN mp IS NOT NULL THEN 1 WHEN fpr IS NULL THEN 2 WHEN datetime < fd THEN 3 ELSE 4 END AS tier FROM x),
        z AS (SELECT *, CASE WHEN tier <= 3 THEN TIMESTAMP '2023-12-01' ELSE greatest(datetime - INTERVAL 1 DAY, fd) END AS need_from,
                     CASE tier WHEN 2 THEN least(datetime + INTERVAL 30 DAY, TIMESTAMP '2024-02-01') WHEN 3 THEN fd ELSE least(datetime + INTERVAL 1 DAY, TIMESTAMP '2024-02-01') END AS need_to FROM y),
-       g AS (SELECT 6 AS f, epoch_ms(TIMESTAMP '2023-12-01') AS lo, epoch_ms(TIMESTAMP '2024-02-01') AS hi UNION ALL
-             SELECT f, epoch_ms(TIMESTAMP '2023-12-01'), epoch_ms(TIMESTAMP '2024-01-15') - 1 FROM (SELECT unnest([1,2,3,4,5]) AS f) UNION ALL
-             SELECT f, epoch_ms(TIMESTAMP '2024-01-16') + 1, epoch_ms(TIMESTAMP '2024-02-01') FROM (SELECT unnest([1,2,3,4,5]) AS f))
+       g AS ({green})
        SELECT investor_id, product_id, block_number, datetime, f AS price_feed_id, tier,
               CASE tier WHEN 1 THEN CAST(mp AS DOUBLE) WHEN 2 THEN 0.0 WHEN 3 THEN CAST(fpr AS DOUBLE) ELSE ip END AS price
        FROM z WHERE (tier = 1 OR EXISTS (SELECT 1 FROM g WHERE g.f = z.f AND g.lo <= epoch_ms(need_from) AND epoch_ms(need_to) <= g.hi))
-         AND CASE tier WHEN 1 THEN CAST(mp AS DOUBLE) WHEN 2 THEN 0.0 WHEN 3 THEN CAST(fpr AS DOUBLE) ELSE ip END IS NOT NULL""",
+         AND CASE tier WHEN 1 THEN CAST(mp AS DOUBLE) WHEN 2 THEN 0.0 WHEN 3 THEN CAST(fpr AS DOUBLE) ELSE ip END IS NOT NULL"""
+
+
+@query(
+    "missing_price_tiers", "D10 D11 W6 J8 A1",
+    _tiers_sql(
+        "SELECT l.investor_id, l.product_id, l.block_number, l.datetime, CAST(l.block_number % 7 + 1 AS INT) AS f FROM ledger_diffs l",
+        "SELECT * FROM price_ts WHERE datetime >= TIMESTAMP '2024-01-08'",
+        """SELECT 6 AS f, epoch_ms(TIMESTAMP '2023-12-01') AS lo, epoch_ms(TIMESTAMP '2024-02-01') AS hi UNION ALL
+             SELECT f, epoch_ms(TIMESTAMP '2023-12-01'), epoch_ms(TIMESTAMP '2024-01-15') - 1 FROM (SELECT unnest([1,2,3,4,5]) AS f) UNION ALL
+             SELECT f, epoch_ms(TIMESTAMP '2024-01-16') + 1, epoch_ms(TIMESTAMP '2024-02-01') FROM (SELECT unnest([1,2,3,4,5]) AS f)""",
+    ),
     "price",
 )
 def _(t):
@@ -406,6 +415,54 @@ def _(t):
     return valuation.resolve_missing(rows, ticks, covered, retry, feeds, AS_OF)
 
 
+# feeds 2 and 3 are imported anew over ten days: feed 3 has no tick any more, feed 2 only one in five, from the 13th on
+_NEW_TICKS = """SELECT datetime, price_feed_id, block_number, CAST(price AS DOUBLE) + 1 AS price FROM price_ts
+       WHERE price_feed_id <> 3 AND (price_feed_id <> 2 OR block_number % 5 = 0 AND datetime >= TIMESTAMP '2024-01-13')"""
+_HIT = """(product_id IN (SELECT product_id FROM products WHERE price_feed_1_id IN (2, 3) OR price_feed_2_id IN (2, 3))
+         AND datetime BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-19 23:59:59')"""
+_REPRICED = _tiers_sql(
+    f"SELECT l.investor_id, l.product_id, l.block_number, l.datetime, p.price_feed_2_id AS f FROM (SELECT * FROM timeline WHERE {_HIT}) l JOIN products p USING (product_id)",
+    _NEW_TICKS,
+    """SELECT f, epoch_ms(TIMESTAMP '2023-12-01') AS lo, epoch_ms(TIMESTAMP '2024-02-01') AS hi FROM (SELECT unnest([1,3,4,5]) AS f) UNION ALL
+             SELECT 2, epoch_ms(TIMESTAMP '2023-12-01'), epoch_ms(TIMESTAMP '2024-01-16') - 1 UNION ALL SELECT 2, epoch_ms(TIMESTAMP '2024-01-17') + 1, epoch_ms(TIMESTAMP '2024-02-01')""",
+)
+
+
+def repriced(t):
+    """The stored timeline after the refresh, and what was priced by which tier."""
+    path, resolved = scratch_path(t.spark, "timeline"), scratch_path(t.spark, "resolved")
+    repricing.store(t.timeline, t.products, path)
+    feed, at = F.col("price_feed_id"), F.col("datetime")
+    thinned = (feed != 2) | (F.pmod("block_number", F.lit(5)) == 0) & (at >= F.lit("2024-01-13").cast("timestamp"))
+    ticks = t.price_ts.filter((feed != 3) & thinned).withColumn("price", (F.col("price") + 1).cast("decimal(38,18)"))
+    refreshed = t.price_ts.select("price_feed_id").distinct().filter("price_feed_id IN (2, 3)").withColumns(
+        {"from": F.lit("2024-01-10").cast("timestamp"), "to": F.lit("2024-01-19 23:59:59").cast("timestamp")}
+    )
+    ids = t.products.select(F.col("price_feed_2_id").alias("price_feed_id")).distinct()
+    ms = lambda d: F.unix_millis(F.lit(d).cast("timestamp"))
+    covered = ids.select("price_feed_id", ms("2023-12-01").alias("from"), ms("2024-02-01").alias("to"))
+    retry = ids.filter("price_feed_id = 2").select("price_feed_id", ms("2024-01-16").alias("from"), ms("2024-01-17").alias("to"))
+    created = ids.withColumn("first_date", F.lit(datetime(2023, 12, 1)))
+    priced = repricing.reprice(t.spark, path, t.products, refreshed, ticks, covered, retry, created, AS_OF, resolved)
+    return repricing.read(t.spark, path), priced
+
+
+@query(
+    "repriced_partitions", "ST4 S15 S14 D10",
+    f"""SELECT t.investor_id, t.product_id, t.block_number, t.datetime, CASE WHEN {_HIT} THEN x.price ELSE t.underlying_to_usd_price END AS underlying_to_usd_price,
+       CASE WHEN {_HIT} THEN t.underlying_balance * x.price ELSE t.usd_balance END AS usd_balance
+       FROM timeline t LEFT JOIN (SELECT investor_id AS i, product_id AS p, block_number AS b, price FROM ({_REPRICED})) x ON x.i = t.investor_id AND x.p = t.product_id AND x.b = t.block_number""",
+    "underlying_to_usd_price usd_balance",
+)
+def _(t):
+    return repriced(t)[0].select("investor_id", "product_id", "block_number", "datetime", "underlying_to_usd_price", "usd_balance")
+
+
+@query("repriced_tiers", "ST4 D10 D11", f"SELECT tier, count(*) AS n FROM ({_REPRICED}) GROUP BY 1")
+def _(t):
+    return repriced(t)[1].groupBy("tier").agg(F.count("*").alias("n"))
+
+
 @query(
     "bridged_share_rate", "D12 J9 J10",
     """WITH tr AS (SELECT event_id, CAST(event_id % 5 + 1 AS INT) AS f, ts, (['click','error','purchase','signup','view'])[CAST(user_id % 5 AS INT) + 1] AS c FROM events),
