@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import evm
+from tidemark.functions import evm, wide
 from tidemark.functions.hexbytes import to_hex_text
 from tidemark.operators import transfers as tr
 from tidemark.operators import upsert as up
@@ -147,6 +147,142 @@ def _(t):
     return tr.net(tr.to_legs(fit), ["owner_address"]).select("owner_address", "amount_transferred")
 
 
+# --- amounts of any size: 77 digits, one event in 19 moves exactly 2^255, one in 23 has a word that is none ------------
+
+_THIRDS = (57896044618658097, 711785492504343953926634992332, 820282019728792003956564819968)  # 2^255 by 30 digits
+
+
+def wide_logs(t):
+    """The event log with 256-bit amounts, and words that are cut off."""
+    nth, wide_text = lambda k: F.pmod("log_index", F.lit(k)) == 0, lambda x, n: F.lpad(x.cast("string"), n, "0")
+    key = F.col("event_id")
+    thirds = [
+        (key * 7919 + 13) % F.lit(50_000_000_000_000_000),
+        F.round(F.col("value") * 100).cast("decimal(20,0)") * F.lit(10**15).cast("decimal(16,0)") + key,
+        (key * 104_729) % 1_000_000_007,
+    ]
+    made = F.concat(*(wide_text(x, 30) for x in thirds))
+    amounts = t.raw("events").select(F.col("event_id").alias("log_index"), made.alias("made"))
+    whole = F.when(nth(19), F.lit(str(2**255))).otherwise(F.col("made"))
+    word = F.when(nth(23), F.lit("0x12")).otherwise(wide.to_word(wide.from_text(whole)))
+    return event_logs(t).join(amounts, "log_index").withColumn("data", word).drop("made")
+
+
+_WIDE = f"""SELECT *, CASE WHEN log_index % 19 = 0 THEN {_THIRDS[0]}::HUGEINT ELSE (log_index * 7919 + 13) % 50000000000000000 END AS p2,
+   CASE WHEN log_index % 19 = 0 THEN {_THIRDS[1]}::HUGEINT ELSE CAST(cents AS HUGEINT) * 1000000000000000 + log_index END AS p1,
+   CASE WHEN log_index % 19 = 0 THEN {_THIRDS[2]}::HUGEINT ELSE (log_index * 104729) % 1000000007 END AS p0 FROM ({_LOGS})"""
+_WIDE_KEPT = f"SELECT * FROM ({_WIDE}) WHERE NOT removed AND log_index % 23 <> 0 AND CASE WHEN product_id % 2 = 1 THEN event_name IN ('Staked','Withdrawn') ELSE event_name = 'Transfer' END"
+_WIDE_LEGS = f"""SELECT chain, token_address, product_id, owner AS owner_address, block_number, transaction_hash, log_index, s * p2 AS p2, s * p1 AS p1, s * p0 AS p0, s AS side
+   FROM (SELECT *, CASE event_name WHEN 'Staked' THEN 1 ELSE -1 END AS s FROM ({_WIDE_KEPT}))
+   UNION ALL SELECT chain, token_address, product_id, other, block_number, transaction_hash, log_index, p2, p1, p0, 1 FROM ({_WIDE_KEPT}) WHERE event_name = 'Transfer'"""
+
+
+def _wide_text(rows: str, decimals: str, shown: str, out: str) -> str:
+    """SQL for the text of p2 * 10^60 + p1 * 10^30 + p0, sums of any sign: carries, the sign, the digits."""
+    m = f"{10**30}::HUGEINT"
+    rest, carry = (lambda x: f"((({x}) % {m} + {m}) % {m})"), lambda x: f"((({x}) - ((({x}) % {m} + {m}) % {m})) // {m})"
+    return f"""SELECT {shown}, CASE WHEN neg THEN '-' ELSE '' END || CASE WHEN ltrim(left(d, 90 - k), '0') = '' THEN '0' ELSE ltrim(left(d, 90 - k), '0') END || CASE WHEN k > 0 THEN '.' || right(d, k) ELSE '' END AS {out}
+       FROM (SELECT *, lpad(CAST(t2 + {carry('t1 + ' + carry('t0'))} AS VARCHAR), 30, '0') || lpad(CAST({rest('t1 + ' + carry('t0'))} AS VARCHAR), 30, '0') || lpad(CAST({rest('t0')} AS VARCHAR), 30, '0') AS d
+       FROM (SELECT *, CASE WHEN neg THEN -p2 ELSE p2 END AS t2, CASE WHEN neg THEN -p1 ELSE p1 END AS t1, CASE WHEN neg THEN -p0 ELSE p0 END AS t0
+       FROM (SELECT *, CAST({decimals} AS INT) AS k, p2 + {carry('p1 + ' + carry('p0'))} < 0 AS neg FROM ({rows}))))"""
+
+
+def wide_events(t):
+    good, _ = tr.split_decodable(tr.decode_wide(wide_logs(t)))
+    return tr.relevant(good, log_products(t))
+
+
+@query("wide_signed_legs", "D1 D3 P13 T3", _wide_text(_WIDE_LEGS, "14", "chain, owner_address, block_number, log_index, side", "amount"))
+def _(t):
+    legs = tr.to_wide_legs(wide_events(t))
+    text = wide.text(F.col("amount_transferred"), F.col("token_decimals"))
+    side = F.when(text.startswith("-"), -1).otherwise(1).cast("int")
+    return legs.select("chain", "owner_address", "block_number", "log_index", side.alias("side"), text.alias("amount"))
+
+
+_WIDE_SUMS = "sum(p2) AS p2, sum(p1) AS p1, sum(p0) AS p0"
+_NOT_ZERO = "HAVING sum(p2) <> 0 OR sum(p1) <> 0 OR sum(p0) <> 0"
+
+
+@query(
+    "wide_net_transfers", "D1 D2 D3 P13 A26 T3 T19",
+    _wide_text(
+        f"""SELECT chain, token_address, owner_address, block_number, max(log_index) AS log_index, {_WIDE_SUMS},
+            coalesce(last(transaction_hash ORDER BY log_index) FILTER (WHERE p2 <> 0 OR p1 <> 0 OR p0 <> 0), last(transaction_hash ORDER BY log_index)) AS transaction_hash
+            FROM ({_WIDE_LEGS}) GROUP BY 1, 2, 3, 4 {_NOT_ZERO}""",
+        "14", "chain, token_address, owner_address, block_number, log_index, transaction_hash", "amount_transferred",
+    ),
+)
+def _(t):
+    netted = tr.net_wide(tr.to_wide_legs(wide_events(t)))
+    return netted.withColumn("amount_transferred", wide.text(F.col("amount_transferred"), 14))
+
+
+@query(
+    "wide_net_by_owner", "D3 P13 A26 T3",
+    _wide_text(f"SELECT owner_address, {_WIDE_SUMS} FROM ({_WIDE_LEGS}) GROUP BY 1 {_NOT_ZERO}", "14", "owner_address", "amount_transferred"),
+)
+def _(t):
+    netted = tr.net_wide(tr.to_wide_legs(wide_events(t)), ["owner_address"])
+    return netted.select("owner_address", wide.text(F.col("amount_transferred"), 14).alias("amount_transferred"))
+
+
+@query(
+    "wide_balances", "W9 D3 A26 T3",
+    _wide_text(
+        f"""SELECT owner_address, log_index, side, sum(p2) OVER w AS p2, sum(p1) OVER w AS p1, sum(p0) OVER w AS p0 FROM ({_WIDE_LEGS})
+            WINDOW w AS (PARTITION BY owner_address ORDER BY log_index, side ROWS UNBOUNDED PRECEDING)""",
+        "14", "owner_address, log_index, side", "balance",
+    ),
+)
+def _(t):
+    # an owner's balance over all tokens after each leg; of a transfer to oneself the giving comes first
+    legs = tr.to_wide_legs(wide_events(t))
+    side = F.when(wide.to_double(F.col("amount_transferred")) < 0, -1).otherwise(1).cast("int")
+    held = tr.wide_running_balance(legs.withColumn("side", side), ["owner_address"], ["log_index", "side"], F.floor(F.col("log_index") / 4096))
+    return held.select("owner_address", "log_index", "side", wide.text(F.col("balance"), 14).alias("balance"))
+
+
+@query(
+    "wide_quarantine", "D1 ST10",
+    f"SELECT chain, CASE WHEN event_name IS NULL THEN 'unknown event' ELSE 'no amount' END AS reason, count(*) AS n FROM ({_LOGS}) WHERE event_name IS NULL OR log_index % 23 = 0 GROUP BY 1, 2",
+)
+def _(t):
+    # nothing is in quarantine for its size
+    _, bad = tr.split_decodable(tr.decode_wide(wide_logs(t)))
+    return bad.groupBy("chain", "reason").agg(F.count("*").alias("n"))
+
+
+@query("wide_scaled_amounts", "P13 T3", _wide_text(f"SELECT log_index, p2, p1, p0 FROM ({_WIDE}) WHERE log_index % 23 <> 0", "log_index % 31", "log_index", "amount"))
+def _(t):
+    read = wide.from_word(F.col("data"))
+    amounts = wide_logs(t).select("log_index", read.alias("n")).filter(wide.known(F.col("n")))
+    return amounts.select("log_index", wide.text(F.col("n"), F.pmod("log_index", F.lit(31)).cast("int")).alias("amount"))
+
+
+@query(
+    "wide_vault_statistics", "D15 P13 P14 P15 T3",
+    """SELECT l_orderkey, l_linenumber, CAST(CAST(round(l_quantity * 100) AS BIGINT) AS VARCHAR) || repeat('0', 46) || '.' || repeat('0', 24) AS staked_underlying,
+       CASE WHEN l_partkey % 10 <> 9 THEN 0.5 END AS underlying_capture_percentage, round(1 + l_tax, 2) AS share_to_underlying_price FROM lineitem""",
+    "underlying_capture_percentage share_to_underlying_price",
+)
+def _(t):
+    # supplies of 70 digits and more, of tokens with 24 decimals
+    cents = F.round(F.col("l_quantity") * 100).cast("bigint")
+    raw = lambda c: wide.from_text(F.concat(c.cast("string"), F.lit("0" * 70)))
+    price = wide.from_text(F.concat(F.round((1 + F.col("l_tax")) * 100).cast("bigint").cast("string"), F.lit("0" * 40)))
+    read = t.raw("lineitem").select(
+        "l_orderkey", "l_linenumber", raw(cents).alias("staked"), price.alias("price"),
+        raw(F.when(F.pmod("l_partkey", F.lit(10)) == 9, F.lit(0)).otherwise(cents * 2)).alias("whole"),
+    )
+    staked, whole = F.col("staked"), F.col("whole")
+    return read.select(
+        "l_orderkey", "l_linenumber", wide.text(staked, 24).alias("staked_underlying"),
+        F.when(~wide.is_zero(whole), wide.to_double(staked) / wide.to_double(whole)).alias("underlying_capture_percentage"),
+        F.round(wide.to_double(F.col("price"), 42), 2).alias("share_to_underlying_price"),
+    )
+
+
 @query("relevant_events", "D2", f"SELECT log_index, product_id, event_name FROM ({_KEPT})")
 def _(t):
     return usable_events(t).select("log_index", F.col("product_id").cast("bigint").alias("product_id"), "event_name")
