@@ -115,15 +115,20 @@ def combine(
     """
     keys = list(keys)
     runs = {f"_open_{name}": Run("sum", F.col(f"_{name}")) for name in sets}
-    cell = _cell("_pos", cell_width)
-    swept = running(_boundaries(sets, keys), keys, ["_pos"], cell, runs)
+    swept = running(_boundaries(sets, keys), keys, ["_pos"], _cell("_pos", cell_width), runs, keep_cell=True)
     # the counts before a position are those after it less its own changes
     now = inside({name: F.col(f"_open_{name}") > 0 for name in sets})
     before = inside({name: F.col(f"_open_{name}") - F.col(f"_{name}") > 0 for name in sets})
-    turns = swept.withColumn("_on", now).filter(F.col("_on") != before).select(*keys, "_pos", "_on")
-    # on and off alternate, so a range that begins at a turn ends at the next one
-    paired = running(turns, keys, ["_pos"], cell, {"_end": Run("last", F.col("_pos"), exclusive=True, reverse=True)})
-    return paired.filter("_on").select(*keys, F.col("_pos").alias("from"), (F.col("_end") - 1).alias("to"))
+    turns = swept.withColumn("_on", now).filter(F.col("_on") != before).select(*keys, "_cell", "_pos", "_on")
+    # on and off alternate, so a range that begins at a turn ends at the next one: mostly in the same cell
+    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_pos")
+    turns = turns.withColumns({"_next": F.lead("_pos").over(in_cell), "_previous": F.lag("_pos").over(in_cell)})
+    # a turn whose counterpart lies in another cell meets those of its key, two of each cell at most
+    is_edge = F.when(F.col("_on"), F.col("_next").isNull()).otherwise(F.col("_previous").isNull())
+    turns = turns.withColumn("_edge", is_edge).filter(F.col("_on") | F.col("_edge"))
+    together = Window.partitionBy(*keys, F.when(~F.col("_edge"), F.col("_cell"))).orderBy("_pos")
+    end = F.when(F.col("_edge"), F.lead("_pos").over(together)).otherwise(F.col("_next"))
+    return turns.withColumn("_end", end).filter("_on").select(*keys, F.col("_pos").alias("from"), (F.col("_end") - 1).alias("to"))
 
 
 def exclude(
@@ -297,14 +302,12 @@ def ranges_from_blocks(
     ``first_block`` and ``latest_block`` may use columns constant per key.
     """
     keys = list(keys)
-    bounds = Window.partitionBy(*keys)
-    ordered = bounds.orderBy("from")
+    ordered = Window.partitionBy(*keys).orderBy("from")
     listed = (
         blocks.select(*keys, F.col(block).cast("long").alias("from"), first_block.alias("_first"), latest_block.alias("_latest"))
-        .withColumn("_next", F.lead("from").over(ordered))
-        .withColumn("_head", F.row_number().over(ordered) == 1)
-        .withColumn("_rows", F.count("*").over(bounds))
-        .filter(F.col("_rows") > 1)
+        .withColumns({"_next": F.lead("from").over(ordered), "_previous": F.lag("from").over(ordered)})
+        .withColumn("_head", F.col("_previous").isNull())
+        .filter(F.col("_next").isNotNull() | F.col("_previous").isNotNull())  # a single sample says nothing
     )
     between = listed.filter(F.col("_next").isNotNull()).select(*keys, "from", (F.col("_next") - 1).alias("to"))
     tail = listed.filter(F.col("_next").isNull() & (F.col("_latest") > F.col("from"))).select(

@@ -54,9 +54,10 @@ class Run:
 
 
 def running(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cell: Column, outputs: Mapping[str, Run]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cell: Column, outputs: Mapping[str, Run], keep_cell: bool = False
 ) -> DataFrame:
-    """Add the running values of ``outputs`` to every row; ``cell`` must never decrease along ``order``."""
+    """Add the running values of ``outputs`` to every row; ``cell`` must never decrease along ``order``. With ``keep_cell``
+    the rows keep theirs as ``_cell``: they lie together by key and cell, so that a window over these needs no exchange."""
     keys, order = list(keys), list(order)
     held = {name: f"_held_{name}" for name in outputs}
     rows = df.withColumn("_cell", cell).withColumns({held[n]: run.value for n, run in outputs.items()})
@@ -90,7 +91,7 @@ def running(
         .unionByName(carried, allowMissingColumns=True)
         .withColumns({n: run.over(held[n], within(run)) for n, run in outputs.items()})
         .filter(F.col("_inner") == 1)
-        .drop("_cell", "_inner", *held.values())
+        .drop("_inner", *held.values(), *([] if keep_cell else ["_cell"]))
     )
 
 

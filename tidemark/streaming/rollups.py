@@ -145,11 +145,6 @@ def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
 
-def without_redelivery(rows: DataFrame, keys: Sequence[str], lateness: str = "1 day", ts: str = "datetime") -> DataFrame:
-    """Drop rows whose key was already seen within the watermark."""
-    return rows.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
-
-
 def refresh_range(spark: SparkSession, ticks: DataFrame, path: str, period: str, lo: datetime, hi: datetime) -> None:
     """Recompute the buckets of [lo, hi] from the ticks, late ones included, and merge them into the table."""
     start = time_bucket(period, F.lit(lo))
