@@ -13,7 +13,9 @@ A template whose messages are rendered one after another needs no whole conversa
 each row by itself, and the formatted conversation is its segments in order.
 
 Defined cases: null roles and texts are empty; equal turn numbers are ordered by role, then text; a null conversation id
-is a conversation of its own; repeated rows are repeated turns; an empty table has no conversations.
+is a conversation of its own; repeated rows are repeated turns; an empty table has no conversations. A text of any length
+is one turn, rendered whole; a conversation of any number of turns is read back one turn at a time, in one task. Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -15,8 +15,8 @@ goes.
 Pages are read in one sweep that looks ahead no character twice, however broken the markup is.
 
 Defined cases: a null, empty or textless page gives an empty text; broken and unclosed markup is closed the way
-browsers do for the usual cases; nesting may be of any depth; repeated rows are extracted each. Other columns are not
-read, whatever their names.
+browsers do for the usual cases; nesting may be of any depth and a page of any length, in time that grows with its length;
+repeated rows are extracted each. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ length and on repetition come first.
 
 Defined cases: a null text counts as empty and fails the length rule; a null id is carried through; repeated rows get
 equal verdicts; rows without a language are judged but add nothing to the references; without any reference (an empty
-table, no languages) only the base rules speak. Other columns are not read, whatever their names.
+table, no languages) only the base rules speak; a text of any length is counted whole. Other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations

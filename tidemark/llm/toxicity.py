@@ -7,9 +7,10 @@ scores. The network is trained in numpy on a bounded sample of labelled document
 score highest in their document carry the document's label.
 
 Defined cases: null and empty texts are one window of padding and get a low score; null ids are carried and never
-learned from; repeated rows get equal scores (to six digits, in
-32-bit sums); without labelled rows of both kinds every score is 0; several labels of
-one id count as toxic if one of them does. Other columns are not read, whatever their names.
+learned from; repeated rows get equal scores (to six digits, in 32-bit sums); without labelled rows of both kinds every
+score is 0; several labels of one id count as toxic if one of them does. A text of any length is scored by all its
+windows; those of more than 12 characters for each of ``max_words`` are not learned from, and of a sampled id with more
+rows than the sample holds only some are. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
