@@ -59,5 +59,5 @@ def test_odd_and_empty_tables(spark, tmp_path):
 def test_entries(spark):
     found = entry_points.queries()
     assert set(QUERIES) <= set(found) and "pipeline" in found
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert found["pipeline"](spark, SMALL).select(F.count(F.lit(1))).first()[0] > 0
