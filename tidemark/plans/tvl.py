@@ -14,6 +14,12 @@ from tidemark.operators.latest import last_by
 MAX_TVL_RANGE = timedelta(days=7)
 
 
+def described(products: DataFrame, *columns: str) -> DataFrame:
+    """Products with ``columns`` and their display id, for a join by product. The JSON is read once per product and stays
+    behind; the hint keeps the side from being broadcast, as its rows are many times larger than the files they come from."""
+    return products.select(*columns, display_id(F.col("product_data")).alias("vault_id")).hint("merge")
+
+
 def daily_tvl(
     stats: DataFrame, products: DataFrame, daily_prices: DataFrame, lo: Column | None = None, hi: Column | None = None
 ) -> DataFrame:
@@ -29,14 +35,14 @@ def daily_tvl(
     )
     prices = daily_prices.select(F.col("price_feed_id").alias("price_feed_2_id"), "datetime", "price_avg")
     return (
-        staked.join(products.select("product_id", "price_feed_2_id", "chain", "product_key", "product_data"), "product_id")
+        staked.join(described(products, "product_id", "price_feed_2_id", "chain", "product_key"), "product_id")
         .join(prices, ["price_feed_2_id", "datetime"])
         .select(
             "datetime",
             "product_id",
             "chain",
             "product_key",
-            display_id(F.col("product_data")).alias("vault_id"),
+            "vault_id",
             (F.col("max_staked").cast("double") * F.col("price_avg")).alias("tvl"),
         )
     )
@@ -90,7 +96,7 @@ def daily_capture(stats: DataFrame, products: DataFrame) -> DataFrame:
     return (
         stats.groupBy("product_id", time_bucket("1day", F.col("datetime")).alias("time"))
         .agg(F.max("underlying_capture_percentage").alias("capture"))
-        .join(products.select("product_id", display_id(F.col("product_data")).alias("vault_id")), "product_id")
+        .join(described(products, "product_id"), "product_id")
     )
 
 
@@ -111,9 +117,7 @@ def capture_change(stats: DataFrame, products: DataFrame, start: Column, end: Co
         )
     )
     diff = F.coalesce("recent_capture", F.lit(0.0)) - F.coalesce("compare_to_capture", F.lit(0.0))
-    return compared.withColumn("diff_capture", diff).join(
-        products.select("product_id", "product_key", display_id(F.col("product_data")).alias("vault_id")), "product_id"
-    )
+    return compared.withColumn("diff_capture", diff).join(described(products, "product_id", "product_key"), "product_id")
 
 
 def midnight_staked_value(stats: DataFrame, products: DataFrame, ticks: DataFrame) -> DataFrame:
@@ -132,16 +136,16 @@ def midnight_staked_value(stats: DataFrame, products: DataFrame, ticks: DataFram
     )
     ends = [F.col(s) * F.col(p) for s in ("s_lo", "s_hi") for p in ("p_lo", "p_hi")]
     return (
-        staked.join(products.select("product_id", "price_feed_2_id", "chain", "product_data"), "product_id")
+        staked.join(described(products, "product_id", "price_feed_2_id", "chain"), "product_id")
         .join(price, ["price_feed_2_id", "datetime"])
-        .select("datetime", "product_id", "chain", display_id(F.col("product_data")).alias("vault_id"), F.greatest(*ends).alias("staked_value_usd"))
+        .select("datetime", "product_id", "chain", "vault_id", F.greatest(*ends).alias("staked_value_usd"))
     )
 
 
 def stats_listing(stats: DataFrame, products: DataFrame) -> DataFrame:
     """Raw statistics with display ids; amounts as text."""
     amounts = ("vault_total_supply", "share_to_underlying_price", "staked_underlying", "underlying_total_supply")
-    return stats.join(products.select("product_id", display_id(F.col("product_data")).alias("vault_id")), "product_id").select(
+    return stats.join(described(products, "product_id"), "product_id").select(
         "product_id", "vault_id", "datetime", "block_number",
         *[F.col(c).cast("string").alias(c) for c in amounts],
         "underlying_capture_percentage",
