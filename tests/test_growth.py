@@ -3,8 +3,11 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
+from tidemark.operators import json_merge
+from tidemark.plans import coverage as cov
 from tidemark.queries import REGISTRY
 from tidemark.sources.standins import SCHEMAS, Tables
 
@@ -43,3 +46,22 @@ def few_events(spark, tmp_path_factory):
 def test_holders_of_the_newest_blocks_are_in_the_report(spark, few_events, name, products):
     found = {(r["product_id"], r["share_token_balance"]) for r in REGISTRY[name].run(spark, few_events).collect()}
     assert found == {(p, float(n)) for p in products for n in range(1, 6)}
+
+
+@pytest.mark.parametrize("name", ["long_hex_round_trip", "usable_definitions", "newest_definitions"])
+def test_rows_that_grow_on_the_way_are_dealt_out_first(spark, name):
+    assert "REPARTITION_BY_NUM" in plan_of(REGISTRY[name].build(Tables(spark, SMALL)))
+
+
+def test_the_scope_meets_its_steps_dealt_out(spark):
+    # by chain, of which there are few, it would lie in as many tasks
+    tables = Tables(spark, SMALL)
+    scope = tables.states.select("import_key", "product_id", "chain")
+    plan = plan_of(cov.sampled_points(scope, tables.blocks))
+    assert "REPARTITION_BY_NUM" in plan and "BroadcastHashJoin [chain" in plan
+
+
+def test_texts_of_one_file_are_merged_by_many_tasks(spark):
+    rows = spark.range(40).select("id", F.lit('{"a":{"b":1}}').alias("old"), F.lit('{"a":{"c":2}}').alias("new"))
+    found = json_merge.leaves(rows.coalesce(1), ["id"], "old", "new")
+    assert len(found.inputFiles()) > 1 and found.count() == 80

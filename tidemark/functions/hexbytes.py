@@ -13,7 +13,7 @@ def to_hex_text(value: Column) -> Column:
 
 
 def from_hex_text(text: Column) -> Column:
-    return F.unhex(text.substr(F.lit(3), F.length(text)))
+    return F.unhex(F.substring(text, 3, 2**31 - 1))
 
 
 def is_address(text: Column) -> Column:

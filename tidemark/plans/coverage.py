@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timegrid import SAMPLING_MS, interval
 from tidemark.operators import dyadic, intervals
+from tidemark.session import dealt
 
 COVERED, RETRY = "covered", "retry"
 KEY = ["import_key"]
@@ -243,6 +244,13 @@ def block_status(states: DataFrame, ranges: DataFrame, block: int, as_of: dateti
     )
 
 
+def sampled_points(scope: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The steps of each import key's chain. A row becomes one per step, so the rows are dealt out by key and the few steps
+    sent to them; joined by chain they would lie in as many tasks as there are chains."""
+    steps = dealt(scope, "import_key").join(F.broadcast(blocks), "chain")
+    return steps.select("import_key", "product_id", "datetime", "block_number").distinct()
+
+
 def import_results_over_time(blocks: DataFrame, products: DataFrame, states: DataFrame, ranges: DataFrame, latest: DataFrame) -> DataFrame:
     """Worst status of each product at each sampled block: 2 failed, 1 imported, 0 expected but missing.
 
@@ -258,7 +266,7 @@ def import_results_over_time(blocks: DataFrame, products: DataFrame, states: Dat
         "import_key", F.when(F.col("kind") == RETRY, 2).otherwise(1).alias("status"), "from", "to"
     )
     valid = expected.unionByName(known).filter(F.col("from") <= F.col("to"))
-    points = scope.join(blocks, "chain").select("import_key", "product_id", "datetime", "block_number").distinct()
+    points = sampled_points(scope, blocks)
     found = dyadic.largest_at(points, valid, KEY, "block_number", F.col("status"), "range_result")
     return found.select("product_id", "datetime", "range_result")
 

@@ -14,7 +14,7 @@ from tidemark.operators.json_merge import leaves, merge_column
 from tidemark.operators.latest import keep_first
 from tidemark.plans import dims, portfolio
 from tidemark.queries.registry import query
-from tidemark.session import scratch_path
+from tidemark.session import dealt, scratch_path
 from tidemark.sources import readers
 from tidemark.sources.standins import _address, _chain_of, _sql_addr, _sql_chain
 
@@ -186,7 +186,7 @@ def _(t):
     # long texts, one in a hundred of 2^20 characters and more, and their hex twice as long
     long = F.repeat("c_name", F.expr(f"CAST({_TIMES} AS INT)"))
     back = from_hex_text(F.concat(F.lit("0x"), F.hex(long)))
-    return t.raw("customer").select("c_custkey", F.octet_length(back).cast("bigint").alias("bytes"), F.md5(back).alias("digest"))
+    return dealt(t.raw("customer"), "c_custkey").select("c_custkey", F.octet_length(back).cast("bigint").alias("bytes"), F.md5(back).alias("digest"))
 
 
 @query("chain_product_lists", "J22", "SELECT chain, product_id FROM products")
@@ -229,7 +229,7 @@ _SQL_VERSIONS = """SELECT p.*, m AS month, TIMESTAMP '2023-01-01' + to_days(CAST
 def version_content(t):
     """Definition rows: chain, month and the definition itself."""
     key, m = F.col("p_partkey"), F.col("month")
-    listed = t.raw("part").withColumn("month", F.explode(F.sequence(F.lit(0), F.lit(MONTHS - 1))))
+    listed = dealt(t.raw("part"), "p_partkey").withColumn("month", F.explode(F.sequence(F.lit(0), F.lit(MONTHS - 1))))
     kept = listed.filter((F.pmod(key + m, F.lit(9)) != 0) & ~((F.pmod(key, F.lit(10)) == 4) & (m >= 9)) & (m >= F.pmod(key, F.lit(5))))
     eol = (F.pmod(key * 7 + m, F.lit(13)) == 5) | ((F.pmod(key, F.lit(10)) == 3) & (m >= 8))
     return kept.select(

@@ -42,6 +42,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by their keys: a small file is read by one task, however much is made of each of its rows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 _SCRATCH: list[str] = []
 
 
