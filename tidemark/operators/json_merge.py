@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.json_fields import append_json, fields_as_text
-from tidemark.session import scratch_path
+from tidemark.session import dealt, scratch_path
 
 #: Levels that one round goes down.
 LEVELS = 6
@@ -59,7 +59,8 @@ def _level(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def leaves(rows: DataFrame, keys: Sequence[str], current: str, new: str) -> DataFrame:
     """The leaves of each row's merge: ``keys``, ``_path`` (from the top, empty for the text itself) and ``_value``."""
     plain = lambda c: F.to_json(F.parse_json(F.col(c)))
-    walked = rows.select(*keys, F.array().cast("array<string>").alias("_path"), plain(current).alias("_a"), plain(new).alias("_b"))
+    walked = dealt(rows.select(*keys, current, new), *keys)
+    walked = walked.select(*keys, F.array().cast("array<string>").alias("_path"), plain(current).alias("_a"), plain(new).alias("_b"))
     walked = walked.filter(F.col("_a").isNotNull() | F.col("_b").isNotNull())
     walked = walked.withColumn("_value", _leaf(F.col("_a"), F.col("_b")))
     done, spark = [], rows.sparkSession
