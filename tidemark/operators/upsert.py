@@ -252,7 +252,7 @@ def _pending(path: str) -> str:
 
 def one_of(column: Column, values: Sequence) -> Column:
     """Whether a column is one of some values; None stands for NULL."""
-    known = [v for v in values if v is not None]
+    known = sorted(v for v in values if v is not None)  # in order, so that plans list them alike
     found = column.isin(known) if known else F.lit(False)
     return found | column.isNull() if len(known) < len(values) else found
 
