@@ -1,8 +1,9 @@
 """Per-position state over ordered events: running balance and first-in-first-out profit.
 
 Events of a position must be applied in time order, so they wait in state until the watermark has passed them.
-What waits is bounded by the lateness allowed, not by the length of the stream; it is kept by millisecond, and a timer
-reads and removes the one that is due.
+What waits is bounded by the lateness allowed, not by the length of the stream. It is kept in chunks of trades, and one
+timer, set to the earliest of them, takes up all that the watermark has passed by then: a position costs a few calls to
+its state for each micro-batch, however many trades it has.
 
 Trades that come behind the watermark never reach the state, and the newest ones are still waiting when a run ends.
 ``complete`` finds both as landed trades without a result and works their positions out again from all their trades.
@@ -10,11 +11,13 @@ Trades that come behind the watermark never reach the state, and the newest ones
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import islice
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -25,84 +28,183 @@ OUTPUT = (
     "investor_id INT, product_id INT, datetime TIMESTAMP, block_number BIGINT, balance DOUBLE, "
     "realized_pnl DOUBLE, remaining_shares DOUBLE, remaining_cost DOUBLE"
 )
-_WAITING = "at ARRAY<BIGINT>, block_number ARRAY<BIGINT>, shares ARRAY<DOUBLE>, price ARRAY<DOUBLE>"
-_LOT = "shares DOUBLE, price DOUBLE"
+# trades of a chunk lie within ``lo`` and ``hi``; times are epoch microseconds
+_WAITING = "lo BIGINT, hi BIGINT, at ARRAY<BIGINT>, block_number ARRAY<BIGINT>, shares ARRAY<DOUBLE>, price ARRAY<DOUBLE>"
+_LOTS = "shares ARRAY<DOUBLE>, price ARRAY<DOUBLE>"
 # lots are numbered; those from ``head`` up to ``tail`` are open
 _TOTALS = "balance DOUBLE, realized DOUBLE, held DOUBLE, cost DOUBLE, head BIGINT, tail BIGINT"
+CHUNK = 4096  # trades of one entry of what waits
+PAGE = 256  # lots of one state entry
+
+
+class _Book:
+    """The open lots of a position, in pages: only the first and the last one are held, and only what changed is written."""
+
+    def __init__(self, pages, head: int, tail: int) -> None:
+        self.pages, self.head, self.tail = pages, head, tail
+        self.held, self.changed = {}, set()
+        self.before, self.written = range(head // PAGE, -(-tail // PAGE)), set()  # pages that the state has
+
+    def _page(self, n: int) -> tuple[list[float], list[float]]:
+        if n not in self.held:
+            self.held[n] = tuple(map(list, self.pages.getValue((n,)))) if self._stored(n) else ([], [])
+        return self.held[n]
+
+    def _stored(self, n: int) -> bool:
+        return n in self.before or n in self.written
+
+    def _write(self, n: int) -> None:
+        if n in self.changed:
+            self.pages.updateValue((n,), self.held[n])
+            self.changed.discard(n)
+            self.written.add(n)
+
+    def open(self, shares: float, price: float) -> None:
+        n = self.tail // PAGE
+        page = self._page(n)
+        page[0].append(shares)
+        page[1].append(price)
+        self.changed.add(n)
+        self.tail += 1
+        if self.tail % PAGE == 0 and n > self.head // PAGE:
+            self._write(n)
+            del self.held[n]
+
+    def first(self) -> tuple[float, float]:
+        shares, price = self._page(self.head // PAGE)
+        at = self.head % PAGE
+        return shares[at], price[at]
+
+    def shorten(self, shares: float) -> None:
+        n = self.head // PAGE
+        self._page(n)[0][self.head % PAGE] = shares
+        self.changed.add(n)
+
+    def close(self) -> None:
+        n = self.head // PAGE
+        self.head += 1
+        if self.head % PAGE == 0:
+            self.held.pop(n, None)
+            self.changed.discard(n)
+            if self._stored(n):
+                self.pages.removeKey((n,))
+
+    def save(self) -> tuple[int, int]:
+        for n in sorted(self.changed):
+            self._write(n)
+        return self.head, self.tail
 
 
 class PositionProcessor(StatefulProcessor):
-    """Open lots are single state entries: a trade touches only the lots it opens, closes or shortens."""
+    """Open lots lie in pages of some hundreds: a trade touches only the pages of the lots it opens, closes or shortens."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "due BIGINT", _WAITING)
-        self.lots = handle.getMapState("lots", "n BIGINT", _LOT)
+        self.waiting = handle.getListState("waiting", _WAITING)
+        self.lots = handle.getMapState("lots", "n BIGINT", _LOTS)
         self.totals = handle.getValueState("totals", _TOTALS)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            at = batch["datetime"].astype("datetime64[us]").astype("int64")
-            for due, own in batch.assign(at=at).groupby(-(-at // 1000)):
-                trades = tuple(own[c].tolist() for c in ("at", "block_number", "shares", "price"))
-                if self.waiting.containsKey((int(due),)):
-                    held = self.waiting.getValue((int(due),))
-                    trades = tuple([*a, *b] for a, b in zip(held, trades))
-                else:
-                    self.handle.registerTimer(int(due))
-                self.waiting.updateValue((int(due),), trades)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first = None
+        # what has no place in the order is left to ``complete``
+        placed = (r for r in rows if r.at is not None and r.block_number is not None)
+        while own := [(r.at, r.block_number, _number(r.shares), _number(r.price)) for r in islice(placed, 16 * CHUNK)]:
+            own.sort()
+            self.waiting.appendList(list(_chunks(map(list, zip(*own)))))
+            first = min(own[0][0], own[0][0] if first is None else first)
+        if first is not None:
+            self.handle.registerTimer(_due(first))
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = (expiredTimerInfo.getExpiryTimeInMs(),)
-        if self.waiting.containsKey(due):
-            ready = sorted(zip(*self.waiting.getValue(due)))
-            self.waiting.removeKey(due)
-            yield self._apply(key, ready)
-
-    def _apply(self, key, ready) -> pd.DataFrame:
-        start = self.totals.get() if self.totals.exists() else (0.0, 0.0, 0.0, 0.0, 0, 0)
-        balance, realized, held, cost, head, tail = start
-        out = []
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        reached = timerValues.getCurrentWatermarkInMs() * 1000
+        ready, rest = [], []
+        for chunk in self.waiting.get():
+            lo, hi, *trades = chunk
+            if hi <= reached:
+                ready.append(trades)
+            elif lo > reached:
+                rest.append(chunk)
+            else:  # sorted by time
+                n = int(np.searchsorted(np.array(trades[0]), reached, side="right"))
+                ready.append([column[:n] for column in trades])
+                rest.extend(_chunks(column[n:] for column in trades))
+        if not ready:  # an earlier timer has taken them up
+            return
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(_due(min(chunk[0] for chunk in rest)))
+        else:
+            self.waiting.clear()
+        yield from self._apply(key, _ordered(ready))
+
+    def _apply(self, key, ready) -> Iterator[Row]:
+        balance, realized, held, cost, head, tail = self.totals.get() or (0.0, 0.0, 0.0, 0.0, 0, 0)
+        book = _Book(self.lots, head, tail)
         for at, block, shares, price in ready:
             balance += shares
             if shares > 0:
-                self.lots.updateValue((tail,), (shares, price))
-                tail += 1
+                book.open(shares, price)
                 held, cost = held + shares, cost + shares * price
             left = -shares
-            while left > 0 and head < tail:
-                lot, entry = self.lots.getValue((head,))
+            while left > 0 and book.head < book.tail:
+                lot, entry = book.first()
                 sold = min(left, lot)
                 realized += sold * (price - entry)
                 held, cost, left = held - sold, cost - sold * entry, left - sold
                 if sold < lot:
-                    self.lots.updateValue((head,), (lot - sold, entry))
+                    book.shorten(lot - sold)
                 else:
-                    self.lots.removeKey((head,))
-                    head += 1
-            if head == tail:  # nothing held: shed what rounding left behind
+                    book.close()
+            if book.head == book.tail:  # nothing held: shed what rounding left behind
                 held = cost = 0.0
-            out.append((key[0], key[1], pd.Timestamp(at, unit="us"), block, balance, realized, held, cost))
-        self.totals.update((balance, realized, held, cost, head, tail))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
+            yield Row(investor_id=key[0], product_id=key[1], at=at, block_number=block, balance=balance, realized_pnl=realized, remaining_shares=held, remaining_cost=cost)
+        self.totals.update((balance, realized, held, cost, *book.save()))
 
     def close(self) -> None:
         pass
 
 
+def _number(value: float | None) -> float:
+    return math.nan if value is None else value
+
+
+def _due(at: int) -> int:
+    return -(-at // 1000)
+
+
+def _chunks(columns) -> Iterator[tuple]:
+    """Columns of trades, in the order of time, as entries of what waits."""
+    columns = list(columns)
+    for n in range(0, len(columns[0]), CHUNK):
+        part = [list(column[n : n + CHUNK]) for column in columns]
+        yield (part[0][0], part[0][-1], *part)
+
+
+def _ordered(chunks: list) -> Iterator[tuple]:
+    """Trades of some chunks in the order of time, then block."""
+    columns = [np.concatenate([np.asarray(chunk[c]) for chunk in chunks]) for c in range(4)]
+    order = np.lexsort(columns[::-1])
+    for n in range(0, len(order), CHUNK):
+        yield from zip(*(column[order[n : n + CHUNK]].tolist() for column in columns))
+
+
 def positions(trades: DataFrame, lateness: str) -> DataFrame:
     """Position after each trade. ``trades``: investor_id, product_id, datetime, block_number, shares, price.
 
     Start it inside ``rocksdb(spark)``.
     """
-    return (
+    by_micros = OUTPUT.replace("datetime TIMESTAMP", "at BIGINT")
+    applied = (
         trades.withWatermark("datetime", lateness)
+        .withColumn("at", F.unix_micros("datetime"))
         .groupBy("investor_id", "product_id")
-        .transformWithStateInPandas(
-            statefulProcessor=PositionProcessor(), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
+        .transformWithState(
+            statefulProcessor=PositionProcessor(), outputStructType=by_micros, outputMode="Append", timeMode="EventTime"
         )
     )
+    at = F.timestamp_micros("at").alias("datetime")
+    return applied.select(*(at if c.startswith("datetime ") else c.split()[0] for c in OUTPUT.split(", ")))
 
 
 def complete(stored: DataFrame, trades: DataFrame, cell: Column) -> DataFrame:
