@@ -5,21 +5,27 @@ limb; sums are plain sums of limbs, with room for 2^39 rows before a limb is ful
 need no carry. Carries are made once, where a number is shown, compared or taken to a DOUBLE. Text has all digits, shifted
 by a number of decimals; nothing is ever rounded.
 
+Carries and digits are worked out on whole Arrow batches: a number in range is 39 bytes, three for each limb, which Python
+reads and writes as one integer. Everything else is plain column arithmetic.
+
 A NULL number has NULL limbs. What doesn't fit 2^312 gives NULL where it is read and fails the job (by overflow of a limb)
 where it is summed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 BITS, LIMBS, WORD_LIMBS = 24, 13, 11
-_DIGITS, _PARTS = 9, 11  # decimal parts: 99 digits hold 2^312
-_MASK, _BASE = (1 << BITS) - 1, 10**_DIGITS
-WIDTH = _DIGITS * _PARTS
+WIDTH = 99  # digits, which hold 2^312
+_MASK, _TOP, _SIZE = (1 << BITS) - 1, 1 << BITS * LIMBS, BITS // 8 * LIMBS
 
 FIELDS = [f"n{i}" for i in range(LIMBS)]
 TYPE = "struct<" + ", ".join(f"{f}: bigint" for f in FIELDS) + ">"
@@ -64,49 +70,123 @@ def total(number: Column) -> Column:
     return F.when(whole, _number([F.sum(x) for x in limbs(number)]))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once; NULL of a NULL."""
-    return F.transform(F.array(value), lambda x: F.when(x.isNotNull(), use(x))).getItem(0)
+_NUMBER = StructType([StructField(f, LongType()) for f in FIELDS])
+
+
+def _carried(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Limbs (one row each) brought into their range, and what is left beyond the last."""
+    out, carry = np.empty_like(values), np.zeros(values.shape[1], np.int64)
+    for i, limb in enumerate(values):
+        whole = limb + carry
+        if (((limb ^ whole) & (carry ^ whole)) < 0).any():
+            raise OverflowError("a limb of a wide number is full")
+        out[i], carry = whole & _MASK, whole >> BITS
+    return out, carry
+
+
+def _magnitude(numbers: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known, negative, limbs): the sign, and the limbs of the absolute value, each in its range."""
+    columns = numbers.flatten()  # a NULL number has NULL limbs
+    known = columns[0].is_valid().to_numpy(zero_copy_only=False)
+    values, carry = _carried(np.stack([c.fill_null(0).to_numpy(zero_copy_only=False) for c in columns]).astype(np.int64))
+    negative = carry < 0
+    return known, negative, _carried(np.where(negative, -values, values))[0]
+
+
+def _whole(magnitude: np.ndarray) -> list[int]:
+    """Limbs in their range as integers."""
+    parts = np.ascontiguousarray(magnitude.T).astype("<i8").view(np.uint8).reshape(-1, LIMBS, 8)[:, :, : BITS // 8]
+    held = parts.tobytes()
+    return [int.from_bytes(held[n : n + _SIZE], "little") for n in range(0, len(held), _SIZE)]
+
+
+def _objects(values: pa.Array) -> list:
+    """As ``to_pylist``, which is slow, of texts or whole numbers."""
+    if pa.types.is_integer(values.type):
+        return values.to_pylist() if values.null_count else values.to_numpy().tolist()
+    return values.to_numpy(zero_copy_only=False).tolist()  # objects: texts and None
+
+
+def _struct(known: np.ndarray, values: np.ndarray) -> pa.StructArray:
+    columns = [pa.array(limb, pa.int64(), mask=~known) for limb in values]
+    return pa.StructArray.from_arrays(columns, names=FIELDS, mask=pa.array(~known))
+
+
+@F.arrow_udf(returnType=_NUMBER)
+def _normalised(numbers: pa.Array) -> pa.Array:
+    known, negative, limbs_ = _magnitude(numbers)
+    return _struct(known, np.where(negative, -limbs_, limbs_))
+
+
+@F.arrow_udf(returnType=StringType())
+def _text(numbers: pa.Array, places: pa.Array) -> pa.Array:
+    known, negative, limbs_ = _magnitude(numbers)
+
+    def shown(n: int, minus: bool, p: int) -> str:
+        digits, sign = str(n), "-" if minus else ""
+        if p <= 0:
+            return sign + digits
+        digits = digits.zfill(p + 1)
+        return f"{sign}{digits[:-p]}.{digits[-p:]}"
 
+    rows = zip(known.tolist(), _whole(limbs_), negative.tolist(), _objects(places))
+    return pa.array([shown(n, minus, p) if k and p is not None else None for k, n, minus, p in rows], pa.string())
 
-def _carried(values: Column, shift: Callable[[Column], Column], rest: Callable[[Column], Column]) -> Column:
-    """(carry, out): the limbs of an array brought into their range, and what is left beyond the last."""
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(zero.alias("carry"), F.array().cast("array<bigint>").alias("out"))
 
-    def step(acc: Column, v: Column) -> Column:
-        t = v + acc["carry"]
-        return F.struct(shift(t).alias("carry"), F.concat(acc["out"], F.array(rest(t))).alias("out"))
+@F.arrow_udf(returnType=StringType())
+def _word(numbers: pa.Array) -> pa.Array:
+    known, negative, limbs_ = _magnitude(numbers)
+    rows = zip((known & ~negative).tolist(), _whole(limbs_))
+    return pa.array([f"0x{n:064x}" if k and not n >> 256 else None for k, n in rows], pa.string())
 
-    return F.aggregate(values, start, step)
 
+@F.arrow_udf(returnType=DoubleType())
+def _double(numbers: pa.Array) -> pa.Array:
+    known, negative, limbs_ = _magnitude(numbers)
+    size = np.zeros(len(known))
+    for i in reversed(range(LIMBS)):
+        size = size + limbs_[i] * float(1 << BITS * i)
+    return pa.array(np.where(negative, -size, size), pa.float64(), mask=~known)
 
-def _binary(values: Column) -> Column:
-    return _carried(values, lambda t: F.shiftright(t, BITS), lambda t: t.bitwiseAND(F.lit(_MASK).cast("bigint")))
 
+# a line break at the end of a text is passed over
+_PLAIN = re.compile(r"(-?)0*([0-9]*)(?:\.([0-9]*?)0*)?(?:\r\n|[\n\r\x85\u2028\u2029])?")
+_ANY_DIGIT = re.compile(r"-?[0-9]")
 
-def _decimal(values: Column) -> Column:
-    """Carries of non-negative parts."""
-    base = F.lit(_BASE).cast("bigint")
-    return _carried(values, lambda t: F.call_function("div", t, base), lambda t: t % base)
 
+@F.arrow_udf(returnType=_NUMBER)
+def _read(texts: pa.Array, places: pa.Array) -> pa.Array:
+    def number(text: str | None, p: int | None) -> int | None:
+        if text is None or p is None:
+            return None
+        minus, whole, after = "", text, ""
+        if not (text.isascii() and text.isdigit()):
+            found = _PLAIN.fullmatch(text) if _ANY_DIGIT.match(text) else None
+            if found is None:
+                return None
+            minus, whole, after = found[1], found[2], found[3] or ""
+        if len(after) > p or len(whole) + p > WIDTH and len(whole.lstrip("0")) + p > WIDTH:
+            return None
+        n = int(whole + after.ljust(p, "0") or "0")
+        return None if n >= _TOP else -n if minus else n
 
-def _magnitude(number: Column) -> Column:
-    """(negative, out): the sign, and the limbs of the absolute value, each in its range."""
-    def signed(c: Column) -> Column:
-        negative = c["carry"] < 0
-        out = F.transform(c["out"], lambda v: F.when(negative, -v).otherwise(v))
-        return F.struct(negative.alias("negative"), _binary(out)["out"].alias("out"))
+    rows = list(map(number, _objects(texts), _objects(places)))
+    held = b"".join([abs(n or 0).to_bytes(_SIZE, "little") for n in rows])
+    parts = np.zeros((len(rows), LIMBS, 8), np.uint8)
+    parts[:, :, : BITS // 8] = np.frombuffer(held, np.uint8).reshape(len(rows), LIMBS, BITS // 8)
+    values = parts.view("<i8").reshape(-1, LIMBS).T
+    known = np.array([n is not None for n in rows], bool)
+    negative = np.array([n is not None and n < 0 for n in rows], bool)
+    return _struct(known, np.where(negative, -values, values))
 
-    return _let(number, lambda n: F.when(known(n), _let(_binary(F.array(*limbs(n))), signed)))
+
+def _places(decimals: Column | int) -> Column:
+    return F.lit(decimals) if isinstance(decimals, int) else decimals
 
 
 def normalised(number: Column) -> Column:
     """The same number with every limb in its range and of its sign, so that equal numbers have equal limbs."""
-    def spread(m: Column) -> Column:
-        return _number([F.when(m["negative"], -m["out"][i]).otherwise(m["out"][i]) for i in range(LIMBS)])
-
-    return _let(_magnitude(number), spread)
+    return _normalised(number)
 
 
 def is_zero(number: Column) -> Column:
@@ -117,77 +197,21 @@ def is_zero(number: Column) -> Column:
     return out
 
 
-def _weighted(values: Column, weights: Sequence[Sequence[int]], n: int) -> Column:
-    """Limbs of one base as parts of another: each limb times what it is worth in each part, far below 2^63."""
-    parts = []
-    for j in range(n):
-        terms = [values[i] * F.lit(row[j]).cast("bigint") for i, row in enumerate(weights) if row[j]]
-        parts.append(sum(terms[1:], terms[0]) if terms else F.lit(0).cast("bigint"))
-    return F.array(*parts)
-
-
-_TO_DECIMAL = [[(1 << BITS * i) // _BASE**j % _BASE for j in range(_PARTS)] for i in range(LIMBS)]
-_TO_BINARY = [[(_BASE**j >> BITS * i) & _MASK for i in range(LIMBS)] for j in range(_PARTS)]
-
-
 def text(number: Column, decimals: Column | int = 0) -> Column:
     """All digits of ``number / 10^decimals``, with that many after the point."""
-    places = F.lit(decimals) if isinstance(decimals, int) else decimals
-
-    def shown(m: Column) -> Column:
-        parts = _decimal(_weighted(m["out"], _TO_DECIMAL, _PARTS))["out"]
-        digits = F.array_join(F.transform(F.reverse(parts), lambda p: F.lpad(p.cast("string"), _DIGITS, "0")), "")
-        return _let(digits, lambda d: F.concat(F.when(m["negative"], "-").otherwise(""), _pointed(d, places)))
-
-    return _let(_magnitude(number), shown)
-
-
-def _pointed(digits: Column, places: Column) -> Column:
-    whole = F.ltrim(digits.substr(F.lit(1), F.lit(WIDTH) - places), F.lit("0"))
-    after = F.concat(F.lit("."), digits.substr(F.lit(WIDTH + 1) - places, places))
-    return F.concat(F.when(whole == "", "0").otherwise(whole), F.when(places > 0, after).otherwise(""))
+    return _text(number, _places(decimals).cast("int"))
 
 
 def from_text(value: Column, decimals: Column | int = 0) -> Column:
     """``value * 10^decimals``; NULL if that is no whole number, or the text none at all."""
-    places = F.lit(decimals) if isinstance(decimals, int) else decimals
-    part = lambda v, k: F.regexp_extract(v, r"^(-?)0*([0-9]*)(?:\.([0-9]*?)0*)?$", k)
-    read = lambda d: F.array(*(F.substring(d, WIDTH - _DIGITS * (j + 1) + 1, _DIGITS).cast("bigint") for j in range(_PARTS)))
-
-    def made(t: Column) -> Column:
-        """Of the sign, the digits before the point and those after it."""
-        fits = (F.length(t["after"]) <= places) & (F.length(t["whole"]) + places <= WIDTH)
-        digits = F.lpad(F.concat(t["whole"], F.rpad(t["after"], places, "0")), WIDTH, "0")
-        sign = F.when(t["minus"] == "-", -1).otherwise(1)
-        number = lambda c: F.when(c["carry"] == 0, _number([sign * c["out"][i] for i in range(LIMBS)]))
-        return F.when(fits, _let(digits, lambda d: _let(read(d), lambda p: _let(_binary(_weighted(p, _TO_BINARY, LIMBS)), number))))
-
-    parts = lambda v: F.struct(part(v, 1).alias("minus"), part(v, 2).alias("whole"), part(v, 3).alias("after"))
-    return _let(value, lambda v: F.when(v.rlike(r"^-?[0-9]+(\.[0-9]*)?$"), _let(parts(v), made)))
+    return _read(value, _places(decimals).cast("int"))
 
 
 def to_word(number: Column) -> Column:
     """A 32-byte hex word; NULL for what is negative or does not fit."""
-    def shown(m: Column) -> Column:
-        pad = lambda i, n: F.lpad(F.lower(F.hex(m["out"][i])), n, "0")
-        top = 64 - (WORD_LIMBS - 1) * BITS // 4
-        fits = ~m["negative"] & (m["out"][WORD_LIMBS - 1] < 1 << 4 * top)
-        for i in range(WORD_LIMBS, LIMBS):
-            fits = fits & (m["out"][i] == 0)
-        hexed = [pad(WORD_LIMBS - 1, top)] + [pad(i, BITS // 4) for i in reversed(range(WORD_LIMBS - 1))]
-        return F.when(fits, F.concat(F.lit("0x"), *hexed))
-
-    return _let(_magnitude(number), shown)
+    return _word(number)
 
 
 def to_double(number: Column, decimals: Column | int = 0) -> Column:
     """``number / 10^decimals`` as the DOUBLE near it, for ratios and ranks."""
-    places = F.lit(decimals) if isinstance(decimals, int) else decimals
-
-    def near(m: Column) -> Column:
-        size = F.lit(0.0)
-        for i in reversed(range(LIMBS)):
-            size = size + m["out"][i] * F.lit(float(1 << BITS * i))
-        return F.when(m["negative"], -size).otherwise(size)
-
-    return _let(_magnitude(number), near) / F.pow(F.lit(10.0), places)
+    return _double(number) / F.pow(F.lit(10.0), _places(decimals))
