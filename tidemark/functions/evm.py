@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,11 +66,13 @@ def scaled(amount: Column, decimals: Column) -> Column:
 
 def fits_scaled(amount: Column, decimals: Column) -> Column:
     """Whether ``scaled`` can hold the amount: below 10^20 units either way."""
-    return amount.isNull() | decimals.isNull() | _shifted(amount, decimals).try_cast("decimal(38,18)").isNotNull()
+    limits = F.array(*(F.lit(Decimal(10**d)).cast("decimal(38,0)") for d in range(20, 38)))
+    limit = F.element_at(limits, (F.greatest(F.least(decimals, F.lit(17)), F.lit(0)) + 1).cast("int"))
+    return amount.isNull() | decimals.isNull() | (decimals > 17) | (F.abs(amount) < limit)
 
 
 def _shifted(amount: Column, decimals: Column) -> Column:
-    digits = F.lpad(F.regexp_replace(amount.cast("string"), "^-", ""), 58, "0")
+    digits = F.lpad(F.abs(amount).cast("string"), 58, "0")
     sign = F.when(amount < 0, F.lit("-")).otherwise(F.lit(""))
     return F.concat(
         sign, digits.substr(F.lit(1), F.lit(58) - decimals), F.lit("."), digits.substr(F.lit(59) - decimals, decimals)
