@@ -52,11 +52,14 @@ def processor():
     return made, waiting, lots, totals, timers
 
 
+FIELDS = [c.split()[0] for c in positions.OUTPUT.replace("datetime", "at").split(", ")]
+
+
 def fire(made, timers, reached):
     found = []
     for at in sorted(t for t in timers if t <= reached):
         timers.remove(at)
-        found += made.handleExpiredTimer((1, 2), SimpleNamespace(getCurrentWatermarkInMs=lambda: reached), None)
+        found += [SimpleNamespace(**dict(zip(FIELDS, r, strict=True))) for r in made.handleExpiredTimer((1, 2), SimpleNamespace(getCurrentWatermarkInMs=lambda: reached), None)]
     return found
 
 
@@ -74,13 +77,20 @@ def test_a_batch_costs_a_position_a_few_calls_whatever_its_trades():
 
 def test_what_the_watermark_has_not_passed_waits_on():
     made, waiting, _, _, timers = processor()
-    made.handleInputRows((1, 2), iter([trade(9_000, 9, 1.0), trade(1_000, 1, 1.0), trade(1_000, 0, 2.0), trade(None, 3, 1.0)]), None)
+    made.handleInputRows((1, 2), iter([trade(9_000, 9, 1.0), trade(1_000, 1, 1.0), trade(1_000, 0, 2.0), trade(5_000, None, 1.0)]), None)
     made.handleInputRows((1, 2), iter([trade(4_000, 4, 1.0), trade(4_001, 5, 1.0)]), None)
     assert [(r.at, r.block_number, r.balance) for r in fire(made, timers, 4)] == [(1_000, 0, 2.0), (1_000, 1, 3.0), (4_000, 4, 4.0)]
     assert [r.at for r in fire(made, timers, 5)] == [4_001] and sorted(c[0] for c in waiting.values["list"]) == [9_000]
     assert [r.balance for r in fire(made, timers, 9)] == [6.0] and not timers
 
 
+def test_a_trade_without_time_comes_first_and_one_without_shares_shows_no_balance():
+    made, _, _, _, timers = processor()
+    made.handleInputRows((1, 2), iter([trade(1_000, 1, None), trade(None, 3, 2.0)]), None)
+    found = fire(made, timers, 1)
+    assert [(r.at, r.block_number, r.balance, r.remaining_shares) for r in found] == [(None, 3, 2.0, 2.0), (1_000, 1, None, 2.0)]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_pages_of_lots_against_a_plain_queue(seed, monkeypatch):
     monkeypatch.setattr(positions, "PAGE", 4)

@@ -33,6 +33,7 @@ _WAITING = "lo BIGINT, hi BIGINT, at ARRAY<BIGINT>, block_number ARRAY<BIGINT>,
 _LOTS = "shares ARRAY<DOUBLE>, price ARRAY<DOUBLE>"
 # lots are numbered; those from ``head`` up to ``tail`` are open
 _TOTALS = "balance DOUBLE, realized DOUBLE, held DOUBLE, cost DOUBLE, head BIGINT, tail BIGINT"
+_NEVER = -(2**63)  # the time of a trade that has none
 CHUNK = 4096  # trades of one entry of what waits
 PAGE = 256  # lots of one state entry
 
@@ -106,9 +107,9 @@ class PositionProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         first = None
-        # what has no place in the order is left to ``complete``
-        placed = (r for r in rows if r.at is not None and r.block_number is not None)
-        while own := [(r.at, r.block_number, _number(r.shares), _number(r.price)) for r in islice(placed, 16 * CHUNK)]:
+        # what has no block has no place in the order: it is left to ``complete``; what has no time comes first
+        placed = (r for r in rows if r.block_number is not None)
+        while own := [(_NEVER if r.at is None else r.at, r.block_number, _number(r.shares), _number(r.price)) for r in islice(placed, 16 * CHUNK)]:
             own.sort()
             self.waiting.appendList(list(_chunks(map(list, zip(*own)))))
             first = min(own[0][0], own[0][0] if first is None else first)
@@ -158,7 +159,8 @@ class PositionProcessor(StatefulProcessor):
                     book.close()
             if book.head == book.tail:  # nothing held: shed what rounding left behind
                 held = cost = 0.0
-            yield Row(investor_id=key[0], product_id=key[1], at=at, block_number=block, balance=balance, realized_pnl=realized, remaining_shares=held, remaining_cost=cost)
+            shown = [None if math.isnan(x) else x for x in (balance, realized, held, cost)]
+            yield Row(key[0], key[1], None if at == _NEVER else at, block, *shown)
         self.totals.update((balance, realized, held, cost, *book.save()))
 
     def close(self) -> None:
