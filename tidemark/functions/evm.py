@@ -66,13 +66,15 @@ def scaled(amount: Column, decimals: Column) -> Column:
 
 def fits_scaled(amount: Column, decimals: Column) -> Column:
     """Whether ``scaled`` can hold the amount: below 10^20 units either way."""
-    limits = F.array(*(F.lit(Decimal(10**d)).cast("decimal(38,0)") for d in range(20, 38)))
-    limit = F.element_at(limits, (F.greatest(F.least(decimals, F.lit(17)), F.lit(0)) + 1).cast("int"))
-    return amount.isNull() | decimals.isNull() | (decimals > 17) | (F.abs(amount) < limit)
+    at = (F.greatest(F.least(decimals, F.lit(17)), F.lit(0)) + 1).cast("int")
+    # both ends are listed: the negative of a DECIMAL is rounded to 34 digits
+    limit = lambda sign: F.element_at(F.array(*(F.lit(Decimal(sign * 10**d)).cast("decimal(38,0)") for d in range(20, 38))), at)
+    inside = (amount > limit(-1)) & (amount < limit(1))
+    return amount.isNull() | decimals.isNull() | (decimals > 17) | inside
 
 
 def _shifted(amount: Column, decimals: Column) -> Column:
-    digits = F.lpad(F.abs(amount).cast("string"), 58, "0")
+    digits = F.lpad(F.ltrim(amount.cast("string"), F.lit("-")), 58, "0")
     sign = F.when(amount < 0, F.lit("-")).otherwise(F.lit(""))
     return F.concat(
         sign, digits.substr(F.lit(1), F.lit(58) - decimals), F.lit("."), digits.substr(F.lit(59) - decimals, decimals)
