@@ -28,6 +28,8 @@ OUTPUT = (
     "investor_id INT, product_id INT, datetime TIMESTAMP, block_number BIGINT, balance DOUBLE, "
     "realized_pnl DOUBLE, remaining_shares DOUBLE, remaining_cost DOUBLE"
 )
+_BY_MICROS = OUTPUT.replace("datetime TIMESTAMP", "at BIGINT")
+_RESULT = Row(*(c.split()[0] for c in _BY_MICROS.split(", ")))
 # trades of a chunk lie within ``lo`` and ``hi``; times are epoch microseconds
 _WAITING = "lo BIGINT, hi BIGINT, at ARRAY<BIGINT>, block_number ARRAY<BIGINT>, shares ARRAY<DOUBLE>, price ARRAY<DOUBLE>"
 _LOTS = "shares ARRAY<DOUBLE>, price ARRAY<DOUBLE>"
@@ -160,7 +162,7 @@ class PositionProcessor(StatefulProcessor):
             if book.head == book.tail:  # nothing held: shed what rounding left behind
                 held = cost = 0.0
             shown = [None if math.isnan(x) else x for x in (balance, realized, held, cost)]
-            yield Row(key[0], key[1], None if at == _NEVER else at, block, *shown)
+            yield _RESULT(key[0], key[1], None if at == _NEVER else at, block, *shown)
         self.totals.update((balance, realized, held, cost, *book.save()))
 
     def close(self) -> None:
@@ -196,13 +198,12 @@ def positions(trades: DataFrame, lateness: str) -> DataFrame:
 
     Start it inside ``rocksdb(spark)``.
     """
-    by_micros = OUTPUT.replace("datetime TIMESTAMP", "at BIGINT")
     applied = (
         trades.withWatermark("datetime", lateness)
         .withColumn("at", F.unix_micros("datetime"))
         .groupBy("investor_id", "product_id")
         .transformWithState(
-            statefulProcessor=PositionProcessor(), outputStructType=by_micros, outputMode="Append", timeMode="EventTime"
+            statefulProcessor=PositionProcessor(), outputStructType=_BY_MICROS, outputMode="Append", timeMode="EventTime"
         )
     )
     at = F.timestamp_micros("at").alias("datetime")
