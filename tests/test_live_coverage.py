@@ -103,3 +103,13 @@ def test_a_batch_that_dies_is_repeated(spark, tmp_path, monkeypatch):
         live.add(spark, path, spark.createDataFrame([("a", "covered", 45, 70)], RANGES), 10)
     monkeypatch.setattr(upsert, "overwrite_partitions", real)
     assert read(spark, path, 10) == [("a", "covered", 0, 70)]
+
+
+def test_a_result_is_stored_once_and_covered_on_reading(spark, tmp_path):
+    path = str(tmp_path / "t")
+    results = spark.createDataFrame([("a", 0, 24, True), ("a", 25, 29, False), (None, 3, 4, None)], RESULTS)
+    live.add(spark, path, live.kinds_of(results), 10)
+    stored = spark.read.parquet(path)
+    assert {r.kind for r in stored.collect()} == {live.SUCCEEDED, live.FAILED}
+    got = [tuple(r) for r in live.ranges_of(live.parts_of(spark, path, 10)).select("import_key", "kind", "from", "to").collect()]
+    assert sorted(got, key=str) == sorted([("a", "covered", 0, 29), ("a", "retry", 25, 29), (None, "covered", 3, 4), (None, "retry", 3, 4)], key=str)

@@ -131,6 +131,34 @@ def combine(
     return turns.withColumn("_end", end).filter("_on").select(*keys, F.col("_pos").alias("from"), (F.col("_end") - 1).alias("to"))
 
 
+def combine_bounded(
+    ranges: DataFrame,
+    keys: Sequence[str],
+    kind: str,
+    kinds: Sequence[str],
+    outcomes: Mapping[str, Callable[[Mapping[str, Column]], Column]],
+) -> DataFrame:
+    """As ``combine``, for sets told apart by a column ``kind`` and keys of which each holds no more than a task can: the
+    parts of one cell, say. The ends of a key meet in one exchange, in one sweep for all conditions. ``outcomes`` has a
+    condition for each kind of range wanted."""
+    keys = list(keys)
+    bounds = _ends(ranges.filter(F.col(kind).isin(list(kinds))).repartition(*keys), [*keys, kind], "_step")
+    along = Window.partitionBy(*keys).orderBy("_pos")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = {f"_open_{i}": F.sum(F.when(F.col(kind) == k, F.col("_step")).otherwise(0)).over(so_far) for i, k in enumerate(kinds)}
+    # the last of the ends at a place has counted them all
+    swept = bounds.withColumns({**steps, "_next": F.lead("_pos").over(along)}).filter(F.col("_next").isNull() | (F.col("_next") != F.col("_pos")))
+    on = {k: F.col(f"_open_{i}") > 0 for i, k in enumerate(kinds)}
+    now = swept.select(*keys, "_pos", *(inside(on).alias(f"_on_{i}") for i, inside in enumerate(outcomes.values())))
+    was = {f"_was_{i}": F.coalesce(F.lag(f"_on_{i}").over(along), F.lit(False)) for i in range(len(outcomes))}
+    turn = lambda i, k: F.when(F.col(f"_on_{i}") != F.col(f"_was_{i}"), F.struct(F.lit(k).alias(kind), F.col(f"_on_{i}").alias("_on")))
+    turns = F.filter(F.array(*(turn(i, k) for i, k in enumerate(outcomes))), lambda t: t.isNotNull())
+    turned = now.withColumns(was).select(*keys, "_pos", F.explode(turns).alias("_t")).select(*keys, f"_t.{kind}", "_t._on", "_pos")
+    # on and off alternate, so a range that begins at a turn ends at the next one
+    end = F.lead("_pos").over(Window.partitionBy(*keys, kind).orderBy("_pos"))
+    return turned.withColumn("_end", end).filter("_on").select(*keys, kind, F.col("_pos").alias("from"), (F.col("_end") - 1).alias("to"))
+
+
 def exclude(
     base: DataFrame, removed: DataFrame, keys: Sequence[str], *, cell_width: int = DEFAULT_CELL
 ) -> DataFrame:

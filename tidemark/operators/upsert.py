@@ -215,14 +215,20 @@ def merge_into_partitions(
 
 
 def rewrite_partitions(
-    spark: SparkSession, path: str, batch: DataFrame, partition: str, change: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    partition: str,
+    change: Callable[[DataFrame], DataFrame],
+    first: DataFrame | None = None,
 ) -> None:
-    """Replace the partitions that ``batch`` touches by ``change`` of their stored rows; the first batch makes the table."""
+    """Replace the partitions that ``batch`` touches by ``change`` of their stored rows; the first batch makes the table, as
+    it is or as ``first`` has it."""
     finish_merge(spark, path, partition)
     values = [r[0] for r in batch.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
     if not values:
         return
-    new = batch
+    new = batch if first is None else first
     if table_exists(spark, path):
         stored = spark.read.parquet(path)
         if len(values) <= LISTED_PARTITIONS:

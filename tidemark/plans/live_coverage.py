@@ -5,10 +5,10 @@ flags say whether a part touches the start or the end of its cell, so that it ma
 of results reads and rewrites only the cells that its ranges touch; parts are put together when they are read, and only
 those at an edge take part in that.
 
-Stored are unions alone: what was covered and queued before, what the results cover, and which of it succeeded or failed.
-Unions do not depend on the order or number of deliveries, so neither does the table. Reading derives what must be
-retried, (queued - succeeded) + failed, cell by cell; ``settle`` makes that the new beginning, so that later successes
-can clear what has failed.
+Stored are unions alone: what was covered and queued before, and which results succeeded or failed. Unions do not depend on
+the order or number of deliveries, so neither does the table. Reading derives, cell by cell, what is covered (before, or by
+any result) and what must be retried, (queued - succeeded) + failed; ``settle`` makes that the new beginning, so that later
+successes can clear what has failed.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import intervals
 from tidemark.operators.upsert import finish_merge, rewrite_partitions
 from tidemark.plans.coverage import COVERED, RETRY
+from tidemark.session import dealt
 
 SUCCEEDED, FAILED = "succeeded", "failed"
 CELL = "cell"
@@ -44,26 +45,30 @@ def _merged(parts: DataFrame, width: int) -> DataFrame:
     keys = ["import_key", "kind", CELL]
     by_cell = Window.partitionBy(*keys).orderBy("from")
     earlier = by_cell.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # copies meet on the map side; what is left of a cell is bounded by its width
-    single = parts.groupBy(*keys, "from").agg(F.max("to").alias("to")).withColumn("_reach", F.max("to").over(earlier))
-    begins = F.col("_reach").isNull() | (F.col("from") > F.col("_reach") + 1)
-    island = F.max(F.when(begins, F.col("from"))).over(by_cell)
-    return _flagged(single.withColumn("_island", island).groupBy(*keys, F.col("_island").alias("from")).agg(F.max("to").alias("to")), width)
+    single = parts.groupBy(*keys, "from").agg(F.max("to").alias("to"))
+    single = single.withColumns({"_reach": F.max("to").over(earlier), "_farthest": F.max("to").over(whole)})
+    begins = single.filter(F.col("_reach").isNull() | (F.col("from") > F.col("_reach") + 1))
+    # a part ends where all those before the next beginning do
+    return _flagged(begins.withColumn("to", F.coalesce(F.lead("_reach").over(by_cell), "_farthest")), width)
 
 
 def kinds_of(results: DataFrame) -> DataFrame:
-    """Results (import_key, from, to, success) as ranges: each is covered, and either succeeded or failed."""
-    kinds = F.array(F.lit(COVERED), F.when(F.col("success"), SUCCEEDED).otherwise(FAILED))
-    return results.select("import_key", F.explode(kinds).alias("kind"), "from", "to")
+    """Results (import_key, from, to, success) as ranges that succeeded or failed; either kind is covered on reading."""
+    return results.select("import_key", F.when(F.col("success"), SUCCEEDED).otherwise(FAILED).alias("kind"), "from", "to")
 
 
 def add(spark: SparkSession, path: str, ranges: DataFrame, width: int) -> None:
     """Add ranges (import_key, kind, from, to) to the table; adding them again changes nothing."""
-    parts = _merged(in_cells(ranges, width), width)
+    # a batch is read by as many tasks as it has files, so its rows are dealt out before they are put together
+    parts = in_cells(dealt(ranges, "import_key", "from", "to"), width)
     columns = ["import_key", "kind", "from", "to", CELL]
     rewrite_partitions(
-        spark, path, parts, CELL, lambda stored: _merged(stored.select(*columns).unionByName(parts.select(*columns)), width)
-    )
+        spark, path, in_cells(ranges, width), CELL,
+        lambda stored: _merged(stored.select(*columns).unionByName(parts.select(*columns)), width),
+        first=_merged(parts, width),
+    )
 
 
 def write_results(results: DataFrame, path: str, checkpoint: str, width: int) -> StreamingQuery:
@@ -76,36 +81,30 @@ def write_results(results: DataFrame, path: str, checkpoint: str, width: int) ->
     return writer.trigger(availableNow=True).start()
 
 
-def _retries(parts: DataFrame, width: int) -> DataFrame:
-    """(queued - succeeded) + failed in each cell."""
-    sets = {k: parts.filter(F.col("kind") == k) for k in (RETRY, SUCCEEDED, FAILED)}
-    keys = ["import_key", CELL]
-    left = intervals.combine(
-        {k: s.select(*keys, "from", "to") for k, s in sets.items()},
-        keys,
-        lambda on: on[FAILED] | (on[RETRY] & ~on[SUCCEEDED]),
-        cell_width=width,
-    )
-    return _flagged(left.withColumn("kind", F.lit(RETRY)), width)
-
-
 def parts_of(spark: SparkSession, path: str, width: int) -> DataFrame:
     """What is covered and what must be retried, in cells."""
     finish_merge(spark, path, CELL)
     stored = spark.read.parquet(path).withColumn(CELL, F.col(CELL).cast("long"))
-    return stored.filter(F.col("kind") == COVERED).select(*_COLUMNS).unionByName(_retries(stored, width))
+    outcomes = {
+        COVERED: lambda on: on[COVERED] | on[SUCCEEDED] | on[FAILED],
+        RETRY: lambda on: on[FAILED] | (on[RETRY] & ~on[SUCCEEDED]),
+    }
+    # the parts of a cell are disjoint in each kind, so its width bounds them
+    kinds = [COVERED, RETRY, SUCCEEDED, FAILED]
+    return _flagged(intervals.combine_bounded(stored, ["import_key", CELL], "kind", kinds, outcomes), width)
 
 
 def ranges_of(parts: DataFrame) -> DataFrame:
     """Parts put together: those inside their cell stand as they are, those at an edge go on where the next one begins."""
-    columns = ["import_key", "kind", "from", "to"]
-    at_edge = F.col("at_start") | F.col("at_end")
-    along = Window.partitionBy("import_key", "kind").orderBy("from")
+    # those inside spread over their cells, those at an edge meet by key, all in one exchange
+    parts = parts.withColumn("_inside", F.when(~(F.col("at_start") | F.col("at_end")), F.col(CELL)))
+    keys = ["import_key", "kind", "_inside"]
+    along = Window.partitionBy(*keys).orderBy("from")
     goes_on = F.col("at_start") & (F.lag("to").over(along) == F.col("from") - 1)
-    edges = parts.filter(at_edge).withColumn("_first", F.when(~F.coalesce(goes_on, F.lit(False)), F.col("from")))
+    parts = parts.withColumn("_first", F.when(~F.coalesce(goes_on, F.lit(False)), F.col("from")))
     island = F.last("_first", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = edges.withColumn("_island", island).groupBy("import_key", "kind", F.col("_island").alias("from")).agg(F.max("to").alias("to"))
-    return parts.filter(~at_edge).select(*columns).unionByName(whole.select(*columns))
+    whole = parts.withColumn("_island", island).groupBy(*keys, F.col("_island").alias("from")).agg(F.max("to").alias("to"))
+    return whole.select("import_key", "kind", "from", "to")
 
 
 def settle(spark: SparkSession, path: str, settled: str, width: int) -> None:
