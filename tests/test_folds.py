@@ -88,3 +88,11 @@ def test_a_fold_that_dies_is_repeated(spark, tmp_path, monkeypatch):
         folds.fold(spark, path, spark.createDataFrame(batches[1], SCHEMA), spark.createDataFrame(batches[0] + batches[1], SCHEMA), 1, ["k"], ["datetime", "n"], cell(F.col("datetime"), 24))
     monkeypatch.setattr(folds, "overwrite_partitions", real)
     assert folded(spark, path, batches) == at_once(spark, rows)
+
+
+def test_the_rows_of_a_fold_are_joined_once(spark, tmp_path, monkeypatch):
+    rows = sorted(made(6, 60), key=lambda r: r[1])
+    want, plans, real = at_once(spark, rows), [], fifo.inventory
+    monkeypatch.setattr(folds.fifo, "inventory", lambda rows, *a: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or real(rows, *a))
+    assert folded(spark, str(tmp_path / "t"), [rows[:30], rows[30:]]) == want
+    assert len(plans) == 2 and not any("Join" in p for p in plans)

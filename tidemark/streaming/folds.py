@@ -30,6 +30,11 @@ def _table(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(where) if table_exists(spark, where) else spark.createDataFrame([], schema)
 
 
+def _written(df: DataFrame, where: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(where)
+    return df.sparkSession.read.parquet(where)
+
+
 def _types(df: DataFrame, columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
@@ -65,18 +70,20 @@ def fold(
     # from where trades are taken up: behind the state to go back to, else from the first trade ever folded
     began = own.groupBy(*keys).agg(F.min("since").alias("_began"))
     at = F.coalesce(F.date_add("base.day", 1), F.least("since", "_began"))
-    touched = touched.join(base.select(*keys, "base"), keys, "left").join(began, keys, "left").select(*keys, "since", at.alias("_at"))
+    touched = touched.join(base, keys, "left").join(began, keys, "left").select(*keys, "since", at.alias("_at"), "base")
+    touched = _written(touched, f"{path}/_touched")  # read by four steps
     first = touched.agg(F.min("_at")).first()[0]
     if first is None:
         return
 
     lots = _table(spark, path, LOTS, f"{_types(landed, kept)}, held {AMOUNT}, {FOLD} int").filter(F.col(FOLD) < number)
-    head = lots.join(base.select(*keys, F.col(f"base.{FOLD}").alias(FOLD)), [*keys, FOLD]).select(*kept, "held")
+    head = lots.join(touched.select(*keys, F.col(f"base.{FOLD}").alias(FOLD)), [*keys, FOLD]).select(*kept, "held")
     # the bound reaches the files; each position then takes its own days
     recent = landed.filter(F.col("datetime") >= F.lit(first).cast("timestamp"))
     day = F.to_date("datetime")
-    trades = recent.join(touched, keys).filter(day >= F.col("_at")).select(*kept, F.col(shares).cast(AMOUNT).alias("held"))
+    trades = recent.join(touched.select(*keys, "_at"), keys).filter(day >= F.col("_at")).select(*kept, F.col(shares).cast(AMOUNT).alias("held"))
     rows = head.withColumn("_new", F.lit(False)).unionByName(trades.withColumn("_new", F.lit(True)))
+    rows = _written(rows, f"{path}/_rows")  # the summary of the cells and the running sums both read them
 
     tracked = fifo.inventory(rows, keys, order, cell, "held")
     zero, cost = F.lit(0).cast(AMOUNT), F.col(price).cast("double")
@@ -85,9 +92,7 @@ def fold(
     gone = F.when(is_buy, -used.cast("double") * cost).otherwise((F.col("sold") - F.col("sold_before")).cast("double") * cost)
     tracked = tracked.withColumns({"_left": F.when(is_buy, F.col("held") - used).cast(AMOUNT), "_gain": gone})
     # both tables come from one result, written once
-    whole = f"{path}/_whole"
-    tracked.select(*kept, "held", "_new", "_left", "_gain", F.lit(number).alias(FOLD)).write.mode("overwrite").parquet(whole)
-    tracked = spark.read.parquet(whole)
+    tracked = _written(tracked.select(*kept, "held", "_new", "_left", "_gain", F.lit(number).alias(FOLD)), f"{path}/_whole")
     left = tracked.filter(F.col("_left") > 0).select(*kept, F.col("_left").alias("held"), FOLD)
     overwrite_partitions(left, f"{path}/{LOTS}", FOLD)
     totals = tracked.groupBy(*keys).agg(
@@ -95,7 +100,7 @@ def fold(
         F.sum(F.when(F.col("_new"), F.col("held"))).alias("_moved"),
         F.coalesce(F.sum("_gain"), F.lit(0.0)).alias("_gained"),
     )
-    states = totals.join(touched, keys).join(base, keys, "left")
+    states = totals.join(touched, keys)
     states = states.select(
         *keys,
         "since",
