@@ -10,6 +10,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.functions import evm
 from tidemark.operators import json_merge, transfers, upsert
 from tidemark.plans import dims, monitoring, portfolio, tvl, valuation
@@ -361,3 +362,13 @@ def test_a_hot_feed_is_cut_into_cells(spark, monkeypatch):
     monkeypatch.setattr(asof, "running", spy)
     assert asof.interpolated_price(probes, ticks).count() == 3000
     assert len(largest) == 2 and max(largest) < 40  # a third of the rows, 1000 probes and as many ticks, over 240 hours
+
+
+def test_readings_are_matched_in_tasks_that_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_OF_A_TASK", 10)
+    asked = spark.createDataFrame([(i, 7) for i in range(40)] + [(3, 7)], "product_id int, snapshot_block int")
+    read = spark.createDataFrame([(i, 7, float(i)) for i in range(1, 40)] + [(5, 7, 0.0), (6, 8, 1.0)], "product_id int, block_number int, v double")
+    good, bad = valuation.match_readings(asked, read, ["product_id"])
+    assert good.rdd.getNumPartitions() == bad.rdd.getNumPartitions() == 9
+    assert sorted(r.product_id for r in good.collect()) == sorted([*range(1, 5), 3, *range(6, 40)])
+    assert sorted((r.product_id, r._answers or 0) for r in bad.collect()) == [(0, 0), (5, 2)]

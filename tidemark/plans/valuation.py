@@ -16,7 +16,7 @@ from tidemark.operators.latest import last_by
 from tidemark.operators.scan import Run, running
 from tidemark.operators.transfers import TOO_LARGE
 from tidemark.operators.upsert import nullify, update_from
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, tasks_for
 
 PRICED = ("underlying_to_usd_price", "usd_balance", "usd_diff")
 REWARD_PRICED = (
@@ -300,8 +300,12 @@ def match_readings(asked: DataFrame, readings: DataFrame, keys: list[str]) -> tu
     """(ranges answered by exactly one reading at their snapshot block, ranges answered by none or several)."""
     at = [*keys, "snapshot_block"]
     payload = [c for c in readings.columns if c not in (*keys, "block_number")]
+    # nearly every reading is a group of its own, so what a task holds is as much as it reads: tasks follow the rows
+    tasks = tasks_for(readings, asked)
+    asked = asked.repartition(tasks, *at)
     answers = (
         readings.withColumnRenamed("block_number", "snapshot_block")
+        .repartition(tasks, *at)
         .groupBy(*at)
         .agg(F.count("*").alias("_answers"), *[F.first(c).alias(c) for c in payload])
     )

@@ -47,6 +47,16 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+# rows that a task may have to hold at once: about 200 MB of them
+ROWS_OF_A_TASK = 500_000
+
+
+def tasks_for(*frames: DataFrame) -> int:
+    """Tasks over which the rows of some frames together are to be dealt, so that what one holds does not grow with them."""
+    rows = sum(df.count() for df in frames)
+    return max(int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_OF_A_TASK))
+
+
 _SCRATCH: list[str] = []
 
 
