@@ -101,3 +101,14 @@ def test_blocks_are_few_disjoint_and_whole(spark):
 def test_import_results_scan_little(spark):
     plan = REGISTRY["import_results_over_time"].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 8
+
+
+def test_a_point_is_asked_for_once_in_its_word(spark, monkeypatch):
+    asked, real = [], dyadic._asked
+    monkeypatch.setattr(dyadic, "_asked", lambda *a: asked.append(real(*a).count()) or real(*a))
+    spans = [(lo, lo + n) for lo, n in ((-70, 0), (-3, 5), (0, 63), (64, 1), (100, 40), (63, 64), (300, 31), (500, 62))]
+    r = spark.createDataFrame([("a", *s) for s in spans], "k string, `from` long, `to` long")
+    p = spark.createDataFrame([("a", i) for i in range(-200, 700)], "k string, at long")
+    got = sorted(x.at for x in dyadic.points_inside(p, r, ["k"], "at").collect())
+    assert got == [i for i in range(-200, 700) if any(lo <= i <= hi for lo, hi in spans)]
+    assert asked == [900]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
+WORD = 6  # 2^6 places to a word
 
 def _floor(value: Column, level: Column) -> Column:
     """The block of a size that holds a place; also for places below zero."""
@@ -82,14 +83,41 @@ def without_inner(indexed: DataFrame, keys: Sequence[str], levels: Sequence[int]
     return indexed.join(inner, [*keys, "_level", "_block"], "left_anti")
 
 
+def word_index(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An index with all blocks of up to 64 places as bits: a row per key and aligned word of 64 places, ``_value`` telling
+    which of them are held. Larger blocks are rows as before, of which every bit is set."""
+    lo, hi = F.col("from").cast("bigint"), F.col("to").cast("bigint")
+    first, last = _floor(lo, F.lit(WORD)), _floor(hi, F.lit(WORD))
+    in_word = lambda c: c.bitwiseAND(F.lit((1 << WORD) - 1)).cast("int")
+    row = lambda level, block, bits: F.struct(level.cast("int").alias("_level"), block.alias("_block"), bits.alias("_value"))
+    every = F.lit(-1).cast("bigint")
+
+    def bits(a: Column, b: Column) -> Column:
+        return F.call_function("shiftleft", F.call_function("shiftrightunsigned", every, F.lit(63) - (b - a)), a)
+
+    ends = F.when(first == last, F.array(row(F.lit(WORD), first, bits(in_word(lo), in_word(hi))))).otherwise(
+        F.array(row(F.lit(WORD), first, bits(in_word(lo), F.lit(63))), row(F.lit(WORD), last, bits(F.lit(0), in_word(hi))))
+    )
+    # whole words between the two ends
+    between = F.coalesce(_blocks(first + 1, last - 1), F.array().cast("array<struct<_level: int, _block: bigint>>"))
+    larger = F.transform(between, lambda b: row(b["_level"] + WORD, b["_block"], every))
+    blocks = ranges.filter(lo <= hi).select(*keys, F.explode(F.concat(ends, larger)).alias("_b"))
+    blocks = blocks.select(*keys, "_b._level", "_b._block", "_b._value").groupBy(*keys, "_level", "_block")
+    return blocks.agg(F.bit_or("_value").alias("_value"))
+
+
 def points_inside(points: DataFrame, ranges: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
-    """Points lying in at least one range of their key; each row once, however many ranges hold it."""
-    indexed = _landed(index(ranges, keys))
+    """Points lying in at least one range of their key; each row once, however many ranges hold it.
+
+    A point is asked for once for its word of 64 places, and once for each size of larger blocks that occurs."""
+    indexed = _landed(word_index(ranges, keys))
     levels = levels_of(indexed)
     if not levels:
         return points.limit(0)
-    alone = without_inner(indexed, keys, levels).drop("_value")
-    return _asked(points, position, levels).join(alone, [*keys, "_level", "_block"]).select(*points.columns)
+    alone = without_inner(indexed, keys, levels)
+    place = F.col(position).cast("bigint").bitwiseAND(F.lit((1 << WORD) - 1)).cast("int")
+    held = F.call_function("shiftright", F.col("_value"), place).bitwiseAND(F.lit(1)) == 1
+    return _asked(points, position, levels).join(alone, [*keys, "_level", "_block"]).filter(held).select(*points.columns)
 
 
 def largest_at(points: DataFrame, ranges: DataFrame, keys: Sequence[str], position: str, value: Column, out: str) -> DataFrame:
