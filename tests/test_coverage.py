@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import intervals
 from tidemark.plans import coverage as cov
 
 
@@ -97,3 +98,45 @@ def test_parents_fail_with_any_child(spark):
     children = spark.createDataFrame([(1, True), (1, False), (2, True)], "p INT, success BOOLEAN")
     got = {r["p"]: r["success"] for r in cov.parent_results(items, children, ["p"]).collect()}
     assert got == {1: False, 2: True, 3: True}
+
+
+def test_slices_are_made_of_ranked_ranges(spark):
+    # only ranges are ordered, of which there are far fewer
+    plan = cov.plan_import(windows(spark, (1, 1000)), ranges(spark, [(900, 1000)], [(901, 909)]), 10, 50)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("explode(sequence(") < text.index("Window [")
+    assert dict(plan.dtypes)["rank"] == "int"
+
+
+def test_places_where_results_only_touch_are_not_swept(spark, monkeypatch):
+    swept, real = [], intervals.running
+    monkeypatch.setattr(intervals, "running", lambda df, *a, **k: swept.append(df.count()) or real(df, *a, **k))
+    results = spark.range(500).select(
+        F.lit("k").alias("import_key"), (F.col("id") * 10).alias("from"), (F.col("id") * 10 + 9).alias("to"),
+        F.lit(True).alias("success"), F.lit(1).alias("latest"),
+    )
+    states = spark.createDataFrame([("k", 50, None)], "import_key STRING, chain_latest_block_number LONG, last_import_date TIMESTAMP")
+    known = ranges(spark, [(0, 4)], [(100, 200), (6000, 6001)])
+    _, after = cov.fold_results(states, known, results, datetime(2024, 1, 1), 64)
+    assert collect(after) == [("covered", 0, 4999), ("retry", 6000, 6001)]
+    assert sum(swept) < 10  # 0, 5, 100, 201, 5000, 6000 and 6002
+
+
+def test_updates_treat_every_range_as_merge_and_combine_do(spark):
+    # some end nowhere or before they start, some have no key, many are copies
+    value = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n))
+    some = lambda seed: spark.range(150).select(
+        F.when(value(seed, 7) > 0, F.concat(F.lit("k"), value(seed, 7).cast("string"))).alias("import_key"),
+        value(seed + 1, 300).alias("from"),
+        F.when(value(seed + 2, 9) > 0, value(seed + 1, 300) + value(seed + 3, 25) - 5).alias("to"),
+        F.when(value(seed + 4, 3) > 0, "covered").otherwise("retry").alias("kind"),
+    )
+    known, new, good, bad = some(1), some(11).drop("kind"), some(21).drop("kind"), some(31).drop("kind").limit(20)
+    after = cov.update_ranges(known, new, good, bad, cell_width=16)
+    rows = lambda df: sorted(map(str, df.collect()))
+    covered = intervals.union(cov.of_kind(known, "covered"), new, ["import_key"], cell_width=16)
+    sets = {"retry": cov.of_kind(known, "retry"), "succeeded": good, "failed": bad}
+    queued = intervals.combine(sets, ["import_key"], lambda on: on["failed"] | (on["retry"] & ~on["succeeded"]), cell_width=16)
+    assert covered.filter("`to` IS NULL").count() and covered.filter("`to` < `from`").count()
+    assert rows(after.filter("kind = 'covered'").drop("kind")) == rows(covered)
+    assert rows(after.filter("kind = 'retry'").drop("kind")) == rows(queued)

@@ -7,7 +7,9 @@ intervals is spread over axis cells. ``cell_width`` is the length of such a cell
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,13 +86,12 @@ def merge(
 
 def _ends(ranges: DataFrame, keys: Sequence[str], counter: str) -> DataFrame:
     """+1 where a range starts, -1 just after it ends."""
-    ends = F.array(
-        F.struct(F.col("from").cast("long").alias("_pos"), F.lit(1).alias("_step")),
-        F.struct((F.col("to") + F.lit(1)).cast("long").alias("_pos"), F.lit(-1).alias("_step")),
-    )
-    return ranges.select(*keys, F.explode(ends).alias("_end")).select(
-        *keys, F.col("_end._pos").alias("_pos"), F.col("_end._step").alias(counter)
-    )
+    ends = ranges.select(*keys, "from", "to", F.explode(F.array(F.lit(1), F.lit(-1))).alias(counter))
+    return ends.select(*keys, _end_place(counter).alias("_pos"), counter)
+
+
+def _end_place(step: str) -> Column:
+    return F.when(F.col(step) > 0, F.col("from")).otherwise(F.col("to") + F.lit(1)).cast("long")
 
 
 def _boundaries(sets: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -114,12 +115,24 @@ def combine(
     ``inside`` gets, per set name, whether the set covers a stretch: ``lambda on: on["a"] & ~on["b"]``.
     """
     keys = list(keys)
+    # where ranges only touch, one set's ends cancel out: nothing turns there, so these places are not swept
+    bounds = _boundaries(sets, keys).filter(_any(F.col(f"_{name}") != 0 for name in sets))
     runs = {f"_open_{name}": Run("sum", F.col(f"_{name}")) for name in sets}
-    swept = running(_boundaries(sets, keys), keys, ["_pos"], _cell("_pos", cell_width), runs, keep_cell=True)
+    swept = running(bounds, keys, ["_pos"], _cell("_pos", cell_width), runs, keep_cell=True)
     # the counts before a position are those after it less its own changes
     now = inside({name: F.col(f"_open_{name}") > 0 for name in sets})
     before = inside({name: F.col(f"_open_{name}") - F.col(f"_{name}") > 0 for name in sets})
     turns = swept.withColumn("_on", now).filter(F.col("_on") != before).select(*keys, "_cell", "_pos", "_on")
+    return _between_turns(turns, keys).select(*keys, F.col("_pos").alias("from"), (F.col("_end") - 1).alias("to"))
+
+
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(or_, conditions)
+
+
+def _between_turns(turns: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each turn on with ``_end``, the key's next turn off. Turns (``_on``, ``_pos``) lie together by the keys and ``_cell``, or
+    some of these."""
     # on and off alternate, so a range that begins at a turn ends at the next one: mostly in the same cell
     in_cell = Window.partitionBy(*keys, "_cell").orderBy("_pos")
     turns = turns.withColumns({"_next": F.lead("_pos").over(in_cell), "_previous": F.lag("_pos").over(in_cell)})
@@ -128,7 +141,53 @@ def combine(
     turns = turns.withColumn("_edge", is_edge).filter(F.col("_on") | F.col("_edge"))
     together = Window.partitionBy(*keys, F.when(~F.col("_edge"), F.col("_cell"))).orderBy("_pos")
     end = F.when(F.col("_edge"), F.lead("_pos").over(together)).otherwise(F.col("_next"))
-    return turns.withColumn("_end", end).filter("_on").select(*keys, F.col("_pos").alias("from"), (F.col("_end") - 1).alias("to"))
+    return turns.withColumn("_end", end).filter("_on")
+
+
+def combine_marked(
+    ranges: DataFrame,
+    keys: Sequence[str],
+    marks: Sequence[str],
+    outcomes: Mapping[str, Callable[[Mapping[str, Column]], Column]],
+    *,
+    kind: str = "kind",
+    whole: str | None = None,
+    cell_width: int = DEFAULT_CELL,
+) -> DataFrame:
+    """As ``combine``, for several conditions in one sweep. A row of ``ranges`` says by boolean columns, the ``marks``, in which
+    sets it is; ``outcomes`` has a condition for each ``kind`` of range wanted. Of the mark and kind ``whole`` the ranges
+    that end nowhere or before they start are kept as ``merge`` keeps them: with the largest end of their start, unless it
+    touches others."""
+    keys = list(keys)
+    right = F.coalesce(F.col("from") <= F.col("to"), F.lit(False))
+    # what counts of each mark, and a start of which only the largest end is to be known
+    counts = {m: F.col(m) & right if m == whole else F.col(m) for m in marks}
+    odd = F.lit(False) if whole is None else F.col(whole) & ~right & F.col("from").isNotNull() & (F.col("_step") > 0)
+    bounds = (
+        ranges.select(*keys, "from", "to", *marks, F.explode(F.array(F.lit(1), F.lit(-1))).alias("_step"))
+        .groupBy(*keys, _end_place("_step").alias("_pos"))
+        .agg(
+            *(F.sum(F.when(c, F.col("_step")).otherwise(0)).alias(f"_{m}") for m, c in counts.items()),
+            F.coalesce(F.max(odd), F.lit(False)).alias("_odd"),
+            F.max(F.when(odd, F.col("to"))).cast("long").alias("_odd_to"),
+        )
+        # naming all columns here, so that both readers of the places (see ``running``) share their one exchange
+        .filter(_any([F.col("_odd"), F.col("_odd_to").isNotNull(), *(F.col(f"_{m}") != 0 for m in marks)]))
+    )
+    runs = {f"_open_{m}": Run("sum", F.col(f"_{m}")) for m in marks}
+    swept = running(bounds, keys, ["_pos"], _cell("_pos", cell_width), runs, keep_cell=True)
+    now, before = {m: F.col(f"_open_{m}") > 0 for m in marks}, {m: F.col(f"_open_{m}") - F.col(f"_{m}") > 0 for m in marks}
+    turn = lambda k, alone, on: F.struct(F.lit(k).alias(kind), F.lit(alone).alias("_alone"), on.alias("_on"))
+    turns = [F.when(inside(now) != inside(before), turn(k, False, inside(now))) for k, inside in outcomes.items()]
+    if whole is not None:
+        turns.append(F.when(F.col("_odd") & ~now[whole] & ~before[whole], turn(whole, True, F.lit(True))))
+    turned = (
+        swept.filter(_any(t.isNotNull() for t in turns))
+        .select(*keys, "_cell", "_pos", "_odd_to", F.explode(F.array_compact(F.array(*turns))).alias("_t"))
+        .select(*keys, "_cell", "_pos", "_odd_to", f"_t.{kind}", "_t._alone", "_t._on")
+    )
+    to = F.when(F.col("_alone"), F.col("_odd_to")).otherwise(F.col("_end") - 1)
+    return _between_turns(turned, [*keys, kind, "_alone"]).select(*keys, kind, F.col("_pos").alias("from"), to.alias("to"))
 
 
 def combine_bounded(
@@ -208,21 +267,31 @@ def covering(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
     return ranges.groupBy(*keys).agg(F.min("from").alias("from"), F.max("to").alias("to"))
 
 
+def _pieces(max_length: int | Column) -> Column:
+    length = max_length if isinstance(max_length, Column) else F.lit(max_length)
+    return F.ceil((F.col("to") - F.col("from") + F.lit(1)) / length).cast("long")
+
+
 def split(ranges: DataFrame, max_length: int | Column, *, descending: bool = False, take: int | None = None) -> DataFrame:
     """Cut each range into pieces of at most ``max_length``, counted from its start, or from its end.
 
     With ``take`` only the first pieces of each range are made: no key can need more of one range than it keeps.
     """
-    length = max_length if isinstance(max_length, Column) else F.lit(max_length)
-    pieces = F.ceil((F.col("to") - F.col("from") + F.lit(1)) / length).cast("long")
+    pieces = _pieces(max_length)
     if take is not None:
         pieces = F.least(pieces, F.lit(take).cast("long"))
-    numbered = ranges.filter(pieces > 0).withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
+    return _cut(ranges.filter(pieces > 0), max_length, pieces, descending).drop("_piece")
+
+
+def _cut(ranges: DataFrame, max_length: int | Column, pieces: Column, descending: bool) -> DataFrame:
+    """The first ``pieces`` of each range, numbered from 0 as ``_piece``."""
+    length = max_length if isinstance(max_length, Column) else F.lit(max_length)
+    numbered = ranges.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
     if descending:
         to = F.col("to") - F.col("_piece") * length
-        return numbered.withColumns({"to": to, "from": F.greatest("from", to - length + F.lit(1))}).drop("_piece")
+        return numbered.withColumns({"to": to, "from": F.greatest("from", to - length + F.lit(1))})
     start = F.col("from") + F.col("_piece") * length
-    return numbered.withColumns({"from": start, "to": F.least("to", start + length - F.lit(1))}).drop("_piece")
+    return numbered.withColumns({"from": start, "to": F.least("to", start + length - F.lit(1))})
 
 
 def plan_slices(
@@ -234,18 +303,22 @@ def plan_slices(
     descending: bool = False,
     cell_width: int = DEFAULT_CELL,
     disjoint: bool = False,
+    first: Sequence[str] = (),
 ) -> DataFrame:
     """Merge overlapping ranges, cut them to ``max_length`` and keep the first ``take`` per key, ranked from 1.
 
-    ``disjoint`` says the ranges are merged already.
+    ``disjoint`` says the ranges are merged already; only then may columns be named that come ``first`` in the order. Ranges are
+    ranked by how many slices lie before them, so that only they are ordered, and no slice is made that is not kept.
     """
     if max_length <= 0 or take <= 0:
-        return ranges.select(*keys, "from", "to").limit(0).withColumn("rank", F.lit(0))
-    merged = ranges.select(*keys, "from", "to") if disjoint else merge(ranges, keys, gap=0, cell_width=cell_width)
-    pieces = split(merged, max_length, descending=descending, take=take)
-    first = F.col("from").desc() if descending else F.col("from").asc()
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(first))
-    return pieces.withColumn("rank", rank).filter(F.col("rank") <= take)
+        return ranges.select(*keys, "from", "to").limit(0).withColumn("rank", F.lit(0)).withColumns({c: F.lit(None) for c in first})
+    merged = ranges.select(*keys, "from", "to", *first) if disjoint else merge(ranges, keys, gap=0, cell_width=cell_width)
+    newest = F.col("from").desc() if descending else F.col("from").asc()
+    earlier = Window.partitionBy(*keys).orderBy(*first, newest).rowsBetween(Window.unboundedPreceding, -1)
+    counted = merged.withColumn("_pieces", F.least(_pieces(max_length), F.lit(take).cast("long"))).filter("_pieces > 0")
+    placed = counted.withColumn("_before", F.coalesce(F.sum("_pieces").over(earlier), F.lit(0))).filter(F.col("_before") < take)
+    kept = _cut(placed, max_length, F.least("_pieces", F.lit(take) - F.col("_before")), descending)
+    return kept.select(*keys, "from", "to", (F.col("_before") + F.col("_piece") + 1).cast("int").alias("rank"), *first)
 
 
 def blobs(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tidemark.session import dealt
 COVERED, RETRY = "covered", "retry"
 KEY = ["import_key"]
 EOL_DELAY_DAYS = 100
+_SETS = ["covered", "retry", "succeeded", "failed"]
 
 
 def of_kind(ranges: DataFrame, kind: str) -> DataFrame:
@@ -41,12 +43,22 @@ def update_ranges(
     ranges: DataFrame, covered: DataFrame, succeeded: DataFrame, failed: DataFrame, cell_width: int = intervals.DEFAULT_CELL
 ) -> DataFrame:
     """covered := covered + new; retry := (retry - succeeded) + failed, per import key."""
-    sets = {"retry": of_kind(ranges, RETRY), "succeeded": succeeded, "failed": failed}
-    now_covered = intervals.union(of_kind(ranges, COVERED), covered, KEY, cell_width=cell_width)
-    now_retry = intervals.combine(
-        sets, KEY, lambda on: on["failed"] | (on["retry"] & ~on["succeeded"]), cell_width=cell_width
-    )
-    return as_ranges(now_covered, now_retry)
+    marked = [_known(ranges), *(_marked(df, **{mark: F.lit(True)}) for mark, df in (("covered", covered), ("succeeded", succeeded), ("failed", failed)))]
+    return _updated(reduce(DataFrame.unionByName, marked), cell_width)
+
+
+def _marked(df: DataFrame, **sets: Column) -> DataFrame:
+    """Ranges marked with the sets they are in."""
+    return df.select("import_key", "from", "to", *(sets.get(mark, F.lit(False)).alias(mark) for mark in _SETS))
+
+
+def _known(ranges: DataFrame) -> DataFrame:
+    return _marked(ranges, covered=F.col("kind") == COVERED, retry=F.col("kind") == RETRY)
+
+
+def _updated(marked: DataFrame, cell_width: int) -> DataFrame:
+    outcomes = {COVERED: lambda on: on["covered"], RETRY: lambda on: on["failed"] | (on["retry"] & ~on["succeeded"])}
+    return intervals.combine_marked(marked, KEY, _SETS, outcomes, whole=COVERED, cell_width=cell_width)
 
 
 def fold_results(states: DataFrame, ranges: DataFrame, results: DataFrame, import_date: datetime, cell_width: int = intervals.DEFAULT_CELL) -> tuple[DataFrame, DataFrame]:
@@ -55,10 +67,10 @@ def fold_results(states: DataFrame, ranges: DataFrame, results: DataFrame, impor
     A stretch that both failed and succeeded counts as failed. The key's latest known block only grows.
     Returns (states, ranges).
     """
-    failed = results.filter(~F.col("success")).select("import_key", "from", "to")
-    good = results.filter(F.col("success")).select("import_key", "from", "to")
-    # failed stretches stay queued whatever else succeeded on them, so ``good`` need not be cut first
-    new_ranges = update_ranges(ranges, results.select("import_key", "from", "to"), good, failed, cell_width)
+    # as ``update_ranges``, but each result is read once. Failed stretches stay queued whatever else succeeded on them, so
+    # what succeeded need not be cut first
+    noted = _marked(results, covered=F.lit(True), succeeded=F.col("success"), failed=~F.col("success"))
+    new_ranges = _updated(_known(ranges).unionByName(noted), cell_width)
     seen = results.groupBy("import_key").agg(F.max("latest").alias("_latest"), F.lit(True).alias("_touched"))
     new_states = (
         states.join(seen, "import_key", "left")
@@ -153,14 +165,11 @@ def plan_import(
     full = windows.filter(F.col("from") <= F.col("to")).select("import_key", "from", "to")
     if not ignore_state:
         full = intervals.exclude(full, ranges.select("import_key", "from", "to"), KEY, cell_width=cell_width)
-
-    def newest(r: DataFrame, disjoint: bool, is_retry: bool) -> DataFrame:
-        slices = intervals.plan_slices(r, KEY, max_length, limit, descending=True, cell_width=cell_width, disjoint=disjoint)
-        return slices.withColumn("is_retry", F.lit(is_retry))
-
-    wanted = newest(full, not ignore_state, False).unionByName(newest(of_kind(ranges, RETRY), False, True))
-    order = F.row_number().over(Window.partitionBy("import_key").orderBy("is_retry", "rank"))
-    return wanted.withColumn("rank", order).filter(F.col("rank") <= limit)
+    else:
+        full = intervals.merge(full, KEY, gap=0, cell_width=cell_width)
+    queued = intervals.merge(of_kind(ranges, RETRY), KEY, gap=0, cell_width=cell_width)
+    wanted = full.withColumn("is_retry", F.lit(False)).unionByName(queued.withColumn("is_retry", F.lit(True)))
+    return intervals.plan_slices(wanted, KEY, max_length, limit, descending=True, disjoint=True, first=["is_retry"])
 
 
 def schedule_reimport(states: DataFrame, ranges: DataFrame, start: int, end: int | None = None, cell_width: int = intervals.DEFAULT_CELL) -> DataFrame:

@@ -263,12 +263,13 @@ _WHOLE_PLAN = f"""SELECT import_key, "from", "to" FROM ({_ranked(_SLICES_DESC.fo
 def _(t):
     # plan, load what was planned, note the results, plan again: nothing is left
     windows = t.states.select("import_key", F.col("contract_created_at_block").alias("from"), F.col("chain_latest_block_number").alias("to"))
-    path = scratch_path(t.spark, "plan")
+    path, noted = scratch_path(t.spark, "plan"), scratch_path(t.spark, "noted")
     cov.plan_import(windows, t.coverage, 30, 10**6, cell_width=CELL).write.parquet(path)
     planned = t.spark.read.parquet(path)
     loaded = planned.select("import_key", "from", "to", F.lit(True).alias("success"), F.col("to").alias("latest"))
     _, known = cov.fold_results(t.states, t.coverage, loaded, AS_OF, CELL)
-    again = cov.plan_import(windows, known, 30, 10**6, cell_width=CELL)
+    known.write.parquet(noted)  # the new windows and the queue are both planned from it
+    again = cov.plan_import(windows, t.spark.read.parquet(noted), 30, 10**6, cell_width=CELL)
     return planned.agg(F.count("*").alias("planned")).select("planned", again.agg(F.count("*")).scalar().alias("planned_again"))
 
 
