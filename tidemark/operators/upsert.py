@@ -225,7 +225,8 @@ def rewrite_partitions(
     """Replace the partitions that ``batch`` touches by ``change`` of their stored rows; the first batch makes the table, as
     it is or as ``first`` has it."""
     finish_merge(spark, path, partition)
-    values = [r[0] for r in batch.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+    listed = [r[0] for r in batch.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+    values = sorted(listed, key=lambda v: (v is not None, v))  # the filter reads the same however they came
     if not values:
         return
     new = batch if first is None else first
