@@ -2,28 +2,41 @@
 
 Two objects are merged field by field. Where a field is an object on both sides and they differ, the walk goes on inside;
 every other field is a leaf of the result: what one side alone has, what both share, an array with the other side
-appended, or the new value. The walk turns rows into (key, path, value) leaves, ``LEVELS`` levels of all rows in one
-job without a shuffle, and only what is still open is walked again: the rounds follow the data. The leaves of a row,
-in the order of their paths, then give its text, each by the path before it.
+appended, or the new value. A worker reads each text once and walks it down to the end, so the work grows with the length
+of the texts, however deep they are. The leaves of a row, in the order of their paths, then give its text, each by the path
+before it.
 
 Texts are normalised (fields in order, no blanks). An absent side leaves the other as it is. What is no JSON fails the job.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
-from functools import reduce
+from functools import lru_cache, reduce
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from tidemark.functions.json_fields import append_json, fields_as_text
+from tidemark.functions.json_fields import append_json
 from tidemark.session import dealt, scratch_path
 
-#: Levels that one round goes down.
-LEVELS = 6
+#: Levels that one round goes down: as many as the JSON parser takes, which fails the job on deeper texts.
+LEVELS = 1000
 
-_CHILD = "array<struct<key: string, value: struct<a: string, b: string>>>"
+_LEAVES = ArrayType(StructType([StructField("_path", ArrayType(StringType())), StructField("_value", StringType())]))
+
+Leaf = tuple[tuple[str, ...], str]
+
+# numbers stay the digits of their text, as bytes: 1 is neither "1" nor true
+_DECODER = json.JSONDecoder(parse_int=str.encode, parse_float=str.encode, strict=False)
+_ESCAPED = re.compile(r'[\x00-\x1f"\\]')
+_ESCAPES = {c: f"\\u{ord(c):04X}" for c in map(chr, range(32))} | dict(zip('"\\\b\f\n\r\t', [f"\\{c}" for c in '"\\bfnrt'], strict=True))
+_WORDS = {None: "null", True: "true", False: "false"}
 
 
 def _leaf(a: Column, b: Column) -> Column:
@@ -38,81 +51,160 @@ def _leaf(a: Column, b: Column) -> Column:
     )
 
 
-def _level(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Open places become their fields; leaves stay."""
-    is_open = F.col("_value").isNull() & F.col("_a").isNotNull()
-    pair = lambda _, a, b: F.struct(a.alias("a"), b.alias("b"))
-    fields = F.map_entries(F.map_zip_with(fields_as_text(F.col("_a")), fields_as_text(F.col("_b")), pair))
-    same = F.array(F.struct(F.lit(None).alias("key"), F.struct(F.col("_a").alias("a"), F.col("_b").alias("b")).alias("value")))
-    both = F.when(is_open, fields.cast(_CHILD)).otherwise(same.cast(_CHILD))
-    rows = rows.select(*keys, "_path", "_value", is_open.alias("_open"), F.explode(both).alias("_child"))
-    a, b = F.col("_child.value.a"), F.col("_child.value.b")
-    return rows.select(
-        *keys,
-        F.when(F.col("_open"), F.concat("_path", F.array("_child.key"))).otherwise(F.col("_path")).alias("_path"),
-        a.alias("_a"),
-        b.alias("_b"),
-        F.when(F.col("_open"), _leaf(a, b)).otherwise(F.col("_value")).alias("_value"),
-    )
+def _quoted(text: str) -> str:
+    if _ESCAPED.search(text) is None:
+        return f'"{text}"'
+    return f'"{_ESCAPED.sub(lambda m: _ESCAPES[m[0]], text)}"'
 
 
-def leaves(rows: DataFrame, keys: Sequence[str], current: str, new: str) -> DataFrame:
-    """The leaves of each row's merge: ``keys``, ``_path`` (from the top, empty for the text itself) and ``_value``."""
-    plain = lambda c: F.to_json(F.parse_json(F.col(c)))
-    walked = dealt(rows.select(*keys, current, new), *keys)
-    walked = walked.select(*keys, F.array().cast("array<string>").alias("_path"), plain(current).alias("_a"), plain(new).alias("_b"))
-    walked = walked.filter(F.col("_a").isNotNull() | F.col("_b").isNotNull())
-    walked = walked.withColumn("_value", _leaf(F.col("_a"), F.col("_b")))
-    done, spark = [], rows.sparkSession
-    while True:
-        for _ in range(LEVELS):
-            walked = _level(walked, keys)
-        path = scratch_path(spark, "json-leaves")
-        walked.select(*keys, "_path", "_a", "_b", "_value").write.parquet(path)
-        written = spark.read.parquet(path)
-        done.append(written.filter(F.col("_value").isNotNull()).select(*keys, "_path", "_value"))
-        walked = written.filter(F.col("_value").isNull())
-        if walked.isEmpty():
-            return reduce(DataFrame.unionByName, done)
+@lru_cache(1024)
+def _short_name(key: str) -> str:
+    return f"{_quoted(key)}:"
 
 
-def _shared(p: Column, q: Column) -> Column:
-    """How many elements two paths begin with alike."""
-    start = F.struct(F.lit(0).alias("n"), F.lit(True).alias("alike"))
+def _name(key: str) -> str:
+    return _short_name(key) if len(key) <= 64 else f"{_quoted(key)}:"
 
-    def step(acc: Column, same: Column) -> Column:
-        alike = acc["alike"] & same
-        return F.struct((acc["n"] + alike.cast("int")).alias("n"), alike.alias("alike"))
 
-    return F.aggregate(F.zip_with(p, q, lambda x, y: F.coalesce(x == y, F.lit(False))), start, step, lambda acc: acc["n"])
+def _scalar(value: Any) -> str:
+    return _quoted(value) if isinstance(value, str) else value.decode() if isinstance(value, bytes) else _WORDS[value]
 
 
-def _name(key: Column) -> Column:
-    listed = F.to_json(F.array(key))
-    return F.concat(listed.substr(F.lit(2), F.length(listed) - 2), F.lit(":"))
+def _as_text(value: Any) -> str:
+    """JSON text of a decoded value, as it was read; without recursion, as values may be nested deeply."""
+    if not isinstance(value, dict | list):
+        return _scalar(value)
+    out: list[str] = []
+    todo = [(value, "")]  # a value and what stands behind it
+    while todo:
+        value, behind = todo.pop()
+        if isinstance(value, dict):
+            out.append("{")
+            todo.append((b"}", behind))
+            for n, (key, inner) in enumerate(reversed(value.items())):
+                todo += [(inner, "," if n else ""), (_name(key).encode(), "")]
+        elif isinstance(value, list):
+            out.append("[")
+            todo.append((b"]", behind))
+            todo += [(inner, "," if n else "") for n, inner in enumerate(reversed(value))]
+        else:
+            out += [_scalar(value), behind]
+    return "".join(out)
 
 
-def _text(found: Column) -> Column:
+def _walk(current: str, new: str) -> list[Leaf]:
+    """The leaves of the merge of two different objects, in the order of their paths."""
+    a, b = _DECODER.raw_decode(current)[0], _DECODER.raw_decode(new)[0]
+    found: list[tuple[tuple[str, ...], Any]] = []
+    path: list[str] = []
+    above: list[tuple] = []
+    top, start, same, fields = a, 0, True, None
+    while True:
+        while fields is None:  # as long as both have one field alone, and it is an object, there is nothing to come back to
+            if len(a) == 1 == len(b):
+                [(key, value)] = a.items()
+                other = b.get(key)
+                if type(value) is dict and type(other) is dict:
+                    path.append(key)
+                    a, b = value, other
+                    continue
+            fields = iter(sorted(a.keys() | b.keys()))
+        for key in fields:
+            if key not in b:
+                value, same = a[key], False
+            elif key not in a:
+                value, same = b[key], False
+            else:
+                value, other = a[key], b[key]
+                if type(value) is dict and type(other) is dict:
+                    above.append((a, b, top, start, same, fields, len(path)))
+                    path.append(key)
+                    a, b, top, start, same, fields = value, other, value, len(found), True, None
+                    break
+                if value != other:
+                    same = False
+                    value = other if type(value) is not list else value + (other if type(other) is list else [other])
+            found.append(((*path, key), value))
+        else:
+            if not above:
+                return [(p, _as_text(v)) for p, v in found]
+            alike, whole, first = same, top, start
+            a, b, top, start, same, fields, depth = above.pop()
+            if alike:  # nothing differs inside: the object is the leaf
+                found[first:] = [(tuple(path[: depth + 1]), whole)]
+            del path[depth:]
+            same = same and alike
+
+
+def _joined(found: Sequence[Leaf]) -> str:
     """The JSON text of leaves in the order of their paths: before each, the objects that end and those that begin."""
+    before, value = found[0]
+    if not before:
+        return value
+    out = ["{", "{".join(map(_name, before)), value]
+    for path, value in found[1:]:
+        shared = min(len(before), len(path)) - 1  # most often all but the last name of one of them
+        if before[:shared] != path[:shared] or before[shared] == path[shared]:
+            shared = next((n for n, (x, y) in enumerate(zip(before, path)) if x != y), shared + 1)
+        out += ["}" * (len(before) - shared - 1), ",", "{".join(map(_name, path[shared:])), value]
+        before = path
+    out.append("}" * len(before))
+    return "".join(out)
+
+
+@F.arrow_udf(returnType=_LEAVES)
+def _leaves_of(whole: pa.Array, current: pa.Array, new: pa.Array) -> pa.Array:
+    rows = zip(whole.to_pylist(), current.to_pylist(), new.to_pylist(), strict=True)
+    found = [_walk(a, b) if w is None else [((), w)] for w, a, b in rows]
+    ends, flat = [0], [leaf for leaves in found for leaf in leaves]
+    for leaves in found:
+        ends.append(ends[-1] + len(leaves))
+    paths = pa.array([path for path, _ in flat], pa.list_(pa.string()))
+    both = pa.StructArray.from_arrays([paths, pa.array([value for _, value in flat], pa.string())], ["_path", "_value"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), both)
+
+
+@F.arrow_udf(returnType=StringType())
+def _text_of(pairs: pa.Array) -> pa.Array:
+    """The text of each key, from the leaves of all its rows."""
+    columns = [c.to_pylist() for c in pairs.flatten().flatten()]
+    out, at = [], 0
+    for n in pairs.value_lengths().to_pylist():
+        found: list[Leaf] = []
+        for w, a, b in zip(*(c[at : at + n] for c in columns), strict=True):
+            found += _walk(a, b) if w is None else [((), w)]
+        out.append(_joined(found if n == 1 else sorted(found)))
+        at += n
+    return pa.array(out, pa.string())
+
+
+def _pairs(rows: DataFrame, keys: Sequence[str], current: str, new: str) -> DataFrame:
+    """``keys``, and ``_whole``, the merge of two texts that are not both objects, or else the two objects ``_a`` and ``_b``."""
+    plain = lambda c: F.to_json(F.parse_json(F.col(c)))
+    texts = dealt(rows.select(*keys, current, new).filter(F.col(current).isNotNull() | F.col(new).isNotNull()), *keys)
+    texts = texts.select(*keys, plain(current).alias("_a"), plain(new).alias("_b"))
+    texts = texts.withColumn("_whole", _leaf(F.col("_a"), F.col("_b")))
+    # a field is read again by itself, which gives 100.0 and -0.0 as 100 and 0; nothing else changes
+    inside = lambda c: F.when(F.col("_whole").isNull(), F.when(F.col(c).contains("."), plain(c)).otherwise(F.col(c)))
+    return texts.select(*keys, "_whole", inside("_a").alias("_a"), inside("_b").alias("_b"))
+
 
-    def piece(leaf: Column, i: Column) -> Column:
-        before = F.get(found, i - 1)["path"]
-        shared = F.when(i == 0, 0).otherwise(_shared(before, leaf["path"]))
-        ended = F.when(i == 0, "").otherwise(F.concat(F.repeat(F.lit("}"), F.size(before) - shared - 1), F.lit(",")))
-        names = F.transform(F.slice(leaf["path"], shared + 1, F.size(leaf["path"]) - shared), _name)
-        return F.concat(ended, F.array_join(names, "{"), leaf["value"])
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-    top = F.get(found, F.lit(0))
-    closed = F.repeat(F.lit("}"), F.size(F.get(found, F.size(found) - 1)["path"]))
-    whole = F.concat(F.lit("{"), F.array_join(F.transform(found, piece), ""), closed)
-    return F.when(F.size(top["path"]) == 0, top["value"]).otherwise(whole)
+
+def leaves(rows: DataFrame, keys: Sequence[str], current: str, new: str) -> DataFrame:
+    """The leaves of each row's merge: ``keys``, ``_path`` (from the top, empty for the text itself) and ``_value``."""
+    found = _pairs(rows, keys, current, new).select(*keys, F.explode(_leaves_of("_whole", "_a", "_b")).alias("_leaf"))
+    return _written(found.select(*keys, "_leaf._path", "_leaf._value"), "json-leaves")
 
 
 def merged_texts(rows: DataFrame, keys: Sequence[str], current: str, new: str, out: str) -> DataFrame:
     """``keys`` and the merged text of every row that has one; ``keys`` must tell rows apart."""
-    found = leaves(rows, keys, current, new).groupBy(*keys)
-    collected = found.agg(F.sort_array(F.collect_list(F.struct(F.col("_path").alias("path"), F.col("_value").alias("value")))).alias("_leaves"))
-    return collected.select(*keys, _text(F.col("_leaves")).alias(out))
+    pairs = _pairs(rows, keys, current, new).groupBy(*keys).agg(F.collect_list(F.struct("_whole", "_a", "_b")).alias("_pairs"))
+    return _written(pairs.select(*keys, _text_of("_pairs").alias(out)), "json-texts")
 
 
 def merge_column(rows: DataFrame, keys: Sequence[str], current: str, new: str, out: str) -> DataFrame:
