@@ -5,6 +5,7 @@ import json
 import pytest
 
 from tidemark.operators import json_merge
+from tidemark.queries import REGISTRY, catalog
 
 
 def nested(levels, inner, left="{\"k\":", right="}"):
@@ -72,3 +73,12 @@ def test_what_is_no_json_fails_the_job(spark):
     with pytest.raises(Exception, match="MALFORMED"):
         merged(spark, [("{}", "nul")])
     assert json.loads(merged(spark, [('{"a":1}', ' {"b":2} ')])[0]) == {"a": 1, "b": 2}
+
+
+@pytest.mark.parametrize("name", ["merged_json_leaves", "merged_json_deep"])
+def test_texts_are_made_by_many_tasks(tables, monkeypatch, name):
+    seen = []
+    for f in ("leaves", "merge_column"):
+        monkeypatch.setattr(catalog, f, lambda rows, *a, f=f: seen.append(rows) or getattr(json_merge, f)(rows, *a))
+    REGISTRY[name].build(tables)
+    assert "REPARTITION_BY_NUM" in seen[0]._jdf.queryExecution().executedPlan().toString()

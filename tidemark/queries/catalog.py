@@ -457,7 +457,7 @@ def _(t):
 def _(t):
     # the path table itself: where the leaves of the merge stand
     levels = F.col("levels")
-    events = t.raw("events").select("event_id", (F.pmod("event_id", F.lit(21)) + 20).alias("levels"))
+    events = dealt(t.raw("events").select("event_id"), "event_id").withColumn("levels", F.pmod("event_id", F.lit(21)) + 20)
     old, new = deep_json(levels, F.lit('"a":1,"b":{"x":2}'), 1), deep_json(levels, F.lit('"b":{"x":2},"c":null'), 2)
     rows = events.select("event_id", old.alias("old"), new.alias("new"))
     found = leaves(rows, ["event_id"], "old", "new")
