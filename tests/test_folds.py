@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.functions.timegrid import cell
 from tidemark.operators import fifo
 from tidemark.streaming import folds
@@ -96,3 +97,27 @@ def test_the_rows_of_a_fold_are_joined_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(folds.fifo, "inventory", lambda rows, *a: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or real(rows, *a))
     assert folded(spark, str(tmp_path / "t"), [rows[:30], rows[30:]]) == want
     assert len(plans) == 2 and not any("Join" in p for p in plans)
+
+
+@pytest.mark.parametrize(("rows_of_a_task", "cut"), [(500_000, False), (10, True)])
+def test_only_positions_too_large_for_a_task_are_cut_into_cells(spark, tmp_path, monkeypatch, rows_of_a_task, cut):
+    monkeypatch.setattr(session, "ROWS_OF_A_TASK", rows_of_a_task)
+    rows = sorted(made(7, 80), key=lambda r: r[1])
+    want, plans, real = at_once(spark, rows), [], fifo.inventory
+
+    def seen(*a):
+        out = real(*a)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(folds.fifo, "inventory", seen)
+    assert folded(spark, str(tmp_path / "t"), [rows[:40], rows[40:]]) == want
+    assert ["Join" in p for p in plans] == [cut, cut]
+
+
+def test_one_window_gives_what_cells_give(spark):
+    rows = [*made(8, 200), ("a", START, 900, None, 1.0), (None, START, 901, Decimal(1), 1.0), ("z", START, 902, Decimal(-3), 2.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    columns = ["k", "n", "bought", "inventory", "inventory_before", "bought_before", "sold", "sold_before", "sold_in_all"]
+    a, b = (fifo.inventory(df, ["k"], ["datetime", "n"], c).filter("shares IS NOT NULL").select(columns) for c in (cell(F.col("datetime"), 24), None))
+    assert a.schema == b.schema and sorted(a.collect()) == sorted(b.collect())

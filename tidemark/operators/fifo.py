@@ -20,10 +20,40 @@ def _shares(column: Column) -> Column:
     return column.cast(_SHARES)
 
 
-def inventory(transactions: DataFrame, keys: Sequence[str], order: Sequence[str], cell: Column, shares: str = "shares") -> DataFrame:
+def _in_one_window(transactions: DataFrame, keys: Sequence[str], order: Sequence[str], shares: str) -> DataFrame:
+    by_key = Window.partitionBy(*keys).orderBy(*order)
+    here = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    amount, zero = F.col("_d"), F.lit(0).cast(_SHARES)
+    # as in the join by cells, rows without a key take no part
+    tracked = transactions.dropna(subset=list(keys)).withColumn("_d", _shares(F.col(shares)))
+    tracked = tracked.withColumns(
+        {"_sum": _shares(F.sum(amount).over(here)), "bought": _shares(F.sum(F.when(amount > 0, amount).otherwise(F.lit(0))).over(here))}
+    )
+    lowest = {"_low": here, "_low_before": by_key.rowsBetween(Window.unboundedPreceding, -1)}
+    tracked = tracked.withColumns({name: F.least(zero, F.coalesce(F.min("_sum").over(w), zero)) for name, w in lowest.items()})
+    tracked = tracked.withColumns(
+        {
+            "inventory": _shares(F.col("_sum") - F.col("_low")),
+            "inventory_before": _shares(F.col("_sum") - amount - F.col("_low_before")),
+            "bought_before": _shares(F.col("bought") - F.greatest(amount, zero)),
+        }
+    )
+    tracked = tracked.withColumns(
+        {"sold": _shares(F.col("bought") - F.col("inventory")), "sold_before": _shares(F.col("bought_before") - F.col("inventory_before"))}
+    )
+    # what has been sold never falls
+    return tracked.withColumn("sold_in_all", F.max("sold").over(Window.partitionBy(*keys))).drop("_d", "_sum", "_low", "_low_before")
+
+
+def inventory(
+    transactions: DataFrame, keys: Sequence[str], order: Sequence[str], cell: Column | None, shares: str = "shares"
+) -> DataFrame:
     """Transactions with running ``bought`` (buys so far), ``inventory`` and ``sold`` (matched sales so far), before
-    and after the transaction, plus ``sold_in_all``, the key's final matched sales."""
+    and after the transaction, plus ``sold_in_all``, the key's final matched sales. Without a ``cell`` a task takes the
+    whole of each key: one exchange and one sort, for keys that are known to fit."""
     keys, order = list(keys), list(order)
+    if cell is None:
+        return _in_one_window(transactions, keys, order, shares)
     in_cell = Window.partitionBy(*keys, "_cell").orderBy(*order)
     here = in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     amount = F.col("_d")

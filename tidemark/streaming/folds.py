@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators import fifo
 from tidemark.operators.upsert import overwrite_partitions, table_exists
 from tidemark.schema import AMOUNT
@@ -83,9 +84,11 @@ def fold(
     day = F.to_date("datetime")
     trades = recent.join(touched.select(*keys, "_at"), keys).filter(day >= F.col("_at")).select(*kept, F.col(shares).cast(AMOUNT).alias("held"))
     rows = head.withColumn("_new", F.lit(False)).unionByName(trades.withColumn("_new", F.lit(True)))
-    rows = _written(rows, f"{path}/_rows")  # the summary of the cells and the running sums both read them
+    rows = _written(rows, f"{path}/_rows")  # counted, then read by the running sums
 
-    tracked = fifo.inventory(rows, keys, order, cell, "held")
+    # only a position with more rows than a task may hold is cut into cells
+    most = rows.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    tracked = fifo.inventory(rows, keys, order, cell if (most or 0) > session.ROWS_OF_A_TASK else None, "held")
     zero, cost = F.lit(0).cast(AMOUNT), F.col(price).cast("double")
     is_buy = F.col("held") > 0
     used = F.greatest(zero, F.least(F.col("bought"), F.col("sold_in_all")) - F.col("bought_before"))
