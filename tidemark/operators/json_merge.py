@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from tidemark.functions.json_fields import append_json
 from tidemark.session import dealt, scratch_path
 
-#: Levels that one round goes down: as many as the JSON parser takes, which fails the job on deeper texts.
+#: Levels that one round goes down: the most that Spark's JSON parser takes (its recursion may need a larger thread stack for them).
 LEVELS = 1000
 
 _LEAVES = ArrayType(StructType([StructField("_path", ArrayType(StringType())), StructField("_value", StringType())]))
